@@ -22,6 +22,7 @@ from delivery_marts.operators.assignments import current_driver, driver_history,
 from delivery_marts.operators.dimensions import latest_attributes
 from delivery_marts.operators.joins import left_join_many
 from delivery_marts.operators.lines import drop_unkeyed_lines, order_lines_by_file
+from delivery_marts.operators.ordering import known
 from delivery_marts.plans.marts import item_cells, items_mart, order_money, orders_mart
 from delivery_marts.plans.normalize import keyed
 from delivery_marts.schemas import ITEMS_MART, MARTS, ORDERS_MART, RAW_FEED, TABLES
@@ -382,7 +383,7 @@ def _phones(name: str) -> Query:
         table, phone = quality.PHONES[name]
         cleaned = inputs.written(spark, sf_dir, table)[table]
         key = TABLES[table].primary_key[0]
-        raw = latest_attributes(inputs.feed(spark, sf_dir).dropna(subset=[key]), key, phone)
+        raw = latest_attributes(known(inputs.feed(spark, sf_dir), key), key, phone)
         return _both(name, quality.non_digit_phones(cleaned, phone), quality.non_digit_phones(raw, phone))
 
     return run

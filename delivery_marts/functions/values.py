@@ -5,24 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What a cleaned phone may not hold, its full length, the trunk digit and
-# the country digit that takes its place, and the stand-in for "not replaced".
+# What a cleaned phone may not hold, the trunk digit of a number of eleven
+# digits and the country digit that takes its place, the stand-in for "not replaced".
 NON_DIGIT = "[^0-9]"
-FULL_PHONE_LENGTH = 11
-TRUNK_DIGIT, COUNTRY_DIGIT = "8", "7"
+TRUNK_DIGIT = "^8(?=[0-9]{10}$)"
+COUNTRY_DIGIT = "7"
 NO_REPLACEMENT = -1
 
 
 def normalize_phone(phone: Column) -> Column:
-    """ASCII digits of a phone, the leading trunk digit of a full number made 7.
+    """ASCII digits of a phone, the trunk digit of a full number made the country digit.
 
     A phone without digits is NULL. Only ASCII digits count, as in the quality check
     on phones: other scripts' digits are stripped.
     """
-    digits = F.nullif(F.regexp_replace(phone.cast("string"), NON_DIGIT, ""), F.lit(""))
-    has_trunk = (F.length(digits) == FULL_PHONE_LENGTH) & digits.startswith(TRUNK_DIGIT)
-    rest = F.substring(digits, 2, FULL_PHONE_LENGTH - 1)
-    return F.when(has_trunk, F.concat(F.lit(COUNTRY_DIGIT), rest)).otherwise(digits)
+    digits = F.regexp_replace(phone, NON_DIGIT, "")
+    return F.nullif(F.regexp_replace(digits, TRUNK_DIGIT, COUNTRY_DIGIT), F.lit(""))
 
 
 def has_non_digit(phone: Column) -> Column:

@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from delivery_marts.functions import interval_end
 from delivery_marts.operators.headers import file_order_ends
-from delivery_marts.operators.ordering import FILE
+from delivery_marts.operators.ordering import FILE, known
 from delivery_marts.schemas import ASSIGNMENT_ORDER
 
 
 def driver_history(feed: DataFrame) -> DataFrame:
     """Distinct (order, courier, start) per file; lines of an order repeat them."""
     return (
-        feed.select(FILE, "order_id", "driver_id", "delivery_started_at")
-        .dropna(subset=["driver_id", "delivery_started_at"])
+        known(feed, "driver_id", "delivery_started_at")
+        .select(FILE, "order_id", "driver_id", "delivery_started_at")
         .distinct()
     )
 

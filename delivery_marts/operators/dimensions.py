@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delivery_marts.functions import normalize_phone
-from delivery_marts.operators.ordering import latest_file
+from delivery_marts.operators.ordering import known, latest_file
 
 
 def latest_attributes(feed: DataFrame, key: str, *attributes: str) -> DataFrame:
@@ -31,7 +31,7 @@ def dim_stores(feed: DataFrame) -> DataFrame:
 
 def dim_drivers(feed: DataFrame) -> DataFrame:
     """Orders without a courier name no driver; all other NULL ids are load errors."""
-    drivers = latest_attributes(feed.dropna(subset=["driver_id"]), "driver_id", "driver_phone")
+    drivers = latest_attributes(known(feed, "driver_id"), "driver_id", "driver_phone")
     return drivers.withColumn("driver_phone", normalize_phone(F.col("driver_phone")))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delivery_marts.functions import order_status
-from delivery_marts.operators.ordering import FILE, ROW, earliest, first_known
+from delivery_marts.operators.ordering import FILE, ROW, earliest, first_known, known
 from delivery_marts.schemas import ORDERS
 
 HEADER_COLUMNS = [name for name in ORDERS.names if name not in ("order_id", "status")]
@@ -26,7 +26,7 @@ def order_headers(feed: DataFrame) -> DataFrame:
         for name in HEADER_COLUMNS
     ]
     per_order = (
-        feed.dropna(subset=["order_id"])
+        known(feed, "order_id")
         .groupBy("order_id")
         .agg(F.min(FILE).alias("first_file"), *found)
     )
@@ -47,7 +47,7 @@ def file_order_ends(feed: DataFrame) -> DataFrame:
     """Per file and order, the first known delivery and cancellation times."""
     row = F.col(ROW)
     return (
-        feed.dropna(subset=["order_id"])
+        known(feed, "order_id")
         .groupBy(FILE, "order_id")
         .agg(
             *[

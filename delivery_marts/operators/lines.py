@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delivery_marts.functions import unfill_replaced_id
-from delivery_marts.operators.ordering import FILE
+from delivery_marts.operators.ordering import FILE, known
 from delivery_marts.schemas import LINE_GROUP
 
-REQUIRED = ["order_id", "item_id", "item_price", "item_discount"]
+REQUIRED = [name for name in LINE_GROUP if name != "replaced_by_item_id"]
 QUANTITIES = ["item_quantity", "item_canceled_quantity"]
 
 
 def drop_unkeyed_lines(feed: DataFrame) -> DataFrame:
     """Lines with a NULL in their group key belong to no group and are left out."""
-    return feed.dropna(subset=REQUIRED)
+    return known(feed, *REQUIRED)
 
 
 def _merge(feed: DataFrame, *group: str) -> DataFrame:

@@ -8,6 +8,8 @@ shuffle happened to deliver rows, so every "first" here is a ``min_by`` on an or
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,12 @@ def latest_file(feed: DataFrame) -> Column:
     return _rank(feed, -F.col(FILE))
 
 
+def known(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows where none of the columns is NULL, as a filter that reaches the parquet scan
+    (``dropna`` makes one that does not)."""
+    return df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
+
+
 def first_known(value: Column, rank: Column, known: Column) -> Column:
     """``value`` from the lowest-ranked row on which ``known`` is not NULL."""
     return F.min_by(value, F.when(known.isNotNull(), rank))

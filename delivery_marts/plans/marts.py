@@ -20,6 +20,7 @@ from delivery_marts.functions.lifecycle import CANCELED
 from delivery_marts.functions.money import amount
 from delivery_marts.operators.assignments import current_driver
 from delivery_marts.operators.joins import childless
+from delivery_marts.operators.ordering import known
 from delivery_marts.schemas import ITEMS_MART, ORDERS_MART
 
 
@@ -84,7 +85,8 @@ def item_cells(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     and the reduced cells are shuffled. Item attributes are not joined here but to the
     far fewer cells; the date goes along as one value, not three.
     """
-    placed = orders.select(
+    # The inner and the anti join take the same orders, so they share one scan and shuffle.
+    placed = known(orders, "order_id").select(
         "order_id",
         F.to_date("created_at").alias("created_on"),
         address_city(F.col("address_text")).alias("city"),

@@ -10,7 +10,7 @@ from delivery_marts.operators.quality import assert_quality, quality_report
 from delivery_marts.plans.marts import items_mart, orders_mart
 from delivery_marts.plans.normalize import keyed, normalize
 from delivery_marts.schemas import TABLES
-from delivery_marts.session import configure, size_shuffles
+from delivery_marts.session import configure, size_tasks
 from delivery_marts.sinks.tables import (
     new_version,
     publish,
@@ -35,7 +35,7 @@ def load(spark: SparkSession, feed_path: str, root: str) -> dict[str, int]:
     Returns the row count of each table.
     """
     configure(spark)
-    size_shuffles(spark, feed_bytes(spark, feed_path))
+    size_tasks(spark, feed_bytes(spark, feed_path))
     version = new_version()
 
     def writer(name: str, table: DataFrame):

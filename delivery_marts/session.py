@@ -20,7 +20,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
-SHUFFLE_PARTITION_BYTES = 256 << 20
+# Sizes for large inputs: feed bytes per shuffle partition and per scan task. Map tasks
+# times reducers is the number of shuffle blocks, so neither may grow without end; past
+# the limits tasks get larger and spill.
+SHUFFLE_PARTITION_BYTES = 512 << 20
+MOST_SHUFFLE_PARTITIONS = 20_000
+SCAN_TASKS = 100_000
+LARGEST_SCAN_BYTES = 1 << 30
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -29,17 +35,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the shuffle partition count to suit ``input_bytes``; never lower it.
+def task_sizes(input_bytes: int, shuffle_partitions: int, scan_bytes: int) -> tuple[int, int]:
+    """Shuffle partitions and bytes per scan task for an input; never below those given."""
+    partitions = min(math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+    split = min(math.ceil(input_bytes / SCAN_TASKS), LARGEST_SCAN_BYTES)
+    return max(partitions, shuffle_partitions), max(split, scan_bytes)
+
+
+def size_tasks(spark: SparkSession, input_bytes: int) -> None:
+    """Fit the session to an input's size.
 
     Adaptive execution merges partitions that turn out small but cannot cut a shuffle
     into more than it began with, so the count has to start high enough.
     """
-    wanted = math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, current)
+    partitions, split = task_sizes(
+        input_bytes,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")),
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+
+
+def _bytes(setting: str) -> int:
+    """A size setting in bytes; Spark writes them as 134217728b, users as 128m or 1g."""
+    text = setting.lower().rstrip("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1])
+    return int(text[:-1]) << unit if unit else int(text)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

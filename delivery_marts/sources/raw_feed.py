@@ -34,9 +34,10 @@ def feed_bytes(spark: SparkSession, path: str) -> int:
 def _file_numbers(spark: SparkSession, path: str) -> DataFrame:
     """(file_path, file_no), numbered by plain path. One row per file, none per record."""
     files = list_files(spark, path)
-    numbers = files.select(
-        "file_path", F.row_number().over(Window.orderBy("path")).cast("bigint").alias(FILE)
-    )
+    numbered = files.select("file_path", F.row_number().over(Window.orderBy("path")).alias("n"))
+    # Grouped, the paths are known to be unique, and plans that need no file number drop
+    # the join to this table.
+    numbers = numbered.groupBy("file_path").agg(F.max("n").cast("bigint").alias(FILE))
     path_bytes = files.agg(F.sum(F.octet_length("file_path"))).first()[0] or 0
     return F.broadcast(numbers) if path_bytes <= BROADCAST_PATH_BYTES else numbers
 

@@ -1,0 +1,253 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from delivery_marts.operators.assignments import current_driver, delivery_assignments, driver_history
+from delivery_marts.operators.dimensions import dim_drivers, dim_items, dim_stores, dim_users
+from delivery_marts.operators.headers import order_headers, with_status
+from delivery_marts.operators.lines import order_lines, order_lines_by_file
+from delivery_marts.operators.ordering import ROW
+from delivery_marts.operators.surrogate_keys import key_assignments, key_order_lines
+from delivery_marts.plans.normalize import keyed, normalize
+from delivery_marts.schemas import TABLES, storage_schema
+from tests.conftest import at, make_feed, values
+
+
+def test_dimension_takes_first_row_of_last_file_nulls_included(spark):
+    feed = make_feed(
+        spark,
+        [
+            {"user_id": 1, "user_phone": None},
+            {"user_id": 1, "user_phone": "79000000001"},
+            {"user_id": 2, "user_phone": "1"},
+        ],
+        [{"user_id": 2, "user_phone": "2"}, {"user_id": 2, "user_phone": "3"}],
+    )
+    assert values(dim_users(feed)) == [(1, None), (2, "2")]
+
+
+def test_item_attributes_stay_together(spark):
+    feed = make_feed(
+        spark,
+        [{"item_title": "a", "item_category": "x"}],
+        [{"item_title": None, "item_category": "y"}, {"item_title": "b", "item_category": "z"}],
+    )
+    assert values(dim_items(feed)) == [(1, None, "y")]
+
+
+def test_orders_without_courier_name_no_driver(spark):
+    feed = make_feed(spark, [{"driver_id": None, "driver_phone": "5"}, {"driver_id": 4, "driver_phone": "8-4"}])
+    assert values(dim_drivers(feed)) == [(4, "84")]
+
+
+def test_null_keys_of_other_dimensions_are_kept_for_the_not_null_check(spark):
+    assert values(dim_stores(make_feed(spark, [{"store_id": None}])), "store_id") == [(None,)]
+
+
+def test_header_takes_first_known_values_of_the_first_file(spark):
+    feed = make_feed(
+        spark,
+        [
+            {"paid_at": None, "order_cancellation_reason": "r1", "canceled_at": None},
+            {"paid_at": at("10:01"), "order_cancellation_reason": "r2", "canceled_at": None},
+        ],
+        [{"paid_at": at("10:09"), "order_cancellation_reason": "r9", "canceled_at": at("12:00")}],
+    )
+    # canceled_at is NULL all through the first file, so the second file's value is not taken
+    got = values(order_headers(feed), "order_id", "paid_at", "order_cancellation_reason", "canceled_at")
+    assert got == [(1, at("10:01"), "r1", None)]
+
+
+def test_header_drops_null_order_ids_and_adds_status(spark):
+    feed = make_feed(spark, [{"order_id": None}, {"order_id": 2, "delivered_at": None}])
+    assert values(with_status(order_headers(feed)), "order_id", "status") == [(2, "in_delivery")]
+
+
+@pytest.fixture
+def line_feed(spark):
+    base = {"item_price": 10, "item_canceled_quantity": None}
+    return make_feed(
+        spark,
+        [{**base, "item_quantity": 1}, {**base, "item_replaced_id": -1, "item_quantity": 4}],
+        [
+            {**base, "item_quantity": 2},
+            {**base, "item_replaced_id": 7, "item_quantity": 5, "item_canceled_quantity": 1},
+            {"item_id": 2, "item_price": None, "item_quantity": 9},
+            {"order_id": None, "item_quantity": 9},
+            {"item_id": None, "item_quantity": 9},
+            {"item_discount": None, "item_quantity": 9},
+        ],
+    )
+
+
+def test_lines_add_up_over_files_and_lose_null_keys(line_feed):
+    columns = ("order_id", "item_id", "item_price", "item_discount", "replaced_by_item_id")
+    got = values(order_lines(line_feed), *columns, "item_quantity", "item_canceled_quantity")
+    assert got == [(1, 1, 10, 0, 7, 5, 1), (1, 1, 10, 0, None, 7, 0)]
+
+
+def test_lines_per_file_sum_to_the_merged_lines(line_feed):
+    group = ["order_id", "item_id", "item_price", "item_discount", "replaced_by_item_id"]
+    again = order_lines_by_file(line_feed).groupBy(*group).agg(F.sum("item_quantity").alias("q"))
+    assert values(again, "q") == values(order_lines(line_feed).select(F.col("item_quantity").alias("q")))
+
+
+@pytest.mark.parametrize(
+    ("started", "delivered", "canceled", "expected"),
+    [
+        ("10:30", "11:00", None, [at("11:00")]),
+        ("10:30", None, "10:30", [at("10:30")]),
+        ("10:30", None, "10:20", []),
+        ("10:30", None, None, [None]),
+        ("10:30", "11:00", "10:00", [at("11:00")]),
+        (None, "11:00", None, []),
+    ],
+)
+def test_assignment_interval(spark, started, delivered, canceled, expected):
+    line = {"delivery_started_at": at(started), "delivered_at": at(delivered), "canceled_at": at(canceled)}
+    got = values(delivery_assignments(make_feed(spark, [line])), "unassigned_at")
+    assert [row[0] for row in got] == expected
+
+
+def test_assignment_end_comes_from_its_own_file(spark):
+    feed = make_feed(spark, [{"delivered_at": None}], [{"delivered_at": at("11:00")}], [{"delivered_at": at("11:00")}])
+    assert values(delivery_assignments(feed), "unassigned_at") == [(at("11:00"),), (None,)]
+
+
+def test_assignment_end_may_stand_on_another_line(spark):
+    feed = make_feed(spark, [{"driver_id": None, "delivered_at": at("11:00")}, {"delivered_at": at("11:30")}])
+    assert values(delivery_assignments(feed), "unassigned_at") == [(at("11:00"),)]
+
+
+def test_null_order_id_stays_in_the_history_for_the_not_null_check(spark):
+    feed = make_feed(spark, [{"order_id": None}])
+    assert values(driver_history(feed), "order_id") == [(None,)]
+    assert values(delivery_assignments(feed), "order_id", "unassigned_at") == [(None, None)]
+
+
+def test_current_driver_is_the_largest_open_one(spark):
+    rows = [(1, 3, at("10:00"), None), (1, 9, at("09:00"), None), (2, 5, at("10:00"), at("11:00"))]
+    df = spark.createDataFrame(
+        rows, "order_id int, driver_id int, assigned_at timestamp_ntz, unassigned_at timestamp_ntz"
+    )
+    assert values(current_driver(df)) == [(1, 9)]
+
+
+def random_feed(spark, seed, rows=400):
+    rng = random.Random(seed)
+    clock = [None, "10:10", "10:40", "11:00"]
+
+    def line():
+        return {
+            "order_id": rng.choice([None, *range(30)]),
+            "user_id": rng.randrange(10),
+            "user_phone": rng.choice([None, "n/a", "8900", f"+7{rng.randrange(5)}"]),
+            "driver_id": rng.choice([None, 1, 2, 3]),
+            "item_id": rng.choice([None, 1, 2, 3]),
+            "item_title": rng.choice([None, "a", "b"]),
+            "paid_at": at(rng.choice(clock)),
+            "delivery_started_at": at(rng.choice(clock)),
+            "delivered_at": at(rng.choice(clock)),
+            "canceled_at": at(rng.choice(clock)),
+            "item_price": rng.choice([None, 10, 20]),
+            "item_replaced_id": rng.choice([None, -1, 2]),
+            "item_quantity": rng.choice([None, 1, 2]),
+            "item_canceled_quantity": rng.choice([None, 0, 1]),
+            "order_discount": rng.choice([None, 5, 10]),
+        }
+
+    return make_feed(spark, *[[line() for _ in range(rows // 4)] for _ in range(4)])
+
+
+def brute_force(feed):
+    """The seven tables by plain loops over rows in file and row order."""
+    rows = [r.asDict() for r in feed.orderBy("file_no", ROW).collect()]
+    files = sorted({r["file_no"] for r in rows})
+    users, orders, lines, assignments = {}, {}, {}, set()
+    header = [f.name for f in TABLES["orders"].schema if f.name not in ("order_id", "status")]
+    for number in files:
+        own = [r for r in rows if r["file_no"] == number]
+        seen = set()
+        heads = {}
+        for r in own:
+            if r["user_id"] not in seen:
+                seen.add(r["user_id"])
+                users[r["user_id"]] = r["user_phone"]
+            if r["order_id"] is not None:
+                head = heads.setdefault(r["order_id"], dict.fromkeys(header))
+                for name in header:
+                    if head[name] is None:
+                        head[name] = r[name]
+            key = (r["order_id"], r["item_id"], r["item_price"], r["item_discount"])
+            if None not in key:
+                replaced = None if r["item_replaced_id"] == -1 else r["item_replaced_id"]
+                total = lines.setdefault((*key, replaced), [0, 0])
+                total[0] += r["item_quantity"] or 0
+                total[1] += r["item_canceled_quantity"] or 0
+        for order, head in heads.items():
+            orders.setdefault(order, head)
+        for r in own:
+            start, driver = r["delivery_started_at"], r["driver_id"]
+            if start is None or driver is None:
+                continue
+            head = heads.get(r["order_id"], {})
+            end = head.get("delivered_at") or head.get("canceled_at")
+            if end is None or end >= start:
+                assignments.add((r["order_id"], driver, start, end))
+    return users, orders, lines, assignments
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_normalisation_equals_brute_force_however_rows_are_spread(spark, seed):
+    feed = random_feed(spark, seed)
+    users, orders, lines, assignments = brute_force(feed)
+    got = normalize(feed.repartition(7, F.rand(seed)))
+    raw = {r.user_id: r.user_phone for r in feed.select("user_id", "user_phone").distinct().collect()}
+    assert set(raw) == set(users)
+    cleaned = {None: None, "n/a": None, "8900": "8900"}
+    want = {k: cleaned.get(v, v and v.lstrip("+")) for k, v in users.items()}
+    assert dict(values(got["users"])) == want
+    header = list(next(iter(orders.values())))
+    assert values(got["orders"], "order_id", *header) == sorted(
+        [(k, *v.values()) for k, v in orders.items()], key=lambda row: row[0]
+    )
+    key = ("order_id", "item_id", "item_price", "item_discount", "replaced_by_item_id")
+    got_lines = {row[:5]: list(row[5:]) for row in values(got["order_items"], *key, "item_quantity", "item_canceled_quantity")}
+    assert got_lines == lines
+    assert set(values(got["delivery_assignments"])) == assignments
+
+
+def test_struct_ordinals_rank_like_packed_ones(spark):
+    feed = random_feed(spark, 4)
+    other = feed.withColumn(ROW, F.struct(F.col(ROW).alias("a"), F.lit("x").alias("b")))
+    for name, table in normalize(feed).items():
+        assert values(table) == values(normalize(other)[name]), name
+
+
+def test_quantities_are_conserved(spark):
+    feed = random_feed(spark, 5)
+    kept = feed.dropna(subset=["order_id", "item_id", "item_price", "item_discount"])
+    total = kept.agg(F.sum("item_quantity")).first()[0]
+    assert order_lines(feed).agg(F.sum("item_quantity")).first()[0] == total
+
+
+def test_surrogate_keys_number_rows_in_sort_order(spark):
+    feed = random_feed(spark, 6)
+    lines = order_lines(feed)
+    rows = key_order_lines(lines.repartition(5)).orderBy("order_item_id").collect()
+    assert [r.order_item_id for r in rows] == list(range(1, len(rows) + 1))
+    order = [(r.order_id, r.item_id, r.item_price, r.item_discount, r.replaced_by_item_id is None, r.replaced_by_item_id or 0) for r in rows]
+    assert order == sorted(order)
+    assert values(key_order_lines(lines)) == values(key_order_lines(lines.repartition(3)))
+
+
+def test_surrogate_keys_of_an_empty_table(spark):
+    assert key_assignments(delivery_assignments(make_feed(spark, [{"driver_id": None}]))).count() == 0
+
+
+def test_keyed_tables_have_the_declared_columns_and_types(spark):
+    for name, table in normalize(random_feed(spark, 7)).items():
+        got = keyed(name, table).schema
+        want = storage_schema(TABLES[name].schema)
+        assert [(f.name, f.dataType) for f in got] == [(f.name, f.dataType) for f in want]
