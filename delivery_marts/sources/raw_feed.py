@@ -6,6 +6,7 @@ from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -76,7 +77,7 @@ def _footer_schemas(spark: SparkSession, path: str) -> list[tuple[list[str], T.S
     """
     try:
         return [([path], spark.read.option("mergeSchema", "true").parquet(path).schema)]
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE" not in str(error):
             raise
     files = [row.path for row in list_files(spark, path).select("path").toLocalIterator()]

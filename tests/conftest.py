@@ -20,7 +20,7 @@ def spark(tmp_path_factory) -> SparkSession:
         .appName("delivery-marts-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )

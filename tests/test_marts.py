@@ -1,0 +1,149 @@
+import pytest
+from pyspark.sql import functions as F
+
+from delivery_marts.operators.joins import left_join_many
+from delivery_marts.plans.marts import items_mart, order_money, orders_mart
+from delivery_marts.plans.normalize import normalize
+from delivery_marts.schemas import ITEMS_MART, ORDERS_MART
+from delivery_marts.sinks.conform import conform
+from tests.conftest import ASSIGNMENT, ORDER, ORDER_LINE, at, clean_tables, make_table, values
+from tests.test_normalize import random_feed
+
+LINE = {"item_quantity": 2, "item_canceled_quantity": 1, "item_discount": 10}
+
+
+@pytest.mark.parametrize(
+    ("order", "lines", "cash", "revenue"),
+    [
+        ({"order_discount": 20}, [LINE], 144.0, 72.0),
+        ({"order_discount": 20, "status": "canceled"}, [LINE], 144.0, 0.0),
+        ({"order_discount": None}, [LINE], None, None),
+        ({"order_discount": None, "status": "canceled"}, [LINE], None, 0.0),
+        ({"status": "canceled"}, [], None, 0.0),
+        ({}, [], None, None),
+        ({}, [{**LINE, "item_canceled_quantity": 3}], 180.0, -90.0),
+        ({}, [LINE, {"item_id": 2, "item_discount": None}], 180.0, 90.0),
+        ({}, [{**LINE, "item_canceled_quantity": None}], 180.0, None),
+    ],
+)
+def test_order_money(spark, order, lines, cash, revenue):
+    orders = make_table(spark, "orders", order, base=ORDER)
+    order_items = make_table(spark, "order_items", *lines, base=ORDER_LINE)
+    assert values(order_money(orders, order_items), "cash_flows", "revenue") == [(cash, revenue)]
+
+
+def test_money_of_a_huge_order_does_not_overflow(spark):
+    lines = make_table(spark, "order_items", *[{"item_id": i, "item_quantity": 2_000_000_000, "item_price": 2_000_000} for i in range(20)], base=ORDER_LINE)
+    got = order_money(make_table(spark, "orders", {}, base=ORDER), lines).first().cash_flows
+    assert got == pytest.approx(20 * 2e9 * 2e6)
+
+
+def test_orders_mart_row(spark):
+    t = clean_tables(
+        spark,
+        orders=[{"delivered_at": at("10:00"), "canceled_at": at("10:01"), "status": "canceled",
+                 "order_cancellation_reason": "Ошибка приложения", "address_text": " Тула"}],
+        delivery_assignments=[{"driver_id": 3, "unassigned_at": None}, {"driver_id": 9, "unassigned_at": None}, {"driver_id": 12}],
+    )
+    mart = orders_mart(t["orders"], t["order_items"], t["delivery_assignments"])
+    assert mart.columns == ORDERS_MART.names
+    expected = (1, 1, 1, 9, 100.0, 0.0, "canceled", "Ошибка приложения", 1, 1, " Тула", 2024, 1, 5)
+    assert values(mart) == [expected]
+
+
+def test_items_mart_cell(spark):
+    t = clean_tables(
+        spark,
+        orders=[{"order_id": 1}, {"order_id": 2, "status": "canceled"}],
+        order_items=[
+            {"order_id": 1, "item_quantity": 2, "item_discount": 10},
+            {"order_id": 2, "item_canceled_quantity": 1},
+            {"order_id": 2, "item_price": 90},
+        ],
+    )
+    mart = items_mart(t["orders"], t["order_items"], t["items"])
+    assert mart.columns == ITEMS_MART.names
+    assert values(mart) == [(1, "dairy", 1, "milk", 370.0, 4, 1, 2, 1, 2024, 1, 5, "Москва")]
+
+
+def test_items_mart_keeps_orders_without_lines_and_drops_lines_without_order(spark):
+    t = clean_tables(
+        spark,
+        orders=[{"order_id": 1}, {"order_id": 2}, {"order_id": 3}],
+        order_items=[{"order_id": 1, "item_id": 77}, {"order_id": 99}],
+    )
+    mart = items_mart(t["orders"], t["order_items"], t["items"])
+    got = values(mart, "item_id", "item_title", "item_cash_flows", "ordered_qty", "orders_cnt", "orders_with_canceled_items")
+    assert got == [(77, None, 100.0, 1, 1, 0), (None, None, None, None, 2, 0)]
+
+
+@pytest.fixture(scope="module")
+def normalised(spark):
+    tables = normalize(random_feed(spark, 11))
+    return {name: spark.createDataFrame(df.collect(), df.schema) for name, df in tables.items()}
+
+
+def test_orders_mart_equals_the_naive_plan(spark, normalised):
+    t = normalised
+    price = F.col("item_price") * (1 - F.col("item_discount") / 100) * (1 - F.col("order_discount") / 100)
+    kept = F.col("item_quantity") - F.col("item_canceled_quantity")
+    naive = (
+        t["orders"].join(t["order_items"], "order_id", "left").join(t["stores"], "store_id", "left")
+        .groupBy("order_id", "status", "order_discount")
+        .agg(
+            F.sum(F.col("item_quantity") * price).alias("cash_flows"),
+            F.sum(F.when(F.col("status") == "canceled", 0).otherwise(kept * price)).alias("revenue"),
+        )
+    )
+    mart = orders_mart(t["orders"], t["order_items"], t["delivery_assignments"])
+    columns = ("order_id", "cash_flows", "revenue")
+    got, want = values(mart, *columns), values(naive, *columns)
+    assert len(got) == t["orders"].count()
+    assert [row[0] for row in got] == [row[0] for row in want]
+    for mine, theirs in zip(got, want):
+        assert mine[1:] == tuple(v if v is None else pytest.approx(v) for v in theirs[1:])
+
+
+def test_items_mart_equals_the_naive_plan(spark, normalised):
+    t = normalised
+    naive = (
+        t["orders"].join(t["order_items"], "order_id", "left").join(t["items"], "item_id", "left")
+        .groupBy(F.to_date("created_at").alias("d"), "store_id", "item_id", "item_title")
+        .agg(
+            F.sum("item_quantity").alias("ordered_qty"),
+            F.count_distinct("order_id").alias("orders_cnt"),
+            F.count_distinct(F.when(F.col("item_canceled_quantity") > 0, F.col("order_id"))).alias("orders_with_canceled_items"),
+        )
+    )
+    columns = ("store_id", "item_id", "item_title", "ordered_qty", "orders_cnt", "orders_with_canceled_items")
+    mart = items_mart(t["orders"], t["order_items"], t["items"])
+    assert values(mart, *columns) == values(naive, *columns)
+
+
+def test_left_join_many_is_a_left_join(spark, normalised):
+    orders = normalised["orders"].select("order_id", "status")
+    lines = normalised["order_items"].select("order_id", "item_id", "item_quantity")
+    want = orders.join(lines, "order_id", "left")
+    assert values(left_join_many(orders, lines, "order_id")) == values(want)
+
+
+def test_conform_rounds_money_half_away_from_zero(spark):
+    rows = [(1, 12.345), (2, -12.345), (3, 0.005), (4, None)]
+    df = spark.createDataFrame(rows, "order_id int, cash_flows double")
+    for name in ORDERS_MART.names:
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None).cast(dict(conform_types())[name]))
+    got = [str(r.cash_flows) for r in conform(df, ORDERS_MART).orderBy("order_id").collect()]
+    assert got == ["12.35", "-12.35", "0.01", "None"]
+
+
+def conform_types():
+    from delivery_marts.schemas import storage_schema
+
+    return [(f.name, f.dataType) for f in storage_schema(ORDERS_MART)]
+
+
+def test_current_driver_ignores_closed_assignments(spark):
+    t = clean_tables(spark, delivery_assignments=[ASSIGNMENT])
+    mart = orders_mart(t["orders"], t["order_items"], t["delivery_assignments"])
+    assert values(mart, "driver_id") == [(None,)]
