@@ -193,16 +193,22 @@ def row_rule_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
-def violation_counts(tables: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
-    """One row per declared constraint: how many rows, or keys, break it."""
+def violation_counts(
+    tables: dict[str, DataFrame], specs: dict[str, TableSpec], keys: bool = True
+) -> DataFrame:
+    """One row per declared constraint: how many rows, or keys, break it.
+
+    ``keys=False`` leaves out primary keys and unique groups, which cost a shuffle of the
+    whole table each, for tables that are unique by the way they were made.
+    """
     frames = []
     for name, spec in specs.items():
         df = tables[name]
         frames.append(row_rule_counts(df, spec))
-        if _present(df, spec.primary_key):
-            keys = primary_key_violations(df, spec).agg(F.count(F.lit(1)).alias("value"))
-            frames.append(_count(keys, spec, PRIMARY_KEY, f"{spec.name}_pkey"))
-        for index, columns in spec.unique.items():
+        if keys and _present(df, spec.primary_key):
+            repeated = primary_key_violations(df, spec).agg(F.count(F.lit(1)).alias("value"))
+            frames.append(_count(repeated, spec, PRIMARY_KEY, f"{spec.name}_pkey"))
+        for index, columns in spec.unique.items() if keys else ():
             groups = _repeated(df, columns).agg(F.count(F.lit(1)).alias("value"))
             frames.append(_count(groups, spec, UNIQUE, index))
         for ref in spec.references:

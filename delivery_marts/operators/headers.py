@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delivery_marts.functions import order_status
-from delivery_marts.operators.ordering import FILE, ROW, earliest, first_known, known
+from delivery_marts.operators.ordering import FILE, ROW, earliest, file_of, known, rank_if_known
 from delivery_marts.schemas import ORDERS
 
 HEADER_COLUMNS = [name for name in ORDERS.names if name not in ("order_id", "status")]
@@ -17,26 +17,22 @@ def order_headers(feed: DataFrame) -> DataFrame:
 
     A column that is NULL all through the first file stays NULL though a later file may
     fill it. So every column's first non-NULL value over *all* files is found together
-    with its file, and dropped if that file is not the order's first one. That makes one
-    aggregate and one shuffle of what would be two (per file, then per order).
+    with its rank, and dropped if it does not stem from the order's first file. That makes
+    one aggregate and one shuffle of what would be two (per file, then per order).
     """
     rank = earliest(feed)
-    found = [
-        first_known(F.struct(FILE, name), rank, F.col(name)).alias(name)
+    found = []
+    for name in HEADER_COLUMNS:
+        known_at = rank_if_known(F.col(name), rank)
+        found += [F.min_by(name, known_at).alias(name), F.min(known_at).alias(f"{name}_rank")]
+    per_order = known(feed, "order_id").groupBy("order_id").agg(F.min(rank).alias("first_rank"), *found)
+
+    first_file = file_of(feed, F.col("first_rank"))
+    in_first_file = [
+        F.when(file_of(feed, F.col(f"{name}_rank")) == first_file, F.col(name)).alias(name)
         for name in HEADER_COLUMNS
     ]
-    per_order = (
-        known(feed, "order_id")
-        .groupBy("order_id")
-        .agg(F.min(FILE).alias("first_file"), *found)
-    )
-    return per_order.select(
-        "order_id",
-        *[
-            F.when(F.col(f"{name}.{FILE}") == F.col("first_file"), F.col(f"{name}.{name}")).alias(name)
-            for name in HEADER_COLUMNS
-        ],
-    )
+    return per_order.select("order_id", *in_first_file)
 
 
 def with_status(orders: DataFrame) -> DataFrame:
@@ -51,7 +47,7 @@ def file_order_ends(feed: DataFrame) -> DataFrame:
         .groupBy(FILE, "order_id")
         .agg(
             *[
-                first_known(F.col(name), row, F.col(name)).alias(name)
+                F.min_by(name, rank_if_known(F.col(name), row)).alias(name)
                 for name in ("delivered_at", "canceled_at")
             ]
         )

@@ -36,12 +36,19 @@ def latest_file(feed: DataFrame) -> Column:
     return _rank(feed, -F.col(FILE))
 
 
+def file_of(feed: DataFrame, rank: Column) -> Column:
+    """The file number inside an ``earliest`` rank of this feed."""
+    if isinstance(feed.schema[ROW].dataType, T.LongType):
+        return F.shiftright(rank, ROW_BITS)
+    return rank[FILE]
+
+
 def known(df: DataFrame, *columns: str) -> DataFrame:
     """Rows where none of the columns is NULL, as a filter that reaches the parquet scan
     (``dropna`` makes one that does not)."""
     return df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
 
 
-def first_known(value: Column, rank: Column, known: Column) -> Column:
-    """``value`` from the lowest-ranked row on which ``known`` is not NULL."""
-    return F.min_by(value, F.when(known.isNotNull(), rank))
+def rank_if_known(value: Column, rank: Column) -> Column:
+    """The rank where the value is not NULL; ``min`` and ``min_by`` skip NULL ranks."""
+    return F.when(value.isNotNull(), rank)

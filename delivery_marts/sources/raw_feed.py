@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from delivery_marts.operators.ordering import FILE, ROW
 from delivery_marts.schemas import RAW_FEED
-from delivery_marts.session import configure
+from delivery_marts.session import configure, scratch_path
 from delivery_marts.sinks.conform import typed
 
 # The path-to-number map is broadcast up to this many bytes of paths (some two million
@@ -23,22 +23,28 @@ BROADCAST_PATH_BYTES = 256 << 20
 FOOTER_THREADS = 16
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Matching files as (path, length); lists them without reading any."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", "_metadata.file_path")
+def list_feed(spark: SparkSession, path: str) -> DataFrame:
+    """The feed's files as (file_path, length, file_no), numbered by plain path.
+
+    Lists files without reading any. The list has one row per file, none per record; it
+    is written to the scratch folder so that all plans on a feed see the same files and
+    the file system is asked once.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "_metadata.file_path")
+    number = F.row_number().over(Window.orderBy("path")).cast("bigint")
+    scratch = scratch_path(spark, "feed-files")
+    files.select("file_path", "length", number.alias(FILE)).write.parquet(scratch)
+    return spark.read.parquet(scratch)
 
 
-def feed_bytes(spark: SparkSession, path: str) -> int:
-    return list_files(spark, path).agg(F.sum("length")).first()[0] or 0
+def feed_bytes(files: DataFrame) -> int:
+    return files.agg(F.sum("length")).first()[0] or 0
 
 
-def _file_numbers(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, file_no), numbered by plain path. One row per file, none per record."""
-    files = list_files(spark, path)
-    numbered = files.select("file_path", F.row_number().over(Window.orderBy("path")).alias("n"))
-    # Grouped, the paths are known to be unique, and plans that need no file number drop
-    # the join to this table.
-    numbers = numbered.groupBy("file_path").agg(F.max("n").cast("bigint").alias(FILE))
+def _file_numbers(files: DataFrame) -> DataFrame:
+    """Numbers by path. Being grouped, paths are known to be unique, and plans that need
+    no file number drop the join to this table."""
+    numbers = files.groupBy("file_path").agg(F.max(FILE).alias(FILE))
     path_bytes = files.agg(F.sum(F.octet_length("file_path"))).first()[0] or 0
     return F.broadcast(numbers) if path_bytes <= BROADCAST_PATH_BYTES else numbers
 
@@ -80,7 +86,8 @@ def _footer_schemas(spark: SparkSession, path: str) -> list[tuple[list[str], T.S
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE" not in str(error):
             raise
-    files = [row.path for row in list_files(spark, path).select("path").toLocalIterator()]
+    listing = spark.read.format("binaryFile").load(path).select("path")
+    files = [row.path for row in listing.toLocalIterator()]
     with ThreadPoolExecutor(FOOTER_THREADS) as pool:
         schemas = list(pool.map(lambda file: spark.read.parquet(file).schema, files))
     groups: dict[str, list[int]] = defaultdict(list)
@@ -89,20 +96,17 @@ def _footer_schemas(spark: SparkSession, path: str) -> list[tuple[list[str], T.S
     return [([files[i] for i in members], schemas[members[0]]) for members in groups.values()]
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """The feed's 25 columns plus ``file_no`` and ``row_no``.
+def read_feed(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
+    """The feed's 25 columns plus ``file_no`` and ``row_no``; ``files`` as ``list_feed`` gives it.
 
-    Raises if nothing matches ``path`` or a column is missing. Scans stay pruned: only
-    the columns a plan uses are read.
+    Raises if nothing matches ``path`` or no file has one of the columns. Scans stay
+    pruned: only the columns a plan uses are read.
     """
     configure(spark)
+    numbers = _file_numbers(list_feed(spark, path) if files is None else files)
     parts = [_read_uniform(spark, paths, schema) for paths, schema in _footer_schemas(spark, path)]
     feed = reduce(DataFrame.unionByName, parts)
     # A file that came in after the listing has no number; dropping it silently or
     # leaving it unordered would both be wrong.
-    known = F.coalesce(FILE, F.raise_error(F.concat(F.lit("file not listed: "), "file_path")))
-    return (
-        feed.join(_file_numbers(spark, path), "file_path", "left")
-        .withColumn(FILE, known)
-        .drop("file_path")
-    )
+    listed = F.coalesce(FILE, F.raise_error(F.concat(F.lit("file not listed: "), "file_path")))
+    return feed.join(numbers, "file_path", "left").withColumn(FILE, listed).drop("file_path")

@@ -20,7 +20,7 @@ from delivery_marts.session import _bytes, scratch_path, task_sizes
 from delivery_marts.sinks.jdbc import write_jdbc
 from delivery_marts.sinks.tables import row_counts, write_mart, write_table
 from delivery_marts.sources.jdbc import range_options
-from delivery_marts.sources.raw_feed import feed_bytes, read_feed
+from delivery_marts.sources.raw_feed import feed_bytes, list_feed, read_feed
 from delivery_marts.sources.tables import current_version, publications, read_current, read_table
 from tests.conftest import LINE, at, values
 
@@ -48,6 +48,14 @@ def test_paths_that_need_encoding_are_ordered_as_plain_text(spark, tmp_path):
     assert [name for _, name in got] == sorted(names)
 
 
+def test_file_that_arrives_after_the_listing_is_not_dropped_silently(spark, tmp_path):
+    write_file(tmp_path, "a.parquet", {"order_id": 1})
+    files = list_feed(spark, f"{tmp_path}/*.parquet")
+    write_file(tmp_path, "b.parquet", {"order_id": 2})
+    with pytest.raises(Exception, match="file not listed"):
+        read_feed(spark, f"{tmp_path}/*.parquet", files).select("order_id", "file_no").collect()
+
+
 def test_missing_feed_raises(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_feed(spark, f"{tmp_path}/*.parquet")
@@ -88,7 +96,7 @@ def test_fractions_round_half_away_from_zero(spark, tmp_path):
 
 def test_feed_bytes(spark, tmp_path):
     write_file(tmp_path, "a.parquet", {})
-    assert feed_bytes(spark, f"{tmp_path}/*.parquet") == (tmp_path / "a.parquet").stat().st_size
+    assert feed_bytes(list_feed(spark, f"{tmp_path}/*.parquet")) == (tmp_path / "a.parquet").stat().st_size
 
 
 FEED = [
@@ -137,7 +145,7 @@ def test_rerun_gives_the_same_tables_under_a_new_version(spark, tmp_path, raw):
 
 FAULTS = {
     "users.user_phone_not_null": {"user_id": 9, "user_phone": "n/a"},
-    "users.users_pkey": {"user_id": None},
+    "users.user_id_not_null": {"user_id": None},
     "order_items.order_items_replaced_by_item_id_fkey": {"item_replaced_id": 77},
     "delivery_assignments.order_id_not_null": {"order_id": None},
     "order_items.item_quantity_positive": {"item_quantity": 0, "order_id": 8},
