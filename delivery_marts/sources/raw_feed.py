@@ -49,14 +49,21 @@ def _file_numbers(files: DataFrame) -> DataFrame:
     return F.broadcast(numbers) if path_bytes <= BROADCAST_PATH_BYTES else numbers
 
 
+def _from_epoch(micros: Column) -> Column:
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", micros, epoch)
+
+
 def _feed_value(field: T.StructField, source: T.DataType) -> Column:
     """One raw column in its declared type, whatever type the file's writer chose."""
     value = F.col(field.name)
-    if isinstance(field.dataType, T.TimestampNTZType) and isinstance(source, T.LongType):
-        # Nanoseconds since the epoch, floored to Spark's microseconds.
-        micros = F.floor(value / F.lit(1000).cast("decimal(4,0)"))
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_add("MICROSECOND", micros.cast("bigint"), epoch)
+    if isinstance(field.dataType, T.TimestampNTZType):
+        if isinstance(source, T.LongType):
+            # Nanoseconds since the epoch, floored to Spark's microseconds.
+            return _from_epoch(F.expr(f"({field.name} - pmod({field.name}, 1000)) div 1000"))
+        if isinstance(source, T.TimestampType):
+            # An instant; its wall clock in UTC, whatever zone the session is in.
+            return _from_epoch(F.unix_micros(value))
     if isinstance(field.dataType, T.StringType) and isinstance(source, (T.DoubleType, T.FloatType)):
         # A phone column read as float must not gain the digit of its ".0".
         return F.when(~F.isnan(value), value).cast("decimal(20,0)").cast("string")

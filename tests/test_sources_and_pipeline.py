@@ -89,6 +89,25 @@ def test_timestamps_of_any_unit(spark, tmp_path, unit):
     assert got == [(dt.datetime.fromisoformat(m),) for m in sorted(moments)]
 
 
+def test_instants_become_utc_wall_clock(spark, tmp_path):
+    moments = ["2024-03-31 01:30:00", "2024-10-27 00:30:00", "2024-10-27 01:30:00"]
+    write_file(tmp_path, "a.parquet", *[{"created_at": pd.Timestamp(m, tz="UTC")} for m in moments])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        got = values(read_feed(spark, f"{tmp_path}/*.parquet"), "created_at")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == [(dt.datetime.fromisoformat(m),) for m in moments]
+
+
+def test_nanoseconds_are_floored_to_microseconds(spark, tmp_path):
+    moments = [pd.Timestamp("1970-01-01 00:00:00.000001999"), pd.Timestamp(-500)]
+    write_file(tmp_path, "a.parquet", *[{"created_at": m} for m in moments])
+    got = values(read_feed(spark, f"{tmp_path}/*.parquet"), "created_at")
+    assert [row[0].isoformat() for row in got] == ["1969-12-31T23:59:59.999999", "1970-01-01T00:00:00.000001"]
+
+
 def test_fractions_round_half_away_from_zero(spark, tmp_path):
     write_file(tmp_path, "a.parquet", *[{"item_price": p} for p in (2.5, -2.5, 2.4, np.nan)])
     assert values(read_feed(spark, f"{tmp_path}/*.parquet"), "item_price") == [(-3,), (2,), (3,), (None,)]
