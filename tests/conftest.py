@@ -21,6 +21,8 @@ def spark(tmp_path_factory) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "1")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )
