@@ -415,6 +415,10 @@ def _hundredths(exact: str, divisor: int) -> str:
     return f"CAST(CAST({whole} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,2))"
 
 
+def _wide(*ids: str) -> str:
+    return ", ".join(f"CAST({name} AS BIGINT) AS {name}" for name in ids)
+
+
 SELECTS: dict[str, str] = {
     "raw_feed_scan": "SELECT * EXCLUDE (row_no, file_no), CAST(file_no AS BIGINT) AS file_no FROM feed",
     "scan_table": "SELECT * FROM orders_t",
@@ -437,11 +441,14 @@ SELECTS: dict[str, str] = {
     "order_items": "SELECT * FROM lines_t",
     "delivery_assignments": "SELECT * FROM assignments_t",
     "order_items_keyed": """SELECT row_number() OVER (ORDER BY order_id, item_id, item_price,
-      item_discount, replaced_by_item_id NULLS LAST) AS order_item_id, order_id, item_id,
+      item_discount, replaced_by_item_id NULLS LAST) AS order_item_id,
+      CAST(order_id AS BIGINT) AS order_id, CAST(item_id AS BIGINT) AS item_id,
       CAST(item_quantity AS INT) AS item_quantity, item_price, item_discount,
-      CAST(item_canceled_quantity AS INT) AS item_canceled_quantity, replaced_by_item_id FROM lines_t""",
+      CAST(item_canceled_quantity AS INT) AS item_canceled_quantity,
+      CAST(replaced_by_item_id AS BIGINT) AS replaced_by_item_id FROM lines_t""",
     "assignments_keyed": """SELECT row_number() OVER (ORDER BY order_id, driver_id, assigned_at,
-      unassigned_at NULLS LAST) AS assignment_id, * FROM assignments_t""",
+      unassigned_at NULLS LAST) AS assignment_id, CAST(order_id AS BIGINT) AS order_id,
+      CAST(driver_id AS BIGINT) AS driver_id, assigned_at, unassigned_at FROM assignments_t""",
     "order_status": "SELECT order_id, status FROM orders_t",
     "open_assignments": "SELECT * FROM assignments_t WHERE unassigned_at IS NULL",
     "current_driver": "SELECT * FROM current_t",
@@ -466,10 +473,11 @@ SELECTS: dict[str, str] = {
     "orders_mart": "SELECT * FROM orders_mart_t",
     "items_mart": "SELECT * FROM items_mart_t",
     "conform_orders_mart": f"""SELECT m.* REPLACE (
+      {_wide("order_id", "user_id", "store_id", "driver_id")},
       {_hundredths("cash_exact", 10000)} AS cash_flows, {_hundredths("revenue_exact", 10000)} AS revenue)
       FROM orders_mart_t m JOIN (SELECT order_id, cash_exact, revenue_exact FROM orders_exact) e
       USING (order_id)""",
-    "conform_items_mart": f"""SELECT store_id, item_category, item_id, item_title,
+    "conform_items_mart": f"""SELECT {_wide("store_id", "item_id")}, item_category, item_title,
       {_hundredths("cash_exact", 100)} AS item_cash_flows, CAST(ordered_qty AS INT) AS ordered_qty,
       CAST(canceled_qty AS INT) AS canceled_qty, CAST(orders_cnt AS INT) AS orders_cnt,
       CAST(orders_with_canceled_items AS INT) AS orders_with_canceled_items, year, month, day, city

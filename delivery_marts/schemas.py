@@ -10,7 +10,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-INT, BIGINT, TEXT, MOMENT = T.IntegerType(), T.LongType(), T.StringType(), T.TimestampNTZType()
+# Ids are 64 bits wide: a feed of this kind passes two billion orders long before 100 TB,
+# and in Spark's rows and in parquet the wider type costs nothing.
+ID = T.LongType()
+INT, TEXT, MOMENT = T.IntegerType(), T.StringType(), T.TimestampNTZType()
 
 
 def _struct(*fields: tuple) -> T.StructType:
@@ -21,14 +24,14 @@ def _struct(*fields: tuple) -> T.StructType:
 # Column names, types, lengths and nullability of the data contract.
 
 RAW_FEED = _struct(
-    ("order_id", INT),
-    ("user_id", INT),
+    ("order_id", ID),
+    ("user_id", ID),
     ("user_phone", TEXT),
-    ("store_id", INT),
+    ("store_id", ID),
     ("store_address", TEXT),
-    ("driver_id", INT),
+    ("driver_id", ID),
     ("driver_phone", TEXT),
-    ("item_id", INT),
+    ("item_id", ID),
     ("item_title", TEXT),
     ("item_category", TEXT),
     ("address_text", TEXT),
@@ -43,27 +46,27 @@ RAW_FEED = _struct(
     ("delivery_cost", INT),
     ("item_price", INT),
     ("item_discount", INT),
-    ("item_replaced_id", INT),
+    ("item_replaced_id", ID),
     ("item_quantity", INT),
     ("item_canceled_quantity", INT),
 )
 
-USERS = _struct(("user_id", INT, False), ("user_phone", T.VarcharType(20), False))
+USERS = _struct(("user_id", ID, False), ("user_phone", T.VarcharType(20), False))
 
-STORES = _struct(("store_id", INT, False), ("store_address", T.VarcharType(255), False))
+STORES = _struct(("store_id", ID, False), ("store_address", T.VarcharType(255), False))
 
-DRIVERS = _struct(("driver_id", INT, False), ("driver_phone", T.VarcharType(20), False))
+DRIVERS = _struct(("driver_id", ID, False), ("driver_phone", T.VarcharType(20), False))
 
 ITEMS = _struct(
-    ("item_id", INT, False),
+    ("item_id", ID, False),
     ("item_title", T.VarcharType(100), False),
     ("item_category", T.VarcharType(50), False),
 )
 
 ORDERS = _struct(
-    ("order_id", INT, False),
-    ("user_id", INT, False),
-    ("store_id", INT, False),
+    ("order_id", ID, False),
+    ("user_id", ID, False),
+    ("store_id", ID, False),
     ("address_text", T.VarcharType(255), False),
     ("created_at", MOMENT, False),
     ("paid_at", MOMENT),
@@ -78,29 +81,29 @@ ORDERS = _struct(
 )
 
 ORDER_ITEMS = _struct(
-    ("order_item_id", BIGINT, False),
-    ("order_id", INT, False),
-    ("item_id", INT, False),
+    ("order_item_id", ID, False),
+    ("order_id", ID, False),
+    ("item_id", ID, False),
     ("item_quantity", INT, False),
     ("item_price", INT, False),
     ("item_discount", INT),
     ("item_canceled_quantity", INT),
-    ("replaced_by_item_id", INT),
+    ("replaced_by_item_id", ID),
 )
 
 DELIVERY_ASSIGNMENTS = _struct(
-    ("assignment_id", BIGINT, False),
-    ("order_id", INT, False),
-    ("driver_id", INT, False),
+    ("assignment_id", ID, False),
+    ("order_id", ID, False),
+    ("driver_id", ID, False),
     ("assigned_at", MOMENT, False),
     ("unassigned_at", MOMENT),
 )
 
 ORDERS_MART = _struct(
-    ("order_id", INT, False),
-    ("user_id", INT, False),
-    ("store_id", INT, False),
-    ("driver_id", INT),
+    ("order_id", ID, False),
+    ("user_id", ID, False),
+    ("store_id", ID, False),
+    ("driver_id", ID),
     ("cash_flows", T.DecimalType(14, 2)),
     ("revenue", T.DecimalType(14, 2)),
     ("status", T.VarcharType(20)),
@@ -114,9 +117,9 @@ ORDERS_MART = _struct(
 )
 
 ITEMS_MART = _struct(
-    ("store_id", INT, False),
+    ("store_id", ID, False),
     ("item_category", T.VarcharType(100)),
-    ("item_id", INT, False),
+    ("item_id", ID, False),
     ("item_title", T.VarcharType(255)),
     ("item_cash_flows", T.DecimalType(14, 2)),
     ("ordered_qty", INT),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -80,6 +81,11 @@ def _read_uniform(spark: SparkSession, paths: list[str], schema: T.StructType) -
     )
 
 
+def _literal(path: str) -> str:
+    """A path as a pattern that matches nothing else."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _footer_schemas(spark: SparkSession, path: str) -> list[tuple[list[str], T.StructType]]:
     """Paths grouped by physical schema.
 
@@ -94,7 +100,7 @@ def _footer_schemas(spark: SparkSession, path: str) -> list[tuple[list[str], T.S
         if "CANNOT_MERGE" not in str(error):
             raise
     listing = spark.read.format("binaryFile").load(path).select("path")
-    files = [row.path for row in listing.toLocalIterator()]
+    files = [_literal(row.path) for row in listing.toLocalIterator()]
     with ThreadPoolExecutor(FOOTER_THREADS) as pool:
         schemas = list(pool.map(lambda file: spark.read.parquet(file).schema, files))
     groups: dict[str, list[int]] = defaultdict(list)

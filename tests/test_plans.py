@@ -145,6 +145,27 @@ def test_hot_order_is_split_among_surrogate_key_ranges(spark, tables, tmp_path,
     assert ids == list(range(1, lines.count() + 1))
 
 
+def test_hot_order_is_split_when_assignments_meet_their_ends(spark, tmp_path):
+    """One order of one file owns nearly all courier history."""
+    start = F.lit(at("10:00"))
+    feed = spark.range(HOT_LINES + ORDERS, numPartitions=8).select(
+        F.lit(0).cast("bigint").alias("file_no"),
+        F.col("id").alias("row_no"),
+        F.when(F.col("id") < HOT_LINES, -1).otherwise(F.col("id")).alias("order_id"),
+        F.xxhash64("id").alias("driver_id"),
+        start.alias("delivery_started_at"),
+        F.when(F.col("id") % 2 == 0, start).alias("delivered_at"),
+        F.lit(None).cast("timestamp_ntz").alias("canceled_at"),
+    )
+    feed.write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    with settings(spark, **EAGER_SPLITS):
+        rows, text = final_plan(delivery_assignments(feed))
+    assert "SortMergeJoin(skew=true)" in text
+    assert len(rows) == HOT_LINES + ORDERS
+    assert sum(r.unassigned_at is None for r in rows) == ORDERS // 2
+
+
 @pytest.fixture(scope="module")
 def raw_feed(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("raw")

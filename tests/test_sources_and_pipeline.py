@@ -70,7 +70,7 @@ def test_missing_column_raises(spark, tmp_path):
 def test_column_types_may_differ_between_files(spark, tmp_path):
     """pandas writes an integer column as double once it holds a NULL."""
     write_file(tmp_path, "a.parquet", {"driver_id": 5})
-    write_file(tmp_path, "b.parquet", {"driver_id": np.nan}, {"driver_id": 6.0})
+    write_file(tmp_path, "b [1] {é}%20?.parquet", {"driver_id": np.nan}, {"driver_id": 6.0})
     write_file(tmp_path, "c.parquet", {"driver_id": 7, "driver_phone": 9001234567})
     write_file(tmp_path, "d.parquet", {"driver_id": 8, "driver_phone": 89001234567.0}, {"driver_phone": np.nan})
     feed = read_feed(spark, f"{tmp_path}/*.parquet")
