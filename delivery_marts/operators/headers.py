@@ -40,15 +40,17 @@ def with_status(orders: DataFrame) -> DataFrame:
 
 
 def file_order_ends(feed: DataFrame) -> DataFrame:
-    """Per file and order, the first known delivery and cancellation times."""
+    """Per file and order, the first known delivery and cancellation times.
+
+    The two keys are grouped as one struct. That leaves the rows partitioned by the
+    struct, so a join on the two columns shuffles them again, and that is wanted:
+    adaptive execution splits a hot key only where both sides come straight from a
+    shuffle, and these rows are the small side.
+    """
     row = F.col(ROW)
-    return (
-        known(feed, "order_id")
-        .groupBy(FILE, "order_id")
-        .agg(
-            *[
-                F.min_by(name, rank_if_known(F.col(name), row)).alias(name)
-                for name in ("delivered_at", "canceled_at")
-            ]
-        )
-    )
+    first_known = [
+        F.min_by(name, rank_if_known(F.col(name), row)).alias(name)
+        for name in ("delivered_at", "canceled_at")
+    ]
+    key = F.struct(FILE, "order_id").alias("key")
+    return known(feed, "order_id").groupBy(key).agg(*first_known).select("key.*", "delivered_at", "canceled_at")

@@ -16,7 +16,9 @@ def left_join_many(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
 
     Adaptive execution can split a skewed partition on the left of a left join only, and
     here the skew is on the right. An inner join may be split on both sides, so the
-    result is put together from the inner join and the childless parents.
+    result is put together from the inner join and the childless parents. For a split
+    both frames must come straight from a shuffle: read them from disk, as a frame just
+    grouped by the key is joined as it lies.
     """
     matched = parent.join(child, key)
     return matched.unionByName(childless(parent, child, key), allowMissingColumns=True)

@@ -125,6 +125,8 @@ def item_cells(orders: DataFrame, order_items: DataFrame) -> DataFrame:
 
 
 def items_mart(orders: DataFrame, order_items: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per day, city, store and item. Give it tables read from disk: joins of those
+    can be split where one order or item is hot (see ``left_join_many``)."""
     return (
         item_cells(orders, order_items)
         .join(items, "item_id", "left")

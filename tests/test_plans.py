@@ -23,20 +23,23 @@ ORDERS, HOT_LINES = 300, 30_000
 
 @contextmanager
 def settings(spark, **pairs):
-    old = {key: spark.conf.get(key) for key in pairs}
+    old = {key: spark.conf.get(key, None) for key in pairs}
     try:
         for key, value in pairs.items():
             spark.conf.set(key, value)
         yield
     finally:
         for key, value in old.items():
-            spark.conf.set(key, value)
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
 EAGER_SPLITS = {
     **NO_BROADCAST,
     "spark.sql.shuffle.partitions": "8",
+    # a partition is split between map outputs, so there have to be several
+    "spark.sql.files.minPartitionNum": "8",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
