@@ -443,8 +443,7 @@ SELECTS: dict[str, str] = {
     "order_items_keyed": """SELECT row_number() OVER (ORDER BY order_id, item_id, item_price,
       item_discount, replaced_by_item_id NULLS LAST) AS order_item_id,
       CAST(order_id AS BIGINT) AS order_id, CAST(item_id AS BIGINT) AS item_id,
-      CAST(item_quantity AS INT) AS item_quantity, item_price, item_discount,
-      CAST(item_canceled_quantity AS INT) AS item_canceled_quantity,
+      item_quantity, item_price, item_discount, item_canceled_quantity,
       CAST(replaced_by_item_id AS BIGINT) AS replaced_by_item_id FROM lines_t""",
     "assignments_keyed": """SELECT row_number() OVER (ORDER BY order_id, driver_id, assigned_at,
       unassigned_at NULLS LAST) AS assignment_id, CAST(order_id AS BIGINT) AS order_id,

@@ -3,24 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from delivery_marts.operators.constraints import violation_counts
 from delivery_marts.operators.quality import assert_quality, quality_report
 from delivery_marts.plans.marts import items_mart, orders_mart
 from delivery_marts.plans.normalize import keyed, normalize
-from delivery_marts.schemas import TABLES
+from delivery_marts.schemas import MARTS, TABLES
 from delivery_marts.session import configure, size_tasks
+from delivery_marts.sinks.conform import conform
 from delivery_marts.sinks.tables import (
     new_version,
     publish,
     row_counts,
     write_all,
-    write_declared_mart,
+    write_mart,
     write_table,
 )
 from delivery_marts.sources.raw_feed import feed_bytes, list_feed, read_feed
-from delivery_marts.sources.tables import read_current, read_version, version_path
+from delivery_marts.sources.tables import mart_root, read_current, read_version, version_path
 
 
 class ConstraintError(ValueError):
@@ -62,31 +62,33 @@ def check_quality(spark: SparkSession, root: str) -> dict[str, int]:
     return assert_quality(quality_report(read_current(spark, root)))
 
 
-def _publish_mart(spark: SparkSession, root: str, name: str, mart: DataFrame) -> int:
-    version, target = new_version(), f"{root}/marts/{name}"
-    write_declared_mart(name, mart, version_path(target, version, name))
-    written = read_version(spark, target, version, name)[name]
-    rows = written.agg(F.count(F.lit(1))).first()[0]
-    publish(spark, target, version, {name: rows})
+def _publish_mart(spark: SparkSession, root: str, name: str, mart: DataFrame, declared: bool) -> int:
+    version, home = new_version(), mart_root(root, name)
+    path = version_path(home, version, name)
+    write_mart(conform(mart, MARTS[name].schema) if declared else mart, path)
+    rows = spark.read.parquet(path).count()
+    publish(spark, home, version, {name: rows})
     return rows
 
 
-def build_orders_mart(spark: SparkSession, root: str) -> int:
+def build_orders_mart(spark: SparkSession, root: str, declared: bool = False) -> int:
+    """Build and publish the orders mart; returns its row count.
+
+    Money is double, as computed. ``declared`` gives the declared types instead and
+    raises if a value does not fit them.
+    """
     configure(spark)
     t = read_current(spark, root)
     mart = orders_mart(t["orders"], t["order_items"], t["delivery_assignments"])
-    return _publish_mart(spark, root, "orders_datamart", mart)
+    return _publish_mart(spark, root, "orders_datamart", mart, declared)
 
 
-def build_items_mart(spark: SparkSession, root: str) -> int:
+def build_items_mart(spark: SparkSession, root: str, declared: bool = False) -> int:
+    """Build and publish the items mart, like ``build_orders_mart``."""
     configure(spark)
     t = read_current(spark, root)
     mart = items_mart(t["orders"], t["order_items"], t["items"])
-    return _publish_mart(spark, root, "items_datamart", mart)
-
-
-def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return read_current(spark, f"{root}/marts/{name}", name)[name]
+    return _publish_mart(spark, root, "items_datamart", mart, declared)
 
 
 def run_pipeline(spark: SparkSession, feed_path: str, root: str) -> dict[str, int]:

@@ -11,8 +11,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delivery_marts.schemas import MARTS
-from delivery_marts.sinks.conform import conform
 from delivery_marts.sources.tables import PUBLICATION
 
 # Tables written side by side: a small table's last tasks leave the cluster idle.
@@ -38,10 +36,6 @@ def write_mart(df: DataFrame, path: str) -> None:
     )
 
 
-def write_declared_mart(name: str, df: DataFrame, path: str) -> None:
-    write_mart(conform(df, MARTS[name].schema), path)
-
-
 def new_version() -> str:
     now = dt.datetime.now(dt.timezone.utc)
     return f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"

@@ -42,17 +42,33 @@ def version_path(root: str, version: str, table: str) -> str:
     return f"{root}/versions/{version}/{table}"
 
 
-def read_version(spark: SparkSession, root: str, version: str, *names: str) -> dict[str, DataFrame]:
-    specs = {**TABLES, **MARTS}
+def read_version(spark: SparkSession, root: str, version: str) -> dict[str, DataFrame]:
+    """The seven tables of a version, published or not."""
     return {
-        name: read_table(spark, version_path(root, version, name), specs[name].schema)
-        for name in names or TABLES
+        name: read_table(spark, version_path(root, version, name), spec.schema)
+        for name, spec in TABLES.items()
     }
 
 
-def read_current(spark: SparkSession, root: str, *names: str) -> dict[str, DataFrame]:
-    """Tables of the newest published version."""
+def _published(spark: SparkSession, root: str) -> str:
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"nothing has been published under {root}")
-    return read_version(spark, root, version, *names)
+    return version
+
+
+def read_current(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Tables of the newest published version."""
+    return read_version(spark, root, _published(spark, root))
+
+
+def mart_root(root: str, name: str) -> str:
+    """Each mart has versions and a publication log of its own."""
+    return f"{root}/marts/{name}"
+
+
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The newest published version of a mart, in the types it was published with."""
+    home = mart_root(root, name)
+    path = version_path(home, _published(spark, home), name)
+    return spark.read.parquet(path).select(*MARTS[name].schema.names)
