@@ -14,10 +14,11 @@ def write_jdbc(
 
     ``keep_declaration`` truncates, so declared types, keys and indexes stay; without it
     Spark drops the table and makes it anew from the frame's types. ``connections`` bounds
-    how many tasks write at once; ``coalesce`` gets there without a shuffle.
+    how many tasks write at once; the rows are shuffled down to that number, as ``coalesce``
+    would make the joins before it run in so few tasks too.
     """
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.format("jdbc")
         .mode("overwrite")
         .options(

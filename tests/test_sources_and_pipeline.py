@@ -250,7 +250,7 @@ def test_jdbc_overwrite_truncates_unless_told_to_recreate(keep):
     frame = Recorder()
     write_jdbc(frame, "jdbc:x", "orders_datamart", 10, keep_declaration=keep, user="u")
     assert frame.calls["mode"] == (("overwrite",), {})
-    assert frame.calls["coalesce"] == ((10,), {})
+    assert frame.calls["repartition"] == ((10,), {})
     options = frame.calls["options"][1]
     assert options["truncate"] == str(keep).lower()
     assert (options["dbtable"], options["user"]) == ("orders_datamart", "u")
