@@ -72,9 +72,11 @@ def row_violations(df: DataFrame, spec: TableSpec, *kinds: str) -> DataFrame:
         ]
     ).cast(BROKEN_RULES)
     key = key_text(_present(df, spec.natural_key))
-    return df.select(
+    found = df.select(
         key.alias("row_key"), F.explode(F.filter(broken, lambda rule: rule.isNotNull())).alias("rule")
-    ).select(*_violation(spec, F.col("rule.kind"), F.col("rule.constraint_name"), F.col("row_key"), F.col("rule.detail")))
+    )
+    kind, name, detail = (F.col(f"rule.{part}") for part in ("kind", "constraint_name", "detail"))
+    return found.select(*_violation(spec, kind, name, F.col("row_key"), detail))
 
 
 def _repeated(df: DataFrame, columns: Sequence[str]) -> DataFrame:

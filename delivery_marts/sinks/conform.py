@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from delivery_marts.functions import nan_to_null
 from delivery_marts.schemas import TableSpec, storage_schema
 
 FRACTIONS = (T.DoubleType, T.FloatType, T.DecimalType)
@@ -14,8 +15,8 @@ FRACTIONS = (T.DoubleType, T.FloatType, T.DecimalType)
 def typed(value: Column, source: T.DataType, target: T.DataType) -> Column:
     """Strict cast (out of range raises); fractions are rounded, halves away from zero."""
     if isinstance(source, FRACTIONS) and isinstance(target, T.IntegralType):
-        whole = F.when(~F.isnan(value), value) if not isinstance(source, T.DecimalType) else value
-        return F.round(whole, 0).cast(target)
+        number = value if isinstance(source, T.DecimalType) else nan_to_null(value)
+        return F.round(number, 0).cast(target)
     return value if source == target else value.cast(target)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from delivery_marts.functions import nan_to_null
 from delivery_marts.operators.ordering import FILE, ROW
 from delivery_marts.schemas import RAW_FEED
 from delivery_marts.session import configure, scratch_path
@@ -67,7 +68,7 @@ def _feed_value(field: T.StructField, source: T.DataType) -> Column:
             return _from_epoch(F.unix_micros(value))
     if isinstance(field.dataType, T.StringType) and isinstance(source, (T.DoubleType, T.FloatType)):
         # A phone column read as float must not gain the digit of its ".0".
-        return F.when(~F.isnan(value), value).cast("decimal(20,0)").cast("string")
+        return nan_to_null(value).cast("decimal(20,0)").cast("string")
     return typed(value, source, field.dataType)
 
 

@@ -94,22 +94,20 @@ ASSIGNMENT = {
 }
 
 
+BASES = {
+    "users": {"user_id": 1, "user_phone": "79001234567"},
+    "stores": {"store_id": 1, "store_address": "Store street"},
+    "drivers": {"driver_id": 1, "driver_phone": "79007654321"},
+    "items": {"item_id": 1, "item_title": "milk", "item_category": "dairy"},
+    "orders": ORDER,
+    "order_items": ORDER_LINE,
+    "delivery_assignments": ASSIGNMENT,
+}
+
+
 def clean_tables(spark: SparkSession, **rows: list[dict]) -> dict[str, DataFrame]:
     """A set of tables that breaks no rule; give rows to replace a table's own."""
-    default = {
-        "users": [{"user_id": 1, "user_phone": "79001234567"}],
-        "stores": [{"store_id": 1, "store_address": "Store street"}],
-        "drivers": [{"driver_id": 1, "driver_phone": "79007654321"}],
-        "items": [{"item_id": 1, "item_title": "milk", "item_category": "dairy"}],
-        "orders": [{}],
-        "order_items": [{}],
-        "delivery_assignments": [{}],
-    }
-    bases = {"orders": ORDER, "order_items": ORDER_LINE, "delivery_assignments": ASSIGNMENT}
-    return {
-        name: make_table(spark, name, *rows.get(name, default[name]), base=bases.get(name, default[name][0] if default[name] else {}))
-        for name in TABLES
-    }
+    return {name: make_table(spark, name, *rows.get(name, [{}]), base=BASES[name]) for name in TABLES}
 
 
 def values(df: DataFrame, *columns: str) -> list[tuple]:

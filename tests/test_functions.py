@@ -13,7 +13,8 @@ from delivery_marts.functions import (
 )
 from tests.conftest import at
 
-TIMES = "paid_at timestamp_ntz, delivery_started_at timestamp_ntz, delivered_at timestamp_ntz, canceled_at timestamp_ntz"
+MOMENTS = ("paid_at", "delivery_started_at", "delivered_at", "canceled_at")
+TIMES = ", ".join(f"{name} timestamp_ntz" for name in MOMENTS)
 
 
 def apply(spark, function, inputs, kind="string"):
