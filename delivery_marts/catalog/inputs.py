@@ -6,8 +6,6 @@ faults put into whole tables by plain expressions, the same here and in the SQL.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +28,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return normalize(feed(spark, sf_dir))
 
 
-@cache
-def _written(application: str, sf_dir: str, name: str) -> str:
-    spark = SparkSession.active()
-    path = scratch_path(spark, name)
-    write_table(tables(spark, sf_dir)[name], path)
-    return path
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
 def written(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
@@ -44,8 +37,15 @@ def written(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFram
     For reports with many branches over the same tables, as a job on published tables
     has them; a lazy plan would normalise the feed again in every branch.
     """
-    application = configure(spark).sparkContext.applicationId
-    return {name: spark.read.parquet(_written(application, sf_dir, name)) for name in names}
+    paths = {}
+    for name in names:
+        key = (spark.sparkContext.applicationId, sf_dir, name)
+        if key not in _WRITTEN:
+            path = scratch_path(spark, name)
+            write_table(tables(spark, sf_dir)[name], path)
+            _WRITTEN[key] = path
+        paths[name] = _WRITTEN[key]
+    return {name: configure(spark).read.parquet(path) for name, path in paths.items()}
 
 
 def spoiled_orders(orders: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
 
+import jobs
 from delivery_marts.operators.quality import QualityError
 from delivery_marts.plans.pipeline import (
     ConstraintError,
@@ -205,6 +206,14 @@ def test_failed_checks_stop_the_run_before_the_marts(spark, tmp_path, raw):
     assert [str(r.cash_flows) for r in money.orderBy("cash_flows").collect()] == ["100.00", "200.00"]
 
 
+def test_jobs_from_the_command_line(spark, tmp_path, raw, capsys):
+    jobs.main(["load", "--feed", f"{raw}/*.parquet", "--root", str(tmp_path / "out")])
+    jobs.main(["check", "--root", str(tmp_path / "out")])
+    assert "'orders': 2" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        jobs.parse(["load", "--root", "x"])
+
+
 def test_mart_is_partitioned_by_month_and_overwritten(spark, tmp_path):
     schema = "order_id int, year int, month int"
     for rows in ([(1, 2024, 1), (2, 2024, 2)], [(3, 2023, 5)]):
