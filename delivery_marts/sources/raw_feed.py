@@ -72,11 +72,10 @@ def _feed_value(field: T.StructField, source: T.DataType) -> Column:
     return typed(value, source, field.dataType)
 
 
-def _read_uniform(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """Files of one physical schema, in declared types, with path and row index."""
-    raw = spark.read.schema(schema).parquet(*paths)
+def _declared(raw: DataFrame) -> DataFrame:
+    """The feed's columns in declared types, with path and row index."""
     return raw.select(
-        *[_feed_value(f, schema[f.name].dataType).alias(f.name) for f in RAW_FEED],
+        *[_feed_value(f, raw.schema[f.name].dataType).alias(f.name) for f in RAW_FEED],
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.row_index").alias(ROW),
     )
@@ -87,8 +86,8 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def _footer_schemas(spark: SparkSession, path: str) -> list[tuple[list[str], T.StructType]]:
-    """Paths grouped by physical schema.
+def _scans(spark: SparkSession, path: str) -> list[DataFrame]:
+    """The matching files as few scans, each of files with the same physical schema.
 
     Writers that hold integers as floats once a NULL turns up give a column different
     types in different files, which one Spark scan cannot read. The usual case, all
@@ -96,7 +95,7 @@ def _footer_schemas(spark: SparkSession, path: str) -> list[tuple[list[str], T.S
     finds a conflict is each file's schema asked for.
     """
     try:
-        return [([path], spark.read.option("mergeSchema", "true").parquet(path).schema)]
+        return [spark.read.option("mergeSchema", "true").parquet(path)]
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE" not in str(error):
             raise
@@ -107,7 +106,10 @@ def _footer_schemas(spark: SparkSession, path: str) -> list[tuple[list[str], T.S
     groups: dict[str, list[int]] = defaultdict(list)
     for index, schema in enumerate(schemas):
         groups[schema.json()].append(index)
-    return [([files[i] for i in members], schemas[members[0]]) for members in groups.values()]
+    return [
+        spark.read.schema(schemas[members[0]]).parquet(*[files[i] for i in members])
+        for members in groups.values()
+    ]
 
 
 def read_feed(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
@@ -118,8 +120,7 @@ def read_feed(spark: SparkSession, path: str, files: DataFrame | None = None) ->
     """
     configure(spark)
     numbers = _file_numbers(list_feed(spark, path) if files is None else files)
-    parts = [_read_uniform(spark, paths, schema) for paths, schema in _footer_schemas(spark, path)]
-    feed = reduce(DataFrame.unionByName, parts)
+    feed = reduce(DataFrame.unionByName, [_declared(scan) for scan in _scans(spark, path)])
     # A file that came in after the listing has no number; dropping it silently or
     # leaving it unordered would both be wrong.
     listed = F.coalesce(FILE, F.raise_error(F.concat(F.lit("file not listed: "), "file_path")))
