@@ -17,8 +17,8 @@ Tokens are words ``[^\\x20\\x09-\\x0D]+``. Defined results: NULL domain, languag
 branch named ``unknown``; a NULL or empty text has no tokens and goes with its place in the
 order; rows that repeat a doc_id are taken or left together; a branch without a declared weight
 has the given default; weight 0 gives nothing; an empty table gives an empty one. All arithmetic
-is in integers, so results do not depend on the order of rows. Columns the operator makes
-(``domain`` apart) start with an underscore and are dropped; ``epoch`` is replaced.
+is in integers, so results do not depend on the order of rows. All input columns
+are returned as they are, whatever their names; only one called ``epoch`` is replaced.
 """
 
 from __future__ import annotations
@@ -153,14 +153,14 @@ def leaf_cuts(sizes: DataFrame, quotas: DataFrame, seed: int) -> DataFrame:
 
 
 def with_leaf(documents: DataFrame, domain: Column) -> DataFrame:
-    """Documents with ``domain`` and the tree's names, NULL as ``unknown``."""
-    named = documents.withColumn("_domain", F.coalesce(domain, F.lit(UNKNOWN)))
-    return named.withColumns(
-        {
-            "_lang": F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)),
-            "_source": F.coalesce(F.col("source").cast("string"), F.lit(UNKNOWN)),
-            "_size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"),
-        }
+    """The rows as ``given``, and what is needed of them: NULL names are ``unknown``."""
+    return documents.select(
+        F.struct("*").alias("given"),
+        "doc_id",
+        F.coalesce(domain, F.lit(UNKNOWN)).alias("domain"),
+        F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
+        F.coalesce(F.col("source").cast("string"), F.lit(UNKNOWN)).alias("source"),
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("_size"),
     )
 
 
@@ -178,20 +178,14 @@ def mix(
     Returns the given columns and ``epoch``, from 0; a document taken in several epochs has a
     row for each. ``budget`` is in tokens; without one it is what the input holds.
     """
-    tree = {"_domain": "domain", "_lang": "lang", "_source": "source"}
     placed = with_leaf(documents, domain)
-    sizes = written(
-        placed.select("doc_id", "_size", *[F.col(a).alias(b) for a, b in tree.items()]), "mixing-sizes"
-    )
+    sizes = written(placed.drop("given"), "mixing-sizes")
     leaves = sizes.groupBy(*LEVELS).agg(F.sum("_size").alias("_tokens"))
     quotas = leaf_quotas(leaves, weights, epochs, budget, default_weight)
-    cuts = leaf_cuts(sizes, quotas, seed).select(
-        *[F.col(b).alias(a) for a, b in tree.items()], "_whole", "_cut"
-    )
-    cuts = written(cuts, "mixing-cuts")
-    taken = placed.drop("_size").join(cuts, list(tree))
+    cuts = written(leaf_cuts(sizes, quotas, seed), "mixing-cuts")
+    taken = placed.drop("_size").join(cuts, list(LEVELS))
     more = F.coalesce(_order_key(seed) <= F.col("_cut"), F.lit(False)).cast("bigint")
     copies = taken.withColumn("_copies", (F.col("_whole") + more).cast("int")).where("_copies > 0")
-    return copies.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).select(
-        *[c for c in documents.columns if c != "epoch"], "epoch"
-    )
+    epoch = F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))
+    kept = [F.col(f"given.`{c}`") for c in documents.columns if c != "epoch"]
+    return copies.withColumn("epoch", epoch).select(*kept, "epoch")
