@@ -102,8 +102,9 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, seed: int =
     """vec_id, n_links, component_id and kept, one row per row."""
     spark = embeddings.sparkSession
     rows = usable_rows(embeddings)
-    nodes = rows.groupBy("embedding", "dim").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    nodes = written(nodes, "embedding-nodes")
+    nodes = rows.groupBy("embedding", "dim").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    # Numbers that stay, as they are written; vec_ids may repeat.
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "embedding-nodes")
     bits, tables = plan(nodes.count(), threshold)
 
     kind = dict(nodes.dtypes)["embedding"]
@@ -135,11 +136,13 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, seed: int =
         nodes.join(linked, "node", "left")
         .join(found, "node", "left")
         .select(
-            "embedding", "dim",
+            "embedding", "dim", "first",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component_id"),
+            F.coalesce("component", "node").alias("component"),
         )
     )
+    smallest = known.groupBy("component").agg(F.min("first").alias("component_id"))
+    known = known.join(smallest, "component").drop("component", "first")
     placed = rows.join(known, ["embedding", "dim"]).select("vec_id", "n_links", "component_id")
     out = embeddings.where(~takes_part()).select(
         F.col("vec_id").cast("bigint").alias("vec_id"),

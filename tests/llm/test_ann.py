@@ -1,0 +1,79 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from delivery_marts.llm import ann, queries
+from tests.llm.conftest import SF_DIR
+
+SCHEMA = "vec_id long, embedding array<float>, rank string, score string"
+
+
+def frame(spark, vectors):
+    return spark.createDataFrame([(i, v, "taken", "taken") for i, v in vectors], SCHEMA)
+
+
+def exact(vectors, step, k):
+    ids = np.array([i for i, _ in vectors])
+    x = np.array([v for _, v in vectors], np.float32).astype(float)
+    out = {}
+    for place in np.flatnonzero(ids % step == 0):
+        scores = x @ x[place]
+        order = [o for o in np.lexsort((ids, -scores)) if ids[o] != ids[place]][:k]
+        out[int(ids[place])] = [(int(ids[o]), float(scores[o])) for o in order]
+    return out
+
+
+def answers(rows):
+    out = {}
+    for r in sorted(rows, key=lambda r: (r.query_id, r.rank)):
+        assert r.rank == len(out.setdefault(r.query_id, [])) + 1
+        out[r.query_id].append((r.vec_id, r.score))
+    return out
+
+
+def recall(got, want):
+    return np.mean([len({i for i, _ in got.get(q, [])} & {i for i, _ in near}) / len(near) for q, near in want.items()])
+
+
+def test_query_reaches_the_recall_asked_for(spark, db):
+    vectors = db.sql("SELECT vec_id, embedding FROM embeddings").fetchall()
+    want = exact(vectors, 20, 20)
+    got = answers(queries.op1_collision_ann(spark, SF_DIR).collect())
+    assert set(got) == set(want) and all(len(near) == 20 for near in got.values())
+    assert recall(got, want) >= 0.9
+    true = {(q, i): s for q, near in exact(vectors, 20, len(vectors)).items() for i, s in near}
+    assert all(abs(true[q, i] - s) < 1e-9 for q, near in got.items() for i, s in near)
+
+
+def test_vectors_of_different_lengths_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 300)
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 10)
+    rng = np.random.default_rng(3)
+    points = rng.standard_normal((1500, 24)) * rng.uniform(0.1, 5, (1500, 1))
+    vectors = [(i, [float(x) for x in np.float32(p)]) for i, p in enumerate(points)]
+    got = answers(ann.nearest(frame(spark, vectors), F.col("vec_id") % 50 == 0).collect())
+    assert recall(got, exact(vectors, 50, 20)) >= 0.9
+
+
+def test_only_part_of_the_vectors_is_verified():
+    """The windows and the threshold do leave vectors out where there are near ones."""
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((40, 32)) * 3
+    points = np.repeat(centres, 50, axis=0) + rng.standard_normal((2000, 32)) * 0.05
+    longest = float(np.linalg.norm(points, axis=1).max())
+    index = ann.Index(np.arange(2000), points, longest, ann.Search())
+    verified = []
+    index.vectors = type("Counted", (np.ndarray,), {"__getitem__": lambda s, key: verified.append(len(key)) or np.asarray(s)[key]})(
+        points.shape, buffer=points.copy()
+    )
+    largest = int(np.argmax(np.linalg.norm(centres, axis=1))) * 50
+    ids, _ = index.nearest(largest, points[largest])
+    assert sum(verified) < 1000
+    assert len(set(ids.tolist()) & set(range(largest, largest + 50))) == 20
+
+
+def test_ties_odd_vectors_and_few_candidates(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [(0, [1.0, 0.0]), (7, [1.0, 1.0]), (3, [1.0, 5.0]), (9, [-1.0, 0.0]), (4, [1.0, 1.0]), (4, [1.0, 1.0])]
+    vectors += [(20, None), (40, [0.0, 0.0]), (60, [nan, 1.0]), (11, [inf, 1.0]), (12, [None, 1.0]), (13, []), (14, [1.0]), (None, [1.0, 0.0])]
+    got = answers(ann.nearest(frame(spark, vectors), F.col("vec_id") % 20 == 0).collect())
+    assert got == {0: [(3, 1.0), (4, 1.0), (4, 1.0), (7, 1.0), (9, -1.0)]}

@@ -1,0 +1,73 @@
+import math
+
+import numpy as np
+
+from delivery_marts.llm import embedding_dedup
+from tests.llm.test_ann import frame
+
+
+def plain(vectors, threshold):
+    """n_links and component of every row, pair by pair."""
+    usable = [v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v) for _, v in vectors]
+    links, root = [0] * len(vectors), list(range(len(vectors)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (_, a) in enumerate(vectors):
+        for j, (_, b) in enumerate(vectors[:i]):
+            if usable[i] and usable[j] and len(a) == len(b):
+                a64, b64 = np.array(a, np.float32).astype(float), np.array(b, np.float32).astype(float)
+                if a64 @ b64 / math.sqrt((a64 @ a64) * (b64 @ b64)) >= threshold:
+                    links[i] += 1
+                    links[j] += 1
+                    root[find(i)] = find(j)
+    groups = {}
+    for i in range(len(vectors)):
+        groups.setdefault(find(i), []).append(vectors[i][0])
+    return sorted((vectors[i][0], links[i], min(groups[find(i)])) for i in range(len(vectors)))
+
+
+def found(spark, vectors):
+    rows = embedding_dedup.near_duplicates(frame(spark, vectors)).collect()
+    assert all(r.kept == (r.vec_id == r.component_id) for r in rows)
+    return sorted((r.vec_id, r.n_links, r.component_id) for r in rows)
+
+
+def clustered(seed, sizes, dim=16, spread=0.03):
+    rng = np.random.default_rng(seed)
+    points = np.concatenate([rng.standard_normal(dim) + rng.standard_normal((n, dim)) * spread for n in sizes])
+    ids = rng.permutation(len(points))
+    return [(int(i), [float(x) for x in np.float32(p)]) for i, p in zip(ids, points, strict=True)]
+
+
+def test_against_all_pairs(spark):
+    vectors = clustered(1, [60, 30, 2, 2, 3] + [1] * 80, spread=0.12)
+    vectors += [(1000 + i, vectors[3][1]) for i in range(25)]
+    assert found(spark, vectors) == plain(vectors, 0.95)
+
+
+def test_large_buckets_are_split(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 12)
+    monkeypatch.setattr(embedding_dedup, "GROUP_ROWS", 100)
+    vectors = clustered(2, [120, 40, 1, 1])
+    assert found(spark, vectors) == plain(vectors, 0.95)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [(5, [1.0, 0.0]), (3, [2.0, 0.0]), (3, [1.0, 0.0]), (8, [0.0, -1.0]), (9, [-0.0, -1.0]), (20, None), (1, [0.0, 0.0])]
+    vectors += [(2, [nan, 1.0]), (11, [inf, 1.0]), (12, [None, 1.0]), (13, []), (14, [1.0])]
+    assert found(spark, vectors) == plain(vectors, 0.95)
+    row = embedding_dedup.near_duplicates(frame(spark, [(None, [1.0, 0.0])])).first()
+    assert (row.vec_id, row.n_links, row.component_id, row.kept) == (None, 0, None, None)
+
+
+def test_tables_follow_rows_and_threshold():
+    for rows in (2, 10**4, 10**9):
+        bits, tables = embedding_dedup.plan(rows, 0.95)
+        agree = (1 - math.acos(0.95) / math.pi) ** bits
+        assert (1 - agree) ** tables <= embedding_dedup.MISSED
+    assert embedding_dedup.plan(10**9, 0.95)[0] > embedding_dedup.plan(10**4, 0.95)[0]
