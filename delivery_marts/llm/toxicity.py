@@ -1,28 +1,32 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
-1. Lexicons. A bounded sample of labelled rows gives, for every word and every word beginning of
-   4 to 7 letters, how many toxic and clean documents have it. Those that are far likelier in
-   toxic documents (log-likelihood ratio) are the lexicon; they are dealt to voters by rank, one
-   set of voters for whole words and one for beginnings. Pattern voters look at how dense hits are, at
-   shouting, at exclamation marks, and vote clean where there is no hit at all.
-2. Votes. Every document gets its votes (toxic, clean, none) and its features in one pass over
-   its whole text.
+1. Lexicon. A bounded sample of labelled rows gives, for every word and every word beginning of
+   3 to 8 letters, how many toxic and clean documents have it. Those likelier in toxic documents
+   by more than chance explains (log-likelihood ratio above the logarithm of the number of
+   candidates) are kept, each with its strength, the logarithm of how much likelier. The strongest
+   feature of a word is the word's strength.
+2. Votes. Every document gets features and votes (toxic, clean, none) in one pass over its whole
+   text. A lexicon voter votes toxic on a text that has one of its features; features are dealt to
+   voters by rank, words apart from beginnings. Pattern voters look at strength per word, at its
+   sum, at shouting and at exclamation marks.
 3. Label model. Two classes; each voter has a chance of each vote in each class. Expectation
    maximisation over the votes of all documents estimates those chances, and the correlation of
    every two voters within a class; a voter's evidence is divided by one plus the correlations it
    has with others, so that ten voters that say the same count once. Vote patterns are grouped and
    stay distributed; a round moves only a table of voters by voters to the driver.
-4. Classifier. A logistic regression on the lexicon's features is fitted to the posteriors of the
-   sampled rows and scores every document.
+4. Classifier. A logistic regression on the features (lexicon entries that a text has, steps of
+   strength per word and of its sum) is fitted to the posteriors of the sampled rows and scores
+   every document.
 
-Gold labels are used for the lexicons and, as one more voter that mostly abstains, in the label
-model; only from rows that the caller gives as training labels. Language, source and ids are
-never inputs.
+Gold labels are used for the lexicon and, as one more voter that mostly abstains and whose
+accuracy is given, in the label model; only from rows that the caller gives as training labels.
+Language, source and ids are never inputs.
 
 Defined results: NULL and empty texts have no hits and get the clean score; labels that are NULL
-are ignored; a document labelled twice counts twice in the sample; without any toxic or any clean
-label every score is 0; an empty table gives an empty one; columns other than doc_id and text are
-not used. Whole texts are read. ``LABELLED`` bounds the sample, nothing else does.
+are ignored; a document labelled twice counts twice in the sample, equal texts in it count once
+for the lexicon; without any toxic or any clean label, or without a lexicon, every score is 0; an
+empty table gives an empty one; columns other than doc_id and text are not used. Whole texts are
+read. ``LABELLED`` bounds the sample, nothing else does.
 """
 
 from __future__ import annotations
@@ -36,14 +40,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delivery_marts.llm.shared import written
 
 LABELLED = 20_000  # most labelled rows in the sample, taken in the order of a hash of their id
 LEXICON = 600  # features
-BEGINNINGS = range(4, 8)
+BEGINNINGS = range(3, 9)
+LIKELIER = 3.0  # times, at least
+PER_WORD = (0.0005, 0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.2, 0.4, 0.8)  # steps of strength
+IN_ALL = (1.0, 4.0, 8.0, 16.0, 32.0)
+GOLD_ACCURACY = 0.99
 PER_VOTER = 40  # features of a lexicon voter
 ROUNDS = 12
 TOXIC, CLEAN, NONE = 1, 0, 2
@@ -63,8 +71,6 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, toxic in zip(batch["text"], batch["toxic"].to_pylist(), strict=True):
             words = set(WORD.findall((text.as_py() or "").lower()))
             counts[toxic].update({f for word in words for f in _features(word)})
-    # A feature must be in some toxic text to be of use, and clean ones need their count only then;
-    # which those are is known after the shuffle.
     names = list(counts[0].keys() | counts[1].keys())
     for at in range(0, len(names), 50_000):
         part = names[at : at + 50_000]
@@ -74,89 +80,95 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def lexicon(sample: DataFrame, size: int = LEXICON) -> list[str]:
-    """The features that tell toxic from clean best; ``sample`` has text and toxic (0 or 1)."""
+def lexicon(sample: DataFrame, size: int = LEXICON) -> list[tuple[str, float]]:
+    """Features and strengths, the best first; ``sample`` has text and toxic (0 or 1)."""
+    sample = sample.dropDuplicates(["text", "toxic"])
     totals = sample.agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c")).first()
     if not totals["t"] or not totals["c"]:
         return []
     t, c = F.lit(float(totals["t"])), F.lit(float(totals["c"]))
-    rows = sample.select("text", F.col("toxic").cast("int").alias("toxic"))
-    counts = rows.mapInArrow(_counted, "feature string, toxic long, clean long")
+    counts = sample.select("text", "toxic").mapInArrow(_counted, "feature string, toxic long, clean long")
     summed = counts.groupBy("feature").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
+    summed = written(summed, "toxicity-features")
     share = (F.col("a") + F.col("b")) / (t + c)
 
-    def part(seen, expected):
+    def part(seen: Column, expected: Column) -> Column:
         return F.when(seen > 0, seen * F.ln(seen / expected)).otherwise(0.0)
 
     gain = part(F.col("a"), t * share) + part(F.col("b"), c * share)
-    likelier = (F.col("a") + 0.5) / (t + 1) > 8 * (F.col("b") + 0.5) / (c + 1)
-    best = summed.where(likelier & (F.col("a") >= 3)).orderBy(gain.desc(), "feature").limit(size)
-    return [row.feature for row in best.select("feature").collect()]
+    times = ((F.col("a") + 0.5) / (t + 1)) / ((F.col("b") + 0.5) / (c + 1))
+    chance = math.log(max(2, summed.count()))
+    best = summed.where((times > LIKELIER) & (gain > chance)).orderBy(gain.desc(), "feature").limit(size)
+    return [(row.feature, row.strength) for row in best.select("feature", F.ln(times).alias("strength")).collect()]
 
 
 @dataclass(frozen=True)
 class Voters:
     """Lexicon and pattern voters over the features of a text."""
 
-    features: tuple[str, ...]
+    lexicon: tuple[tuple[str, float], ...]
 
     def groups(self) -> list[list[int]]:
         """Features of each lexicon voter: words apart from beginnings, the best first."""
-        kinds = [[i for i, f in enumerate(self.features) if f.endswith("*") is marked] for marked in (False, True)]
+        kinds = [[i for i, (f, _) in enumerate(self.lexicon) if f.endswith("*") is marked] for marked in (False, True)]
         return [kind[at : at + PER_VOTER] for kind in kinds for at in range(0, len(kind), PER_VOTER)]
 
     @property
     def count(self) -> int:
         return len(self.groups()) + 5
 
-    def read(self, text: str | None, cache: dict[str, tuple[int, ...]], index: dict[str, int]) -> tuple[list[int], list[int]]:
-        """Features that a text has, and the voters' votes on it."""
+    @property
+    def features(self) -> int:
+        return len(self.lexicon) + len(PER_WORD) + len(IN_ALL)
+
+    def read(self, text: str | None, known: dict[str, tuple[float, tuple[int, ...]]], index: dict[str, int]) -> tuple[list[int], str]:
+        """Features that a text has, and the voters' votes on it, a digit each."""
         whole = text or ""
         words = WORD.findall(whole.lower())
         found: set[int] = set()
-        hits = 0
+        strength = 0.0
         for word in words:
-            mine = cache.get(word)
-            if mine is None:
+            entry = known.get(word)
+            if entry is None:
                 mine = tuple(index[f] for f in _features(word) if f in index)
-                if len(cache) >= CACHED:
-                    cache.clear()
-                cache[word] = mine
-            if mine:
-                found.update(mine)
-                hits += 1
-        votes = [TOXIC if found.intersection(group) else NONE for group in self.groups()]
-        density = hits / max(1, len(words))
+                if len(known) >= CACHED:
+                    known.clear()
+                entry = known[word] = (max((self.lexicon[i][1] for i in mine), default=0.0), mine)
+            if entry[1]:
+                found.update(entry[1])
+                strength += entry[0]
+        per_word = strength / max(1, len(words))
         letters = sum(map(len, words))
-        shouting = sum(1 for ch in whole if ch.isupper()) > 0.5 * letters if letters > 20 else False
+        votes = [TOXIC if not found.isdisjoint(group) else NONE for group in self.groups()]
         votes += [
-            CLEAN if not hits else NONE,
-            TOXIC if density >= 0.02 else CLEAN if density == 0 else NONE,
-            TOXIC if len(found) >= 3 else NONE,
-            TOXIC if shouting else NONE,
+            TOXIC if per_word >= 0.05 else CLEAN if per_word < 0.005 else NONE,
+            TOXIC if per_word >= 0.02 else CLEAN if not found else NONE,
+            TOXIC if strength >= 8.0 else CLEAN if strength < 1.0 else NONE,
+            TOXIC if letters > 20 and sum(map(str.isupper, whole)) > 0.5 * letters else NONE,
             TOXIC if "!!" in whole else NONE,
         ]
-        return sorted(found), votes
+        steps = [per_word >= step for step in PER_WORD] + [strength >= step for step in IN_ALL]
+        found.update(len(self.lexicon) + i for i, above in enumerate(steps) if above)
+        return sorted(found), "".join(map(str, votes))
 
 
 @lru_cache(maxsize=2)
-def _state(features: tuple[str, ...]) -> tuple[dict, dict]:
-    return {}, {f: i for i, f in enumerate(features)}
+def _state(voters: Voters) -> tuple[dict, dict]:
+    return {}, {feature: i for i, (feature, _) in enumerate(voters.lexicon)}
 
 
-def read(docs: DataFrame, features: list[str]) -> DataFrame:
+def read(docs: DataFrame, voters: Voters) -> DataFrame:
     """doc_id, ``features`` (indices) and ``votes`` (one digit per voter) of every text."""
-    voters = Voters(tuple(features))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, index = _state(voters.features)
+        known, index = _state(voters)
         for batch in batches:
-            pairs = [voters.read(text.as_py(), cache, index) for text in batch["text"]]
+            pairs = [voters.read(text.as_py(), known, index) for text in batch["text"]]
             yield pa.record_batch(
                 [
                     batch["doc_id"],
                     pa.array([p[0] for p in pairs], pa.list_(pa.int32())),
-                    pa.array(["".join(map(str, p[1])) for p in pairs], pa.string()),
+                    pa.array([p[1] for p in pairs], pa.string()),
                 ],
                 names=["doc_id", "features", "votes"],
             )
@@ -185,14 +197,14 @@ def _parsed(votes: list[str]) -> np.ndarray:
     return np.frombuffer("".join(votes).encode(), np.uint8).reshape(len(votes), -1).astype(np.int64) - ord("0")
 
 
-def _weights(pairs: np.ndarray, ones: np.ndarray, total: np.ndarray) -> np.ndarray:
+def _weights(pairs: np.ndarray, sums: np.ndarray, total: np.ndarray) -> np.ndarray:
     """One over one plus a voter's correlations with others, within classes.
 
-    ``pairs`` has, per class, how often two voters spoke together, ``ones`` how often each did.
+    Per class: ``sums`` of votes as +1 (toxic), -1 (clean) and 0, and of their products in pairs.
     """
-    mean = ones / total[:, None]
-    spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-9))
+    mean = sums / total[:, None]
     joint = pairs / total[:, None, None] - mean[:, :, None] * mean[:, None, :]
+    spread = np.sqrt(np.maximum(np.einsum("kii->ki", joint), 1e-9))
     correlation = joint / (spread[:, :, None] * spread[:, None, :])
     share = total / total.sum()
     both = np.clip(np.tensordot(share, correlation, 1), 0, 1)
@@ -200,17 +212,21 @@ def _weights(pairs: np.ndarray, ones: np.ndarray, total: np.ndarray) -> np.ndarr
     return 1 / (1 + both.sum(axis=1))
 
 
-def label_model(patterns: DataFrame, voters: int, prior: float) -> LabelModel:
+def label_model(patterns: DataFrame, voters: int, prior: float, gold: bool = False) -> LabelModel:
     """Fitted to ``patterns`` (votes, n) by expectation maximisation.
 
-    The start: toxic votes are likelier in toxic documents and clean votes in clean ones.
+    The start: toxic votes are likelier in toxic documents and clean votes in clean ones. With
+    ``gold`` the last voter's votes are labels, whose accuracy is given and not estimated.
     """
     chances = np.empty((2, voters, 3))
     chances[1], chances[0] = (0.1, 0.6, 0.3), (0.4, 0.05, 0.55)
+    labels = np.array([[GOLD_ACCURACY, 1 - GOLD_ACCURACY, 1], [1 - GOLD_ACCURACY, GOLD_ACCURACY, 1]])
+    if gold:
+        chances[:, -1] = labels
     model = LabelModel(prior, chances, np.full(voters, 1 / math.sqrt(voters)))
     for _ in range(ROUNDS):
 
-        def sums(batches: Iterator[pa.RecordBatch], model: LabelModel = model) -> Iterator[pa.RecordBatch]:
+        def summed(batches: Iterator[pa.RecordBatch], model: LabelModel = model) -> Iterator[pa.RecordBatch]:
             votes_by_class, pairs = np.zeros((2, voters, 3)), np.zeros((2, voters, voters))
             for batch in batches:
                 if not batch.num_rows:
@@ -218,39 +234,40 @@ def label_model(patterns: DataFrame, voters: int, prior: float) -> LabelModel:
                 votes = _parsed(batch["votes"].to_pylist())
                 toxic = model.posterior(votes)
                 n = batch["n"].to_numpy().astype(float)
-                spoke = (votes != NONE).astype(float)
+                signed = (votes == TOXIC).astype(float) - (votes == CLEAN)
                 for k, weight in enumerate((n * (1 - toxic), n * toxic)):
                     for vote in (CLEAN, TOXIC, NONE):
                         votes_by_class[k, :, vote] += weight @ (votes == vote)
-                    pairs[k] += (spoke * weight[:, None]).T @ spoke
+                    pairs[k] += (signed * weight[:, None]).T @ signed
             row = np.concatenate((votes_by_class.ravel(), pairs.ravel()))
             yield pa.record_batch([pa.array(np.arange(len(row), dtype=np.int32)), pa.array(row)], names=["i", "x"])
 
         # A few thousand sums, whatever the number of documents.
         total = np.zeros(6 * voters + 2 * voters * voters)
-        for row in patterns.mapInArrow(sums, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect():
+        for row in patterns.mapInArrow(summed, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect():
             total[row.i] = row.x
         by_class = total[: 6 * voters].reshape(2, voters, 3)
         pairs = total[6 * voters :].reshape(2, voters, voters)
         size = by_class[:, 0, :].sum(axis=1) + 1e-6
         chances = (by_class + 0.1) / (size[:, None, None] + 0.3)
-        ones = by_class[:, :, CLEAN] + by_class[:, :, TOXIC]
-        before, model = model, LabelModel(
-            float(np.clip(size[1] / size.sum(), 1e-4, 0.5)), chances, _weights(pairs, ones, size)
-        )
+        sums = by_class[:, :, TOXIC] - by_class[:, :, CLEAN]
+        weights = _weights(pairs, sums, size)
+        if gold:
+            chances[:, -1], weights[-1] = labels, 1.0
+        before, model = model, LabelModel(float(np.clip(size[1] / size.sum(), 1e-4, 0.5)), chances, weights)
         if np.abs(before.chances - model.chances).max() < 1e-4:
             break
     return model
 
 
-def fit(rows: list[list[int]], targets: np.ndarray, features: int, ridge: float = 1e-3) -> np.ndarray:
+def fit(rows: list[list[int]], targets: np.ndarray, features: int, ridge: float = 0.1) -> np.ndarray:
     """Weights of a logistic regression on presence of features, the last one constant."""
     x = np.zeros((len(rows), features + 1))
     for i, found in enumerate(rows):
         x[i, found] = 1
     x[:, -1] = 1
     weights = np.zeros(features + 1)
-    penalty = np.full(features + 1, ridge * max(1, len(rows)))
+    penalty = np.full(features + 1, ridge)
     penalty[-1] = 1e-9
     for _ in range(30):  # Newton's method
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
@@ -271,22 +288,23 @@ def toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Da
     )
     # The sample is bounded, so its ids may be broadcast.
     chosen = F.broadcast(written(gold.orderBy(F.xxhash64("doc_id"), "toxic").limit(labelled), "toxicity-sample"))
-    features = lexicon(docs.join(chosen, "doc_id"))
-    if not features:
+    voters = Voters(tuple(lexicon(docs.join(chosen, "doc_id"))))
+    if not voters.lexicon:
         return docs.select("doc_id", F.lit(0.0).alias("score"))
 
-    scanned = written(read(docs, features), "toxicity-votes")
-    voters = Voters(tuple(features)).count + 1
+    scanned = written(read(docs, voters), "toxicity-votes")
     marked = scanned.join(chosen, "doc_id", "left").withColumn(
         "votes", F.concat("votes", F.coalesce(F.col("toxic").cast("string"), F.lit(str(NONE))))
     )
     patterns = written(marked.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "toxicity-patterns")
     known = chosen.agg(F.avg("toxic").alias("toxic")).first()["toxic"]
-    model = label_model(patterns, voters, float(np.clip(known, 1e-3, 0.5)))
+    model = label_model(patterns, voters.count + 1, float(np.clip(known, 1e-3, 0.5)), gold=True)
 
-    rows = scanned.join(chosen, "doc_id").select("features", "votes", "toxic").collect()
+    # One row per label: a doc_id may repeat in the table.
+    sampled = scanned.join(chosen, "doc_id").dropDuplicates(["doc_id", "toxic"])
+    rows = sampled.select("features", "votes", "toxic").collect()
     votes = _parsed([row.votes + str(row.toxic) for row in rows])
-    weights = fit([row.features for row in rows], model.posterior(votes), len(features))
+    weights = fit([row.features for row in rows], model.posterior(votes), voters.features)
 
     table = F.array(*[F.lit(float(w)) for w in weights[:-1]])
     logit = F.aggregate("features", F.lit(float(weights[-1])), lambda total, i: total + F.get(table, i))
