@@ -1,0 +1,99 @@
+"""Every stage on its own input against a plain version of its decisions."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from delivery_marts.llm import params, toxicity
+from delivery_marts.llm.shared import written
+from tests.llm.conftest import DOCUMENTS, ODD, SF_DIR, documents
+from tests.llm.test_mixing import plain_by
+from tests.llm.test_packing import check
+from tests.llm.test_simhash import plain_components, plain_fingerprint
+from tests.llm.test_token_files import whole
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Input and output of every stage."""
+    docs, steps = spark.read.parquet(f"{SF}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = written(stage(spark, docs, SF), f"test-{name}")
+        steps[name] = (docs, out)
+        docs = out
+    return steps
+
+
+def ids(df):
+    return sorted(r.doc_id for r in df.select("doc_id").collect())
+
+
+def test_order_and_columns(stages):
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_dedup", "mixing", "packing"]
+    for name in list(stages)[:-1]:
+        assert stages[name][1].columns == list(corpus_pipeline.COLUMNS)
+
+
+def test_toxic_documents_go_and_clean_ones_stay(spark, stages):
+    given, kept = stages["toxicity"]
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    left = set(ids(kept))
+    toxic = [i for i in ids(given) if truth.get(i) == 1]
+    clean = [i for i in ids(given) if truth.get(i) == 0]
+    # At this size there are too few labels to learn every stem from.
+    assert sum(i in left for i in toxic) <= 0.4 * len(toxic)
+    assert sum(i in left for i in clean) >= 0.99 * len(clean)
+
+
+def test_one_document_of_each_group_stays(stages):
+    given, kept = stages["simhash_dedup"]
+    prints = {r.doc_id: plain_fingerprint(r.text, 3) for r in given.collect()}
+    assert ids(kept) == sorted(set(plain_components(prints, 2).values()))
+
+
+def test_sources_are_mixed_to_their_weights(stages):
+    given, mixed = stages["mixing"]
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in given.collect()]
+    names = {f"src{i}": params.DOMAINS[i % 3] for i in range(100)}
+    want = plain_by(rows, lambda s: names.get(s, "unknown"), params.MIX_WEIGHTS, params.MIX_EPOCHS, params.MIX_SEED)
+    assert ids(mixed) == sorted(d for (d, _), n in want.items() for _ in range(n))
+
+
+def test_packed_pieces_cover_what_was_mixed(stages):
+    given, packed = stages["packing"]
+    encode = whole(params.BYTE_BPE)
+    texts = {r.doc_id: r.text for r in given.collect()}
+    pieces = packed.collect()
+    copies = {}
+    for d in ids(given):
+        copies[d] = copies.get(d, 0) + 1
+    tokens = {d: len(encode(t)) + 1 for d, t in texts.items()}
+    assert sum(r.length for r in pieces) == sum(tokens[d] * n for d, n in copies.items())
+    if all(n == 1 for n in copies.values()):
+        check(pieces, {d: [*encode(t), 1] for d, t in texts.items()})
+
+
+def test_run_gives_the_last_stage(spark, stages):
+    got = sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()))
+    assert got == sorted(map(tuple, stages["packing"][1].collect()))
+
+
+def test_stages_take_odd_rows(spark, odd):
+    docs = odd.select(*[f.name for f in documents(spark, (1, "x")).schema], "score", "epoch", "slot")
+    for name, stage in corpus_pipeline.STAGES:
+        out = written(stage(spark, docs, SF_DIR), f"test-odd-{name}")
+        if name == "toxicity":
+            assert out.count() == len(ODD)
+        if name == "simhash_dedup":
+            assert ids(out.where("doc_id IS NOT NULL")) == [1, 3, 6, 7, 8, 9, 10]
+            assert out.where("doc_id IS NULL").count() == 1
+        docs = out
+    assert docs.where("doc_id = 7").agg(F.sum("length")).first()[0] >= 20_000
+
+
+def test_nothing_to_learn_rejects_nothing(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "lexicon", lambda sample: [])
+    docs = spark.createDataFrame([(1, "idiot", "en", "src1", 5)], DOCUMENTS)
+    assert corpus_pipeline.drop_toxic(spark, docs, SF_DIR).count() == 1
