@@ -6,6 +6,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from delivery_marts.catalog.queries import QUERIES
 from delivery_marts.operators import surrogate_keys
 from delivery_marts.operators.assignments import delivery_assignments
 from delivery_marts.operators.joins import left_join_many
@@ -196,9 +197,7 @@ def test_assignment_ends_are_hash_aggregated(spark, raw_feed):
 
 
 def test_no_plan_crosses_rows_or_leaves_the_jvm(spark):
-    from __spark_entry__ import queries
-
     banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "MapInArrow")
-    for name, query in queries().items():
+    for name, query in QUERIES.items():
         text = plan(query(spark, "/root/testdata/sf0.001"))
         assert [b for b in banned if b in text] == [], name
