@@ -59,8 +59,9 @@ def cut(docs: DataFrame, tokenizer: str, spaces: bool, end: int, capacity: int =
         of: dict[int, list[int]] = {}
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = words.ids(text.as_py(), end).astype("<u4")
+            encoded = words.ids_of(batch["text"].to_pylist(), end)
+            for doc_id, short in zip(batch["doc_id"].to_pylist(), encoded, strict=True):
+                ids = short.astype("<u4")
                 rest = len(ids) % capacity
                 lengths = [capacity] * (len(ids) // capacity) + of.setdefault(rest, cuts(rest, capacity))
                 start = 0

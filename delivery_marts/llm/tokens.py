@@ -1,15 +1,18 @@
 """Token ids of whole texts, from a tokenizer file, with the pieces of a text kept in a cache.
 
-Both kinds of tokenizer here split a text before they look words up: a chunk of white space
-followed by other characters never shares a token with the chunk after it. So a text is cut
-into such chunks, a chunk seen before costs one dictionary lookup, and the ids of a text are
-those of its chunks in order, exactly as the tokenizer gives them for the whole text (tests
-compare the two). Strings of special tokens in a text are ordinary text.
+Both kinds of tokenizer here cut a text by a pattern before they look anything up, and no token
+crosses such a cut: one is before white space that follows other characters, one between letters
+and an ASCII punctuation mark. So a text is cut into pieces there, a piece seen before costs one
+dictionary lookup, and the ids of a text are those of its pieces in order, exactly as the
+tokenizer gives them for the whole text (tests compare the two). A piece of Latin letters goes
+straight to the tokenizer's model; any other goes through the whole tokenizer. Strings of special
+tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,28 +20,54 @@ from tokenizers import Tokenizer
 
 # Unicode White_Space, what the tokenizers' patterns call white space.
 SPACE = "\t-\r \x85\xa0  -     　"
-CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-WORD = re.compile(f"[^{SPACE}]+")
-
-# The cache holds at most this many chunks, none longer than LONGEST; a full cache starts anew.
-CACHED = 1 << 18
+# Letters that stand for themselves in every normal form and have one lower case.
+LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+MARK = r"!-/:-@\[-`{-~"
+WORD_END = f"(?![^{SPACE}{MARK}])"
+
+# Where spaces are part of tokens: one space belongs to the word after it, and a single other
+# white space stands alone; a longer run stays with what follows it.
+WITH_SPACES = re.compile(f" ?[{LETTER}]++{WORD_END}|[\t-\r](?=[^{SPACE}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+WITHOUT_SPACES = re.compile(f"[{LETTER}]++{WORD_END}|[^{SPACE}]+")
+LATIN = re.compile(f" ?[{LETTER}]+")
+
+# The cache holds at most this many pieces, none longer than LONGEST; a full cache starts anew.
+CACHED = 1 << 20
 LONGEST = 48
 
 
-class _Cache(dict):
-    """Bytes of ids by chunk; encodes what is missing."""
+def _byte_letters() -> dict[int, str]:
+    """The character by which byte-level models spell each byte: printable Latin-1 characters
+    spell themselves, the others are numbered from 256."""
+    plain = [b for b in range(256) if chr(b).isprintable() and chr(b) != " "]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
-    def __init__(self, tokenizer: Tokenizer, dtype: str):
-        super().__init__()
-        self.tokenizer, self.dtype = tokenizer, dtype
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
-        if len(chunk) <= LONGEST:
+BYTE_LETTERS = _byte_letters()
+
+
+class _Pieces(dict):
+    """Bytes of ids by piece; encodes what is missing."""
+
+    def __init__(self, tokenizer: Tokenizer, spaces: bool, dtype: str):
+        super().__init__()
+        self.tokenizer, self.model, self.spaces, self.dtype = tokenizer, tokenizer.model, spaces, dtype
+
+    def __missing__(self, piece: str) -> bytes:
+        if LATIN.fullmatch(piece):
+            # What the normaliser (lower case, where there is one) and the byte alphabet make of it.
+            spelled = piece if self.spaces else piece.lower()
+            spelled = spelled.encode().decode("latin-1").translate(BYTE_LETTERS)
+            ids = [token.id for token in self.model.tokenize(spelled)]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        found = np.array(ids, self.dtype).tobytes()
+        if len(piece) <= LONGEST:
             if len(self) >= CACHED:
                 self.clear()
-            self[chunk] = ids
-        return ids
+            self[piece] = found
+        return found
 
 
 class Encoder:
@@ -48,15 +77,14 @@ class Encoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
         self.dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self._chunks = CHUNK if spaces else WORD
-        self._cache = _Cache(tokenizer, self.dtype)
-
-    def ids(self, text: str | None, end: int | None = None) -> np.ndarray:
-        """Ids of a text (NULL is empty), with the end id after them."""
-        found = b"".join(map(self._cache.__getitem__, self._chunks.findall(text or "")))
-        if end is not None:
-            found += np.array([end], self.dtype).tobytes()
-        return np.frombuffer(found, self.dtype)
+        self._cut = (WITH_SPACES if spaces else WITHOUT_SPACES).findall
+        self._ids = _Pieces(tokenizer, spaces, self.dtype).__getitem__
+
+    def ids_of(self, texts: Iterable[str | None], end: int | None = None) -> Iterator[np.ndarray]:
+        """Ids of each text (NULL is empty), with the end id after them."""
+        tail = b"" if end is None else np.array([end], self.dtype).tobytes()
+        for text in texts:
+            yield np.frombuffer(b"".join(map(self._ids, self._cut(text or ""))) + tail, self.dtype)
 
 
 @lru_cache(maxsize=4)
