@@ -102,8 +102,7 @@ def write_token_files(
             batch: pa.RecordBatch | None = first
             while batch is not None:
                 starts, counts = [], []
-                for text in batch["text"]:
-                    ids = words.ids(text.as_py(), end)
+                for ids in words.ids_of(batch["text"].to_pylist(), end):
                     tokens.add(ids)
                     starts.append(start)
                     counts.append(len(ids))
@@ -202,6 +201,6 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    # One task per file, whatever the size of the manifest.
-    spread = placed.repartition("part")
+    # The files are read side by side, one task for each.
+    spread = placed.repartition(max(1, manifest.count()), "part")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

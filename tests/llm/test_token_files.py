@@ -1,0 +1,97 @@
+import os
+import zlib
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from delivery_marts.llm import params, queries, token_files
+from delivery_marts.llm.tokens import Encoder, encoder
+from tests.llm.conftest import ODD, SF_DIR
+
+KINDS = [(params.WORD_BPE, False), (params.BYTE_BPE, True)]
+PIECES = st.sampled_from([" ", "  ", "   ", "\n", "\n\n", "\t", " ", " ", "\x1c", "\x85", "\r\n", "a", "Bc", "'s", "12",
+                          "é", "é", "Σ", "漢字", "!?", "<|endoftext|>", "_", "-", "Über", "ÿ", "ß", "e\u0301", "²", "word", "ﬁ", "İ"])
+
+
+@lru_cache(maxsize=4)
+def whole(name):
+    tokenizer = Tokenizer.from_file(params.tokenizer(name))
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name,spaces", KINDS)
+def test_cached_pieces_give_the_ids_of_the_whole_text(texts, name, spaces):
+    plain, mine = whole(name), Encoder(params.tokenizer(name), spaces)
+    all_texts = [*texts.values(), *(text for _, text in ODD)]
+    for text, ids in zip(all_texts, mine.ids_of(all_texts), strict=True):
+        assert ids.tolist() == plain(text)
+
+
+@pytest.mark.parametrize("name,spaces", KINDS)
+@settings(max_examples=400, deadline=None)
+@given(parts=st.lists(PIECES, max_size=12))
+def test_white_space_of_any_kind(name, spaces, parts):
+    text = "".join(parts)
+    (ids,) = encoder(params.tokenizer(name), spaces).ids_of([text])
+    assert ids.tolist() == whole(name)(text)
+
+
+def test_full_cache_starts_anew(monkeypatch):
+    monkeypatch.setattr("delivery_marts.llm.tokens.CACHED", 2)
+    mine = Encoder(params.tokenizer(params.BYTE_BPE), True)
+    texts = ["a b c d e a b", "a", "f" * 100, "a b", "f" * 100]
+    assert [i.tolist() for i in mine.ids_of(texts)] == [whole(params.BYTE_BPE)(t) for t in texts]
+
+
+def test_query_against_the_tokenizer(spark, texts):
+    rows = sorted(queries.op7_token_files(spark, SF_DIR).collect(), key=lambda r: r.doc_id)
+    plain, start = whole(params.WORD_BPE), 0
+    assert [r.doc_id for r in rows] == sorted(texts)
+    for r in rows:
+        ids = [*plain(texts[r.doc_id]), 1]
+        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), crc)
+        start += len(ids)
+
+
+def test_files_are_equal_sequences_read_in_place(spark, odd, tmp_path):
+    path = f"file://{tmp_path}/files"
+    manifest = token_files.write_token_files(
+        odd, path, params.tokenizer(params.WORD_BPE), False, 1, length=16, rows=4
+    ).orderBy("part").collect()
+    plain = whole(params.WORD_BPE)
+    want = sorted(ODD, key=lambda row: (row[0] is not None, row[0] or 0))
+    stream, listed = [], []
+    for entry in manifest:
+        file = token_files.TokenFile(entry.file)
+        assert file.length == 16
+        ids = np.concatenate([file.sequence(i)[0] for i in range(-(-entry.tokens // 16))])
+        mask = np.concatenate([file.sequence(i)[1] for i in range(-(-entry.tokens // 16))])
+        assert mask.tolist() == [i < entry.tokens for i in range(len(mask))]
+        stream += ids[mask].tolist()
+        listed += [d for batch in token_files.read_documents(entry["index"]) for d in batch["doc_id"].to_pylist()]
+        before = pa.total_allocated_bytes()
+        file.sequence(0)
+        assert pa.total_allocated_bytes() - before < 16 * 4 * 2, "ids are a view of the mapped file"
+    assert listed == [doc_id for doc_id, _ in want]
+    assert sorted(stream) == sorted(i for _, text in want for i in [*plain(text), 1])
+    rows = token_files.read_token_files(spark.createDataFrame(manifest, token_files.MANIFEST)).collect()
+    assert len(rows) == len(ODD)
+    assert sum(r.n_tokens for r in rows) == len(stream)
+
+
+def test_only_committed_files_count_and_bad_ones_are_refused(spark, odd, tmp_path):
+    path = f"file://{tmp_path}/files"
+    manifest = token_files.write_token_files(odd, path, params.tokenizer(params.WORD_BPE), False, 1)
+    (tmp_path / "files" / "tokens-000000-999999.arrow").write_bytes(b"left by a lost task")
+    assert token_files.read_token_files(manifest).count() == len(ODD)
+    rows = [r.asDict() | {"tokens": r.tokens + 1} for r in manifest.collect()]
+    with pytest.raises(Exception, match="has not the ids"):
+        token_files.read_token_files(spark.createDataFrame(rows, token_files.MANIFEST)).collect()
+    assert not [f for f in os.listdir(tmp_path / "files") if f.endswith(".tmp")]
