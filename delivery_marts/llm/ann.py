@@ -46,7 +46,7 @@ class Search:
     projections: int = 32
     threshold: int = 16  # collisions that make a candidate
     confidence: float = 0.9  # that the k-th neighbour reaches the threshold before the end
-    first_window: float = 0.3  # half width
+    first_window: float = 0.6  # half width
     growth: float = 1.15
     seed: int = 7
 
@@ -78,11 +78,25 @@ class Index:
         self.order = np.ascontiguousarray(np.argsort(places, axis=0, kind="stable").T)
         self.sorted = np.take_along_axis(places.T, self.order, axis=1)
         self.ratio = search.width_per_distance()
+        self.rough = vectors.astype(np.float32)
+
+    def _verified(self, candidates: np.ndarray, query: np.ndarray, least: float, slack: float) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates that can be among the k best, with exact products.
+
+        All are measured in single precision first, and those that even with ``slack``, far above
+        the error of that, fall behind the k-th or behind ``least`` are left out.
+        """
+        rough = np.take(self.rough, candidates, axis=0) @ query.astype(np.float32)
+        if len(rough) > self.search.k:
+            least = max(least, float(np.partition(rough, -self.search.k)[-self.search.k]))
+        close = candidates[rough >= least - slack]
+        return close, self.vectors[close] @ query
 
     def nearest(self, query_id: int, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids and inner products of the nearest found, best first."""
         s, count = self.search, len(self.ids)
         length = math.sqrt(float(query @ query))
+        slack = 1e-4 * length * self.longest
         at = (query / length) @ self.directions[:-1]
         reach = max(float((at - self.sorted[:, 0]).max()), float((self.sorted[:, -1] - at).max()))
         hits = np.zeros(count, np.int64)
@@ -102,8 +116,9 @@ class Index:
             hits += np.bincount(np.concatenate(ends), minlength=count)
             candidates = np.flatnonzero((hits >= s.threshold) & ~done)
             done[candidates] = True
-            found = np.concatenate((found, candidates))
-            scores = np.concatenate((scores, self.vectors[candidates] @ query))
+            least = float(scores.min()) if len(found) >= s.k else -math.inf
+            close, products = self._verified(candidates, query, least, slack)
+            found, scores = np.concatenate((found, close)), np.concatenate((scores, products))
             if len(found) > s.k:
                 best = np.lexsort((self.ids[found], -scores))[: s.k]
                 found, scores = found[best], scores[best]
