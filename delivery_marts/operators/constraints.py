@@ -85,6 +85,12 @@ def _repeated(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def unique_groups(df: DataFrame, spec: TableSpec, columns: Sequence[str]) -> DataFrame:
+    """Repeated groups of a unique index, with the values that it holds for NULLs."""
+    filled = {c: F.coalesce(F.col(c), F.lit(v)) for c, v in spec.unique_nulls.items() if c in columns}
+    return _repeated(df.withColumns(filled), columns)
+
+
 def primary_key_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Keys that repeat or hold a NULL, with the number of rows that carry them."""
     columns = _present(df, spec.primary_key)
@@ -98,10 +104,10 @@ def primary_key_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def unique_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Groups of a unique index (a NULL replacement counts as a value) that repeat."""
+    """Groups of a unique index that repeat, by the values the index holds."""
     return union(
         [
-            _repeated(df, columns).select(
+            unique_groups(df, spec, columns).select(
                 *_violation(spec, F.lit(UNIQUE), F.lit(name), key_text(columns), F.col("n").cast("string"))
             )
             for name, columns in spec.unique.items()
@@ -211,7 +217,7 @@ def violation_counts(
             repeated = primary_key_violations(df, spec).agg(F.count(F.lit(1)).alias("value"))
             frames.append(_count(repeated, spec, PRIMARY_KEY, f"{spec.name}_pkey"))
         for index, columns in spec.unique.items() if keys else ():
-            groups = _repeated(df, columns).agg(F.count(F.lit(1)).alias("value"))
+            groups = unique_groups(df, spec, columns).agg(F.count(F.lit(1)).alias("value"))
             frames.append(_count(groups, spec, UNIQUE, index))
         for ref in spec.references:
             lost = dangling_count(df, tables[ref.parent], ref)

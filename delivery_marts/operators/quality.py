@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delivery_marts.functions import has_non_digit
-from delivery_marts.operators.constraints import dangling_count, union
+from delivery_marts.operators.constraints import dangling_count, union, unique_groups
 from delivery_marts.schemas import LINE_GROUP, TABLES, Reference
 
 # Kinds: a table's row count must not be 0, a violation count must be 0.
@@ -40,8 +40,9 @@ def invalid_replaced_items(order_items: DataFrame, items: DataFrame) -> DataFram
 
 
 def duplicate_order_item_groups(order_items: DataFrame) -> DataFrame:
-    groups = order_items.groupBy(*LINE_GROUP).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.count_if(F.col("n") > 1).alias("value"))
+    """Line groups that repeat; no replacement and the id that stands for none are the same."""
+    spec = TABLES["order_items"]
+    return unique_groups(order_items, spec, LINE_GROUP).agg(F.count(F.lit(1)).alias("value"))
 
 
 def invalid_assignment_dates(assignments: DataFrame) -> DataFrame:

@@ -159,10 +159,14 @@ class TableSpec:
     references: tuple[Reference, ...] = ()
     checks: dict[str, str] = field(default_factory=dict)
     unique: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    # Columns whose NULL is one value with another in a unique rule.
+    unique_nulls: dict[str, int] = field(default_factory=dict)
     defaults: dict[str, int] = field(default_factory=dict)
 
 
 LINE_GROUP = ("order_id", "item_id", "item_price", "item_discount", "replaced_by_item_id")
+# Fixed value: in rules on line groups a missing replacement is this id.
+NO_REPLACEMENT = -1
 ASSIGNMENT_ORDER = ("order_id", "driver_id", "assigned_at", "unassigned_at")
 
 TABLES: dict[str, TableSpec] = {
@@ -200,6 +204,7 @@ TABLES: dict[str, TableSpec] = {
                 "item_canceled_quantity_not_negative": "item_canceled_quantity >= 0",
             },
             unique={"order_item_group": LINE_GROUP},
+            unique_nulls={"replaced_by_item_id": NO_REPLACEMENT},
             defaults={"item_discount": 0, "item_canceled_quantity": 0},
         ),
         TableSpec(

@@ -91,6 +91,15 @@ BAD_ROWS = {
 }
 
 
+def test_no_replacement_and_its_id_are_one_key(spark):
+    rows = [{}, {"order_item_id": 2, "replaced_by_item_id": -1}, {"order_item_id": 3, "replaced_by_item_id": 1}]
+    t = clean_tables(spark, order_items=rows)
+    report = {r.check_name: r.value for r in quality_report(t).collect()}
+    assert report["duplicate_order_item_groups"] == 1
+    unique = violations(t, {"order_items": TABLES["order_items"]}).where("kind = 'unique'")
+    assert values(unique, "row_key", "detail") == [("1,1,100,0,-1", "2")]
+
+
 @pytest.mark.parametrize("kind,name", sorted(BAD_ROWS))
 def test_each_constraint_fails_on_its_own_fault(spark, kind, name):
     t = clean_tables(spark, **BAD_ROWS[kind, name])
