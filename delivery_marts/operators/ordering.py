@@ -16,8 +16,10 @@ from pyspark.sql import types as T
 
 FILE, ROW = "file_no", "row_no"
 
-# A bigint row index takes the low 40 bits of a packed ordinal, the file number the rest.
+# A bigint row index takes the low 40 bits of a packed ordinal, the file number the rest, with
+# its sign: a feed with more files is refused when it is listed.
 ROW_BITS = 40
+MOST_FILES = (1 << (63 - ROW_BITS)) - 1
 
 
 def _rank(feed: DataFrame, file_no: Column) -> Column:

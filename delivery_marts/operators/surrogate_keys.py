@@ -7,24 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from delivery_marts.schemas import ASSIGNMENT_ORDER, LINE_GROUP
 from delivery_marts.session import scratch_path
 
 # monotonically_increasing_id() keeps the partition above this many bits of row number.
 POSITION_BITS = 33
 
 
-def with_surrogate_key(df: DataFrame, id_column: str, sort_keys: Sequence[str]) -> DataFrame:
+def with_surrogate_key(
+    df: DataFrame, id_column: str, sort_keys: Sequence[str], folder: str | None = None
+) -> DataFrame:
     """Number rows by ``sort_keys`` (NULLs last), which must tell all rows apart.
 
     Rows are range-partitioned by the whole key, so even one order with a third of the
     rows is cut into many ranges, and sorted inside their partition. That frame is
-    written to the shared scratch folder, as range bounds are sampled: a lost executor
+    written below ``folder`` (a job's scratch folder; else the shared one), as range bounds are sampled: a lost executor
     or a second action could otherwise cut elsewhere and give other numbers. A row's
     number is its place in its partition plus the sizes of the partitions before it.
     """
     spark = df.sparkSession
     order = [F.col(name).asc_nulls_last() for name in sort_keys]
-    path = scratch_path(spark, id_column)
+    path = f"{folder}/{id_column}" if folder else scratch_path(spark, id_column)
     (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -47,16 +50,10 @@ def with_surrogate_key(df: DataFrame, id_column: str, sort_keys: Sequence[str])
     return numbered.select((F.col("_offset") + position + 1).alias(id_column), *df.columns)
 
 
-def key_order_lines(lines: DataFrame) -> DataFrame:
+def key_order_lines(lines: DataFrame, folder: str | None = None) -> DataFrame:
     """Numbers follow order, item, price, discount and replacement, NULL last."""
-    return with_surrogate_key(
-        lines,
-        "order_item_id",
-        ["order_id", "item_id", "item_price", "item_discount", "replaced_by_item_id"],
-    )
+    return with_surrogate_key(lines, "order_item_id", LINE_GROUP, folder)
 
 
-def key_assignments(assignments: DataFrame) -> DataFrame:
-    return with_surrogate_key(
-        assignments, "assignment_id", ["order_id", "driver_id", "assigned_at", "unassigned_at"]
-    )
+def key_assignments(assignments: DataFrame, folder: str | None = None) -> DataFrame:
+    return with_surrogate_key(assignments, "assignment_id", ASSIGNMENT_ORDER, folder)

@@ -33,7 +33,8 @@ def normalize(feed: DataFrame) -> dict[str, DataFrame]:
 ADD_KEYS = {"order_items": key_order_lines, "delivery_assignments": key_assignments}
 
 
-def keyed(name: str, table: DataFrame) -> DataFrame:
-    """The table as declared: generated key added, columns in order and typed."""
+def keyed(name: str, table: DataFrame, folder: str | None = None) -> DataFrame:
+    """The table as declared: generated key added, columns in order and typed. What is
+    written on the way goes below ``folder``."""
     add_key = ADD_KEYS.get(name)
-    return conform(add_key(table) if add_key else table, TABLES[name].schema)
+    return conform(add_key(table, folder) if add_key else table, TABLES[name].schema)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from delivery_marts.operators.constraints import violation_counts
@@ -9,7 +12,7 @@ from delivery_marts.operators.quality import assert_quality, quality_report
 from delivery_marts.plans.marts import items_mart, orders_mart
 from delivery_marts.plans.normalize import keyed, normalize
 from delivery_marts.schemas import MARTS, TABLES
-from delivery_marts.session import configure, size_tasks
+from delivery_marts.session import Limits, configure, scratch, sized, stored_bytes
 from delivery_marts.sinks.conform import conform
 from delivery_marts.sinks.tables import (
     new_version,
@@ -20,81 +23,109 @@ from delivery_marts.sinks.tables import (
     write_table,
 )
 from delivery_marts.sources.raw_feed import feed_bytes, list_feed, read_feed
-from delivery_marts.sources.tables import mart_root, read_current, read_version, version_path
+from delivery_marts.sources.tables import (
+    mart_root,
+    published_version,
+    read_mart_version,
+    read_version,
+    version_path,
+)
 
 
 class ConstraintError(ValueError):
     """The load broke declared constraints and was not published."""
 
 
-def load(spark: SparkSession, feed_path: str, root: str) -> dict[str, int]:
+def load(spark: SparkSession, feed_path: str, root: str, limits: Limits = Limits()) -> dict[str, int]:
     """Normalise the feed and publish the seven tables, all or nothing.
 
     A version is written in full, then tested against every declared constraint, and only
     then made current. If anything fails readers keep seeing the version before. Only
     uniqueness is not tested again: each table is grouped by its key, so it holds by
     construction (and NULL keys break NOT NULL). Returns the row count of each table.
+
+    Task sizes follow the feed's bytes within ``limits``; the session is left as it was, and
+    nothing written on the way stays.
     """
     configure(spark)
-    files = list_feed(spark, feed_path)
-    size_tasks(spark, feed_bytes(files))
     version = new_version()
-
-    def writer(name: str, table: DataFrame):
-        return lambda: write_table(keyed(name, table), version_path(root, version, name))
-
-    tables = normalize(read_feed(spark, feed_path, files))
-    write_all({name: writer(name, table) for name, table in tables.items()})
-
-    written = read_version(spark, root, version)
-    broken = violation_counts(written, TABLES, keys=False).where("violations > 0").collect()
-    if broken:
-        found = {f"{r.table_name}.{r.constraint_name}": r.violations for r in broken}
-        raise ConstraintError(f"version {version} was not published: {found}")
-    counts = {r.table_name: r.row_count for r in row_counts(written).collect()}
+    with scratch(spark, root) as folder:
+        files = list_feed(spark, feed_path, f"{folder}/files")
+
+        def writer(name: str, table: DataFrame):
+            return lambda: write_table(keyed(name, table, folder), version_path(root, version, name))
+
+        with sized(spark, feed_bytes(files), limits):
+            tables = normalize(read_feed(spark, feed_path, files))
+            write_all({name: writer(name, table) for name, table in tables.items()})
+
+            written = read_version(spark, root, version)
+            broken = violation_counts(written, TABLES, keys=False).where("violations > 0").collect()
+            if broken:
+                found = {f"{r.table_name}.{r.constraint_name}": r.violations for r in broken}
+                raise ConstraintError(f"version {version} was not published: {found}")
+            counts = {r.table_name: r.row_count for r in row_counts(written).collect()}
     publish(spark, root, version, counts)
     return counts
 
 
-def check_quality(spark: SparkSession, root: str) -> dict[str, int]:
-    """All quality checks on the current tables; raises QualityError if any fails."""
+@contextmanager
+def _current_tables(
+    spark: SparkSession, root: str, names: tuple[str, ...], limits: Limits
+) -> Iterator[dict[str, DataFrame]]:
+    """Some of the current tables, in a session sized for their bytes."""
     configure(spark)
-    return assert_quality(quality_report(read_current(spark, root)))
+    version = published_version(spark, root)
+    paths = [version_path(root, version, name) for name in names]
+    with sized(spark, stored_bytes(spark, *paths), limits):
+        yield read_version(spark, root, version)
+
+
+def check_quality(spark: SparkSession, root: str, limits: Limits = Limits()) -> dict[str, int]:
+    """All quality checks on the current tables; raises QualityError if any fails."""
+    with _current_tables(spark, root, tuple(TABLES), limits) as t:
+        return assert_quality(quality_report(t))
 
 
 def _publish_mart(spark: SparkSession, root: str, name: str, mart: DataFrame, declared: bool) -> int:
     version, home = new_version(), mart_root(root, name)
     path = version_path(home, version, name)
-    write_mart(conform(mart, MARTS[name].schema) if declared else mart, path)
-    rows = spark.read.parquet(path).count()
-    publish(spark, home, version, {name: rows})
+    frame = conform(mart, MARTS[name].schema) if declared else mart
+    write_mart(frame, path)
+    schema = frame.schema.json()
+    rows = read_mart_version(spark, path, name, schema).count()
+    publish(spark, home, version, {name: rows}, schema)
     return rows
 
 
-def build_orders_mart(spark: SparkSession, root: str, declared: bool = False) -> int:
+def build_orders_mart(
+    spark: SparkSession, root: str, declared: bool = False, limits: Limits = Limits()
+) -> int:
     """Build and publish the orders mart; returns its row count.
 
     Money is double, as computed. ``declared`` gives the declared types instead and
     raises if a value does not fit them.
     """
-    configure(spark)
-    t = read_current(spark, root)
-    mart = orders_mart(t["orders"], t["order_items"], t["delivery_assignments"])
-    return _publish_mart(spark, root, "orders_datamart", mart, declared)
+    with _current_tables(spark, root, ("orders", "order_items", "delivery_assignments"), limits) as t:
+        mart = orders_mart(t["orders"], t["order_items"], t["delivery_assignments"])
+        return _publish_mart(spark, root, "orders_datamart", mart, declared)
 
 
-def build_items_mart(spark: SparkSession, root: str, declared: bool = False) -> int:
+def build_items_mart(
+    spark: SparkSession, root: str, declared: bool = False, limits: Limits = Limits()
+) -> int:
     """Build and publish the items mart, like ``build_orders_mart``."""
-    configure(spark)
-    t = read_current(spark, root)
-    mart = items_mart(t["orders"], t["order_items"], t["items"])
-    return _publish_mart(spark, root, "items_datamart", mart, declared)
+    with _current_tables(spark, root, ("orders", "order_items", "items"), limits) as t:
+        mart = items_mart(t["orders"], t["order_items"], t["items"])
+        return _publish_mart(spark, root, "items_datamart", mart, declared)
 
 
-def run_pipeline(spark: SparkSession, feed_path: str, root: str) -> dict[str, int]:
+def run_pipeline(
+    spark: SparkSession, feed_path: str, root: str, limits: Limits = Limits()
+) -> dict[str, int]:
     """All four jobs in order; a failure stops the ones after it."""
-    counts = load(spark, feed_path, root)
-    check_quality(spark, root)
-    counts["orders_datamart"] = build_orders_mart(spark, root)
-    counts["items_datamart"] = build_items_mart(spark, root)
+    counts = load(spark, feed_path, root, limits)
+    check_quality(spark, root, limits)
+    counts["orders_datamart"] = build_orders_mart(spark, root, limits=limits)
+    counts["items_datamart"] = build_items_mart(spark, root, limits=limits)
     return counts

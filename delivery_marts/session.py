@@ -1,12 +1,15 @@
-"""Session settings the plans rely on, and the shared folder for cut lineage."""
+"""Session settings the plans rely on, task sizes by input, and scratch folders."""
 
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Runtime SQL settings; all may be changed on a live session.
 RUNTIME_SETTINGS = {
@@ -20,13 +23,22 @@ RUNTIME_SETTINGS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
-# Sizes for large inputs: feed bytes per shuffle partition and per scan task. Map tasks
-# times reducers is the number of shuffle blocks, so neither may grow without end; past
-# the limits tasks get larger and spill.
-SHUFFLE_PARTITION_BYTES = 512 << 20
-MOST_SHUFFLE_PARTITIONS = 20_000
-SCAN_TASKS = 100_000
-LARGEST_SCAN_BYTES = 1 << 30
+PARTITIONS, SPLIT = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+
+
+@dataclass(frozen=True)
+class Limits:
+    """How a job's tasks grow with its input; every job takes one.
+
+    Map tasks times reducers is the number of shuffle blocks, so neither may grow without
+    end: past the two limits tasks get larger and spill. A cluster whose shuffle service
+    merges blocks can raise them.
+    """
+
+    shuffle_partition_bytes: int = 512 << 20  # stored input per shuffle partition
+    most_shuffle_partitions: int = 100_000
+    scan_tasks: int = 100_000
+    largest_scan_bytes: int = 1 << 30
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -35,26 +47,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def task_sizes(input_bytes: int, shuffle_partitions: int, scan_bytes: int) -> tuple[int, int]:
+def task_sizes(
+    input_bytes: int, shuffle_partitions: int, scan_bytes: int, limits: Limits = Limits()
+) -> tuple[int, int]:
     """Shuffle partitions and bytes per scan task for an input; never below those given."""
-    partitions = min(math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
-    split = min(math.ceil(input_bytes / SCAN_TASKS), LARGEST_SCAN_BYTES)
+    wanted = math.ceil(input_bytes / limits.shuffle_partition_bytes)
+    partitions = min(wanted, limits.most_shuffle_partitions)
+    split = min(math.ceil(input_bytes / limits.scan_tasks), limits.largest_scan_bytes)
     return max(partitions, shuffle_partitions), max(split, scan_bytes)
 
 
-def size_tasks(spark: SparkSession, input_bytes: int) -> None:
-    """Fit the session to an input's size.
+@contextmanager
+def sized(spark: SparkSession, input_bytes: int, limits: Limits = Limits()) -> Iterator[None]:
+    """Fits the session to an input's size, and back to what it was afterwards.
 
     Adaptive execution merges partitions that turn out small but cannot cut a shuffle
     into more than it began with, so the count has to start high enough.
     """
-    partitions, split = task_sizes(
-        input_bytes,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")),
-    )
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    before = {key: spark.conf.get(key) for key in (PARTITIONS, SPLIT)}
+    sizes = task_sizes(input_bytes, int(before[PARTITIONS]), _bytes(before[SPLIT]), limits)
+    try:
+        for key, size in zip((PARTITIONS, SPLIT), sizes, strict=True):
+            spark.conf.set(key, str(size))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _bytes(setting: str) -> int:
@@ -64,12 +82,49 @@ def _bytes(setting: str) -> int:
     return int(text[:-1]) << unit if unit else int(text)
 
 
+@contextmanager
+def listing(spark: SparkSession) -> Iterator[None]:
+    """For scans that only list files: tasks by cores, not one for each large file."""
+    before = spark.conf.get(SPLIT)
+    try:
+        spark.conf.set(SPLIT, str(1 << 60))
+        yield
+    finally:
+        spark.conf.set(SPLIT, before)
+
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of all files below some folders; they are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    with listing(spark):
+        return files.agg(F.sum("length")).first()[0] or 0
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under the cluster's shared checkpoint folder."""
+    """A fresh folder name under the cluster's shared checkpoint folder.
+
+    For plans that have no folder of their own; jobs keep what they need below their root.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="delivery-marts-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # The warehouse is shared by definition.
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/delivery_marts/{label}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder this library has written; one that is not there is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, root: str) -> Iterator[str]:
+    """A folder below a job's root for what it writes on the way, gone when the job ends."""
+    path = f"{root.rstrip('/')}/scratch/{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        delete_folder(spark, path)

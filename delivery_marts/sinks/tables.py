@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delivery_marts.sources.tables import PUBLICATION
+from delivery_marts.sources.tables import PUBLICATION, current
 
 # Tables written side by side: a small table's last tasks leave the cluster idle.
 PARALLEL_WRITES = 4
@@ -57,12 +57,17 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def publish(spark: SparkSession, root: str, version: str, counts: dict[str, int]) -> None:
+def publish(
+    spark: SparkSession, root: str, version: str, counts: dict[str, int], schema: str | None = None
+) -> None:
     """Make a fully written version the current one.
 
     Appending one row to the publication log is the only step a reader can see, and it
     commits as one file: readers find the old version or the new one, never a mix.
+    ``schema`` is kept with a mart, whose types depend on how it was built.
     """
     now = dt.datetime.now(dt.timezone.utc)
-    record = spark.createDataFrame([(version, now, counts)], PUBLICATION)
+    newest = current(spark, root)
+    number = (newest.sequence or 0) + 1 if newest else 1
+    record = spark.createDataFrame([(version, number, now, counts, schema)], PUBLICATION)
     record.coalesce(1).write.mode("append").json(f"{root}/published")

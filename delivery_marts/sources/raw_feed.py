@@ -2,41 +2,51 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delivery_marts.functions import nan_to_null
-from delivery_marts.operators.ordering import FILE, ROW
+from delivery_marts.operators.ordering import FILE, MOST_FILES, ROW
 from delivery_marts.schemas import RAW_FEED
-from delivery_marts.session import configure, scratch_path
+from delivery_marts.session import configure, listing, scratch_path
 from delivery_marts.sinks.conform import typed
 
-# The path-to-number map is broadcast up to this many bytes of paths (some two million
-# files); beyond that Spark joins it like any other table.
-BROADCAST_PATH_BYTES = 256 << 20
 FOOTER_THREADS = 16
 
 
-def list_feed(spark: SparkSession, path: str) -> DataFrame:
-    """The feed's files as (file_path, length, file_no), numbered by plain path.
+def list_feed(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
+    """The feed's files as (file_path, length, file_no, path_hash), numbered by plain path.
 
     Lists files without reading any. The list has one row per file, none per record; it
-    is written to the scratch folder so that all plans on a feed see the same files and
-    the file system is asked once.
+    is written to ``folder`` (else to the shared scratch folder) so that all plans on a feed
+    see the same files and the file system is asked once. Raises for more files than a packed
+    ordinal can number, and in the case, hardly possible, that two paths share a hash.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "length", "_metadata.file_path")
     number = F.row_number().over(Window.orderBy("path")).cast("bigint")
-    scratch = scratch_path(spark, "feed-files")
-    files.select("file_path", "length", number.alias(FILE)).write.parquet(scratch)
-    return spark.read.parquet(scratch)
+    hashed = F.xxhash64("file_path").alias("path_hash")
+    target = folder or scratch_path(spark, "feed-files")
+    with listing(spark):
+        files.select("file_path", "length", number.alias(FILE), hashed).write.parquet(target)
+    listed = spark.read.parquet(target)
+    known_files, hashes = listed.agg(F.count(F.lit(1)), F.count_distinct("path_hash")).first()
+    if known_files > MOST_FILES:
+        raise ValueError(f"{path} has {known_files} files; {MOST_FILES} can be numbered")
+    if hashes != known_files:
+        raise ValueError(f"two paths of {path} have the same hash; rename one file")
+    return listed
 
 
 def feed_bytes(files: DataFrame) -> int:
@@ -44,11 +54,10 @@ def feed_bytes(files: DataFrame) -> int:
 
 
 def _file_numbers(files: DataFrame) -> DataFrame:
-    """Numbers by path. Being grouped, paths are known to be unique, and plans that need
-    no file number drop the join to this table."""
-    numbers = files.groupBy("file_path").agg(F.max(FILE).alias(FILE))
-    path_bytes = files.agg(F.sum(F.octet_length("file_path"))).first()[0] or 0
-    return F.broadcast(numbers) if path_bytes <= BROADCAST_PATH_BYTES else numbers
+    """Numbers by path hash, two bigints for each of at most ``MOST_FILES`` files: that bound
+    is what makes them fit a broadcast. Being grouped, hashes are known to be unique, and plans
+    that need no file number drop the join to this table."""
+    return F.broadcast(files.groupBy("path_hash").agg(F.max(FILE).alias(FILE)))
 
 
 def _from_epoch(micros: Column) -> Column:
@@ -76,7 +85,7 @@ def _declared(raw: DataFrame) -> DataFrame:
     """The feed's columns in declared types, with path and row index."""
     return raw.select(
         *[_feed_value(f, raw.schema[f.name].dataType).alias(f.name) for f in RAW_FEED],
-        F.col("_metadata.file_path").alias("file_path"),
+        F.xxhash64("_metadata.file_path").alias("path_hash"),
         F.col("_metadata.row_index").alias(ROW),
     )
 
@@ -86,36 +95,83 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
+def _kinds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The physical types of each file's feed columns, from its footer; NULL where the store is
+    one that only Spark can open."""
+    for batch in batches:
+        kinds: list[str | None] = []
+        for uri in batch["file_path"]:
+            try:
+                system, path = fs.FileSystem.from_uri(uri)
+            except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+                kinds.append(None)
+                continue
+            schema = pq.read_schema(path, filesystem=system)
+            found = {f.name: str(f.type) for f in schema}
+            kinds.append(json.dumps({name: found.get(name) for name in RAW_FEED.names}))
+        yield batch.assign(kinds=kinds)
+
+
+def _spark_kinds(spark: SparkSession, files: list[str]) -> list[str]:
+    """The same from Spark's own reader, a job for each file."""
+
+    def kinds(file: str) -> str:
+        found = {f.name: f.dataType.simpleString() for f in spark.read.parquet(_literal(file)).schema}
+        return json.dumps({name: found.get(name) for name in RAW_FEED.names})
+
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        return list(pool.map(kinds, files))
+
+
+def _groups(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by physical schema; one file is enough where all are alike.
+
+    Footers are read in one distributed pass, and what comes to the driver is a row per
+    distinct schema. Only if there are several, the paths follow, which Spark's reader wants
+    as a list (and holds itself, for any scan).
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path", "_metadata.file_path")
+    footers = listed.repartition(F.xxhash64("path")).mapInPandas(
+        _kinds, "path string, file_path string, kinds string"
+    )
+    with listing(spark):
+        known_kinds = footers.groupBy("kinds").agg(F.min("path").alias("path")).collect()
+        if any(row.kinds is None for row in known_kinds):
+            paths = [row.path for row in listed.toLocalIterator()]
+            pairs = list(zip(_spark_kinds(spark, paths), paths, strict=True))
+        elif len(known_kinds) > 1:
+            pairs = [(row.kinds, row.path) for row in footers.select("kinds", "path").toLocalIterator()]
+        else:
+            pairs = [(row.kinds, row.path) for row in known_kinds]
+    for kinds, file in pairs:
+        if lacking := [name for name, kind in json.loads(kinds).items() if kind is None]:
+            raise ValueError(f"{file} lacks {', '.join(lacking)}")
+    groups: dict[str, list[str]] = defaultdict(list)
+    for kinds, file in pairs:
+        groups[kinds].append(file)
+    return groups
+
+
 def _scans(spark: SparkSession, path: str) -> list[DataFrame]:
     """The matching files as few scans, each of files with the same physical schema.
 
     Writers that hold integers as floats once a NULL turns up give a column different
-    types in different files, which one Spark scan cannot read. The usual case, all
-    files alike, is settled by one distributed pass over the footers; only if that
-    finds a conflict is each file's schema asked for.
+    types in different files, which one Spark scan cannot read. A file that lacks one of the
+    feed's columns raises: read with the others it would silently give NULLs.
     """
-    try:
-        return [spark.read.option("mergeSchema", "true").parquet(path)]
-    except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE" not in str(error):
-            raise
-    listing = spark.read.format("binaryFile").load(path).select("path")
-    files = [_literal(row.path) for row in listing.toLocalIterator()]
-    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        schemas = list(pool.map(lambda file: spark.read.parquet(file).schema, files))
-    groups: dict[str, list[int]] = defaultdict(list)
-    for index, schema in enumerate(schemas):
-        groups[schema.json()].append(index)
-    return [
-        spark.read.schema(schemas[members[0]]).parquet(*[files[i] for i in members])
-        for members in groups.values()
-    ]
+    groups = _groups(spark, path)
+    scans = []
+    for files in groups.values():
+        schema = spark.read.parquet(_literal(files[0])).schema
+        matching = [path] if len(groups) == 1 else [_literal(file) for file in files]
+        scans.append(spark.read.schema(schema).parquet(*matching))
+    return scans
 
 
 def read_feed(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
     """The feed's 25 columns plus ``file_no`` and ``row_no``; ``files`` as ``list_feed`` gives it.
 
-    Raises if nothing matches ``path`` or no file has one of the columns. Scans stay
+    Raises if nothing matches ``path`` or any file lacks one of the columns. Scans stay
     pruned: only the columns a plan uses are read.
     """
     configure(spark)
@@ -123,5 +179,5 @@ def read_feed(spark: SparkSession, path: str, files: DataFrame | None = None) ->
     feed = reduce(DataFrame.unionByName, [_declared(scan) for scan in _scans(spark, path)])
     # A file that came in after the listing has no number; dropping it silently or
     # leaving it unordered would both be wrong.
-    listed = F.coalesce(FILE, F.raise_error(F.concat(F.lit("file not listed: "), "file_path")))
-    return feed.join(numbers, "file_path", "left").withColumn(FILE, listed).drop("file_path")
+    listed = F.coalesce(FILE, F.raise_error(F.lit("file not listed")))
+    return feed.join(numbers, "path_hash", "left").withColumn(FILE, listed).drop("path_hash")

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delivery_marts.schemas import MARTS, TABLES, storage_schema
+from delivery_marts.schemas import MARTS, TABLES, computed_schema, storage_schema
 
 PUBLICATION = T.StructType(
     [
         T.StructField("version", T.StringType()),
+        T.StructField("sequence", T.LongType()),
         T.StructField("published_at", T.TimestampType()),
         T.StructField("row_counts", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("schema", T.StringType()),
     ]
 )
 
@@ -33,9 +37,20 @@ def publications(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], PUBLICATION)
 
 
+def current(spark: SparkSession, root: str) -> Row | None:
+    """The newest record of the log.
+
+    Records are numbered, as the clocks of two drivers need not agree; the time only tells
+    apart records that were numbered alike because they were written at once.
+    """
+    log = publications(spark, root)
+    order = F.struct(F.coalesce("sequence", F.lit(0)), "published_at", "version")
+    return log.agg(F.max_by(F.struct(*log.columns), order).alias("newest")).first().newest
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
-    newest = F.max_by("version", F.struct("published_at", "version"))
-    return publications(spark, root).agg(newest).first()[0]
+    newest = current(spark, root)
+    return newest.version if newest else None
 
 
 def version_path(root: str, version: str, table: str) -> str:
@@ -50,16 +65,21 @@ def read_version(spark: SparkSession, root: str, version: str) -> dict[str, Data
     }
 
 
-def _published(spark: SparkSession, root: str) -> str:
-    version = current_version(spark, root)
-    if version is None:
+def _published(spark: SparkSession, root: str) -> Row:
+    newest = current(spark, root)
+    if newest is None:
         raise FileNotFoundError(f"nothing has been published under {root}")
-    return version
+    return newest
+
+
+def published_version(spark: SparkSession, root: str) -> str:
+    """The newest published version; raises if there is none."""
+    return _published(spark, root).version
 
 
 def read_current(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Tables of the newest published version."""
-    return read_version(spark, root, _published(spark, root))
+    return read_version(spark, root, published_version(spark, root))
 
 
 def mart_root(root: str, name: str) -> str:
@@ -70,5 +90,11 @@ def mart_root(root: str, name: str) -> str:
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The newest published version of a mart, in the types it was published with."""
     home = mart_root(root, name)
-    path = version_path(home, _published(spark, home), name)
-    return spark.read.parquet(path).select(*MARTS[name].schema.names)
+    newest = _published(spark, home)
+    return read_mart_version(spark, version_path(home, newest.version, name), name, newest.schema)
+
+
+def read_mart_version(spark: SparkSession, path: str, name: str, schema: str | None = None) -> DataFrame:
+    """A mart's files; the schema is given, as an empty mart has no file to infer one from."""
+    given = T.StructType.fromJson(json.loads(schema)) if schema else computed_schema(MARTS[name].schema)
+    return spark.read.schema(given).parquet(path).select(*MARTS[name].schema.names)

@@ -189,7 +189,17 @@ def test_each_dimension_and_header_shuffles_its_key_once(spark, raw_feed):
     tables = normalize(raw_feed)
     for name, key in {"users": "user_id", "stores": "store_id", "items": "item_id", "orders": "order_id"}.items():
         exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#", plan(tables[name]))
-        assert [e for e in exchanges if e != "file_path"] == [key], name
+        assert [e for e in exchanges if e != "path_hash"] == [key], name
+
+
+def test_file_numbers_never_shuffle_the_feed(spark, raw_feed):
+    """Also where broadcasts are not chosen by size: the numbers have a fixed bound."""
+    with settings(spark, **NO_BROADCAST):
+        for name, table in normalize(raw_feed).items():
+            text = plan(table)
+            assert "SortMergeJoin [path_hash" not in text, name
+            # the only exchange by path is of the list of files
+            assert text.count("Exchange hashpartitioning(path_hash") == text.count("BroadcastHashJoin [path_hash"), name
 
 
 def test_assignment_ends_are_hash_aggregated(spark, raw_feed):

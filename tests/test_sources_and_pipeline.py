@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import numpy as np
 import pandas as pd
@@ -7,6 +8,7 @@ from pyspark.errors import AnalysisException
 
 import jobs
 from delivery_marts.operators.quality import QualityError
+from delivery_marts.plans import pipeline
 from delivery_marts.plans.pipeline import (
     ConstraintError,
     build_items_mart,
@@ -15,13 +17,23 @@ from delivery_marts.plans.pipeline import (
     load,
     run_pipeline,
 )
-from delivery_marts.schemas import MARTS, RAW_FEED, TABLES, computed_schema
-from delivery_marts.session import _bytes, scratch_path, task_sizes
+from delivery_marts.schemas import MARTS, RAW_FEED, TABLES, computed_schema, storage_schema
+from delivery_marts.operators.ordering import MOST_FILES
+from delivery_marts.session import Limits, _bytes, scratch_path, sized, stored_bytes, task_sizes
 from delivery_marts.sinks.jdbc import write_jdbc
-from delivery_marts.sinks.tables import row_counts, write_mart, write_table
+from delivery_marts.sinks.tables import publish, row_counts, write_mart, write_table
 from delivery_marts.sources.jdbc import range_options
+from delivery_marts.sources import raw_feed
 from delivery_marts.sources.raw_feed import feed_bytes, list_feed, read_feed
-from delivery_marts.sources.tables import current_version, mart_root, publications, read_current, read_mart, read_table
+from delivery_marts.sources.tables import (
+    current_version,
+    mart_root,
+    publications,
+    read_current,
+    read_mart,
+    read_table,
+    version_path,
+)
 from tests.conftest import LINE, at, values
 
 
@@ -67,6 +79,62 @@ def test_missing_column_raises(spark, tmp_path):
         read_feed(spark, f"{tmp_path}/*.parquet")
 
 
+def test_a_single_file_that_lacks_columns_raises(spark, tmp_path):
+    """Read with the others it would give NULLs, and its lines would be dropped silently."""
+    write_file(tmp_path, "a.parquet", *[{"order_id": i} for i in range(5)])
+    lines = pd.DataFrame([LINE] * 5, columns=RAW_FEED.names)
+    lines.drop(columns=["item_price", "driver_id"]).to_parquet(tmp_path / "b.parquet")
+    with pytest.raises(ValueError, match="b.parquet lacks driver_id, item_price"):
+        read_feed(spark, f"{tmp_path}/*.parquet")
+    # the same where types differ between files as well
+    write_file(tmp_path, "c.parquet", {"driver_id": np.nan})
+    with pytest.raises(ValueError, match="b.parquet lacks"):
+        read_feed(spark, f"{tmp_path}/*.parquet")
+
+
+def jobs_started(spark, action):
+    group = f"count-{id(action)}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    action()
+    spark.sparkContext.setJobGroup("none", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_do_not_grow_with_the_files(spark, tmp_path):
+    """Half of the files hold an integer column as double."""
+    counts = []
+    for files in (4, 60):
+        folder = tmp_path / str(files)
+        folder.mkdir()
+        for i in range(files):
+            write_file(folder, f"{i}.parquet", {"order_id": i, "driver_id": np.nan if i % 2 else 1})
+        pattern = f"{folder}/*.parquet"
+        counts.append(jobs_started(spark, lambda pattern=pattern: read_feed(spark, pattern)))
+        assert read_feed(spark, pattern).select("order_id").count() == files
+    # the paths of the mixed case come partition by partition, of which there are a few
+    assert counts[1] <= counts[0] + spark.sparkContext.defaultParallelism + 4
+
+
+def test_stores_that_only_spark_opens_are_read_all_the_same(spark, tmp_path, monkeypatch):
+    write_file(tmp_path, "a.parquet", {"driver_id": 5})
+    write_file(tmp_path, "b.parquet", {"driver_id": np.nan})
+    monkeypatch.setattr(raw_feed, "_kinds", lambda batches: (b.assign(kinds=[None] * len(b)) for b in batches))
+    got = values(read_feed(spark, f"{tmp_path}/*.parquet"), "file_no", "driver_id")
+    assert got == [(1, 5), (2, None)]
+    pd.DataFrame([{"order_id": 1}]).to_parquet(tmp_path / "c.parquet")
+    with pytest.raises(ValueError, match="c.parquet lacks"):
+        read_feed(spark, f"{tmp_path}/*.parquet")
+
+
+def test_more_files_than_can_be_numbered_are_refused(spark, tmp_path, monkeypatch):
+    assert (MOST_FILES << 40) + (1 << 40) - 1 == (1 << 63) - 1
+    write_file(tmp_path, "a.parquet", {})
+    write_file(tmp_path, "b.parquet", {})
+    monkeypatch.setattr(raw_feed, "MOST_FILES", 1)
+    with pytest.raises(ValueError, match="has 2 files; 1 can be numbered"):
+        list_feed(spark, f"{tmp_path}/*.parquet")
+
+
 def test_column_types_may_differ_between_files(spark, tmp_path):
     """pandas writes an integer column as double once it holds a NULL."""
     write_file(tmp_path, "a.parquet", {"driver_id": 5})
@@ -269,7 +337,67 @@ def test_task_sizes_grow_with_the_input_within_limits():
     assert task_sizes(10 << 20, 200, 128 << 20) == (200, 128 << 20)
     partitions, split = task_sizes(1 << 40, 200, 128 << 20)
     assert (partitions, split) == (2048, 128 << 20)
-    assert task_sizes(100 << 40, 200, 128 << 20) == (20_000, 1 << 30)
+    assert task_sizes(100 << 40, 200, 128 << 20) == (100_000, 1 << 30)
+    assert task_sizes(100 << 40, 200, 128 << 20, Limits(most_shuffle_partitions=300_000))[0] == 204_800
+
+
+def test_jobs_are_sized_by_their_input_and_leave_the_session_as_it_was(spark, tmp_path, raw, monkeypatch):
+    root, names = str(tmp_path / "out"), ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(name) for name in names]
+    seen = []
+
+    def noted(plan):
+        def run(*args):
+            seen.append(int(spark.conf.get(names[0])))
+            return plan(*args)
+
+        return run
+
+    for name in ("normalize", "quality_report", "orders_mart", "items_mart"):
+        monkeypatch.setattr(pipeline, name, noted(getattr(pipeline, name)))
+    small = Limits(shuffle_partition_bytes=1 << 10, most_shuffle_partitions=7)
+    run_pipeline(spark, f"{raw}/*.parquet", root, small)
+    assert seen == [7] * 4
+    assert [spark.conf.get(name) for name in names] == before
+    with pytest.raises(ZeroDivisionError), sized(spark, 1 << 50):
+        raise ZeroDivisionError
+    assert [spark.conf.get(name) for name in names] == before
+    assert stored_bytes(spark, str(raw)) == (raw / "a.parquet").stat().st_size
+
+
+def test_nothing_intermediate_stays(spark, tmp_path, raw):
+    root = tmp_path / "out"
+    shared = sorted(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    run_pipeline(spark, f"{raw}/*.parquet", str(root))
+    write_file(raw, "b.parquet", {"user_id": None})
+    with pytest.raises(ConstraintError):
+        load(spark, f"{raw}/*.parquet", str(root))
+    assert sorted(os.listdir(root)) == ["marts", "published", "scratch", "versions"]
+    assert os.listdir(root / "scratch") == []
+    assert sorted(os.listdir(spark.conf.get("spark.checkpoint.dir"))) == shared
+
+
+@pytest.mark.parametrize("declared", [True, False])
+def test_empty_marts_have_their_columns(spark, tmp_path, declared):
+    root = str(tmp_path / "out")
+    for name, spec in TABLES.items():
+        empty = spark.createDataFrame([], storage_schema(spec.schema))
+        write_table(empty, version_path(root, "v1", name))
+    publish(spark, root, "v1", dict.fromkeys(TABLES, 0))
+    assert build_orders_mart(spark, root, declared) == build_items_mart(spark, root, declared) == 0
+    for name, spec in MARTS.items():
+        mart = read_mart(spark, root, name)
+        assert mart.columns == spec.schema.names and mart.count() == 0
+
+
+def test_the_last_publication_counts_whatever_the_clocks_say(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "out")
+    publish(spark, root, "v-late-clock", {})
+    moment = publications(spark, root).first().published_at
+    early = type("Early", (dt.datetime,), {"now": classmethod(lambda cls, tz: moment - dt.timedelta(days=1))})
+    monkeypatch.setattr("delivery_marts.sinks.tables.dt.datetime", early)
+    publish(spark, root, "a-early-clock", {})
+    assert current_version(spark, root) == "a-early-clock"
 
 
 def test_byte_settings():
