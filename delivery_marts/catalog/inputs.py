@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from delivery_marts.operators.assignments import assignment_intervals
 from delivery_marts.operators.headers import file_order_ends
 from delivery_marts.operators.lines import drop_unkeyed_lines
-from delivery_marts.plans.normalize import normalize
-from delivery_marts.schemas import ASSIGNMENT_ORDER, LINE_GROUP
+from delivery_marts.plans.normalize import keyed, normalize
+from delivery_marts.schemas import ASSIGNMENT_ORDER, LINE_GROUP, NO_REPLACEMENT, TABLES
 from delivery_marts.functions import unfill_replaced_id
 from delivery_marts.session import configure, scratch_path
 from delivery_marts.sinks.tables import write_table
+from delivery_marts.sources.tables import read_table
 from delivery_marts.sources.driver_tables import read_feed
 
 
@@ -28,24 +29,11 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return normalize(feed(spark, sf_dir))
 
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
-
-def written(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """Normalised tables read back from the shared folder, each written once a session.
-
-    For reports with many branches over the same tables, as a job on published tables
-    has them; a lazy plan would normalise the feed again in every branch.
-    """
-    paths = {}
-    for name in names:
-        key = (spark.sparkContext.applicationId, sf_dir, name)
-        if key not in _WRITTEN:
-            path = scratch_path(spark, name)
-            write_table(tables(spark, sf_dir)[name], path)
-            _WRITTEN[key] = path
-        paths[name] = _WRITTEN[key]
-    return {name: configure(spark).read.parquet(path) for name, path in paths.items()}
+def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A normalised table written to the shared folder and read back as a published one is."""
+    path = scratch_path(spark, name)
+    write_table(keyed(name, tables(spark, sf_dir)[name]), path)
+    return read_table(spark, path, TABLES[name].schema)
 
 
 def spoiled_orders(orders: DataFrame) -> DataFrame:
@@ -81,9 +69,20 @@ def spoiled_assignments(assignments: DataFrame) -> DataFrame:
 
 
 def unmerged_lines(source: DataFrame) -> DataFrame:
-    return drop_unkeyed_lines(source).withColumn(
+    """Lines before they are merged; some without a replacement once more, with the id that
+    stands for none."""
+    lines = drop_unkeyed_lines(source).withColumn(
         "replaced_by_item_id", unfill_replaced_id(F.col("item_replaced_id"))
-    ).select(*LINE_GROUP, "item_quantity", "item_canceled_quantity")
+    )
+    again = lines.where("replaced_by_item_id IS NULL AND item_quantity = 7").withColumn(
+        "replaced_by_item_id", F.lit(NO_REPLACEMENT)
+    )
+    return lines.unionByName(again).select(*LINE_GROUP, "item_quantity", "item_canceled_quantity")
+
+
+def paired_keys(table: DataFrame, key: str) -> DataFrame:
+    """Generated keys halved, so that each stands on two rows (the first on one)."""
+    return table.withColumn(key, F.expr(f"{key} div 2"))
 
 
 def shifted_lines(lines: DataFrame) -> DataFrame:

@@ -160,16 +160,34 @@ shifted_lines AS (
     item_discount + 95 AS item_discount, item_canceled_quantity - 2 AS item_canceled_quantity)
   FROM lines_t
 ),
-unmerged_lines AS (
-  SELECT order_id, item_id, item_price, item_discount,
+single_lines AS (
+  SELECT order_id, item_id, item_price, item_discount, item_quantity,
     CASE WHEN item_replaced_id <> -1 THEN item_replaced_id END AS replaced_by_item_id
   FROM feed WHERE order_id IS NOT NULL AND item_id IS NOT NULL AND item_price IS NOT NULL
     AND item_discount IS NOT NULL
+),
+unmerged_lines AS (
+  SELECT * FROM single_lines UNION ALL
+  SELECT * REPLACE (-1 AS replaced_by_item_id) FROM single_lines
+  WHERE replaced_by_item_id IS NULL AND item_quantity = 7
+),
+numbered_lines AS (
+  SELECT row_number() OVER (ORDER BY order_id, item_id, item_price,
+      item_discount, replaced_by_item_id NULLS LAST) AS order_item_id,
+    CAST(order_id AS BIGINT) AS order_id, CAST(item_id AS BIGINT) AS item_id,
+    item_quantity, item_price, item_discount, item_canceled_quantity,
+    CAST(replaced_by_item_id AS BIGINT) AS replaced_by_item_id FROM lines_t
+),
+numbered_assignments AS (
+  SELECT row_number() OVER (ORDER BY order_id, driver_id, assigned_at,
+      unassigned_at NULLS LAST) AS assignment_id, CAST(order_id AS BIGINT) AS order_id,
+    CAST(driver_id AS BIGINT) AS driver_id, assigned_at, unassigned_at FROM assignments_t
 )
 """
 
 LINE_KEY = "order_id, item_id, item_price, item_discount, replaced_by_item_id"
 ASSIGNMENT_KEY = "order_id, driver_id, assigned_at, unassigned_at"
+REPLACED_GROUP = "order_id, item_id, item_price, item_discount, coalesce(replaced_by_item_id, -1)"
 CELL_KEY = "store_id, item_id, year, month, day, city"
 
 
@@ -262,6 +280,9 @@ def _repeats(table: str, kind: str, name: str, key: str, source: str, null_too:
       FROM {source} GROUP BY {key} HAVING {having}"""
 
 
+FILLED_LINES = (
+    "(SELECT * REPLACE (coalesce(replaced_by_item_id, -1) AS replaced_by_item_id) FROM unmerged_lines)"
+)
 CANDIDATES = {
     "users": ("user_id", "(SELECT DISTINCT user_id, user_phone FROM feed)"),
     "stores": ("store_id", "(SELECT DISTINCT store_id, store_address FROM feed)"),
@@ -272,10 +293,18 @@ CANDIDATES = {
     "items_datamart": (CELL_KEY, "items_mart_t"),
 }
 
+# Generated keys, halved so that they repeat.
+PAIRED = {
+    "order_items": ("order_item_id", "(SELECT order_item_id // 2 AS order_item_id FROM numbered_lines)"),
+    "delivery_assignments": (
+        "assignment_id", "(SELECT assignment_id // 2 AS assignment_id FROM numbered_assignments)",
+    ),
+}
+
 PRIMARY_KEY = _union(
     [
         _repeats(table, "primary_key", f"{table}_pkey", key, source, null_too=True)
-        for table, (key, source) in CANDIDATES.items()
+        for table, (key, source) in {**CANDIDATES, **PAIRED}.items()
     ]
 )
 
@@ -340,7 +369,7 @@ _counted += [
     for table, (key, _) in CANDIDATES.items()
     if not table.endswith("datamart")
 ]
-_counted.append(_zero("order_items", "unique", "order_item_group", _duplicates("lines_t", LINE_KEY)))
+_counted.append(_zero("order_items", "unique", "order_item_group", _duplicates("lines_t", REPLACED_GROUP)))
 _counted += [
     _zero(
         table, "foreign_key", f"{table}_{column}_fkey",
@@ -364,7 +393,6 @@ NON_DIGIT = "regexp_matches({}, '[^0-9]')"
 LOST_REPLACEMENT = """SELECT count(*) FROM {} l LEFT JOIN items_t i ON l.replaced_by_item_id = i.item_id
   WHERE l.replaced_by_item_id IS NOT NULL AND i.item_id IS NULL"""
 INVERTED = "unassigned_at IS NOT NULL AND unassigned_at < assigned_at"
-REPLACED_GROUP = "order_id, item_id, item_price, item_discount, coalesce(replaced_by_item_id, -1)"
 
 CHECK_VALUES = {
     "orphan_order_items": [
@@ -421,7 +449,7 @@ def _wide(*ids: str) -> str:
 
 SELECTS: dict[str, str] = {
     "raw_feed_scan": "SELECT * EXCLUDE (row_no, file_no), CAST(file_no AS BIGINT) AS file_no FROM feed",
-    "scan_table": "SELECT * FROM orders_t",
+    "scan_table": f"SELECT * REPLACE ({_wide('order_id', 'user_id', 'store_id')}) FROM orders_t",
     "normalize_phone": f"""SELECT order_id, user_id, {_phone("user_phone")} AS user_phone,
       {_phone("driver_phone")} AS driver_phone FROM feed""",
     "nan_to_null": """SELECT l_orderkey, l_linenumber,
@@ -440,14 +468,8 @@ SELECTS: dict[str, str] = {
     "orders_normalized": "SELECT * FROM orders_t",
     "order_items": "SELECT * FROM lines_t",
     "delivery_assignments": "SELECT * FROM assignments_t",
-    "order_items_keyed": """SELECT row_number() OVER (ORDER BY order_id, item_id, item_price,
-      item_discount, replaced_by_item_id NULLS LAST) AS order_item_id,
-      CAST(order_id AS BIGINT) AS order_id, CAST(item_id AS BIGINT) AS item_id,
-      item_quantity, item_price, item_discount, item_canceled_quantity,
-      CAST(replaced_by_item_id AS BIGINT) AS replaced_by_item_id FROM lines_t""",
-    "assignments_keyed": """SELECT row_number() OVER (ORDER BY order_id, driver_id, assigned_at,
-      unassigned_at NULLS LAST) AS assignment_id, CAST(order_id AS BIGINT) AS order_id,
-      CAST(driver_id AS BIGINT) AS driver_id, assigned_at, unassigned_at FROM assignments_t""",
+    "order_items_keyed": "SELECT * FROM numbered_lines",
+    "assignments_keyed": "SELECT * FROM numbered_assignments",
     "order_status": "SELECT order_id, status FROM orders_t",
     "open_assignments": "SELECT * FROM assignments_t WHERE unassigned_at IS NULL",
     "current_driver": "SELECT * FROM current_t",
@@ -491,7 +513,7 @@ SELECTS: dict[str, str] = {
     "check_violations": CHECK,
     "length_violations": LENGTH,
     "unique_group_violations": _repeats(
-        "order_items", "unique", "order_item_group", LINE_KEY, "unmerged_lines", null_too=False
+        "order_items", "unique", "order_item_group", LINE_KEY, FILLED_LINES, null_too=False
     ),
     "constraint_counts": _union(_counted),
     **{name: _check(name, *values) for name, values in CHECK_VALUES.items()},

@@ -48,7 +48,7 @@ def raw_feed_scan(spark, sf_dir):
 
 @query
 def scan_table(spark, sf_dir):
-    return inputs.written(spark, sf_dir, "orders")["orders"]
+    return inputs.stored(spark, sf_dir, "orders")
 
 
 @query
@@ -132,16 +132,16 @@ QUERIES.update(
 
 @query
 def q_row_counts(spark, sf_dir):
-    return row_counts(inputs.written(spark, sf_dir, *TABLES))
+    return row_counts(inputs.tables(spark, sf_dir))
 
 
-# Marts. Joins of lines are on tables read back from disk, as in the jobs; joins of one row
-# per order to one row per order follow lazily from the feed.
+# Marts. Everything follows lazily from the given tables; the jobs join tables read back from
+# disk, where adaptive execution can split a hot order.
 
 
 @query
 def orders_left_items(spark, sf_dir):
-    t = inputs.written(spark, sf_dir, "orders", "order_items")
+    t = inputs.tables(spark, sf_dir)
     orders = t["orders"].select("order_id", "user_id", "store_id", "status", "order_discount")
     return left_join_many(orders, t["order_items"], "order_id")
 
@@ -155,7 +155,7 @@ def orders_current_driver(spark, sf_dir):
 
 @query
 def items_left_join(spark, sf_dir):
-    t = inputs.written(spark, sf_dir, "order_items", "items")
+    t = inputs.tables(spark, sf_dir)
     return t["order_items"].join(t["items"], "item_id", "left")
 
 
@@ -209,7 +209,7 @@ def _orders_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = inputs.written(spark, sf_dir, "orders", "order_items", "items")
+    t = inputs.tables(spark, sf_dir)
     return items_mart(t["orders"], t["order_items"], t["items"])
 
 
@@ -223,7 +223,7 @@ QUERIES.update(
 
 def _cell_counts(column: str) -> Query:
     def run(spark, sf_dir):
-        t = inputs.written(spark, sf_dir, "orders", "order_items")
+        t = inputs.tables(spark, sf_dir)
         return item_cells(t["orders"], t["order_items"]).select(
             "created_on", "city", "store_id", "item_id", column
         )
@@ -249,7 +249,7 @@ def _marts(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 @query
 def not_null_violations(spark, sf_dir):
-    t = inputs.written(spark, sf_dir, *TABLES)
+    t = inputs.tables(spark, sf_dir)
     specs = {**TABLES, **MARTS}
     return constraints.union(
         [
@@ -261,9 +261,13 @@ def not_null_violations(spark, sf_dir):
 
 @query
 def pk_violations(spark, sf_dir):
-    t = inputs.written(spark, sf_dir, *TABLES)
+    t = inputs.tables(spark, sf_dir)
     specs = {**TABLES, **MARTS}
-    frames = {**inputs.candidates(inputs.feed(spark, sf_dir)), **_marts(t)}
+    generated = {
+        name: inputs.paired_keys(keyed(name, t[name]), TABLES[name].primary_key[0])
+        for name in ("order_items", "delivery_assignments")
+    }
+    frames = {**inputs.candidates(inputs.feed(spark, sf_dir)), **generated, **_marts(t)}
     return constraints.union(
         [constraints.primary_key_violations(df, specs[name]) for name, df in frames.items()]
     )
@@ -271,7 +275,7 @@ def pk_violations(spark, sf_dir):
 
 @query
 def fk_violations(spark, sf_dir):
-    t = inputs.written(spark, sf_dir, *TABLES)
+    t = inputs.tables(spark, sf_dir)
     spoiled = {
         "orders": inputs.spoiled_orders(t["orders"]),
         "order_items": inputs.spoiled_lines(t["order_items"]),
@@ -284,7 +288,7 @@ def fk_violations(spark, sf_dir):
 
 @query
 def check_violations(spark, sf_dir):
-    lines = inputs.written(spark, sf_dir, "order_items")["order_items"]
+    lines = inputs.tables(spark, sf_dir)["order_items"]
     frames = {
         "order_items": inputs.shifted_lines(lines),
         "delivery_assignments": inputs.unfiltered_intervals(inputs.feed(spark, sf_dir)),
@@ -296,7 +300,7 @@ def check_violations(spark, sf_dir):
 
 @query
 def length_violations(spark, sf_dir):
-    t = inputs.lengthened(inputs.written(spark, sf_dir, *TABLES))
+    t = inputs.lengthened(inputs.tables(spark, sf_dir))
     return constraints.union(
         [constraints.row_violations(df, TABLES[name], constraints.LENGTH) for name, df in t.items()]
     )
@@ -310,7 +314,7 @@ def unique_group_violations(spark, sf_dir):
 
 @query
 def constraint_counts(spark, sf_dir):
-    return constraints.violation_counts(inputs.written(spark, sf_dir, *TABLES), TABLES)
+    return constraints.violation_counts(inputs.tables(spark, sf_dir), TABLES)
 
 
 # Quality checks, each on the normalised tables and on a spoiled copy
@@ -328,7 +332,7 @@ def _both(name: str, normalised: DataFrame, spoiled: DataFrame) -> DataFrame:
 def _orphans(name: str, spoil: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark, sf_dir):
         child_name, ref = quality.ORPHANS[name]
-        t = inputs.written(spark, sf_dir, child_name, ref.parent)
+        t = inputs.tables(spark, sf_dir)
         child, parent = t[child_name], t[ref.parent]
         return _both(
             name,
@@ -348,7 +352,7 @@ QUERIES.update(
 
 @query
 def invalid_replaced_items(spark, sf_dir):
-    t = inputs.written(spark, sf_dir, "order_items", "items")
+    t = inputs.tables(spark, sf_dir)
     lines, items = t["order_items"], t["items"]
     return _both(
         "invalid_replaced_items",
@@ -359,7 +363,7 @@ def invalid_replaced_items(spark, sf_dir):
 
 @query
 def duplicate_order_item_groups(spark, sf_dir):
-    lines = inputs.written(spark, sf_dir, "order_items")["order_items"]
+    lines = inputs.tables(spark, sf_dir)["order_items"]
     unmerged = inputs.unmerged_lines(inputs.feed(spark, sf_dir))
     return _both(
         "duplicate_order_item_groups",
@@ -370,7 +374,7 @@ def duplicate_order_item_groups(spark, sf_dir):
 
 @query
 def invalid_assignment_dates(spark, sf_dir):
-    assignments = inputs.written(spark, sf_dir, "delivery_assignments")["delivery_assignments"]
+    assignments = inputs.tables(spark, sf_dir)["delivery_assignments"]
     unfiltered = inputs.unfiltered_intervals(inputs.feed(spark, sf_dir))
     return _both(
         "invalid_assignment_dates",
@@ -382,7 +386,7 @@ def invalid_assignment_dates(spark, sf_dir):
 def _phones(name: str) -> Query:
     def run(spark, sf_dir):
         table, phone = quality.PHONES[name]
-        cleaned = inputs.written(spark, sf_dir, table)[table]
+        cleaned = inputs.tables(spark, sf_dir)[table]
         key = TABLES[table].primary_key[0]
         raw = latest_attributes(known(inputs.feed(spark, sf_dir), key), key, phone)
         return _both(name, quality.non_digit_phones(cleaned, phone), quality.non_digit_phones(raw, phone))
@@ -395,4 +399,4 @@ QUERIES.update({name: _phones(name) for name in quality.PHONES})
 
 @query
 def quality_report(spark, sf_dir):
-    return quality.quality_report(inputs.written(spark, sf_dir, *TABLES))
+    return quality.quality_report(inputs.tables(spark, sf_dir))
