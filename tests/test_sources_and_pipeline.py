@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -406,3 +407,17 @@ def test_byte_settings():
 
 def test_scratch_lies_in_the_folder_the_session_names(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_scratch_where_no_folder_is_named():
+    """Below the warehouse in local runs; on a cluster the plan stops."""
+
+    def session(master):
+        settings = {"spark.sql.warehouse.dir": "file:/w"}
+        conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_path(session("local[4]"), "x").startswith("file:/w/_scratch/delivery_marts/x-")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_path(session(master), "x")
