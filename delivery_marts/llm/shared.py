@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delivery_marts.session import delete_folder, scratch_path
+
 # Rows per Arrow batch. Texts may be long, so batches are small; a batch is the most that a
 # Python worker holds at once besides its own state.
 BATCH_ROWS = 256
@@ -18,19 +17,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_MADE: dict[str, list[str]] = {}
+
+
 def folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below ``spark.checkpoint.dir``.
+    """A fresh folder name below ``spark.checkpoint.dir``, or where that is unset, as in local
+    runs, below the warehouse, which all executors share as well. On a cluster without the
+    setting the job stops."""
+    path = scratch_path(spark, f"llm-{label}")
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes every folder that the operators have made in this session.
 
-    Where that is unset a cluster has no folder known to be shared, so the job stops; only a
-    local master, whose executors are the driver, gets one of its own.
+    Frames they returned cannot be read any more; write what is to be kept first.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        delete_folder(spark, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -18,6 +18,7 @@ table gives a manifest without files. Only doc_id and text are used.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,6 +37,11 @@ MANIFEST = "part int, file string, index string, docs long, tokens long"
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
+def _open(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, also where it is written file:/…, as Hadoop does."""
+    return fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if re.match("file:/[^/]", uri) else uri)
+
+
 def _schema(dtype: str, length: int) -> pa.Schema:
     ids = pa.uint16() if dtype == "<u2" else pa.uint32()
     return pa.schema([("ids", pa.list_(ids, length)), ("mask", pa.list_(pa.bool_(), length))])
@@ -81,7 +87,7 @@ def write_token_files(
     docs: DataFrame, path: str, tokenizer: str, spaces: bool, end: int, length: int = SEQUENCE, rows: int = BATCH
 ) -> DataFrame:
     """Writes all documents below ``path`` and returns the manifest, one row per file."""
-    system, root = fs.FileSystem.from_uri(path)
+    system, root = _open(path)
     system.create_dir(root, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +98,7 @@ def write_token_files(
         name = f"tokens-{context.partitionId():06d}-{context.taskAttemptId()}"
         file, index = f"{path}/{name}.arrow", f"{path}/{name}.index.arrow"
         words = encoder(tokenizer, spaces)
-        here, _ = fs.FileSystem.from_uri(path)
+        here, _ = _open(path)
         start, docs = 0, 0
         with here.open_output_stream(f"{root}/{name}.arrow") as out, here.open_output_stream(
             f"{root}/{name}.index.arrow"
@@ -138,7 +144,7 @@ class TokenFile:
     """Random access to one file; arrays are views of the mapped file where it is local."""
 
     def __init__(self, uri: str):
-        system, path = fs.FileSystem.from_uri(uri)
+        system, path = _open(uri)
         local = isinstance(system, fs.LocalFileSystem)
         self._file = pa.ipc.open_file(pa.memory_map(path) if local else system.open_input_file(path))
         self.length = self._file.schema.field("ids").type.list_size
@@ -168,7 +174,7 @@ class TokenFile:
 
 
 def read_documents(index: str) -> Iterator[pa.RecordBatch]:
-    system, path = fs.FileSystem.from_uri(index)
+    system, path = _open(index)
     with system.open_input_file(path) as source:
         file = pa.ipc.open_file(source)
         for i in range(file.num_record_batches):

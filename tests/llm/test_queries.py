@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from delivery_marts.llm import shared, token_files
 from delivery_marts.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.conftest import SF_DIR, empty_like, own_tables
 from tools.compare import open_tables, results
@@ -33,3 +34,18 @@ def test_empty_tables_give_empty_results(spark, tmp_path, name):
 def test_native_plans_stay_in_the_jvm(spark, name):
     plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop") if x in plan]
+
+
+def test_folders_are_shared_and_can_be_cleared(spark, monkeypatch):
+    root = spark.conf.get("spark.checkpoint.dir")
+    kept = shared.written(spark.range(3), "kept")
+    assert any("llm-kept" in path for path in kept.inputFiles()) and root in kept.inputFiles()[0]
+    monkeypatch.setattr(shared, "_MADE", {spark.sparkContext.applicationId: [kept.inputFiles()[0].rpartition("/")[0]]})
+    shared.clear(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FILE_NOT_EXIST"):
+        spark.read.parquet(kept.inputFiles()[0]).count()
+
+
+def test_token_files_also_below_the_warehouse(tmp_path):
+    system, path = token_files._open(f"file:{tmp_path}/x")
+    assert path == f"{tmp_path}/x" and system.type_name == "local"
