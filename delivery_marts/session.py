@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import os
 import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,17 @@ class Limits:
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    return importable(spark)
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package from where the driver has it, wherever the
+    driver was started; with --py-files they have it anyway."""
+    home = str(Path(__file__).resolve().parent.parent)
+    workers = spark.sparkContext.environment
+    known = [path for path in workers.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if home not in known:
+        workers["PYTHONPATH"] = os.pathsep.join([home, *known])
     return spark
 
 
