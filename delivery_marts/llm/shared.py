@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delivery_marts.session import delete_folder, scratch_path
+from delivery_marts.session import delete_folder, importable, scratch_path
 
 # Rows per Arrow batch. Texts may be long, so batches are small; a batch is the most that a
 # Python worker holds at once besides its own state.
@@ -14,7 +14,7 @@ BATCH_ROWS = 256
 
 def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return spark
+    return importable(spark)
 
 
 _MADE: dict[str, list[str]] = {}
