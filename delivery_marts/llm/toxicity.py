@@ -261,18 +261,27 @@ def label_model(patterns: DataFrame, voters: int, prior: float, gold: bool = Fal
 
 
 def fit(rows: list[list[int]], targets: np.ndarray, features: int, ridge: float = 0.1) -> np.ndarray:
-    """Weights of a logistic regression on presence of features, the last one constant."""
-    x = np.zeros((len(rows), features + 1))
-    for i, found in enumerate(rows):
-        x[i, found] = 1
+    """Weights of a logistic regression on presence of features, the last one constant.
+
+    Rows with the same features, of which there are many, are one row with a count.
+    """
+    groups: dict[tuple[int, ...], list[float]] = {}
+    for found, target in zip(rows, targets.tolist(), strict=True):
+        group = groups.setdefault(tuple(found), [0.0, 0.0])
+        group[0] += 1
+        group[1] += target
+    count, wanted = np.array(list(groups.values())).reshape(-1, 2).T
+    x = np.zeros((len(groups), features + 1))
+    for i, found in enumerate(groups):
+        x[i, list(found)] = 1
     x[:, -1] = 1
     weights = np.zeros(features + 1)
     penalty = np.full(features + 1, ridge)
     penalty[-1] = 1e-9
     for _ in range(30):  # Newton's method
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (p - targets) + penalty * weights
-        curvature = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        gradient = x.T @ (count * p - wanted) + penalty * weights
+        curvature = (x * (count * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(curvature, gradient)
         weights -= step
         if np.abs(step).max() < 1e-6:

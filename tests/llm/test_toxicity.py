@@ -70,3 +70,13 @@ def test_query_marks_the_held_out_and_follows_the_score(spark, db):
     truth = dict(db.sql("SELECT doc_id, toxic FROM '/root/testdata/sf0.1/labels.parquet'").fetchall())
     held = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
     assert np.mean([p == y for p, y in held]) >= 0.95
+
+
+def test_fit_against_plain_gradient():
+    rng = np.random.default_rng(2)
+    rows = [sorted(set(rng.integers(0, 4, 2).tolist())) for _ in range(400)]
+    targets = np.clip(0.2 + 0.5 * np.array([0 in r for r in rows]) + rng.normal(0, 0.1, 400), 0, 1)
+    weights = toxicity.fit(rows, targets, 4)
+    x = np.array([[f in r for f in range(4)] + [True] for r in rows], float)
+    gradient = x.T @ (1 / (1 + np.exp(-x @ weights)) - targets) + np.array([0.1] * 4 + [0]) * weights
+    assert np.abs(gradient).max() < 1e-4
