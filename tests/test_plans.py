@@ -206,6 +206,15 @@ def test_assignment_ends_are_hash_aggregated(spark, raw_feed):
     assert "SortAggregate" not in plan(delivery_assignments(raw_feed))
 
 
+def test_assignments_shuffle_starts_once_before_their_last_distinct(spark, raw_feed):
+    """Starts and ends for the join, ends for their own grouping, and the distinct rows."""
+    with settings(spark, **NO_BROADCAST):
+        text = plan(delivery_assignments(raw_feed))
+    exchanges = [e for e in re.findall(r"Exchange hashpartitioning\((\w+)#", text) if e != "path_hash"]
+    assert len(exchanges) == 4
+    assert exchanges.count("file_no") == 2 and exchanges.count("order_id") == 1
+
+
 def test_no_plan_crosses_rows_or_leaves_the_jvm(spark):
     banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "MapInArrow")
     for name, query in QUERIES.items():
