@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delivery_marts.llm.shared import per_key
+
 
 def with_cells(rows: DataFrame, key: list[str], identity: list[str | Column], block: int) -> DataFrame:
     """Rows with ``cell`` (bucket and pair of parts, as a hash) and ``side``.
@@ -20,8 +22,7 @@ def with_cells(rows: DataFrame, key: list[str], identity: list[str | Column], bl
     only pairs across the sides are new. ``rows`` is read twice: to count, and to join.
     """
     buckets = (
-        rows.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        per_key(rows, key, F.count(F.lit(1)).alias("_rows"))
         .where("_rows > 1")
         .select(*key, F.ceil(F.col("_rows") / block).cast("int").alias("_parts"))
     )

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delivery_marts.llm.shared import written
+from delivery_marts.llm.shared import per_key, written
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -23,13 +23,13 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """(u, v) both ways: larger neighbours v of u move to the smallest of u and its neighbours."""
     both = _both_ways(edges)
-    least = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least"))
+    least = per_key(both, ["a"], F.min("b").alias("least")).select("a", F.least("a", "least").alias("least"))
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """(u, v) with v < u: u and its smaller neighbours move to the smallest of those."""
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    least = per_key(edges, ["a"], F.min("b").alias("least"))
     moved = edges.join(least, "a").where("b > least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return least.select("a", F.col("least").alias("b")).unionByName(moved)
 

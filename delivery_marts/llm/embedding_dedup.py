@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from delivery_marts.llm.cells import with_cells
 from delivery_marts.llm.components import components
-from delivery_marts.llm.shared import written
+from delivery_marts.llm.shared import per_key, written
 from delivery_marts.llm.simhash import forest
 from delivery_marts.llm.vectors import matrix, takes_part, usable_rows
 
@@ -141,7 +141,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, seed: int =
             F.coalesce("component", "node").alias("component"),
         )
     )
-    smallest = known.groupBy("component").agg(F.min("first").alias("component_id"))
+    smallest = per_key(known, ["component"], F.min("first").alias("component_id"))
     known = known.join(smallest, "component").drop("component", "first")
     placed = rows.join(known, ["embedding", "dim"]).select("vec_id", "n_links", "component_id")
     out = embeddings.where(~takes_part()).select(

@@ -54,6 +54,17 @@ def bucket(buckets: int, *columns: str | Column) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
 
 
+def per_key(rows: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
+    """One row per key, to be joined to rows in which a key may be hot.
+
+    The keys are grouped as one struct, which leaves the result partitioned by the struct, so the
+    join shuffles it again; adaptive execution splits a hot key only where both sides of the join
+    come straight from a shuffle.
+    """
+    grouped = rows.groupBy(F.struct(*keys).alias("_key")).agg(*aggregates)
+    return grouped.select("_key.*", *grouped.columns[1:])
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, by which rows are held out."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

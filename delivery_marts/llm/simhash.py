@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from delivery_marts.llm.cells import with_cells
 from delivery_marts.llm.components import components
-from delivery_marts.llm.shared import written
+from delivery_marts.llm.shared import per_key, written
 
 SEED = 42
 BITS = 64
@@ -227,6 +227,6 @@ def near_duplicates(docs: DataFrame, words_in_shingle: int, radius: int, band_co
     edges = linked_fingerprints(nodes.select("fp"), radius, band_count)
     found = components(edges).select(F.col("node").alias("fp"), "component")
     placed = nodes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    smallest = placed.groupBy("component").agg(F.min("_first").alias("component_id"))
+    smallest = per_key(placed, ["component"], F.min("_first").alias("component_id"))
     classes = placed.select("fp", "component").join(smallest, "component").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")

@@ -134,3 +134,47 @@ def test_components_of_chains_stars_and_rings(spark):
 def test_words_are_ascii_words(spark):
     rows = simhash.near_duplicates(documents(spark, (1, "a\x1cb \x85c"), (2, "A\x1cB \x85C"), (3, "a b c")), 3, 0).collect()
     assert {r.doc_id: r.component_id for r in rows} == {1: 1, 2: 1, 3: 3}
+
+
+EAGER_SPLITS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "8",
+    "spark.sql.files.minPartitionNum": "8",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+}
+
+
+@pytest.fixture
+def eager_splits(spark):
+    before = {key: spark.conf.get(key, None) for key in EAGER_SPLITS}
+    for key, value in EAGER_SPLITS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def final_plan(df):
+    """How many rows, and the plan that adaptive execution ended with."""
+    count = len(df.collect())
+    return count, df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_a_hot_bucket_is_split_where_it_gets_its_cells(spark, tmp_path, eager_splits):
+    rows = spark.range(30_000, numPartitions=8).selectExpr("if(id % 10 < 9, 1, id) AS k", "xxhash64(id) AS fp")
+    rows.write.parquet(str(tmp_path / "rows"))
+    count, text = final_plan(cells.with_cells(spark.read.parquet(str(tmp_path / "rows")), ["k"], ["fp"], 9_000))
+    assert count == 27_000 * 3
+    assert "SortMergeJoin(skew=true)" in text
+
+
+def test_a_hub_is_split_where_its_edges_move(spark, tmp_path, eager_splits):
+    edges = spark.range(1, 30_000, numPartitions=8).selectExpr("id * 7 AS a", "if(id % 10 < 9, 0, id) AS b")
+    edges.write.parquet(str(tmp_path / "edges"))
+    edges = spark.read.parquet(str(tmp_path / "edges"))
+    assert "skew=true" in final_plan(components._large_star(edges))[1]
+    flipped = edges.selectExpr("100000000 - b AS a", "100000000 - a AS b")
+    assert "skew=true" in final_plan(components._small_star(flipped))[1]
