@@ -30,7 +30,7 @@ from delivery_marts.llm.tokens import encoder
 
 CAPACITY = 2048
 CLASSES = 64  # reciprocal classes; smaller sizes are classes of their own
-NUMBER_BUCKETS = 64  # per class, in which its pieces are numbered
+NUMBER_BUCKETS = 1024  # per class, in which its pieces are numbered; whole sequences may be most of all
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 

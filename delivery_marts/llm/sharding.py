@@ -26,7 +26,7 @@ Tree = Mapping[str, Mapping[str, Mapping[int, float]]]
 
 LEVELS = ("region", "rack", "shard")
 # Buckets per shard in which slots are numbered; each holds an even part of a shard.
-SLOT_BUCKETS = 256
+SLOT_BUCKETS = 2048
 
 
 def even_tree(shards: int, racks: int = 4, regions: int = 2) -> Tree:
