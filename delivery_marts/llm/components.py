@@ -5,7 +5,8 @@ neighbours, then for smaller ones; the edges shrink to one star per component, w
 its smallest node, in a number of rounds that grows with the logarithm of the longest chain.
 Smallest neighbours are found by an aggregate (combined before the shuffle, so a hub's edges do
 not meet in one task) and joined back; adaptive execution splits a hub's side of that join, as the
-smallest neighbours are shuffled for it once more. Every round is written to the shared folder, so a lost executor repeats one round at most.
+smallest neighbours are shuffled for it once more. Every round is written to the shared folder,
+so a lost executor repeats one round at most.
 """
 
 from __future__ import annotations
