@@ -16,16 +16,15 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the threshold of the toxicity operator; the rest go.
+    """Rows whose own text is below the threshold of the toxicity operator; the rest go.
 
-    Scores are joined by doc_id, the smallest score of rows that repeat one.
+    Every row is decided by its own score, so a missing or repeated doc_id changes nothing.
     """
     configure(spark)
     held_out = remainder(F.col("doc_id"), params.LABEL_FOLDS) == params.LABEL_HELD_OUT
     labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
-    rejected = toxicity.toxicity(docs, labels).groupBy("doc_id").agg(F.min("score").alias("score"))
-    rejected = rejected.where(F.col("score") >= params.TOXIC_AT).select("doc_id")
-    return docs.select(*COLUMNS).join(rejected, "doc_id", "left_anti")
+    scored = toxicity.toxicity(docs, labels, carried=COLUMNS[1:])
+    return scored.where(F.col("score") < params.TOXIC_AT).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from delivery_marts.llm.shared import written
 
@@ -55,6 +56,7 @@ GOLD_ACCURACY = 0.99
 PER_VOTER = 40  # features of a lexicon voter
 ROUNDS = 12
 TOXIC, CLEAN, NONE = 1, 0, 2
+ADDED = (T.StructField("features", T.ArrayType(T.IntegerType())), T.StructField("votes", T.StringType()))
 WORD = re.compile(r"[^\W\d_]+")
 CACHED = 1 << 18  # words whose features a worker remembers; a full cache starts anew
 
@@ -157,8 +159,11 @@ def _state(voters: Voters) -> tuple[dict, dict]:
     return {}, {feature: i for i, (feature, _) in enumerate(voters.lexicon)}
 
 
-def read(docs: DataFrame, voters: Voters) -> DataFrame:
-    """doc_id, ``features`` (indices) and ``votes`` (one digit per voter) of every text."""
+def read(docs: DataFrame, voters: Voters, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the carried columns, ``features`` (indices) and ``votes`` (one digit per voter) of every text."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *(c for c in carried if c != "text"))
+    kept = rows.select("doc_id", *carried).schema.fields
+    names = [field.name for field in kept]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, index = _state(voters)
@@ -166,16 +171,14 @@ def read(docs: DataFrame, voters: Voters) -> DataFrame:
             pairs = [voters.read(text.as_py(), known, index) for text in batch["text"]]
             yield pa.record_batch(
                 [
-                    batch["doc_id"],
+                    *(batch[name] for name in names),
                     pa.array([p[0] for p in pairs], pa.list_(pa.int32())),
                     pa.array([p[1] for p in pairs], pa.string()),
                 ],
-                names=["doc_id", "features", "votes"],
+                names=[*names, "features", "votes"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        scan, "doc_id long, features array<int>, votes string"
-    )
+    return rows.mapInArrow(scan, T.StructType([*kept, *ADDED]))
 
 
 @dataclass
@@ -289,9 +292,9 @@ def fit(rows: list[list[int]], targets: np.ndarray, features: int, ridge: float
     return weights
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
-    """doc_id and ``score`` for every row of ``docs``; ``labels`` (doc_id, toxic) are all used."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+def toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the carried columns and ``score`` for every row of ``docs``; ``labels`` (doc_id, toxic) are all used."""
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *(c for c in carried if c != "text"))
     gold = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")
     )
@@ -299,10 +302,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Da
     chosen = F.broadcast(written(gold.orderBy(F.xxhash64("doc_id"), "toxic").limit(labelled), "toxicity-sample"))
     voters = Voters(tuple(lexicon(docs.join(chosen, "doc_id"))))
     if not voters.lexicon:
-        return docs.select("doc_id", F.lit(0.0).alias("score"))
+        return docs.select("doc_id", *carried, F.lit(0.0).alias("score"))
 
-    scanned = written(read(docs, voters), "toxicity-votes")
-    marked = scanned.join(chosen, "doc_id", "left").withColumn(
+    scanned = written(read(docs, voters, carried), "toxicity-votes")
+    marked = scanned.select("doc_id", "votes").join(chosen, "doc_id", "left").withColumn(
         "votes", F.concat("votes", F.coalesce(F.col("toxic").cast("string"), F.lit(str(NONE))))
     )
     patterns = written(marked.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "toxicity-patterns")
@@ -310,11 +313,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Da
     model = label_model(patterns, voters.count + 1, float(np.clip(known, 1e-3, 0.5)), gold=True)
 
     # One row per label: a doc_id may repeat in the table.
-    sampled = scanned.join(chosen, "doc_id").dropDuplicates(["doc_id", "toxic"])
+    sampled = scanned.select("doc_id", "features", "votes").join(chosen, "doc_id").dropDuplicates(["doc_id", "toxic"])
     rows = sampled.select("features", "votes", "toxic").collect()
     votes = _parsed([row.votes + str(row.toxic) for row in rows])
     weights = fit([row.features for row in rows], model.posterior(votes), voters.features)
 
     table = F.array(*[F.lit(float(w)) for w in weights[:-1]])
     logit = F.aggregate("features", F.lit(float(weights[-1])), lambda total, i: total + F.get(table, i))
-    return scanned.select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"))
+    return scanned.select("doc_id", *carried, (1 / (1 + F.exp(-logit))).alias("score"))

@@ -97,3 +97,13 @@ def test_nothing_to_learn_rejects_nothing(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "lexicon", lambda sample: [])
     docs = spark.createDataFrame([(1, "idiot", "en", "src1", 5)], DOCUMENTS)
     assert corpus_pipeline.drop_toxic(spark, docs, SF_DIR).count() == 1
+
+
+def test_every_row_is_rejected_by_its_own_text(spark):
+    bad = spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1").join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    left = corpus_pipeline.drop_toxic(spark, docs, SF).select("doc_id")
+    toxic = bad.join(left, "doc_id", "left_anti").orderBy("doc_id").first().text
+    rows = documents(spark, (None, toxic), (None, "a calm day"), (-5, toxic), (-5, "another calm day"))
+    kept = corpus_pipeline.drop_toxic(spark, docs.unionByName(rows), SF).where("doc_id IS NULL OR doc_id = -5")
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(-5, "another calm day"), (0, "a calm day")]
