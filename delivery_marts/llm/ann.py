@@ -11,13 +11,14 @@ serve every radius) and only the new ends of each window are counted. The search
 vector at the distance of the k-th best found so far would have reached the threshold with the
 stated confidence, or when the windows cover everything.
 
-Rows are dealt to blocks of vectors and blocks of queries by hash, and every block of vectors
+Rows are numbered and dealt to blocks of vectors and blocks of queries by a hash of the number, and every block of vectors
 builds its own arrays and answers every block of queries; a block has a fixed number of rows, so
 memory does not grow with the table. The k best of all blocks are the answer.
 
 Defined results: vectors that are NULL, empty, zero or hold NULL or non-finite components, and
 rows without vec_id, take no part; vectors of another dimension than the query's are no
-candidates; rows with the query's vec_id are not its neighbours; ties go to the smaller vec_id;
+candidates; rows with the query's vec_id are not its neighbours; query rows that repeat a vec_id each get k
+neighbours of their own, ranked from 1; ties go to the smaller vec_id;
 fewer candidates than k give all; an empty table gives an empty one. Other columns are not used.
 """
 
@@ -32,12 +33,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delivery_marts.llm.shared import bucket
+from delivery_marts.llm.shared import bucket, written
 from delivery_marts.llm.vectors import matrix, usable_rows
 
 BLOCK_ROWS = 32_768
 BLOCK_QUERIES = 256
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_row long, query_id long, vec_id long, score double"
 
 
 @dataclass(frozen=True)
@@ -138,12 +139,13 @@ def _answers(group: pd.DataFrame, longest: float, search: Search) -> pd.DataFram
     asked = group["is_query"].to_numpy()
     vectors, queries = group[~asked], group[asked]
     if not len(vectors) or not len(queries):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+        none = pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
+        return none.astype({"query_row": "int64", "query_id": "int64", "vec_id": "int64"})
     index = Index(vectors["vec_id"].to_numpy(), matrix(vectors["embedding"]), longest, search)
     rows = []
-    for query_id, query in zip(queries["vec_id"], matrix(queries["embedding"]), strict=True):
+    for row, query_id, query in zip(queries["row"], queries["vec_id"], matrix(queries["embedding"]), strict=True):
         ids, scores = index.nearest(query_id, query)
-        rows.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores}))
+        rows.append(pd.DataFrame({"query_row": row, "query_id": query_id, "vec_id": ids, "score": scores}))
     return pd.concat(rows)
 
 
@@ -151,6 +153,7 @@ def nearest(embeddings: DataFrame, is_query: Column, search: Search | None = Non
     """query_id, rank (from 1), vec_id, score for the rows for which ``is_query`` holds."""
     search = search or Search()
     rows = usable_rows(embeddings).withColumn("is_query", F.coalesce(is_query, F.lit(False)))
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "ann-rows")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x))
     known = rows.agg(
         F.max(norm).alias("longest"), F.count(F.lit(1)).alias("rows"), F.count_if("is_query").alias("queries")
@@ -160,13 +163,13 @@ def nearest(embeddings: DataFrame, is_query: Column, search: Search | None = Non
 
     everywhere = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
     vectors = rows.select(
-        "vec_id", "embedding", "dim", F.lit(False).alias("is_query"),
-        bucket(blocks, "vec_id").alias("block"), everywhere.alias("query_block"),
+        "row", "vec_id", "embedding", "dim", F.lit(False).alias("is_query"),
+        bucket(blocks, "row").alias("block"), everywhere.alias("query_block"),
     )
     queries = rows.where("is_query").select(
-        "vec_id", "embedding", "dim", "is_query",
+        "row", "vec_id", "embedding", "dim", "is_query",
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        bucket(query_blocks, "vec_id").alias("query_block"),
+        bucket(query_blocks, "row").alias("query_block"),
     )
     longest = known["longest"] or 1.0
 
@@ -174,6 +177,6 @@ def nearest(embeddings: DataFrame, is_query: Column, search: Search | None = Non
         return _answers(group, longest, search)
 
     found = vectors.unionByName(queries).groupBy("dim", "block", "query_block").applyInPandas(answers, FOUND)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= search.k)
     return ranked.select("query_id", "rank", "vec_id", "score")

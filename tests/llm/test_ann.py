@@ -75,3 +75,12 @@ def test_ties_odd_vectors_and_few_candidates(spark):
     vectors += [(20, None), (40, [0.0, 0.0]), (60, [nan, 1.0]), (11, [inf, 1.0]), (12, [None, 1.0]), (13, []), (14, [1.0]), (None, [1.0, 0.0])]
     got = answers(ann.nearest(frame(spark, vectors), F.col("vec_id") % 20 == 0).collect())
     assert got == {0: [(3, 1.0), (4, 1.0), (4, 1.0), (7, 1.0), (9, -1.0)]}
+
+
+def test_every_copy_of_a_query_gets_all_its_neighbours(spark):
+    rng = np.random.default_rng(5)
+    points = [(i, [float(x) for x in np.float32(p)]) for i, p in enumerate(rng.standard_normal((60, 8)))]
+    alone = answers(ann.nearest(frame(spark, points), F.col("vec_id") == 0).collect())[0]
+    rows = ann.nearest(frame(spark, [points[0], points[0], *points]), F.col("vec_id") == 0).collect()
+    assert len(alone) == 20
+    assert sorted((r.rank, r.vec_id, r.score) for r in rows) == sorted((n + 1, *near) for n, near in enumerate(alone) for _ in range(3))
