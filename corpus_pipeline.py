@@ -28,17 +28,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every SimHash component.
+    """One row of every SimHash component: the smallest doc_id, rows without doc_id last.
 
-    Of rows that repeat a doc_id one stays. Rows without doc_id are no one's copy and stay.
+    Of rows that repeat a doc_id only the one with the smallest hash of its text may stay, so a
+    doc_id is in the result once; a component whose other rows it was is left to those.
     """
     configure(spark)
-    found = simhash.near_duplicates(docs, params.SIMHASH_WORDS, params.SIMHASH_RADIUS)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.select(*COLUMNS).join(kept, "doc_id")
-    same = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "lang", "source", "n_chars")
-    first = named.withColumn("_place", F.row_number().over(same)).where("_place = 1").drop("_place")
-    return first.unionByName(docs.select(*COLUMNS).where("doc_id IS NULL"))
+    order = ("_hash", "lang", "source", "n_chars", "_row")
+    numbered = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    carried = (*COLUMNS[1:], "_row")
+    prints = written(simhash.fingerprints(numbered, params.SIMHASH_WORDS, carried), "pipeline-fingerprints")
+    rows = prints.withColumn("_hash", F.xxhash64("text")).select("doc_id", "fp", *order)
+
+    # A row without doc_id repeats none.
+    same_id = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("_row"))).orderBy(*order)
+    named = rows.withColumn("_place", F.row_number().over(same_id)).where("_place = 1").drop("_place")
+    placed = named.join(simhash.classes(prints, params.SIMHASH_RADIUS).select("fp", "component"), "fp")
+    same_text = Window.partitionBy("component").orderBy(F.asc_nulls_last("doc_id"), *order)
+    first = placed.withColumn("_place", F.row_number().over(same_text)).where("_place = 1").select("_row")
+    return prints.join(first, "_row", "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

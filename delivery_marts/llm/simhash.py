@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from delivery_marts.llm.cells import with_cells
 from delivery_marts.llm.components import components
@@ -66,16 +67,18 @@ def fingerprint(text: str | None, words_in_shingle: int) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words_in_shingle: int) -> DataFrame:
-    """doc_id and ``fp``, a signed 64-bit number, for every row."""
+def fingerprints(docs: DataFrame, words_in_shingle: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the carried columns and ``fp``, a signed 64-bit number, for every row."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *(c for c in carried if c != "text"))
+    kept = rows.select("doc_id", *carried).schema.fields
+    names = [field.name for field in kept]
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(text.as_py(), words_in_shingle) for text in batch["text"]]
-            yield pa.record_batch([batch["doc_id"], pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            yield pa.record_batch([*(batch[name] for name in names), pa.array(found, pa.int64())], names=[*names, "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(prints, "doc_id long, fp long")
+    return rows.mapInArrow(prints, T.StructType([*kept, T.StructField("fp", T.LongType())]))
 
 
 def bands(count: int) -> list[int]:
@@ -216,17 +219,23 @@ def linked_fingerprints(nodes: DataFrame, radius: int, band_count: int) -> DataF
     return grouped.groupBy("_group").applyInPandas(links, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words_in_shingle: int, radius: int, band_count: int = 4) -> DataFrame:
-    """doc_id, ``fp`` and ``component_id``, the smallest doc_id reachable by links.
+def classes(prints: DataFrame, radius: int, band_count: int = 4) -> DataFrame:
+    """Every ``fp`` once, with ``component``, the smallest fingerprint reachable by links, and
+    ``component_id``, the smallest doc_id of those.
 
     Fingerprints without a neighbour need no component; the others get the smallest fingerprint
     of theirs, and the smallest doc_id is taken over that.
     """
-    prints = written(fingerprints(docs, words_in_shingle), "simhash-fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("_first"))
     edges = linked_fingerprints(nodes.select("fp"), radius, band_count)
     found = components(edges).select(F.col("node").alias("fp"), "component")
     placed = nodes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = per_key(placed, ["component"], F.min("_first").alias("component_id"))
-    classes = placed.select("fp", "component").join(smallest, "component").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return placed.select("fp", "component").join(smallest, "component").select("fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, words_in_shingle: int, radius: int, band_count: int = 4) -> DataFrame:
+    """doc_id, ``fp`` and ``component_id``, the smallest doc_id reachable by links."""
+    prints = written(fingerprints(docs, words_in_shingle), "simhash-fingerprints")
+    placed = classes(prints, radius, band_count).select("fp", "component_id")
+    return prints.join(placed, "fp").select("doc_id", "fp", "component_id")

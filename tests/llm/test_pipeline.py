@@ -107,3 +107,14 @@ def test_every_row_is_rejected_by_its_own_text(spark):
     rows = documents(spark, (None, toxic), (None, "a calm day"), (-5, toxic), (-5, "another calm day"))
     kept = corpus_pipeline.drop_toxic(spark, docs.unionByName(rows), SF).where("doc_id IS NULL OR doc_id = -5")
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(-5, "another calm day"), (0, "a calm day")]
+
+
+def test_copies_without_id_go_and_a_repeated_id_costs_no_other_component_its_row(spark):
+    one, two, three = (" ".join(f"{kind}{i}" for i in range(60)) for kind in ("red", "blue", "green"))
+    rows = [(None, one), (None, one), (None, two), (5, two), (7, three), (7, one), (8, three), (8, three)]
+    kept = corpus_pipeline.drop_near_copies(spark, documents(spark, *rows), SF_DIR).collect()
+    texts = [r.text for r in kept]
+    assert sorted(texts) == sorted({one, two, three})
+    assert [r.doc_id for r in kept if r.text == two] == [5]
+    named = [r.doc_id for r in kept if r.doc_id is not None]
+    assert len(named) == len(set(named))
