@@ -1,12 +1,13 @@
 """Brown class-based bigram model: P(word | before) = P(class | class before) * P(word | class).
 
 1. Words of the training texts are counted over all of them.
-2. Exchange clustering. Classes start from the frequency rank. In a round, one pass over all
-   training texts counts how often each of the ``EXCHANGED`` most frequent words follows and
-   precedes each class; then every such word moves to the class that makes those neighbours
-   likeliest. Counts are combined in tasks and summed by Spark; what reaches the driver is one
-   table of words by classes, of fixed size. Words beyond those take the class that frequent words
-   with their ending have.
+2. Exchange clustering of all training words that occur more than once. The ``EXCHANGED`` most
+   frequent start from their frequency rank, the others without a class. In a round, every word's
+   neighbours are counted by class; then every word moves to the class that makes them likeliest.
+   Counts of the ``EXCHANGED`` most frequent are summed in tables of fixed size; those of all
+   others stay distributed, a row a word, and only sums over classes reach the driver. The classes
+   of the ``BROADCAST`` most frequent words are at hand in every task, the others' are joined.
+   Words that occur once, or not in training, take the class that frequent words with their ending have.
 3. Class transitions are counted over all training texts and smoothed towards class frequencies.
    In a class, a word seen n times has (n - d) of the class's N tokens; the d taken from each of its
    words goes to one unknown word, which stands for all words not seen in training. So the
@@ -20,7 +21,7 @@ a text's first token is a start of its own.
 Defined results: NULL and empty texts are an end alone; rows that repeat a doc_id are texts of
 their own; without any training text every word is unknown with chance 1; an empty table gives an
 empty one; columns other than doc_id and text are not used. Whole texts are read. The two sizes
-bound tables that are broadcast or collected; no word is left out of counts or scores.
+bound tables that are broadcast or collected; no word that occurs twice is left out of the exchange, no word is left out of counts or scores.
 """
 
 from __future__ import annotations
@@ -36,8 +37,10 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from delivery_marts.llm.shared import folder, written
+from delivery_marts.session import delete_folder
 
 CLASSES = 32
 EXCHANGED = 1 << 14
@@ -133,8 +136,17 @@ class Classes:
     of_frequent: np.ndarray
     of_ending: dict[bytes, int] = field(default_factory=dict)
     cache: dict[bytes, int] = field(default_factory=dict)
+    rare: DataFrame | None = None  # word and class of all other training words; stays on the driver
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rare": None, "cache": {}}
 
     def of_word(self, word: bytes) -> int:
+        """The class of a word that is not frequent; tasks are given those of ``rare`` with the texts."""
+        if self.rare is not None and word not in self.cache:
+            row = self.rare.where(F.col("word") == F.lit(bytearray(word))).first()
+            if row and row["class"] < self.count:
+                self.cache[word] = row["class"]
         found = self.cache.get(word)
         if found is None:
             bare = word.rstrip(MARKS) or word
@@ -144,10 +156,11 @@ class Classes:
             self.cache[word] = found
         return found
 
-    def of_text(self, ids: np.ndarray, rare: list[bytes]) -> np.ndarray:
+    def of_text(self, ids: np.ndarray, rare: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+        """Classes of ids; of rare words those that are known, or else by their endings."""
         classes = self.of_frequent[ids]
         if rare:
-            classes[ids == RARE] = [self.of_word(word) for word in rare]
+            classes[ids == RARE] = [known[word] if word in known else self.of_word(word) for word in rare]
         return classes
 
 
@@ -198,23 +211,265 @@ def _neighbours(encoded: DataFrame, classes: np.ndarray, words: int, count: int)
     return total[: words * before].reshape(words, before), total[words * before :].reshape(words, after)
 
 
-def exchange(encoded: DataFrame, frequent: int, count: int, words: int, rounds: int) -> np.ndarray:
-    """Classes of the frequent words, ``count`` for those without one, and for RARE at the end."""
+def _named(found: np.ndarray, names: pa.Array, frequent: int) -> list[pa.Array]:
+    """Words as an id, or -1 and the rare word."""
+    return [
+        pa.array(np.where(found < frequent, found, -1).astype(np.int32)),
+        names.take(pa.array(np.maximum(found - frequent - 1, 0))),
+    ]
+
+
+def _pairs(encoded: DataFrame, frequent: int, words: int, rare_only: bool) -> DataFrame:
+    """Neighbours in all texts of the words beyond the ``words`` most frequent, a row per word and task.
+
+    ``keys`` are twice the ids of a word's neighbours, and one more for those after it; the start
+    of a text counts as id ``frequent``, a rare word as the next. ``n`` are a word's occurrences.
+    With ``rare_only`` the pairs of rare words instead: ``other`` is before ``word``.
+    """
+    start, rare_id = frequent, frequent + 1
+
+    def rows(parts: list[tuple[np.ndarray, np.ndarray]], rare: list[bytes]) -> pa.RecordBatch:
+        ids, first = (np.concatenate(column) for column in zip(*parts, strict=True))
+        coded = pa.array(rare, pa.binary()).dictionary_encode()
+        names = pa.concat_arrays([pa.array([b""], pa.binary()), coded.dictionary])
+        here = ids.astype(np.int64)
+        here[ids == RARE] = frequent + 2 + coded.indices.to_numpy()
+        before = np.concatenate(([start], here[:-1]))
+        before[first] = start
+        if rare_only:
+            both = (here > rare_id) & (before > rare_id)
+            other, word = (_named(found[both], names, frequent)[1] for found in (before, here))
+            return pa.record_batch([other, word], names=["other", "word"])
+        of_here, of_before = here >= words, (before >= words) & (before != start)
+        found = np.concatenate((here[of_here], before[of_before]))
+        sides = np.concatenate((np.zeros(of_here.sum(), np.int64), np.ones(of_before.sum(), np.int64)))
+        near = np.concatenate((before[of_here], here[of_before]))
+        keys = (np.minimum(near, rare_id) * 2 + sides).astype("<i4")
+        order = np.argsort(found, kind="stable")
+        found, keys, sides = found[order], keys[order], sides[order]
+        begins = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1]))) if len(found) else np.zeros(0, np.int64)
+        ends = np.append(begins, len(found))
+        buffers = [None, pa.py_buffer((ends * 4).astype("<i4")), pa.py_buffer(keys)]
+        blobs = pa.Array.from_buffers(pa.binary(), len(begins), buffers)
+        n = np.diff(np.concatenate(([0], np.cumsum(1 - sides)))[ends])
+        return pa.record_batch([*_named(found[begins], names, frequent), blobs, pa.array(n)], names=["id", "word", "keys", "n"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, rare, held = [], [], 0
+        for batch in batches:
+            parts.append(_stream(batch))
+            rare += [word for words in batch["rare"].to_pylist() if words for word in words.split(b" ")]
+            held += len(parts[-1][0])
+            if held >= FLUSH_TOKENS:
+                yield rows(parts, rare)
+                parts, rare, held = [], [], 0
+        if held:
+            yield rows(parts, rare)
+
+    schema = "other binary, word binary" if rare_only else "id int, word binary, keys binary, n long"
+    return encoded.select("ids", "rare").mapInArrow(pairs, schema)
+
+
+def _by_class(near: DataFrame, columns: Broadcast, width: int) -> DataFrame:
+    """``cells``, the counts of every word's neighbours by class, rare ones without a class."""
+    names = near.columns
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                np.bincount(columns.value[np.frombuffer(keys, "<i4")], minlength=width).astype("<i4").tobytes()
+                for keys in batch["keys"].to_pylist()
+            ]
+            yield pa.record_batch([*(batch[c] for c in names), pa.array(found, pa.binary())], names=[*names, "cells"])
+
+    return near.mapInArrow(cells, T.StructType([*near.schema.fields, T.StructField("cells", T.BinaryType())]))
+
+
+def _beside_rare(rare: DataFrame, frequent: int, before: int, none: int, low: int, high: int) -> DataFrame:
+    """id, cell, n: how often frequent words with ids from ``low`` to below ``high`` have rare
+    neighbours of a class; read off the neighbours of the rare words."""
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def summed(parts: list[np.ndarray]) -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(parts or [np.zeros(0, np.int64)]), return_counts=True)
+            ids, cell = np.divmod(found, 2 * before)
+            return pa.record_batch([pa.array(ids.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(n)], names=["id", "cell", "n"])
+
+        parts, held = [], 0
+        for batch in batches:
+            blobs = batch["keys"].to_pylist()
+            keys = np.frombuffer(b"".join(blobs), "<i4").astype(np.int64)
+            own = np.repeat(batch["class"].to_numpy(), [len(b) // 4 for b in blobs])
+            ids = keys >> 1
+            fits = (ids >= low) & (ids < high) & (own < none)
+            # A frequent word before the rare one has it after itself, and the other way round.
+            parts.append((ids * 2 * before + np.where(keys & 1, 0, before) + own)[fits])
+            held += len(parts[-1])
+            if held >= FLUSH_TOKENS:
+                yield summed(parts)
+                parts, held = [], 0
+        yield summed(parts)
+
+    found = rare.select("keys", "class").mapInArrow(cells, "id int, cell int, n long")
+    return found.groupBy("id", "cell").agg(F.sum("n").alias("n"))
+
+
+def _with_rare(counts: np.ndarray, row: np.ndarray, cell: np.ndarray, n: np.ndarray, before: int) -> None:
+    """Moves counts of rare neighbours from those without a class to the class they have."""
+    np.add.at(counts, (row, cell), n)
+    np.add.at(counts, (row, np.where(cell < before, before - 2, counts.shape[1] - 1)), -n)
+
+
+def _counted(batch: pa.RecordBatch, classes: np.ndarray, before: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A row of counts by class for every word, and the classes that words have now."""
+    counts = np.frombuffer(b"".join(batch["cells"].to_pylist()), "<i4").reshape(-1, width).astype(float)
+    more = [(i, part["cell"], part["n"]) for i, parts in enumerate(batch["more"].to_pylist()) for part in parts]
+    if more:
+        _with_rare(counts, *np.array(more, np.int64).T, before)
+    ids = batch["id"].to_numpy()
+    return counts, np.where(ids >= 0, classes[ids], batch["class"].to_numpy())
+
+
+def cluster(encoded: DataFrame, frequent: int, count: int, words: int, rounds: int) -> tuple[np.ndarray, DataFrame | None]:
+    """Classes of the frequent words, with ``count`` for RARE at the end and for words without a
+    class, and word and class of the rare words that occur more than once, if any word is beyond ``words``."""
     words = min(words, frequent)
     classes = np.full(frequent + 1, count, np.int64)
     classes[:words] = np.arange(words) % count
-    for _ in range(rounds if words else 0):
+    if not words:
+        return classes, None
+    spark = encoded.sparkSession
+    before, after = count + 2, count + 1
+    width = before + after
+    made: list[str] = []
+
+    def kept(rows: DataFrame, label: str) -> DataFrame:
+        made.append(folder(spark, label))
+        rows.write.option("compression", "zstd").parquet(made[-1])
+        return spark.read.schema(rows.schema).parquet(made[-1])
+
+    near = _pairs(encoded, frequent, words, False).groupBy("id", "word")
+    near = near.agg(F.collect_list("keys").alias("keys"), F.sum("n").alias("n")).where("n > 1").select(
+        "id", "word", F.aggregate("keys", F.lit(b""), lambda all, part: F.concat(all, part)).alias("keys")
+    )
+    near = kept(near, "brown-near")
+    others = not near.isEmpty()
+    if others:
+        start = near.where("id < 0").withColumn("class", F.lit(count))
+        rare_pairs = _pairs(encoded, frequent, words, True).groupBy("other", "word").agg(F.count(F.lit(1)).alias("n"))
+        rare_pairs = kept(rare_pairs, "brown-rare-pairs")
+        near, rare = near.where("id >= 0").withColumn("class", F.lit(None).cast("int")), start
+    for number in range(rounds):
         left, right = _neighbours(encoded, classes, words, count)
+        if others:
+            columns = np.empty(2 * (frequent + 2), np.int16)
+            columns[0::2] = [*classes[:-1], count + 1, count]
+            columns[1::2] = [*(before + classes), before + count]
+            parts = near.unionByName(rare)
+            parts = _by_class(parts, spark.sparkContext.broadcast(columns), width)
+            if number:
+                table = _beside_rare(rare, frequent, before, count, 0, words).toArrow()
+                whole = np.hstack((left, right))
+                _with_rare(whole, *(table[name].to_numpy() for name in ("id", "cell", "n")), before)
+                left, right = whole[:, :before], whole[:, before:]
+                beside = _beside_rare(rare, frequent, before, count, words, frequent).withColumn("word", F.lit(b""))
+                placed = rare.where(F.col("class") < count).select("word", "class")
+                met = [
+                    rare_pairs.join(placed.withColumnRenamed("word", one), one).select(
+                        F.lit(-1).alias("id"), F.col(two).alias("word"), (F.col("class") + at).alias("cell"), "n"
+                    )
+                    for one, two, at in (("other", "word", 0), ("word", "other", before))
+                ]
+                found = beside.unionByName(met[0]).unionByName(met[1])
+                found = found.select("id", "word", F.struct("cell", "n").alias("part"))
+                parts = parts.unionByName(found, allowMissingColumns=True).groupBy("id", "word").agg(
+                    F.max("keys").alias("keys"), F.max("class").alias("class"), F.max("cells").alias("cells"), F.collect_list("part").alias("more")
+                )
+                # Words that occur once have neighbours here, and no class.
+                parts = parts.where("cells IS NOT NULL")
+            else:
+                parts = parts.withColumn("more", F.expr("cast(array() AS array<struct<cell:int,n:bigint>>)"))
+            keys = F.when(F.col("id") < 0, F.col("keys")).alias("keys")
+            own = F.coalesce("class", F.lit(count)).alias("class")
+            counts = kept(parts.select("id", "word", keys, own, "cells", "more"), "brown-counts")
+            now = spark.sparkContext.broadcast(classes)
+
+            def sums(batches: Iterator[pa.RecordBatch], now: Broadcast = now) -> Iterator[pa.RecordBatch]:
+                total = np.zeros((count + 1, width))
+                for batch in batches:
+                    found, own = _counted(batch, now.value, before, width)
+                    np.add.at(total, own, found)
+                yield pa.record_batch([pa.array(np.arange(total.size)), pa.array(total.ravel().astype(np.int64))], names=["cell", "n"])
+
+            sought = counts.select("id", "class", "cells", "more").mapInArrow(sums, "cell long, n long")
+            total = _matrix(sought, (count + 1) * width).reshape(count + 1, width)
         mine = np.zeros((words, count))
         mine[np.arange(words), classes[:words]] = 1
         into, out = left.T @ mine, mine.T @ right  # history to class, class to next class
+        if others:
+            into, out = into + total[:count, :before].T, out + total[:count, before:]
         enter = np.log((into + 0.5) / (into.sum(axis=0) + 0.5 * len(into)))
         leave = np.log((out + 0.5) / (out.sum(axis=1, keepdims=True) + 0.5 * out.shape[1]))
-        moved = (left @ enter + right @ leave.T).argmax(axis=1)
-        if np.array_equal(moved, classes[:words]):
+        moved = classes.copy()
+        moved[:words] = (left @ enter + right @ leave.T).argmax(axis=1)
+        still = True
+        if others:
+
+            def best(
+                batches: Iterator[pa.RecordBatch], now: Broadcast = now, enter: np.ndarray = enter, leave: np.ndarray = leave
+            ) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    found, own = _counted(batch, now.value, before, width)
+                    to = (found[:, :before] @ enter + found[:, before:] @ leave.T).argmax(axis=1)
+                    columns = [batch["id"], batch["word"], batch["keys"], pa.array(to.astype(np.int32)), pa.array(to != own)]
+                    yield pa.record_batch(columns, names=["id", "word", "keys", "class", "moved"])
+
+            chosen = kept(counts.mapInArrow(best, "id int, word binary, keys binary, class int, moved boolean"), "brown-classes")
+            table = chosen.where("id >= 0").select("id", "class").toArrow()
+            moved[table["id"].to_numpy()] = table["class"].to_numpy()
+            rare = chosen.where("id < 0").select("id", "word", "keys", "class")
+            still = chosen.where("id < 0 AND moved").isEmpty()
+            # The counts are done with, and the classes of the round before.
+            for path in [made[-2], *(made[2:-2])]:
+                delete_folder(spark, path)
+            made[2:] = made[-1:]
+        if still and np.array_equal(moved, classes):
             break
-        classes[:words] = moved
-    return classes
+        classes = moved
+    for path in made[:2]:
+        delete_folder(spark, path)
+    return classes, rare.select("word", "class") if others else None
+
+
+def exchange(encoded: DataFrame, frequent: int, count: int, words: int, rounds: int) -> np.ndarray:
+    """Classes of the frequent words."""
+    return cluster(encoded, frequent, count, words, rounds)[0]
+
+
+def _known(batch: pa.RecordBatch) -> dict[bytes, int]:
+    return {part["word"]: part["class"] for parts in batch["known"].to_pylist() if parts for part in parts}
+
+
+def with_known(encoded: DataFrame, classes: Classes) -> DataFrame:
+    """``known``: word and class of the rare words in a text that were in the exchange."""
+    if classes.rare is None:
+        return encoded.withColumn("known", F.lit(None).cast("array<struct<word:binary,class:int>>"))
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                (row, word)
+                for row, rare in zip(batch["row"].to_pylist(), batch["rare"].to_pylist(), strict=True)
+                for word in set(rare.split(b" ") if rare else ())
+            ]
+            yield pa.record_batch(
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())], names=["row", "word"]
+            )
+
+    found = encoded.select("row", "rare").mapInArrow(words, "row long, word binary")
+    found = found.join(classes.rare.where(F.col("class") < classes.count), "word")
+    known = found.groupBy("row").agg(F.collect_list(F.struct("word", "class")).alias("known"))
+    return encoded.join(known, "row", "left")
 
 
 def classify(frequent: list[tuple[bytes, int]], exchanged: np.ndarray, count: int) -> Classes:
@@ -259,7 +514,9 @@ def train(encoded: DataFrame, vocabulary: DataFrame, frequent: list[tuple[bytes,
     ).first()
     total, known, once, twice = stats
     discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
-    classes = classify(frequent, exchange(encoded, len(frequent), count, EXCHANGED, ROUNDS), count)
+    exchanged, rare = cluster(encoded, len(frequent), count, EXCHANGED, ROUNDS)
+    classes = classify(frequent, exchanged, count)
+    classes.rare = rare
 
     def transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((count + 1) * count, np.int64)
@@ -267,26 +524,27 @@ def train(encoded: DataFrame, vocabulary: DataFrame, frequent: list[tuple[bytes,
             ids, first = _stream(batch)
             if not len(ids):
                 continue
-            own = classes.of_text(ids, b" ".join([r for r in batch["rare"].to_pylist() if r]).split(b" ") if (ids == RARE).any() else [])
+            own = classes.of_text(ids, b" ".join([r for r in batch["rare"].to_pylist() if r]).split(b" ") if (ids == RARE).any() else [], _known(batch))
             history = np.concatenate(([0], own[:-1]))
             history[first] = count
             seen += np.bincount(history * count + own, minlength=len(seen))
         yield pa.record_batch([pa.array(np.arange(len(seen))), pa.array(seen)], names=["cell", "n"])
 
-    top = {word: i for i, (word, _) in enumerate(frequent[:EXCHANGED])}
-
     def types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(count, np.int64)
         for batch in batches:
-            for word in batch["word"].to_pylist():
-                at = top.get(word)
-                seen[classes.of_frequent[at] if at is not None else classes.of_word(word)] += 1
+            for word, own in zip(batch["word"].to_pylist(), batch["class"].to_pylist(), strict=True):
+                seen[own if own < count else classes.of_word(word)] += 1
         yield pa.record_batch([pa.array(np.arange(count)), pa.array(seen)], names=["cell", "n"])
 
     cells = "cell long, n long"
-    pairs = _matrix(encoded.select("ids", "rare").mapInArrow(transitions, cells), (count + 1) * count)
+    pairs = _matrix(with_known(encoded, classes).select("ids", "rare", "known").mapInArrow(transitions, cells), (count + 1) * count)
     pairs = pairs.reshape(count + 1, count)
-    words = _matrix(vocabulary.select("word").mapInArrow(types, cells), count)
+    words = np.bincount(classes.of_frequent[:-1], minlength=count).astype(float)
+    if known > len(frequent):
+        # Words that occur once are frequent all or none; without frequent words there was no exchange.
+        ending = vocabulary.where("n = 1" if frequent else "true").select("word", F.lit(count).alias("class"))
+        words += _matrix((ending if rare is None else ending.unionByName(rare)).mapInArrow(types, cells), count)
     size = pairs.sum(axis=0)
     overall = (size + 1) / (size.sum() + count)
     chance = (pairs + SMOOTHING * overall) / (pairs.sum(axis=1, keepdims=True) + SMOOTHING)
@@ -313,13 +571,14 @@ def _scored(encoded: DataFrame, model: Broadcast) -> DataFrame:
         base = np.append(np.log10((m.counts + 1) / (m.tokens + m.vocabulary + 1)), 0.0)
         for batch in batches:
             rows: list[tuple] = []
+            classes = _known(batch)
             for row, blob, words in zip(
                 batch["row"].to_pylist(), batch["ids"].to_pylist(), batch["rare"].to_pylist(), strict=True
             ):
                 ids = np.frombuffer(blob, "<i4")
                 rare = ids == RARE
                 others = words.split(b" ") if rare.any() else []
-                own = m.classes.of_text(ids, others)
+                own = m.classes.of_text(ids, others, classes)
                 history = np.concatenate(([m.classes.count], own[:-1]))
                 chance = m.transitions[history, own] - m.sizes[own]
                 score = float((chance + emit[ids])[~rare].sum())
@@ -340,7 +599,7 @@ def _scored(encoded: DataFrame, model: Broadcast) -> DataFrame:
                 names=["row", "word", "n", "n_known", "x", "y"],
             )
 
-    return encoded.select("row", "ids", "rare").mapInArrow(
+    return encoded.select("row", "ids", "rare", "known").mapInArrow(
         scores, "row long, word binary, n long, n_known long, x double, y double"
     )
 
@@ -363,7 +622,7 @@ def class_bigram_scores(docs: DataFrame, held_out: Column, count: int = CLASSES)
     model = train(encoded.where("NOT held_out"), vocabulary, frequent, count)
     total, known, discount = model.tokens, model.vocabulary, model.discount
 
-    scored = written(_scored(encoded, spark.sparkContext.broadcast(model)), "brown-scored")
+    scored = written(_scored(with_known(encoded, model.classes), spark.sparkContext.broadcast(model)), "brown-scored")
     whole = scored.where("word IS NULL").select(
         "row", F.col("n").alias("n_tokens"), "n_known", F.col("x").alias("score"), F.col("y").alias("base_score")
     )

@@ -117,3 +117,24 @@ def test_odd_rows_and_nothing_to_learn_from(spark, odd, small):
     assert [r.n_tokens for r in rows if r.doc_id in (3, 4, 5)] == [1, 1, 1]
     nothing = brown_lm.class_bigram_scores(odd, F.lit(True)).collect()
     assert {(r.n_known, r.train_tokens, r.base_score, r.score) for r in nothing} == {(0, 0, 0.0, 0.0)}
+
+
+def test_words_beyond_the_most_frequent_are_exchanged_too(spark):
+    """Few words are in the tables of fixed size, some at hand, some rare; all keep to their kind."""
+    rng = random.Random(4)
+    kinds = [[f"a{i}x" for i in range(12)], [f"b{i}x" for i in range(12)]]
+    texts = [(i, " ".join(rng.choices(kinds[i % 2], range(40, 28, -1), k=30))) for i in range(200)]
+    texts.append((999, "once"))
+    docs = documents(spark, *texts)
+    vocabulary = brown_lm.written(brown_lm.count_words(docs.select("text")), "test-vocabulary")
+    frequent = brown_lm._frequent(vocabulary, 18)
+    words = spark.sparkContext.broadcast([w for w, _ in frequent])
+    encoded = brown_lm.written(brown_lm.encode(docs, F.lit(False), words), "test-encoded")
+    classes, rare = brown_lm.cluster(encoded, len(frequent), 3, 9, 6)
+    of = {w: int(c) for (w, _), c in zip(frequent, classes, strict=False)}
+    others = {bytes(r["word"]): r["class"] for r in rare.collect()}
+    assert len(of) > 9 and len(others) > 4 and b"once" not in others
+    of |= others
+    assert len(of) == 25 and 3 not in of.values()
+    first, second = ({c for w, c in of.items() if w.startswith(kind)} for kind in (b"a", b"b"))
+    assert not first & second
