@@ -28,6 +28,9 @@ LM_FOLDS, LM_HELD_OUT = 7, 2
 SHARDS = 8
 SIMHASH_WORDS, SIMHASH_RADIUS = 3, 2
 COSINE = 0.95
+DAMAGE_KINDS = 20
+TOP_K, TOP_QUERY_STEP, INTEGER_SCALE = 20, 20, 64
+CLUSTERS, CLUSTER_ROUNDS, CLUSTER_DIM, CLUSTER_SEED = 16, 3, 64, 1
 
 # The tree of sources: a source's domain follows from the number that its name ends with.
 DOMAINS = ("web", "reference", "forum")

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from delivery_marts.llm import (
     ann,
     brown_lm,
+    centroids,
     chat,
+    conversation_repair,
     embedding_dedup,
     mixing,
     packing,
@@ -21,6 +23,7 @@ from delivery_marts.llm import (
     sharding,
     simhash,
     token_files,
+    topk,
     toxicity,
 )
 from delivery_marts.llm.shared import folder, remainder, table, written
@@ -173,6 +176,71 @@ def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_lm.class_bigram_scores(table(spark, sf_dir, "documents"), held_out)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with the faults that the contract plants, by crc32 of ``conv_id:turn``."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    rows = conversations.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+        F.pmod(F.crc32(key.cast("binary")), F.lit(params.DAMAGE_KINDS)).alias("_kind"),
+    )
+    kind = F.col("_kind")
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.sequence(F.lit(1), F.when(kind == 3, 2).otherwise(1))
+    return rows.where(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(copies).alias("_copy"),
+    ).drop("_copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    turns = conversation_repair.turns(damaged(given))
+    found = written(conversation_repair.audits(turns), "repair-audits")
+    digests = conversation_repair.digests(conversation_repair.repaired(turns, found))
+    ids = given.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
+    # The same conversation, NULL or not.
+    same = [F.coalesce("conv_id", F.lit(0)).alias("_id"), F.col("conv_id").isNull().alias("_null")]
+    rows = ids.select("conv_id", *same)
+    for part in (found, digests):
+        rows = rows.join(part.select(*same, *part.columns[1:]), ["_id", "_null"], "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return rows.select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    step = F.pmod("vec_id", F.lit(params.TOP_QUERY_STEP)) == 0
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), step, params.TOP_K, params.INTEGER_SCALE)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, found = centroids.clusters(
+        table(spark, sf_dir, "embeddings"),
+        params.CLUSTERS,
+        params.CLUSTER_ROUNDS,
+        params.CLUSTER_DIM,
+        params.INTEGER_SCALE,
+        params.CLUSTER_SEED,
+    )
+    # A row per cluster.
+    sums = {r.cluster: r.inertia for r in rows.groupBy("cluster").agg(F.sum("distance").alias("inertia")).collect()}
+    inertia = F.array(*(F.lit(sums.get(i, 0)).cast("bigint") for i in range(len(found))))
+    digest = F.array(*(F.lit(centroids.digest(c)) for c in found)).cast("array<string>")
+    return rows.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        F.get(inertia, F.col("cluster")).cast("bigint").alias("cluster_inertia"),
+        F.lit(sum(sums.values())).cast("bigint").alias("inertia"),
+        F.get(digest, F.col("cluster")).alias("centroid_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -186,6 +254,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_simhash,
         op10_brown_lm,
+        op11_conversation_repair,
+        op12_exact_topk,
+        op13_centroids,
     )
 }
 
@@ -277,4 +348,57 @@ FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON
 LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = e.vec_id
 """
 
-ORACLE_SQL = {"op3_mixing": _MIXING, "op4_chat": _CHAT, "op5_embedding_dedup": _EMBEDDINGS}
+_INTEGERS = f"""list_transform(embedding, lambda x: floor({params.INTEGER_SCALE} * x::DOUBLE))"""
+_FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+_TOP_K = f"""
+WITH v AS (
+  SELECT vec_id, {_INTEGERS} AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND {_FINITE}),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % {params.TOP_QUERY_STEP} = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= {params.TOP_K}
+"""
+
+
+def _round(i: int) -> str:
+    """SQL of one round: nearest centroids of c{i}, then the floors of the means as c{i + 1}."""
+    return f"""
+a{i} AS ({_nearest(f"c{i}")}),
+m{i} AS (
+  SELECT cluster, list(mean ORDER BY place) AS c FROM (
+    SELECT cluster, place, floor(sum(x) / count(*)) AS mean FROM (
+      SELECT cluster, unnest(e) AS x, generate_subscripts(e, 1) AS place FROM a{i}) GROUP BY cluster, place)
+  GROUP BY cluster),
+c{i + 1} AS (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))"""
+
+
+def _nearest(centroids: str) -> str:
+    apart = "list_sum(list_transform(list_zip(e, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    return f"""SELECT id, vec_id, any_value(e) AS e, min_by(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+  FROM (SELECT id, vec_id, e, cluster, {apart}::BIGINT AS distance FROM v, {centroids}) GROUP BY id, vec_id"""
+
+
+_CENTROIDS = f"""
+WITH v AS (
+  SELECT row_number() OVER () AS id, vec_id, {_INTEGERS} AS e
+  FROM embeddings WHERE len(embedding) = {params.CLUSTER_DIM} AND {_FINITE}),
+c0 AS (
+  SELECT (row_number() OVER (ORDER BY sha256('{params.CLUSTER_SEED}:' || vec_id), e) - 1)::INT AS cluster, e AS c
+  FROM v QUALIFY cluster < {params.CLUSTERS}),
+{",".join(_round(i) for i in range(params.CLUSTER_ROUNDS))},
+last AS ({_nearest(f"c{params.CLUSTER_ROUNDS}")})
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(c, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM last JOIN c{params.CLUSTER_ROUNDS} USING (cluster)
+"""
+
+ORACLE_SQL = {
+    "op3_mixing": _MIXING,
+    "op4_chat": _CHAT,
+    "op5_embedding_dedup": _EMBEDDINGS,
+    "op12_exact_topk": _TOP_K,
+    "op13_centroids": _CENTROIDS,
+}

@@ -1,0 +1,88 @@
+import hashlib
+import math
+
+import numpy as np
+
+from delivery_marts.llm import centroids, queries
+from tests.llm.conftest import own_tables
+
+SCHEMA = "vec_id long, embedding array<float>, cluster string, distance string, ints string"
+
+
+def plain(rows, k, rounds, length):
+    usable = [
+        (i, [math.floor(64 * float(np.float32(x))) for x in v])
+        for i, v in rows if v is not None and len(v) == length and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    keys = sorted((i is None, hashlib.sha256(f"1:{i}".encode()).hexdigest() if i is not None else "", v) for i, v in usable)
+    found = [v for _, _, v in keys[:k]]
+
+    def near(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(found))
+
+    for _ in range(rounds):
+        groups = {}
+        for _, v in usable:
+            groups.setdefault(near(v)[1], []).append(v)
+        found = [[sum(x) // len(groups[n]) for x in zip(*groups[n])] if n in groups else c for n, c in enumerate(found)]
+    return sorted((i if i is not None else -1, near(v)[1], near(v)[0]) for i, v in usable), found
+
+
+def answer(spark, rows, k=5, rounds=3, length=4):
+    frame = spark.createDataFrame([(i, v, *["taken"] * 3) for i, v in rows], SCHEMA)
+    got, found = centroids.clusters(frame, k, rounds, length, 64, 1)
+    return sorted((-1 if r.vec_id is None else r.vec_id, r.cluster, r.distance) for r in got.collect()), found.tolist()
+
+
+def points(rng, n, dim):
+    return [(i, [float(x) for x in np.float32(p)]) for i, p in enumerate(rng.standard_normal((n, dim)))]
+
+
+def test_rounds_against_all_distances(spark):
+    rows = points(np.random.default_rng(1), 400, 4)
+    assert answer(spark, rows) == plain(rows, 5, 3, 4)
+    assert answer(spark, rows, 40, 2) == plain(rows, 40, 2, 4)
+
+
+def test_ties_and_centroids_without_vectors(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) / 64 for x in rng.integers(0, 2, 4)]) for i in range(200)]
+    got, found = answer(spark, rows, 12)
+    assert (got, found) == plain(rows, 12, 3, 4)
+    assert len({c for _, c, _ in got}) < 12
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 2.0]), (1, [0.5, 2.0]), (2, None), (3, [nan, 0.0]), (4, [inf, 0.0]), (5, [None, 0.0]), (6, [])]
+    rows += [(7, [1.0]), (8, [0.0, 0.0]), (None, [3.0, 3.0]), (9, [-0.001, 0.001])]
+    assert answer(spark, rows, 3, 3, 2) == plain(rows, 3, 3, 2)
+    assert answer(spark, rows, 16, 3, 2) == plain(rows, 16, 3, 2)
+    assert answer(spark, rows[2:8], 3, 3, 2) == ([], [])
+    large, _ = answer(spark, [(1, [1e30, 0.0]), (2, [-1e30, 0.0])], 1, 0, 2)
+    assert sorted(d for _, _, d in large) == [0, 1 << 54]
+
+
+def test_the_tree_leaves_centroids_out_and_is_exact():
+    rng = np.random.default_rng(3)
+    found = rng.integers(-200, 200, (64, 3))
+    vectors = found[rng.integers(0, 64, 2000)] + rng.integers(-4, 5, (2000, 3))
+    number, best, measured = centroids.Tree(found).nearest(vectors)
+    all_ = ((vectors[:, None, :] - found[None]) ** 2).sum(axis=2)
+    assert (number == all_.argmin(axis=1)).all() and (best == all_.min(axis=1)).all()
+    assert measured < 0.6 * 2000 * 64
+
+
+def test_query_on_vectors_of_two_lengths(spark, tmp_path):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    rows = points(rng, 60, 64) + [(100 + i, v) for i, v in points(rng, 10, 3)]
+    table = pa.table({"vec_id": [i for i, _ in rows], "embedding": pa.array([v for _, v in rows], pa.list_(pa.float32()))})
+    got = queries.op13_centroids(spark, own_tables(tmp_path, embeddings=table)).collect()
+    want, found = plain(rows, 16, 3, 64)
+    assert sorted((r.vec_id, r.cluster, r.distance) for r in got) == want
+    of = {n: sum(d for _, c, d in want if c == n) for n in range(16)}
+    for r in got:
+        assert (r.cluster_inertia, r.inertia) == (of[r.cluster], sum(of.values()))
+        assert r.centroid_sha256 == hashlib.sha256(",".join(map(str, found[r.cluster])).encode()).hexdigest()
