@@ -1,32 +1,35 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
-1. Lexicon. A bounded sample of labelled rows gives, for every word and every word beginning of
-   3 to 8 letters, how many toxic and clean documents have it. Those likelier in toxic documents
-   by more than chance explains (log-likelihood ratio above the logarithm of the number of
-   candidates) are kept, each with its strength, the logarithm of how much likelier. The strongest
-   feature of a word is the word's strength.
+1. Lexicon. The labelled rows give, for every word and every word beginning of 3 to 8 letters, how
+   many toxic and clean documents have it. All that are likelier in toxic documents by more than
+   chance explains (log-likelihood ratio above the logarithm of the number of candidates) are kept,
+   each with its strength, the logarithm of how much likelier; but a beginning goes where a longer
+   one has the same counts. The strongest feature of a word is the word's strength.
 2. Votes. Every document gets features and votes (toxic, clean, none) in one pass over its whole
    text. A lexicon voter votes toxic on a text that has one of its features; features are dealt to
-   voters by rank, words apart from beginnings. Pattern voters look at strength per word, at its
-   sum, at shouting and at exclamation marks.
+   voters by rank, words apart from beginnings. Pattern voters look at the strongest word, at the
+   strongest passage of ``WINDOW`` words, at shouting and at exclamation marks. No voter and no
+   feature divides by the length of the text: clean text around an insult does not acquit it.
 3. Label model. Two classes; each voter has a chance of each vote in each class. Expectation
    maximisation over the votes of all documents estimates those chances, and the correlation of
    every two voters within a class; a voter's evidence is divided by one plus the correlations it
    has with others, so that ten voters that say the same count once. Vote patterns are grouped and
    stay distributed; a round moves only a table of voters by voters to the driver.
-4. Classifier. A logistic regression on the features (lexicon entries that a text has, steps of
-   strength per word and of its sum) is fitted to the posteriors of the sampled rows and scores
-   every document.
+4. Classifier. A logistic regression on the features (lexicon entries that a text has, steps of the
+   strongest word and of the strongest passage) is fitted to the posteriors of all documents, as
+   distinct rows with weights, by Spark's own distributed trainer, and scores every document.
 
-Gold labels are used for the lexicon and, as one more voter that mostly abstains and whose
-accuracy is given, in the label model; only from rows that the caller gives as training labels.
-Language, source and ids are never inputs.
+Gold labels are used for the lexicon and, as one more voter that mostly abstains and whose accuracy
+is given, in the label model; only from rows that the caller gives as training labels. A document
+without gold label counts ``UNLABELLED`` of one with it, in the label model and in the classifier:
+at full weight, the many weak voters would make the two classes something else than toxic and
+clean. Language, source and ids are never inputs.
 
 Defined results: NULL and empty texts have no hits and get the clean score; labels that are NULL
-are ignored; a document labelled twice counts twice in the sample, equal texts in it count once
-for the lexicon; without any toxic or any clean label, or without a lexicon, every score is 0; an
-empty table gives an empty one; columns other than doc_id and text are not used. Whole texts are
-read. ``LABELLED`` bounds the sample, nothing else does.
+are ignored; a document labelled twice counts twice, equal texts count once for the lexicon; rows
+that repeat a labelled doc_id each have its label; without any toxic or any clean label, or without
+a lexicon, every score is 0; an empty table gives an empty one; columns other than doc_id and text
+are not used. Whole texts are read, and nothing is sampled or cut.
 """
 
 from __future__ import annotations
@@ -40,18 +43,22 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delivery_marts.llm.shared import written
 
-LABELLED = 20_000  # most labelled rows in the sample, taken in the order of a hash of their id
-LEXICON = 600  # features
 BEGINNINGS = range(3, 9)
 LIKELIER = 3.0  # times, at least
-PER_WORD = (0.0005, 0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.2, 0.4, 0.8)  # steps of strength
-IN_ALL = (1.0, 4.0, 8.0, 16.0, 32.0)
+WINDOW = 100  # words of a passage
+STRONGEST = (1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 10.0)  # steps of the strongest word
+PASSAGE = (2.0, 4.0, 6.0, 8.0, 10.0, 12.0, 16.0, 24.0, 32.0, 48.0)  # and of the strongest passage
+VERY_STRONG = 0.75  # of the greatest strength there is
+UNLABELLED = 0.1  # weight of a document without label
+RIDGE = 0.1
 GOLD_ACCURACY = 0.99
 PER_VOTER = 40  # features of a lexicon voter
 ROUNDS = 12
@@ -82,9 +89,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def lexicon(sample: DataFrame, size: int = LEXICON) -> list[tuple[str, float]]:
-    """Features and strengths, the best first; ``sample`` has text and toxic (0 or 1)."""
-    sample = sample.dropDuplicates(["text", "toxic"])
+def lexicon(labelled: DataFrame) -> list[tuple[str, float]]:
+    """Features and strengths, the best first; ``labelled`` has text and toxic (0 or 1).
+
+    What comes to the driver are significant features, which labels bound, not documents.
+    """
+    sample = labelled.dropDuplicates(["text", "toxic"])
     totals = sample.agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c")).first()
     if not totals["t"] or not totals["c"]:
         return []
@@ -100,8 +110,24 @@ def lexicon(sample: DataFrame, size: int = LEXICON) -> list[tuple[str, float]]:
     gain = part(F.col("a"), t * share) + part(F.col("b"), c * share)
     times = ((F.col("a") + 0.5) / (t + 1)) / ((F.col("b") + 0.5) / (c + 1))
     chance = math.log(max(2, summed.count()))
-    best = summed.where((times > LIKELIER) & (gain > chance)).orderBy(gain.desc(), "feature").limit(size)
-    return [(row.feature, row.strength) for row in best.select("feature", F.ln(times).alias("strength")).collect()]
+    best = summed.where((times > LIKELIER) & (gain > chance)).select("feature", "a", "b", F.ln(times).alias("strength"), gain.alias("gain"))
+    rows = sorted(best.collect(), key=lambda r: (-r.gain, r.feature))
+    # Counts of a beginning's longer beginnings: equal ones stand for the same documents.
+    longer = {(r.feature[:n] + "*", r.a, r.b) for r in rows if r.feature.endswith("*") for n in range(len(r.feature) - 1)}
+    return [(r.feature, r.strength) for r in rows if (r.feature, r.a, r.b) not in longer]
+
+
+def _passage(hits: list[tuple[int, float]]) -> float:
+    """The greatest sum of strengths within ``WINDOW`` words; hits are (place, strength), in order."""
+    best = total = 0.0
+    first = 0
+    for place, strength in hits:
+        total += strength
+        while hits[first][0] <= place - WINDOW:
+            total -= hits[first][1]
+            first += 1
+        best = max(best, total)
+    return best
 
 
 @dataclass(frozen=True)
@@ -121,42 +147,57 @@ class Voters:
 
     @property
     def features(self) -> int:
-        return len(self.lexicon) + len(PER_WORD) + len(IN_ALL)
+        return len(self.lexicon) + len(STRONGEST) + len(PASSAGE)
+
+
+class Reader:
+    """What a task needs to read texts: features by name and word, the voter of each feature."""
 
-    def read(self, text: str | None, known: dict[str, tuple[float, tuple[int, ...]]], index: dict[str, int]) -> tuple[list[int], str]:
+    def __init__(self, voters: Voters):
+        self.lexicon = voters.lexicon
+        self.index = {feature: i for i, (feature, _) in enumerate(voters.lexicon)}
+        self.voter = {i: number for number, group in enumerate(voters.groups()) for i in group}
+        self.voters = len(voters.groups())
+        self.very = VERY_STRONG * max((s for _, s in voters.lexicon), default=0.0)
+        self.known: dict[str, tuple[float, tuple[int, ...]]] = {}
+
+    def _entry(self, word: str) -> tuple[float, tuple[int, ...]]:
+        mine = tuple(self.index[f] for f in _features(word) if f in self.index)
+        if len(self.known) >= CACHED:
+            self.known.clear()
+        entry = self.known[word] = (max((self.lexicon[i][1] for i in mine), default=0.0), mine)
+        return entry
+
+    def read(self, text: str | None) -> tuple[list[int], str]:
         """Features that a text has, and the voters' votes on it, a digit each."""
-        whole = text or ""
+        whole, found, hits = text or "", set(), []
         words = WORD.findall(whole.lower())
-        found: set[int] = set()
-        strength = 0.0
-        for word in words:
-            entry = known.get(word)
-            if entry is None:
-                mine = tuple(index[f] for f in _features(word) if f in index)
-                if len(known) >= CACHED:
-                    known.clear()
-                entry = known[word] = (max((self.lexicon[i][1] for i in mine), default=0.0), mine)
-            if entry[1]:
-                found.update(entry[1])
-                strength += entry[0]
-        per_word = strength / max(1, len(words))
+        for place, word in enumerate(words):
+            strength, mine = self.known.get(word) or self._entry(word)
+            if mine:
+                found.update(mine)
+                hits.append((place, strength))
+        strongest = max((strength for _, strength in hits), default=0.0)
+        passage = _passage(hits)
         letters = sum(map(len, words))
-        votes = [TOXIC if not found.isdisjoint(group) else NONE for group in self.groups()]
+        votes = [NONE] * self.voters
+        for feature in found:
+            votes[self.voter[feature]] = TOXIC
         votes += [
-            TOXIC if per_word >= 0.05 else CLEAN if per_word < 0.005 else NONE,
-            TOXIC if per_word >= 0.02 else CLEAN if not found else NONE,
-            TOXIC if strength >= 8.0 else CLEAN if strength < 1.0 else NONE,
+            TOXIC if strongest >= self.very else NONE if found else CLEAN,
+            TOXIC if passage >= self.very else NONE,
+            TOXIC if passage >= 2 * self.very else CLEAN if passage < 1.0 else NONE,
             TOXIC if letters > 20 and sum(map(str.isupper, whole)) > 0.5 * letters else NONE,
             TOXIC if "!!" in whole else NONE,
         ]
-        steps = [per_word >= step for step in PER_WORD] + [strength >= step for step in IN_ALL]
+        steps = [strongest >= step for step in STRONGEST] + [passage >= step for step in PASSAGE]
         found.update(len(self.lexicon) + i for i, above in enumerate(steps) if above)
         return sorted(found), "".join(map(str, votes))
 
 
 @lru_cache(maxsize=2)
-def _state(voters: Voters) -> tuple[dict, dict]:
-    return {}, {feature: i for i, (feature, _) in enumerate(voters.lexicon)}
+def _reader(voters: Voters) -> Reader:
+    return Reader(voters)
 
 
 def read(docs: DataFrame, voters: Voters, carried: tuple[str, ...] = ()) -> DataFrame:
@@ -166,9 +207,9 @@ def read(docs: DataFrame, voters: Voters, carried: tuple[str, ...] = ()) -> Data
     names = [field.name for field in kept]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, index = _state(voters)
+        reader = _reader(voters)
         for batch in batches:
-            pairs = [voters.read(text.as_py(), known, index) for text in batch["text"]]
+            pairs = [reader.read(text.as_py()) for text in batch["text"]]
             yield pa.record_batch(
                 [
                     *(batch[name] for name in names),
@@ -219,7 +260,8 @@ def label_model(patterns: DataFrame, voters: int, prior: float, gold: bool = Fal
     """Fitted to ``patterns`` (votes, n) by expectation maximisation.
 
     The start: toxic votes are likelier in toxic documents and clean votes in clean ones. With
-    ``gold`` the last voter's votes are labels, whose accuracy is given and not estimated.
+    ``gold`` the last voter's votes are labels, whose accuracy is given and not estimated, and
+    patterns without one weigh ``UNLABELLED``.
     """
     chances = np.empty((2, voters, 3))
     chances[1], chances[0] = (0.1, 0.6, 0.3), (0.4, 0.05, 0.55)
@@ -237,6 +279,8 @@ def label_model(patterns: DataFrame, voters: int, prior: float, gold: bool = Fal
                 votes = _parsed(batch["votes"].to_pylist())
                 toxic = model.posterior(votes)
                 n = batch["n"].to_numpy().astype(float)
+                if gold:
+                    n *= np.where(votes[:, -1] == NONE, UNLABELLED, 1.0)
                 signed = (votes == TOXIC).astype(float) - (votes == CLEAN)
                 for k, weight in enumerate((n * (1 - toxic), n * toxic)):
                     for vote in (CLEAN, TOXIC, NONE):
@@ -263,61 +307,65 @@ def label_model(patterns: DataFrame, voters: int, prior: float, gold: bool = Fal
     return model
 
 
-def fit(rows: list[list[int]], targets: np.ndarray, features: int, ridge: float = 0.1) -> np.ndarray:
+def fit(examples: DataFrame, features: int, ridge: float = RIDGE) -> np.ndarray:
     """Weights of a logistic regression on presence of features, the last one constant.
 
-    Rows with the same features, of which there are many, are one row with a count.
+    ``examples`` has features (indices), weight and target (chance of toxic). A target between 0 and
+    1 is a toxic and a clean row that share the weight.
     """
-    groups: dict[tuple[int, ...], list[float]] = {}
-    for found, target in zip(rows, targets.tolist(), strict=True):
-        group = groups.setdefault(tuple(found), [0.0, 0.0])
-        group[0] += 1
-        group[1] += target
-    count, wanted = np.array(list(groups.values())).reshape(-1, 2).T
-    x = np.zeros((len(groups), features + 1))
-    for i, found in enumerate(groups):
-        x[i, list(found)] = 1
-    x[:, -1] = 1
-    weights = np.zeros(features + 1)
-    penalty = np.full(features + 1, ridge)
-    penalty[-1] = 1e-9
-    for _ in range(30):  # Newton's method
-        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (count * p - wanted) + penalty * weights
-        curvature = (x * (count * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(curvature, gradient)
-        weights -= step
-        if np.abs(step).max() < 1e-6:
-            break
-    return weights
+    target = F.col("target")
+    halves = F.array(
+        F.struct(F.lit(1.0).alias("label"), (F.col("weight") * target).alias("w")),
+        F.struct(F.lit(0.0).alias("label"), (F.col("weight") * (1 - target)).alias("w")),
+    )
+    names = [str(i) for i in range(features)]
+    rows = examples.select(F.col("features").cast("array<string>").alias("names"), F.inline(halves)).where("w > 0")
+    present = CountVectorizerModel.from_vocabulary(names, inputCol="names", outputCol="x").setBinary(True)
+    total = examples.agg(F.sum("weight")).first()[0]
+    trainer = LogisticRegression(
+        featuresCol="x", labelCol="label", weightCol="w", maxIter=200, tol=1e-9,
+        regParam=ridge / total, elasticNetParam=0.0, standardization=False,
+    )
+    model = trainer.fit(present.transform(rows).select("x", "label", "w"))
+    return np.append(model.coefficients.toArray(), model.intercept)
+
+
+def _examples(scanned: DataFrame, model: LabelModel) -> DataFrame:
+    """features, weight and target of distinct rows (features, votes, the label last)."""
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                votes = _parsed(batch["votes"].to_pylist())
+                weight = batch["n"].to_numpy() * np.where(votes[:, -1] == NONE, UNLABELLED, 1.0)
+                columns = [batch["features"], pa.array(weight), pa.array(model.posterior(votes))]
+                yield pa.record_batch(columns, names=["features", "weight", "target"])
 
+    grouped = scanned.groupBy("features", "votes").agg(F.count(F.lit(1)).alias("n"))
+    return grouped.mapInArrow(weighed, "features array<int>, weight double, target double")
 
-def toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, carried: tuple[str, ...] = ()) -> DataFrame:
+
+def toxicity(docs: DataFrame, labels: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the carried columns and ``score`` for every row of ``docs``; ``labels`` (doc_id, toxic) are all used."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *(c for c in carried if c != "text"))
     gold = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")
     )
-    # The sample is bounded, so its ids may be broadcast.
-    chosen = F.broadcast(written(gold.orderBy(F.xxhash64("doc_id"), "toxic").limit(labelled), "toxicity-sample"))
-    voters = Voters(tuple(lexicon(docs.join(chosen, "doc_id"))))
+    # Spark broadcasts the labels where they are few, by its own check of their size.
+    gold = written(gold, "toxicity-labels")
+    voters = Voters(tuple(lexicon(docs.select("doc_id", "text").join(gold, "doc_id"))))
     if not voters.lexicon:
         return docs.select("doc_id", *carried, F.lit(0.0).alias("score"))
 
     scanned = written(read(docs, voters, carried), "toxicity-votes")
-    marked = scanned.select("doc_id", "votes").join(chosen, "doc_id", "left").withColumn(
-        "votes", F.concat("votes", F.coalesce(F.col("toxic").cast("string"), F.lit(str(NONE))))
-    )
+    label = F.coalesce(F.col("toxic").cast("string"), F.lit(str(NONE)))
+    marked = scanned.select("doc_id", "features", "votes").join(gold, "doc_id", "left")
+    marked = marked.select("features", F.concat("votes", label).alias("votes"))
     patterns = written(marked.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "toxicity-patterns")
-    known = chosen.agg(F.avg("toxic").alias("toxic")).first()["toxic"]
+    known = gold.agg(F.avg("toxic").alias("toxic")).first()["toxic"]
     model = label_model(patterns, voters.count + 1, float(np.clip(known, 1e-3, 0.5)), gold=True)
+    weights = fit(written(_examples(marked, model), "toxicity-examples"), voters.features)
 
-    # One row per label: a doc_id may repeat in the table.
-    sampled = scanned.select("doc_id", "features", "votes").join(chosen, "doc_id").dropDuplicates(["doc_id", "toxic"])
-    rows = sampled.select("features", "votes", "toxic").collect()
-    votes = _parsed([row.votes + str(row.toxic) for row in rows])
-    weights = fit([row.features for row in rows], model.posterior(votes), voters.features)
-
-    table = F.array(*[F.lit(float(w)) for w in weights[:-1]])
+    table = F.lit(weights[:-1])
     logit = F.aggregate("features", F.lit(float(weights[-1])), lambda total, i: total + F.get(table, i))
     return scanned.select("doc_id", *carried, (1 / (1 + F.exp(-logit))).alias("score"))

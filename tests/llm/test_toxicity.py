@@ -72,11 +72,53 @@ def test_query_marks_the_held_out_and_follows_the_score(spark, db):
     assert np.mean([p == y for p, y in held]) >= 0.95
 
 
-def test_fit_against_plain_gradient():
+def test_fit_against_plain_gradient(spark):
     rng = np.random.default_rng(2)
     rows = [sorted(set(rng.integers(0, 4, 2).tolist())) for _ in range(400)]
     targets = np.clip(0.2 + 0.5 * np.array([0 in r for r in rows]) + rng.normal(0, 0.1, 400), 0, 1)
-    weights = toxicity.fit(rows, targets, 4)
+    shares = rng.choice([1.0, 0.1, 3.0], 400)
+    examples = [(r, float(w), float(t)) for r, w, t in zip(rows, shares, targets)]
+    weights = toxicity.fit(spark.createDataFrame(examples, "features array<int>, weight double, target double"), 4)
     x = np.array([[f in r for f in range(4)] + [True] for r in rows], float)
-    gradient = x.T @ (1 / (1 + np.exp(-x @ weights)) - targets) + np.array([0.1] * 4 + [0]) * weights
-    assert np.abs(gradient).max() < 1e-4
+    gradient = x.T @ (shares * (1 / (1 + np.exp(-x @ weights)) - targets)) + np.array([0.1] * 4 + [0]) * weights
+    assert np.abs(gradient).max() < 1e-2
+
+
+def test_clean_text_around_toxic_text_does_not_acquit_it(spark, db):
+    """Held-out toxic texts at the end of ten clean ones, and clean ones alone: recall at 0.7."""
+    folder, rng = "/root/testdata/sf0.1", random.Random(6)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    train = labels.where("crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1")
+    held = {r.doc_id: (r.text, r.toxic) for r in docs.join(labels, "doc_id").collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
+    toxic = [text for text, y in held.values() if y == 1]
+    clean = [text for text, y in held.values() if y == 0]
+    made = {f"given {i}": t for i, t in enumerate(toxic)} | {f"clean {i}": t for i, t in enumerate(clean)}
+    made |= {f"diluted {i}": " ".join([*rng.choices(clean, k=10), rng.choice(toxic)]) for i in range(200)}
+    made |= {f"insult {i}": f"{rng.choice(clean)} idiot {rng.choice(clean)}" for i in range(100)}
+    names = list(made)
+    added = documents(spark, *((-1 - i, made[name]) for i, name in enumerate(names)))
+    scores = toxicity.toxicity(docs.unionByName(added), train).where("doc_id < 0").collect()
+    found = {}
+    for r in scores:
+        found.setdefault(names[-1 - r.doc_id].split()[0], []).append(r.score >= 0.7)
+    share = {kind: np.mean(marks) for kind, marks in found.items()}
+    assert share["given"] >= 0.9 and share["diluted"] >= 0.9 and share["insult"] >= 0.9
+    assert share["clean"] <= 0.01
+
+
+def test_strongest_passage():
+    assert toxicity._passage([]) == 0.0
+    hits = [(0, 1.0), (99, 2.0), (100, 4.0), (500, 3.0), (599, 3.0), (600, 0.5)]
+    assert toxicity._passage(hits) == 6.0
+    rng = random.Random(3)
+    for _ in range(50):
+        hits = sorted({rng.randrange(400): rng.random() for _ in range(20)}.items())
+        plain = max(sum(s for q, s in hits if p <= q < p + toxicity.WINDOW) for p, _ in hits)
+        assert abs(toxicity._passage(hits) - plain) < 1e-9
+
+
+def test_beginnings_with_equal_counts_are_kept_once(spark):
+    rows = [(f"idiots here {i}", 1) for i in range(30)] + [(f"all calm {i}", 0) for i in range(200)]
+    found = dict(toxicity.lexicon(spark.createDataFrame(rows, "text string, toxic int")))
+    assert {"idiots", "idiot*"} <= set(found) and not {"idi*", "idio*"} & set(found)
