@@ -30,8 +30,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every SimHash component: the smallest doc_id, rows without doc_id last.
 
-    Of rows that repeat a doc_id only the one with the smallest hash of its text may stay, so a
-    doc_id is in the result once; a component whose other rows it was is left to those.
+    Components are decided by texts alone: rows of one doc_id whose texts are no copies of each
+    other all stay.
     """
     configure(spark)
     order = ("_hash", "lang", "source", "n_chars", "_row")
@@ -39,11 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     carried = (*COLUMNS[1:], "_row")
     prints = written(simhash.fingerprints(numbered, params.SIMHASH_WORDS, carried), "pipeline-fingerprints")
     rows = prints.withColumn("_hash", F.xxhash64("text")).select("doc_id", "fp", *order)
-
-    # A row without doc_id repeats none.
-    same_id = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("_row"))).orderBy(*order)
-    named = rows.withColumn("_place", F.row_number().over(same_id)).where("_place = 1").drop("_place")
-    placed = named.join(simhash.classes(prints, params.SIMHASH_RADIUS).select("fp", "component"), "fp")
+    placed = rows.join(simhash.classes(prints, params.SIMHASH_RADIUS).select("fp", "component"), "fp")
     same_text = Window.partitionBy("component").orderBy(F.asc_nulls_last("doc_id"), *order)
     first = placed.withColumn("_place", F.row_number().over(same_text)).where("_place = 1").select("_row")
     return prints.join(first, "_row", "left_semi").select(*COLUMNS)
