@@ -1,6 +1,6 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
-1. Lexicon. The labelled rows give, for every word and every word beginning of 3 to 8 letters, how
+1. Lexicon. Labelled rows, ``LABELLED`` at most, give, for every word and every word beginning of 3 to 8 letters, how
    many toxic and clean documents have it. All that are likelier in toxic documents by more than
    chance explains (log-likelihood ratio above the logarithm of the number of candidates) are kept,
    each with its strength, the logarithm of how much likelier; but a beginning goes where a longer
@@ -29,7 +29,7 @@ Defined results: NULL and empty texts have no hits and get the clean score; labe
 are ignored; a document labelled twice counts twice, equal texts count once for the lexicon; rows
 that repeat a labelled doc_id each have its label; without any toxic or any clean label, or without
 a lexicon, every score is 0; an empty table gives an empty one; columns other than doc_id and text
-are not used. Whole texts are read, and nothing is sampled or cut.
+are not used. Whole texts are read; ``LABELLED`` bounds the labelled rows, nothing else is cut.
 """
 
 from __future__ import annotations
@@ -51,6 +51,7 @@ from pyspark.sql import types as T
 
 from delivery_marts.llm.shared import written
 
+LABELLED = 250_000  # most labelled rows in the sample, taken in the order of a hash of their id
 BEGINNINGS = range(3, 9)
 LIKELIER = 3.0  # times, at least
 WINDOW = 100  # words of a passage
@@ -345,14 +346,15 @@ def _examples(scanned: DataFrame, model: LabelModel) -> DataFrame:
     return grouped.mapInArrow(weighed, "features array<int>, weight double, target double")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the carried columns and ``score`` for every row of ``docs``; ``labels`` (doc_id, toxic) are all used."""
+def toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the carried columns and ``score`` for every row of ``docs``; of ``labels`` (doc_id, toxic), which
+    are all meant for training, ``labelled`` at most are used."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *(c for c in carried if c != "text"))
     gold = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")
     )
-    # Spark broadcasts the labels where they are few, by its own check of their size.
-    gold = written(gold, "toxicity-labels")
+    # The sample is bounded, so its ids may be broadcast, and no text is shuffled to meet its label.
+    gold = F.broadcast(written(gold.orderBy(F.xxhash64("doc_id"), "toxic").limit(labelled), "toxicity-labels"))
     voters = Voters(tuple(lexicon(docs.select("doc_id", "text").join(gold, "doc_id"))))
     if not voters.lexicon:
         return docs.select("doc_id", *carried, F.lit(0.0).alias("score"))
