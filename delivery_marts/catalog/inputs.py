@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from delivery_marts.operators.assignments import assignment_intervals
 from delivery_marts.operators.headers import file_order_ends
 from delivery_marts.operators.lines import drop_unkeyed_lines
-from delivery_marts.plans.normalize import keyed, normalize
+from delivery_marts.operators.constraints import RowRules
+from delivery_marts.plans.normalize import feed_key_bounds, keyed, normalize
+from delivery_marts.plans.pipeline import layout_buckets
 from delivery_marts.schemas import ASSIGNMENT_ORDER, LINE_GROUP, NO_REPLACEMENT, TABLES
 from delivery_marts.functions import unfill_replaced_id
 from delivery_marts.session import configure, scratch_path
@@ -36,6 +38,29 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, path, TABLES[name].schema)
 
 
+def laid_out(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Tables stored as a load stores them, in buckets by order, and read back so."""
+    source = feed(spark, sf_dir)
+    bounds = feed_key_bounds(source)
+    buckets = layout_buckets(spark, bounds)
+    out, normalised = {}, normalize(source)
+    for name in names:
+        path = scratch_path(spark, f"laid-out-{name}")
+        write_table(keyed(name, normalised[name], bounds.get(name)), path, buckets)
+        out[name] = read_table(spark, path, TABLES[name].schema, buckets)
+    return out
+
+
+def observed_counts(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
+    """Row rules of frames as the tasks count them that write the frames."""
+    rows = []
+    for name, frame in frames.items():
+        rules = RowRules(TABLES[name])
+        write_table(frame, scratch_path(spark, f"observed-{name}"), observe=rules.observe)
+        rows += [*rules.counts, (name, "rows", "rows", rules.rows)]
+    return spark.createDataFrame(rows, "table_name string, kind string, constraint_name string, violations long")
+
+
 def spoiled_orders(orders: DataFrame) -> DataFrame:
     urgent = F.col("payment_type") == "1-URGENT"
     return orders.withColumns(

@@ -380,6 +380,34 @@ _counted += [
 ]
 
 
+LENGTHENED = {
+    table: f"(SELECT * REPLACE ({', '.join(f'repeat({c}, {n}) AS {c}' for t, _, _, c, n, _ in LENGTHS if t == table)}) FROM {source})"
+    for table, source in {t: s for t, s, *_ in LENGTHS}.items()
+}
+_observed = [
+    _zero(table, "not_null", f"{column}_not_null", _count_where(LENGTHENED[table], f"{column} IS NULL"))
+    for table, (_, _, columns) in SOURCES.items()
+    for column in columns
+    if table in LENGTHENED
+]
+_observed += [
+    _zero(table, "length", f"{column}_length", _count_where(LENGTHENED[table], f"length({column}) > {limit}"))
+    for table, _, _, column, _, limit in LENGTHS
+]
+_observed += [_zero(table, "rows", "rows", f"SELECT count(*) FROM {source}") for table, source in LENGTHENED.items()]
+_observed += [
+    _zero("order_items", "not_null", f"{column}_not_null", _count_where("shifted_lines", f"{column} IS NULL"))
+    for column in SOURCES["order_items"][2]
+]
+_observed.append(_zero("order_items", "not_null", "order_item_id_not_null", "0"))
+_observed += [
+    _zero(table, "check", name, _count_where(source, f"NOT ({rule})"))
+    for table, source, _, name, rule in CHECKS
+    if table == "order_items"
+]
+_observed.append(_zero("order_items", "rows", "rows", "SELECT count(*) FROM shifted_lines"))
+
+
 def _check(name: str, normalised: str, spoiled: str) -> str:
     return _union(
         [
@@ -516,6 +544,10 @@ SELECTS: dict[str, str] = {
         "order_items", "unique", "order_item_group", LINE_KEY, FILLED_LINES, null_too=False
     ),
     "constraint_counts": _union(_counted),
+    "observed_rule_counts": _union(_observed),
+    "laid_out_orders_mart": f"""SELECT * REPLACE ({_wide("order_id", "user_id", "store_id", "driver_id")})
+      FROM orders_mart_t""",
+    "laid_out_items_mart": f"SELECT * REPLACE ({_wide('store_id', 'item_id')}) FROM items_mart_t",
     **{name: _check(name, *values) for name, values in CHECK_VALUES.items()},
     "quality_report": QUALITY_REPORT,
 }

@@ -24,7 +24,7 @@ from delivery_marts.operators.joins import left_join_many
 from delivery_marts.operators.lines import drop_unkeyed_lines, order_lines_by_file
 from delivery_marts.operators.ordering import known
 from delivery_marts.plans.marts import item_cells, items_mart, order_money, orders_mart
-from delivery_marts.plans.normalize import keyed
+from delivery_marts.plans.normalize import feed_key_bounds, keyed, normalize
 from delivery_marts.schemas import ITEMS_MART, MARTS, ORDERS_MART, RAW_FEED, TABLES
 from delivery_marts.sinks.conform import conform
 from delivery_marts.sinks.tables import row_counts
@@ -110,7 +110,11 @@ QUERIES.update(
 
 
 def _keyed(name: str) -> Query:
-    return lambda spark, sf_dir: keyed(name, inputs.tables(spark, sf_dir)[name])
+    def run(spark, sf_dir):
+        source = inputs.feed(spark, sf_dir)
+        return keyed(name, normalize(source)[name], feed_key_bounds(source)[name])
+
+    return run
 
 
 QUERIES.update(order_items_keyed=_keyed("order_items"), assignments_keyed=_keyed("delivery_assignments"))
@@ -221,6 +225,18 @@ QUERIES.update(
 )
 
 
+@query
+def laid_out_orders_mart(spark, sf_dir):
+    t = inputs.laid_out(spark, sf_dir, "orders", "order_items", "delivery_assignments")
+    return orders_mart(t["orders"], t["order_items"], t["delivery_assignments"])
+
+
+@query
+def laid_out_items_mart(spark, sf_dir):
+    t = inputs.laid_out(spark, sf_dir, "orders", "order_items", "items")
+    return items_mart(t["orders"], t["order_items"], t["items"])
+
+
 def _cell_counts(column: str) -> Query:
     def run(spark, sf_dir):
         t = inputs.tables(spark, sf_dir)
@@ -317,6 +333,14 @@ def constraint_counts(spark, sf_dir):
     return constraints.violation_counts(inputs.tables(spark, sf_dir), TABLES)
 
 
+@query
+def observed_rule_counts(spark, sf_dir):
+    """On the lines with shifted numbers and on tables with lengthened texts."""
+    t = inputs.tables(spark, sf_dir)
+    lines = {"order_items": inputs.shifted_lines(keyed("order_items", t["order_items"]))}
+    return inputs.observed_counts(spark, {**lines, **inputs.lengthened(t)})
+
+
 # Quality checks, each on the normalised tables and on a spoiled copy
 
 

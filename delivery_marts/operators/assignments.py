@@ -18,6 +18,12 @@ def _starts(feed: DataFrame) -> DataFrame:
     )
 
 
+def assignment_starts(feed: DataFrame) -> DataFrame:
+    """The first columns of an assignment's order, as the lines repeat them."""
+    starts = _starts(feed).withColumnRenamed("delivery_started_at", "assigned_at")
+    return starts.select(*ASSIGNMENT_ORDER[:3])
+
+
 def _with_ends(starts: DataFrame, feed: DataFrame) -> DataFrame:
     """Every start with the end its *own file* gives the order.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -201,6 +201,51 @@ def row_rule_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
+ROWS = "rows"
+
+
+class RowRules:
+    """The row-level rules of a table, and its rows, counted while the table is written.
+
+    The counts come with the write, as observed metrics: no scan of their own. They are exact if
+    the observed frame is the one that the writing tasks go through, as Spark takes the metrics of
+    each such task once, also where it ran twice.
+    """
+
+    def __init__(self, spec: TableSpec):
+        self.spec = spec
+        self._observation = Observation(f"rules of {spec.name}")
+
+    def observe(self, df: DataFrame) -> DataFrame:
+        self.rules = row_rules(df, self.spec)
+        broken = [F.count_if(violated).alias(name) for _, name, violated, _ in self.rules]
+        return df.observe(self._observation, F.count(F.lit(1)).alias(ROWS), *broken)
+
+    @property
+    def rows(self) -> int:
+        """How many rows were written; waits for the write."""
+        return self._observation.get[ROWS]
+
+    @property
+    def counts(self) -> list[tuple[str, str, str, int]]:
+        """(table, kind, constraint, violations) as ``row_rule_counts`` gives them."""
+        found = self._observation.get
+        return [(self.spec.name, kind, name, found[name]) for kind, name, _, _ in self.rules]
+
+
+def _reference_counts(tables: dict[str, DataFrame], specs: dict[str, TableSpec]) -> list[DataFrame]:
+    return [
+        _count(dangling_count(tables[name], tables[ref.parent], ref), spec, FOREIGN_KEY, foreign_key_name(spec, ref))
+        for name, spec in specs.items()
+        for ref in spec.references
+    ]
+
+
+def reference_counts(tables: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
+    """One row per foreign key: how many rows break it."""
+    return union(_reference_counts(tables, specs))
+
+
 def violation_counts(
     tables: dict[str, DataFrame], specs: dict[str, TableSpec], keys: bool = True
 ) -> DataFrame:
@@ -219,7 +264,4 @@ def violation_counts(
         for index, columns in spec.unique.items() if keys else ():
             groups = unique_groups(df, spec, columns).agg(F.count(F.lit(1)).alias("value"))
             frames.append(_count(groups, spec, UNIQUE, index))
-        for ref in spec.references:
-            lost = dangling_count(df, tables[ref.parent], ref)
-            frames.append(_count(lost, spec, FOREIGN_KEY, foreign_key_name(spec, ref)))
-    return union(frames)
+    return union([*frames, *_reference_counts(tables, specs)])

@@ -18,12 +18,16 @@ def drop_unkeyed_lines(feed: DataFrame) -> DataFrame:
     return known(feed, *REQUIRED)
 
 
-def _merge(feed: DataFrame, *group: str) -> DataFrame:
-    lines = drop_unkeyed_lines(feed).withColumn(
+def grouped_lines(feed: DataFrame) -> DataFrame:
+    """The feed's lines with the whole key of their group, still unmerged."""
+    return drop_unkeyed_lines(feed).withColumn(
         "replaced_by_item_id", unfill_replaced_id(F.col("item_replaced_id"))
     )
+
+
+def _merge(feed: DataFrame, *group: str) -> DataFrame:
     totals = [F.coalesce(F.sum(q), F.lit(0)).alias(q) for q in QUANTITIES]
-    return lines.groupBy(*group).agg(*totals)
+    return grouped_lines(feed).groupBy(*group).agg(*totals)
 
 
 def order_lines_by_file(feed: DataFrame) -> DataFrame:

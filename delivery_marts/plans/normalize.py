@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from delivery_marts.operators.assignments import delivery_assignments
+from delivery_marts.operators.assignments import assignment_starts, delivery_assignments
 from delivery_marts.operators.dimensions import dim_drivers, dim_items, dim_stores, dim_users
 from delivery_marts.operators.headers import order_headers, with_status
-from delivery_marts.operators.lines import order_lines
-from delivery_marts.operators.surrogate_keys import key_assignments, key_order_lines
-from delivery_marts.schemas import TABLES
+from delivery_marts.operators.lines import grouped_lines, order_lines
+from delivery_marts.operators.surrogate_keys import KeyBounds, key_assignments, key_bounds, key_order_lines
+from delivery_marts.schemas import ASSIGNMENT_ORDER, LINE_GROUP, TABLES
 from delivery_marts.sinks.conform import conform
 
 
@@ -33,8 +33,16 @@ def normalize(feed: DataFrame) -> dict[str, DataFrame]:
 ADD_KEYS = {"order_items": key_order_lines, "delivery_assignments": key_assignments}
 
 
-def keyed(name: str, table: DataFrame, folder: str | None = None) -> DataFrame:
-    """The table as declared: generated key added, columns in order and typed. What is
-    written on the way goes below ``folder``."""
+def feed_key_bounds(feed: DataFrame) -> dict[str, KeyBounds]:
+    """Where the ranges of generated keys begin, sampled from the feed's own columns: that takes
+    two scans of a few columns, and none of the tables' groupings and joins."""
+    return {
+        "order_items": key_bounds(grouped_lines(feed), LINE_GROUP),
+        "delivery_assignments": key_bounds(assignment_starts(feed), ASSIGNMENT_ORDER[:3]),
+    }
+
+
+def keyed(name: str, table: DataFrame, bounds: KeyBounds | None = None) -> DataFrame:
+    """The table as declared: generated key added, columns in order and typed."""
     add_key = ADD_KEYS.get(name)
-    return conform(add_key(table, folder) if add_key else table, TABLES[name].schema)
+    return conform(add_key(table, bounds) if add_key else table, TABLES[name].schema)

@@ -7,17 +7,17 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delivery_marts.operators.constraints import violation_counts
+from delivery_marts.operators.constraints import RowRules, primary_key_violations, reference_counts
 from delivery_marts.operators.quality import assert_quality, quality_report
 from delivery_marts.plans.marts import items_mart, orders_mart
-from delivery_marts.plans.normalize import keyed, normalize
+from delivery_marts.operators.surrogate_keys import RANGES_PER_PARTITION, KeyBounds
+from delivery_marts.plans.normalize import feed_key_bounds, keyed, normalize
 from delivery_marts.schemas import MARTS, TABLES
-from delivery_marts.session import Limits, configure, scratch, sized, stored_bytes
+from delivery_marts.session import PARTITIONS, Limits, configure, scratch, sized, stored_bytes
 from delivery_marts.sinks.conform import conform
 from delivery_marts.sinks.tables import (
     new_version,
     publish,
-    row_counts,
     write_all,
     write_mart,
     write_table,
@@ -25,7 +25,7 @@ from delivery_marts.sinks.tables import (
 from delivery_marts.sources.raw_feed import feed_bytes, list_feed, read_feed
 from delivery_marts.sources.tables import (
     mart_root,
-    published_version,
+    published,
     read_mart_version,
     read_version,
     version_path,
@@ -33,16 +33,39 @@ from delivery_marts.sources.tables import (
 
 
 class ConstraintError(ValueError):
-    """The load broke declared constraints and was not published."""
+    """What was written broke declared constraints and was not published."""
+
+
+# Buckets that one order may fill by itself before tables are stored without buckets.
+HOT_BUCKETS = 2
+
+
+def layout_buckets(spark: SparkSession, bounds: dict[str, KeyBounds]) -> int | None:
+    """In how many buckets by order the tables are stored; None where an order is hot.
+
+    A bucket is read by one task. Where the sampled keys show that one order owns more than a
+    few buckets' share of the rows, the tables are stored as they come: plans then shuffle them
+    by order, and adaptive execution splits that order among tasks.
+    """
+    hottest = max((b.ranges_of_hottest() for b in bounds.values()), default=0)
+    return int(spark.conf.get(PARTITIONS)) if hottest <= HOT_BUCKETS * RANGES_PER_PARTITION else None
+
+
+def _refuse(version: str, broken: list[tuple[str, str, int]]) -> None:
+    found = {f"{table}.{name}": count for table, name, count in broken if count}
+    if found:
+        raise ConstraintError(f"version {version} was not published: {found}")
 
 
 def load(spark: SparkSession, feed_path: str, root: str, limits: Limits = Limits()) -> dict[str, int]:
     """Normalise the feed and publish the seven tables, all or nothing.
 
-    A version is written in full, then tested against every declared constraint, and only
-    then made current. If anything fails readers keep seeing the version before. Only
-    uniqueness is not tested again: each table is grouped by its key, so it holds by
-    construction (and NULL keys break NOT NULL). Returns the row count of each table.
+    A version is written in full, tested against every declared constraint, and only then made
+    current. If anything fails readers keep seeing the version before. Rows, and the rules that
+    a single row can break, are counted by the tasks that write it; only references are read
+    again. Uniqueness is not tested: each table is grouped by its key, so it holds by
+    construction (and NULL keys break NOT NULL). Tables with orders are stored in buckets of
+    them (see ``layout_buckets``). Returns the row count of each table.
 
     Task sizes follow the feed's bytes within ``limits``; the session is left as it was, and
     nothing written on the way stays.
@@ -52,20 +75,24 @@ def load(spark: SparkSession, feed_path: str, root: str, limits: Limits = Limits
     with scratch(spark, root) as folder:
         files = list_feed(spark, feed_path, f"{folder}/files")
 
-        def writer(name: str, table: DataFrame):
-            return lambda: write_table(keyed(name, table, folder), version_path(root, version, name))
-
         with sized(spark, feed_bytes(files), limits):
-            tables = normalize(read_feed(spark, feed_path, files))
+            feed = read_feed(spark, feed_path, files)
+            bounds, tables = feed_key_bounds(feed), normalize(feed)
+            buckets = layout_buckets(spark, bounds)
+            rules = {name: RowRules(TABLES[name]) for name in tables}
+
+            def writer(name: str, table: DataFrame):
+                path = version_path(root, version, name)
+                return lambda: write_table(keyed(name, table, bounds.get(name)), path, buckets, rules[name].observe)
+
             write_all({name: writer(name, table) for name, table in tables.items()})
 
-            written = read_version(spark, root, version)
-            broken = violation_counts(written, TABLES, keys=False).where("violations > 0").collect()
-            if broken:
-                found = {f"{r.table_name}.{r.constraint_name}": r.violations for r in broken}
-                raise ConstraintError(f"version {version} was not published: {found}")
-            counts = {r.table_name: r.row_count for r in row_counts(written).collect()}
-    publish(spark, root, version, counts)
+            written = read_version(spark, root, version, buckets)
+            broken = [(t, c, n) for rule in rules.values() for t, _, c, n in rule.counts]
+            lost = reference_counts(written, TABLES).where("violations > 0").collect()
+            _refuse(version, [*broken, *((r.table_name, r.constraint_name, r.violations) for r in lost)])
+            counts = {name: rule.rows for name, rule in rules.items()}
+    publish(spark, root, version, counts, buckets=buckets)
     return counts
 
 
@@ -75,10 +102,10 @@ def _current_tables(
 ) -> Iterator[dict[str, DataFrame]]:
     """Some of the current tables, in a session sized for their bytes."""
     configure(spark)
-    version = published_version(spark, root)
-    paths = [version_path(root, version, name) for name in names]
+    newest = published(spark, root)
+    paths = [version_path(root, newest.version, name) for name in names]
     with sized(spark, stored_bytes(spark, *paths), limits):
-        yield read_version(spark, root, version)
+        yield read_version(spark, root, newest.version, newest.buckets)
 
 
 def check_quality(spark: SparkSession, root: str, limits: Limits = Limits()) -> dict[str, int]:
@@ -88,14 +115,24 @@ def check_quality(spark: SparkSession, root: str, limits: Limits = Limits()) ->
 
 
 def _publish_mart(spark: SparkSession, root: str, name: str, mart: DataFrame, declared: bool) -> int:
-    version, home = new_version(), mart_root(root, name)
+    """Write a mart, test it if it is to be as declared, and make it current.
+
+    With ``declared`` a mart keeps its whole declaration or is refused: types, NOT NULL, lengths,
+    and its key. So an items mart with the cell of orders without lines, which has no item, is
+    refused, and ``item_id_not_null`` named. Without it marts are published as computed, that
+    cell included.
+    """
+    version, home, spec = new_version(), mart_root(root, name), MARTS[name]
     path = version_path(home, version, name)
-    frame = conform(mart, MARTS[name].schema) if declared else mart
-    write_mart(frame, path)
+    frame = conform(mart, spec.schema) if declared else mart
+    rules = RowRules(spec)
+    write_mart(frame, path, rules.observe)
     schema = frame.schema.json()
-    rows = read_mart_version(spark, path, name, schema).count()
-    publish(spark, home, version, {name: rows}, schema)
-    return rows
+    if declared:
+        keys = primary_key_violations(read_mart_version(spark, path, name, schema), spec).count()
+        _refuse(version, [*((t, c, n) for t, _, c, n in rules.counts), (name, f"{name}_pkey", keys)])
+    publish(spark, home, version, {name: rules.rows}, schema)
+    return rules.rows
 
 
 def build_orders_mart(
@@ -103,8 +140,8 @@ def build_orders_mart(
 ) -> int:
     """Build and publish the orders mart; returns its row count.
 
-    Money is double, as computed. ``declared`` gives the declared types instead and
-    raises if a value does not fit them.
+    Money is double, as computed. ``declared`` gives the declared types instead, raises if a
+    value does not fit them, and tests every declared rule before publishing.
     """
     with _current_tables(spark, root, ("orders", "order_items", "delivery_assignments"), limits) as t:
         mart = orders_mart(t["orders"], t["order_items"], t["delivery_assignments"])

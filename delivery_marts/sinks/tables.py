@@ -11,25 +11,40 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delivery_marts.sources.tables import PUBLICATION, current
+from delivery_marts.sources.tables import LAYOUT_KEY, PUBLICATION, current, layout_name
 
 # Tables written side by side: a small table's last tasks leave the cluster idle.
 PARALLEL_WRITES = 4
 MART_PARTITIONS = ("year", "month")
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_table(
+    df: DataFrame,
+    path: str,
+    buckets: int | None = None,
+    observe: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> None:
+    """Writes a table, in ``buckets`` by order if it has orders.
+
+    ``observe`` may add metrics to the very rows that a writing task holds: Spark counts those of
+    a task once, however often it ran.
+    """
+    if not buckets or LAYOUT_KEY not in df.columns:
+        observe(df).write.mode("overwrite").parquet(path)
+        return
+    laid_out = observe(df.repartition(buckets, LAYOUT_KEY))
+    writer = laid_out.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, LAYOUT_KEY).sortBy(LAYOUT_KEY).saveAsTable(layout_name(path))
 
 
-def write_mart(df: DataFrame, path: str) -> None:
+def write_mart(df: DataFrame, path: str, observe: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
     """A mart partitioned by year and month, so date filters skip whole folders.
 
     ``rebalance`` brings a month's rows together for few, well-filled files, and unlike
     ``repartition`` lets adaptive execution cut a month that is too large for one task.
     """
     (
-        df.hint("rebalance", *MART_PARTITIONS)
+        observe(df.hint("rebalance", *MART_PARTITIONS))
         .write.mode("overwrite")
         .partitionBy(*MART_PARTITIONS)
         .parquet(path)
@@ -58,16 +73,22 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def publish(
-    spark: SparkSession, root: str, version: str, counts: dict[str, int], schema: str | None = None
+    spark: SparkSession,
+    root: str,
+    version: str,
+    counts: dict[str, int],
+    schema: str | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Make a fully written version the current one.
 
     Appending one row to the publication log is the only step a reader can see, and it
     commits as one file: readers find the old version or the new one, never a mix.
-    ``schema`` is kept with a mart, whose types depend on how it was built.
+    ``schema`` is kept with a mart, whose types depend on how it was built, and ``buckets`` with
+    tables that are laid out by order.
     """
     now = dt.datetime.now(dt.timezone.utc)
     newest = current(spark, root)
     number = (newest.sequence or 0) + 1 if newest else 1
-    record = spark.createDataFrame([(version, number, now, counts, schema)], PUBLICATION)
+    record = spark.createDataFrame([(version, number, now, counts, schema, buckets)], PUBLICATION)
     record.coalesce(1).write.mode("append").json(f"{root}/published")

@@ -1,0 +1,195 @@
+"""Tables stored by order, rules counted while writing, and marts tested before publishing."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from delivery_marts.operators.constraints import RowRules, row_rule_counts, union
+from delivery_marts.operators.quality import quality_report
+from delivery_marts.operators.surrogate_keys import KeyBounds
+from delivery_marts.plans import pipeline
+from delivery_marts.plans.marts import items_mart, orders_mart
+from delivery_marts.plans.pipeline import ConstraintError, build_items_mart, build_orders_mart, layout_buckets, load
+from delivery_marts.schemas import LINE_GROUP, TABLES
+from delivery_marts.sinks.tables import publish, write_table
+from delivery_marts.sources.tables import (
+    current_version,
+    mart_root,
+    publications,
+    read_current,
+    read_mart,
+    read_version,
+    version_path,
+)
+from tests.conftest import clean_tables, make_table, values
+from tests.test_plans import NO_BROADCAST, final_plan, plan, settings
+from tests.test_sources_and_pipeline import FEED, write_file
+
+
+@pytest.fixture(scope="module")
+def root(spark, tmp_path_factory):
+    """A published load of 60 orders in two files."""
+    folder = tmp_path_factory.mktemp("layout")
+    (folder / "it's raw").mkdir()
+    for name in ("a", "b"):
+        lines = [{"order_id": o, "item_id": i, **({"delivered_at": None} if o % 3 else {})} for o in range(60) for i in range(o % 4 + 1)]
+        write_file(folder / "it's raw", f"{name}.parquet", *lines)
+    load(spark, f"{folder}/it's raw/*.parquet", f"{folder}/it's out")
+    return f"{folder}/it's out"
+
+
+def plain(spark, root):
+    return read_version(spark, root, current_version(spark, root))
+
+
+def test_a_version_names_its_buckets_and_both_readings_agree(spark, root):
+    record = publications(spark, root).first()
+    assert record.buckets == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid_out, as_files = read_current(spark, root), plain(spark, root)
+    for name in TABLES:
+        assert values(laid_out[name]) == values(as_files[name]), name
+    assert laid_out["orders"].count() == 60
+    # Each file holds one bucket, sorted.
+    files = as_files["order_items"].select("order_id", F.input_file_name().alias("f")).collect()
+    of_file = {}
+    for r in files:
+        of_file.setdefault(r.f, []).append(r.order_id)
+    assert all(re.search(r"_\d{5}\.c000", f) and ids == sorted(ids) for f, ids in of_file.items())
+    assert sum(map(len, of_file.values())) == len(files) and len({i for ids in of_file.values() for i in set(ids)}) == 60
+
+
+def test_marts_over_published_tables_shuffle_nothing_by_order(spark, root):
+    t, files = read_current(spark, root), plain(spark, root)
+    with settings(spark, **NO_BROADCAST):
+        orders, by_files = (orders_mart(x["orders"], x["order_items"], x["delivery_assignments"]) for x in (t, files))
+        assert "Exchange" not in plan(orders) and plan(by_files).count("Exchange hashpartitioning(order_id") == 3
+        assert values(orders) == values(by_files)
+        items, by_files = (items_mart(x["orders"], x["order_items"], x["items"]) for x in (t, files))
+        rows, text = final_plan(items)
+        assert not re.findall(r"Exchange hashpartitioning\(order_id", text)
+        assert values(items) == values(by_files) and rows
+
+
+def test_references_to_orders_are_checked_without_a_shuffle_by_order(spark, root):
+    with settings(spark, **NO_BROADCAST):
+        text = plan(quality_report(read_current(spark, root)))
+        before = plan(quality_report(plain(spark, root)))
+    # What is left groups lines by their whole key; orders and lines meet as they lie.
+    assert text.count("Exchange hashpartitioning(order_id") < before.count("Exchange hashpartitioning(order_id")
+
+
+def test_another_session_reads_the_layout_from_the_log(spark, root):
+    other = spark.newSession()
+    t = read_current(other, root)
+    with settings(other, **NO_BROADCAST):
+        assert "Exchange" not in plan(orders_mart(t["orders"], t["order_items"], t["delivery_assignments"]))
+    assert t["order_items"].count() == read_current(spark, root)["order_items"].count()
+
+
+def test_versions_with_other_numbers_of_buckets_and_without(spark, tmp_path):
+    root, raw = str(tmp_path / "out"), tmp_path / "raw"
+    raw.mkdir()
+    write_file(raw, "a.parquet", *FEED)
+    results = []
+    for partitions in ("1", "3", "5"):
+        with settings(spark, **{"spark.sql.shuffle.partitions": partitions}):
+            load(spark, f"{raw}/*.parquet", root)
+        results.append({n: values(t) for n, t in read_current(spark, root).items()})
+    assert results[0] == results[1] == results[2]
+    assert [r.buckets for r in publications(spark, root).orderBy("sequence").collect()] == [1, 3, 5]
+    tables = plain(spark, root)
+    for name, table in tables.items():
+        write_table(table, version_path(root, "unlaid", name))
+    publish(spark, root, "unlaid", {})
+    assert {n: values(t) for n, t in read_current(spark, root).items()} == results[0]
+
+
+def test_a_hot_order_is_stored_without_buckets(spark, tmp_path):
+    bounds = KeyBounds(LINE_GROUP, tuple((7, i, 0, 0, 0) for i in range(9)))
+    assert layout_buckets(spark, {"order_items": bounds}) is None
+    few = KeyBounds(LINE_GROUP, tuple((7 if i < 8 else i, i, 0, 0, 0) for i in range(100)))
+    assert layout_buckets(spark, {"order_items": few}) is not None
+    raw, root = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    lines = [{"order_id": 7, "item_id": i} for i in range(400)] + [{"order_id": o} for o in range(8, 200)]
+    write_file(raw, "a.parquet", *lines)
+    with settings(spark, **{"spark.sql.shuffle.partitions": "8"}):
+        load(spark, f"{raw}/*.parquet", root)
+        assert publications(spark, root).first().buckets is None
+        assert read_current(spark, root)["order_items"].count() == 592
+        assert build_orders_mart(spark, root) == 193
+
+
+def spoiled(spark):
+    return clean_tables(
+        spark,
+        users=[{"user_phone": None}, {"user_id": None}, {"user_phone": "1" * 21}],
+        order_items=[{"item_price": 0}, {"item_quantity": -1, "item_discount": 101}, {"item_canceled_quantity": None}],
+        delivery_assignments=[{"unassigned_at": None, "driver_id": None}, {"order_id": None}],
+        orders=[],
+    )
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_rules_counted_while_writing_are_those_of_a_scan(spark, tmp_path, buckets):
+    for name, table in spoiled(spark).items():
+        rules = RowRules(TABLES[name])
+        write_table(table.repartition(5), f"{tmp_path}/{name}", buckets, rules.observe)
+        want = row_rule_counts(table, TABLES[name])
+        assert sorted(rules.counts) == sorted(map(tuple, want.collect())), name
+        assert rules.rows == table.count()
+    assert union([row_rule_counts(t, TABLES[n]) for n, t in spoiled(spark).items()]).where("violations > 0").count() >= 8
+
+
+def test_a_load_scans_what_it_wrote_for_references_only(spark, root, monkeypatch, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    write_file(raw, "a.parquet", *FEED)
+    seen = []
+    monkeypatch.setattr(pipeline, "reference_counts", lambda t, s, f=pipeline.reference_counts: seen.append(f(t, s)) or seen[0])
+    load(spark, f"{raw}/*.parquet", str(tmp_path / "out"))
+    text = plan(seen[0])
+    assert "item_price" not in text and "address_text" not in text and "user_phone" not in text
+
+
+def mart_tables(spark, root, **rows):
+    for name, table in clean_tables(spark, **rows).items():
+        write_table(table, version_path(root, "v1", name))
+    publish(spark, root, "v1", dict.fromkeys(TABLES, 0))
+
+
+def test_declared_marts_are_tested_before_they_are_published(spark, tmp_path):
+    root = str(tmp_path / "repeated")
+    mart_tables(spark, root, orders=[{}, {}])
+    with pytest.raises(ConstraintError, match="orders_datamart.orders_datamart_pkey': 1"):
+        build_orders_mart(spark, root, declared=True)
+    assert current_version(spark, mart_root(root, "orders_datamart")) is None
+    assert build_orders_mart(spark, root) == 2
+
+    root = str(tmp_path / "nulls")
+    mart_tables(spark, root, orders=[{"store_id": None, "address_text": "x" * 101 + ", 1"}])
+    with pytest.raises(ConstraintError) as error:
+        build_orders_mart(spark, root, declared=True)
+    assert "orders_datamart.store_id_not_null': 1" in str(error.value)
+    assert "orders_datamart.city_length': 1" in str(error.value) and "pkey" not in str(error.value)
+
+
+def test_cells_without_an_item_are_refused_where_declared_and_kept_otherwise(spark, tmp_path):
+    root = str(tmp_path)
+    mart_tables(spark, root, orders=[{}, {"order_id": 2}])
+    assert build_items_mart(spark, root) == 2
+    version = current_version(spark, mart_root(root, "items_datamart"))
+    with pytest.raises(ConstraintError, match="items_datamart.item_id_not_null': 1"):
+        build_items_mart(spark, root, declared=True)
+    assert current_version(spark, mart_root(root, "items_datamart")) == version
+    assert values(read_mart(spark, root, "items_datamart"), "item_id") == [(1,), (None,)]
+
+
+def test_orders_from_make_table_keep_their_types(spark, tmp_path):
+    """An empty table in buckets has its columns and no file."""
+    write_table(make_table(spark, "orders"), str(tmp_path / "orders"), 4)
+    from delivery_marts.sources.tables import read_table
+
+    back = read_table(spark, str(tmp_path / "orders"), TABLES["orders"].schema, 4)
+    assert back.count() == 0 and back.columns == TABLES["orders"].schema.names

@@ -137,16 +137,40 @@ def test_hot_order_is_split_in_a_left_join(spark, tables):
     assert len(rows) == HOT_LINES + ORDERS // 2 + (ORDERS - ORDERS // 2)
 
 
-def test_hot_order_is_split_among_surrogate_key_ranges(spark, tables, tmp_path, monkeypatch):
-    staged = str(tmp_path / "staged")
-    monkeypatch.setattr(surrogate_keys, "scratch_path", lambda *_: staged)
+def test_hot_order_is_split_among_surrogate_key_ranges(spark, tables):
     lines = tables["order_items"].drop("order_item_id").dropDuplicates(list(LINE_GROUP))
-    whole = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
-    with settings(spark, **whole):
-        ids = sorted(r.order_item_id for r in surrogate_keys.key_order_lines(lines).collect())
-    ranges = spark.read.parquet(staged).where("order_id = 7").select(F.expr("_slot >> 33")).distinct()
-    assert ranges.count() >= 7
-    assert ids == list(range(1, lines.count() + 1))
+    bounds = surrogate_keys.key_bounds(lines, LINE_GROUP, 16)
+    sizes = lines.where("order_id = 7").groupBy(bounds.range_of(lines)).count().collect()
+    assert len(sizes) >= 14 and max(r["count"] for r in sizes) < HOT_LINES / 4
+    assert bounds.ranges_of_hottest() >= 13
+    rows = surrogate_keys.key_order_lines(lines, bounds).orderBy("order_item_id").collect()
+    assert [r.order_item_id for r in rows] == list(range(1, lines.count() + 1))
+    assert [r[1:6] for r in rows] == sorted(r[1:6] for r in rows) or any(None in r[1:6] for r in rows)
+
+
+def test_numbers_do_not_depend_on_the_bounds(spark, tables):
+    lines = tables["order_items"].drop("order_item_id").dropDuplicates(list(LINE_GROUP))
+    prefix = surrogate_keys.key_bounds(tables["order_items"].where("item_id % 3 = 0"), LINE_GROUP[:2], 5)
+    one = surrogate_keys.KeyBounds(LINE_GROUP)
+    numbered = [values(surrogate_keys.key_order_lines(lines, bounds)) for bounds in (None, prefix, one)]
+    assert numbered[0] == numbered[1] == numbered[2]
+
+
+def test_sizes_and_rows_of_ranges_are_shuffled_once_and_nothing_is_staged(spark, tables):
+    lines = tables["order_items"].drop("order_item_id").dropDuplicates(list(LINE_GROUP))
+    bounds = surrogate_keys.key_bounds(lines, LINE_GROUP, 16)
+    _, text = final_plan(surrogate_keys.key_order_lines(lines, bounds))
+    assert text.count("+- Exchange hashpartitioning(_range#") == 1 and "ReusedExchange [order_id#" in text
+    assert "scratch" not in text
+
+
+def test_bounds_are_a_sample_that_does_not_grow(spark, monkeypatch):
+    monkeypatch.setattr(surrogate_keys, "SAMPLED_PER_RANGE", 4)
+    rows = spark.range(200_000).select((F.col("id") % 50_000).alias("a"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("b"))
+    bounds = surrogate_keys.key_bounds(rows, ("a", "b"), 64)
+    assert 40 <= len(bounds.codes) <= 63 and list(bounds.codes) == sorted(set(bounds.codes))
+    with pytest.raises(TypeError, match="s is string"):
+        surrogate_keys.key_bounds(spark.createDataFrame([("x",)], "s string"), ("s",))
 
 
 def test_hot_order_is_split_when_assignments_meet_their_ends(spark, tmp_path):
