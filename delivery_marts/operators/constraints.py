@@ -232,6 +232,10 @@ class RowRules:
         found = self._observation.get
         return [(self.spec.name, kind, name, found[name]) for kind, name, _, _ in self.rules]
 
+    def record(self) -> dict:
+        """Both, to be kept until all tables are written."""
+        return {"rows": self.rows, "counts": self.counts}
+
 
 def _reference_counts(tables: dict[str, DataFrame], specs: dict[str, TableSpec]) -> list[DataFrame]:
     return [

@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delivery_marts.sources.tables import LAYOUT_KEY, PUBLICATION, current, layout_name
+from delivery_marts.sinks.records import RecordExists, create_record, list_folder
+from delivery_marts.sources.tables import LAYOUT_KEY, current, layout_name
 
 # Tables written side by side: a small table's last tasks leave the cluster idle.
 PARALLEL_WRITES = 4
@@ -72,6 +73,20 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+class ConcurrentPublication(ValueError):
+    """Another version was published since the number was read that this one was to follow."""
+
+
+def last_number(spark: SparkSession, root: str) -> int:
+    """The number of the newest publication, 0 before the first."""
+    names = [name.removesuffix(".json") for name in list_folder(spark, f"{root}/published")]
+    numbers = [int(name) for name in names if name.isdigit()]
+    if len(numbers) < len(names):  # a log begun before records were named by their number
+        newest = current(spark, root)
+        numbers.append((newest.sequence or 0) if newest else 0)
+    return max(numbers, default=0)
+
+
 def publish(
     spark: SparkSession,
     root: str,
@@ -79,16 +94,29 @@ def publish(
     counts: dict[str, int],
     schema: str | None = None,
     buckets: int | None = None,
+    after: int | None = None,
 ) -> None:
     """Make a fully written version the current one.
 
-    Appending one row to the publication log is the only step a reader can see, and it
-    commits as one file: readers find the old version or the new one, never a mix.
+    Adding one record to the publication log is the only step a reader can see, and the record is
+    created whole: readers find the old version or the new one, never a mix. Its name is the
+    number that follows ``after``, the ``last_number`` when the work on this version began (left
+    out: the last one now). If another version has that number by now, this raises
+    ConcurrentPublication and the version stays unpublished: of two that began on the same log, one
+    wins.
     ``schema`` is kept with a mart, whose types depend on how it was built, and ``buckets`` with
     tables that are laid out by order.
     """
-    now = dt.datetime.now(dt.timezone.utc)
-    newest = current(spark, root)
-    number = (newest.sequence or 0) + 1 if newest else 1
-    record = spark.createDataFrame([(version, number, now, counts, schema, buckets)], PUBLICATION)
-    record.coalesce(1).write.mode("append").json(f"{root}/published")
+    number = (last_number(spark, root) if after is None else after) + 1
+    record = {
+        "version": version,
+        "sequence": number,
+        "published_at": dt.datetime.now(dt.timezone.utc).isoformat(),
+        "row_counts": counts,
+        "schema": schema,
+        "buckets": buckets,
+    }
+    try:
+        create_record(spark, f"{root}/published/{number:020}.json", record)
+    except RecordExists:
+        raise ConcurrentPublication(f"{root} has a publication {number}; {version} was not published") from None

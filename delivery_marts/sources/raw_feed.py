@@ -27,19 +27,21 @@ FOOTER_THREADS = 16
 
 
 def list_feed(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
-    """The feed's files as (file_path, length, file_no, path_hash), numbered by plain path.
+    """The feed's files as (file_path, length, changed, file_no, path_hash), numbered by plain path.
 
     Lists files without reading any. The list has one row per file, none per record; it
     is written to ``folder`` (else to the shared scratch folder) so that all plans on a feed
     see the same files and the file system is asked once. Raises for more files than a packed
     ordinal can number, and in the case, hardly possible, that two paths share a hash.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "length", "_metadata.file_path")
+    files = spark.read.format("binaryFile").load(path).select(
+        "path", "length", F.col("modificationTime").alias("changed"), "_metadata.file_path"
+    )
     number = F.row_number().over(Window.orderBy("path")).cast("bigint")
     hashed = F.xxhash64("file_path").alias("path_hash")
     target = folder or scratch_path(spark, "feed-files")
     with listing(spark):
-        files.select("file_path", "length", number.alias(FILE), hashed).write.parquet(target)
+        files.select("file_path", "length", "changed", number.alias(FILE), hashed).write.parquet(target)
     listed = spark.read.parquet(target)
     known_files, hashes = listed.agg(F.count(F.lit(1)), F.count_distinct("path_hash")).first()
     if known_files > MOST_FILES:
@@ -53,6 +55,13 @@ def feed_bytes(files: DataFrame) -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
+def feed_state(files: DataFrame) -> str:
+    """The same for two listings if no file came, went, grew or was written again."""
+    file = F.xxhash64("file_path", "length", "changed")
+    state = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(file).alias("x"), F.sum("length").alias("bytes")).first()
+    return f"{state.n} files, {state.bytes or 0} bytes, {state.x or 0}"
+
+
 def _file_numbers(files: DataFrame) -> DataFrame:
     """Numbers by path hash, two bigints for each of at most ``MOST_FILES`` files: that bound
     is what makes them fit a broadcast. Being grouped, hashes are known to be unique, and plans
