@@ -150,9 +150,13 @@ class TokenFile:
         self.length = self._file.schema.field("ids").type.list_size
         self.batches = self._file.num_record_batches
         self.rows = self._file.get_batch(0).num_rows if self.batches else 0
+        self._last: tuple[int, pa.RecordBatch] | None = None
 
     def _values(self, batch: int, column: int) -> pa.Array:
-        return self._file.get_batch(batch).column(column).flatten()
+        # The last batch is held, as documents come in order: a store fetches each batch once.
+        if self._last is None or self._last[0] != batch:
+            self._last = (batch, self._file.get_batch(batch))
+        return self._last[1].column(column).flatten()
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and mask of sequence i."""

@@ -5,8 +5,8 @@ crosses such a cut: one is before white space that follows other characters, one
 and an ASCII punctuation mark. So a text is cut into pieces there, a piece seen before costs one
 dictionary lookup, and the ids of a text are those of its pieces in order, exactly as the
 tokenizer gives them for the whole text (tests compare the two). A piece of Latin letters goes
-straight to the tokenizer's model; any other goes through the whole tokenizer. Strings of special
-tokens in a text are ordinary text.
+straight to the tokenizer's model; any other goes through the whole tokenizer. Strings of added
+tokens in a text are those tokens, as the library has it: a text is cut at them first.
 """
 
 from __future__ import annotations
@@ -75,16 +75,33 @@ class Encoder:
 
     def __init__(self, path: str, spaces: bool):
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        added = {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
+        # Longer strings first, where one begins another.
+        strings = sorted(added, key=len, reverse=True)
+        self._added = re.compile(f"({'|'.join(map(re.escape, strings))})") if strings else None
         self.dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self._cut = (WITH_SPACES if spaces else WITHOUT_SPACES).findall
         self._ids = _Pieces(tokenizer, spaces, self.dtype).__getitem__
+        self._id_of = {string: np.array([i], self.dtype).tobytes() for string, i in added.items()}
+
+    def _whole(self, text: str) -> bytes:
+        """Ids of a text with strings of added tokens in it."""
+        parts = self._added.split(text)
+        return b"".join(
+            self._id_of[part] if place % 2 else b"".join(map(self._ids, self._cut(part)))
+            for place, part in enumerate(parts)
+        )
 
     def ids_of(self, texts: Iterable[str | None], end: int | None = None) -> Iterator[np.ndarray]:
         """Ids of each text (NULL is empty), with the end id after them."""
         tail = b"" if end is None else np.array([end], self.dtype).tobytes()
         for text in texts:
-            yield np.frombuffer(b"".join(map(self._ids, self._cut(text or ""))) + tail, self.dtype)
+            text = text or ""
+            if self._added and self._added.search(text):
+                found = self._whole(text)
+            else:
+                found = b"".join(map(self._ids, self._cut(text)))
+            yield np.frombuffer(found + tail, self.dtype)
 
 
 @lru_cache(maxsize=4)

@@ -15,13 +15,12 @@ from tests.llm.conftest import ODD, SF_DIR
 
 KINDS = [(params.WORD_BPE, False), (params.BYTE_BPE, True)]
 PIECES = st.sampled_from([" ", "  ", "   ", "\n", "\n\n", "\t", " ", " ", "\x1c", "\x85", "\r\n", "a", "Bc", "'s", "12",
-                          "é", "é", "Σ", "漢字", "!?", "<|endoftext|>", "_", "-", "Über", "ÿ", "ß", "e\u0301", "²", "word", "ﬁ", "İ"])
+                          "é", "é", "Σ", "漢字", "!?", "<|endoftext|>", "<|startoftext|>", "<|", "_", "-", "Über", "ÿ", "ß", "e\u0301", "²", "word", "ﬁ", "İ"])
 
 
 @lru_cache(maxsize=4)
 def whole(name):
     tokenizer = Tokenizer.from_file(params.tokenizer(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -42,6 +41,16 @@ def test_white_space_of_any_kind(name, spaces, parts):
     assert ids.tolist() == whole(name)(text)
 
 
+@pytest.mark.parametrize("name,spaces", KINDS)
+def test_added_tokens_in_a_text_are_those_tokens(name, spaces):
+    tokenizer = Tokenizer.from_file(params.tokenizer(name))
+    for token in tokenizer.get_added_tokens_decoder().values():
+        s = token.content
+        given = [f"hello {s} world", f"x{s}", s, s * 3, f" {s} {s}\n{s}y ", f"a {s[:-1]} b", f"{s.upper()} <|{s}|>"]
+        for text, ids in zip(given, Encoder(params.tokenizer(name), spaces).ids_of(given), strict=True):
+            assert ids.tolist() == whole(name)(text), text
+
+
 def test_full_cache_starts_anew(monkeypatch):
     monkeypatch.setattr("delivery_marts.llm.tokens.CACHED", 2)
     mine = Encoder(params.tokenizer(params.BYTE_BPE), True)
