@@ -1,13 +1,18 @@
 """Brown class-based bigram model: P(word | before) = P(class | class before) * P(word | class).
 
 1. Words of the training texts are counted over all of them.
-2. Exchange clustering of all training words that occur more than once. The ``EXCHANGED`` most
-   frequent start from their frequency rank, the others without a class. In a round, every word's
-   neighbours are counted by class; then every word moves to the class that makes them likeliest.
-   Counts of the ``EXCHANGED`` most frequent are summed in tables of fixed size; those of all
-   others stay distributed, a row a word, and only sums over classes reach the driver. The classes
-   of the ``BROADCAST`` most frequent words are at hand in every task, the others' are joined.
-   Words that occur once, or not in training, take the class that frequent words with their ending have.
+2. Exchange clustering. The ``EXCHANGED`` most frequent words start from their frequency rank. In a
+   round, every word's neighbours are counted by class in tables of fixed size, and the words that
+   gain by it move to the class that makes their neighbours likeliest. The likelihood of the class
+   bigrams is taken from the next counts: if it fell, the moves are taken back and only the half of
+   them that gained most is made, then a quarter, and so on; so it never falls. The exchange ends
+   when no part of the moves gains ``LEAST_GAIN`` a token.
+   Every other word that occurs more than once then moves once, from no class to the one that makes
+   its neighbours likeliest. Its neighbours are counted by class within tasks, at most two cells a
+   class and word, and summed by word in Spark; what reaches the driver are the classes of the
+   ``BROADCAST`` most frequent words, which are at hand in every task. Those of all others stay
+   distributed and are joined by word. Words that occur once, or not in training, take the class
+   that frequent words with their ending have.
 3. Class transitions are counted over all training texts and smoothed towards class frequencies.
    In a class, a word seen n times has (n - d) of the class's N tokens; the d taken from each of its
    words goes to one unknown word, which stands for all words not seen in training. So the
@@ -21,7 +26,8 @@ a text's first token is a start of its own.
 Defined results: NULL and empty texts are an end alone; rows that repeat a doc_id are texts of
 their own; without any training text every word is unknown with chance 1; an empty table gives an
 empty one; columns other than doc_id and text are not used. Whole texts are read. The two sizes
-bound tables that are broadcast or collected; no word that occurs twice is left out of the exchange, no word is left out of counts or scores.
+bound tables that are broadcast or collected, in words and, as none of more than ``LONGEST`` bytes
+is among them, in bytes; no word is left out of counts, classes or scores.
 """
 
 from __future__ import annotations
@@ -37,7 +43,6 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from delivery_marts.llm.shared import folder, written
 from delivery_marts.session import delete_folder
@@ -45,7 +50,10 @@ from delivery_marts.session import delete_folder
 CLASSES = 32
 EXCHANGED = 1 << 14
 BROADCAST = 1 << 18
-ROUNDS = 4
+LONGEST = 64  # bytes of a word that may be at hand in every task
+LEAST_GAIN = 1e-3  # nats a token
+SMALLEST_PART = 1 / 16  # of the moves of a round
+WEIGHT = 1 << 20  # steps of a unit in whole logarithms
 SMOOTHING = 20.0  # tokens that class frequencies weigh in a transition
 END = b"\n"  # no word has it
 MARKS = b".,;:!?|\"')("
@@ -83,11 +91,13 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def _frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """The most frequent words and counts, at most ``most``, by falling count.
+    """The most frequent words and counts, at most ``most``, by falling count; none of more than
+    ``LONGEST`` bytes.
 
     A histogram of counts in steps (about a thousand rows, whatever the vocabulary) gives the
     lowest count at which there are no more words than that.
     """
+    vocabulary = vocabulary.where(F.octet_length("word") <= LONGEST)
     step = F.floor(F.log2("n") * COUNT_STEPS).alias("step")
     histogram = sorted(vocabulary.groupBy(step).count().collect(), reverse=True)
     total, lowest = 0, None
@@ -136,17 +146,13 @@ class Classes:
     of_frequent: np.ndarray
     of_ending: dict[bytes, int] = field(default_factory=dict)
     cache: dict[bytes, int] = field(default_factory=dict)
-    rare: DataFrame | None = None  # word and class of all other training words; stays on the driver
+    rare: DataFrame | None = None  # word and class of all other words that occur more than once; stays on the driver
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"rare": None, "cache": {}}
 
     def of_word(self, word: bytes) -> int:
-        """The class of a word that is not frequent; tasks are given those of ``rare`` with the texts."""
-        if self.rare is not None and word not in self.cache:
-            row = self.rare.where(F.col("word") == F.lit(bytearray(word))).first()
-            if row and row["class"] < self.count:
-                self.cache[word] = row["class"]
+        """The class by its ending of a word that is neither frequent nor in ``rare``."""
         found = self.cache.get(word)
         if found is None:
             bare = word.rstrip(MARKS) or word
@@ -174,87 +180,118 @@ def _stream(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return ids, first
 
 
+def _histories(ids: np.ndarray, first: np.ndarray, classes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class of every token, RARE being the last entry of ``classes``, and of its history."""
+    own = classes[ids]
+    history = np.concatenate(([0], own[:-1]))
+    history[first] = count + 1
+    return own, history
+
+
 def _neighbours(encoded: DataFrame, classes: np.ndarray, words: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     """How often each exchanged word follows each history, and precedes each class.
 
     Histories are the classes, then words without a class, then the start of a text.
     """
     before, after = count + 2, count + 1
-    size = words * (before + after)
+    width = before + after
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, waiting, held = np.zeros(size, np.int64), [], 0
+        total, waiting, held = np.zeros(words * width, np.int64), [], 0
         for batch in batches:
             ids, first = _stream(batch)
             if not len(ids):
                 continue
-            own = classes[ids]  # RARE is the last entry
-            history = np.concatenate(([0], own[:-1]))
-            history[first] = count + 1
+            own, history = _histories(ids, first, classes, count)
             known = (ids >= 0) & (ids < words)
-            waiting.append(ids[known] * before + history[known])
+            waiting.append(ids[known] * width + history[known])
             follows = known[:-1] & ~first[1:]
-            waiting.append(words * before + ids[:-1][follows] * after + own[1:][follows])
+            waiting.append(ids[:-1][follows] * width + before + own[1:][follows])
             held += len(ids)
             if held >= FLUSH_TOKENS:
-                total += np.bincount(np.concatenate(waiting), minlength=size)
+                total += np.bincount(np.concatenate(waiting), minlength=len(total))
                 waiting, held = [], 0
         if waiting:
-            total += np.bincount(np.concatenate(waiting), minlength=size)
-        found = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(found), pa.array(total[found])], names=["cell", "n"])
-
-    summed = encoded.select("ids").mapInArrow(cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    table = summed.toArrow()
-    total = np.zeros(size)
-    total[table["cell"].to_numpy()] = table["n"].to_numpy()
-    return total[: words * before].reshape(words, before), total[words * before :].reshape(words, after)
-
-
-def _named(found: np.ndarray, names: pa.Array, frequent: int) -> list[pa.Array]:
-    """Words as an id, or -1 and the rare word."""
-    return [
-        pa.array(np.where(found < frequent, found, -1).astype(np.int32)),
-        names.take(pa.array(np.maximum(found - frequent - 1, 0))),
-    ]
-
-
-def _pairs(encoded: DataFrame, frequent: int, words: int, rare_only: bool) -> DataFrame:
-    """Neighbours in all texts of the words beyond the ``words`` most frequent, a row per word and task.
-
-    ``keys`` are twice the ids of a word's neighbours, and one more for those after it; the start
-    of a text counts as id ``frequent``, a rare word as the next. ``n`` are a word's occurrences.
-    With ``rare_only`` the pairs of rare words instead: ``other`` is before ``word``.
-    """
-    start, rare_id = frequent, frequent + 1
+            total += np.bincount(np.concatenate(waiting), minlength=len(total))
+        rows = pa.FixedSizeListArray.from_arrays(pa.array(total), width).cast(pa.list_(pa.int64()))
+        seen = pa.array(np.flatnonzero(total.reshape(words, width).any(axis=1)))
+        yield pa.record_batch([seen.cast(pa.int32()), rows.take(seen)], names=["id", "cells"])
+
+    found = encoded.select("ids").mapInArrow(cells, "id int, cells array<long>")
+    # A row a word and task, and as many words as the exchange has.
+    table = found.groupBy("id").agg(*(F.sum(F.get("cells", F.lit(i))).alias(f"c{i}") for i in range(width))).toArrow()
+    total = np.zeros((words, width))
+    for i in range(width):
+        total[table["id"].to_numpy(), i] = table[f"c{i}"].to_numpy()
+    return total[:, :before], total[:, before:]
+
+
+def _information(pairs: np.ndarray) -> float:
+    """Mutual information of a class and its history, in nats a token: what the log likelihood of
+    the class bigrams is beyond that of the words alone, which no exchange changes."""
+    total = pairs.sum()
+    share = pairs / max(total, 1)
+    alone = share.sum(axis=1, keepdims=True) * share.sum(axis=0, keepdims=True)
+    seen = share > 0
+    return float((share[seen] * np.log(share[seen] / alone[seen])).sum())
+
+
+def exchange(encoded: DataFrame, count: int, words: int, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """Classes of the ``words`` most frequent words, the weight of every cell of a neighbour for
+    every class, and the information after each round that was kept."""
+    best: tuple[float, np.ndarray, np.ndarray, np.ndarray] | None = None
+    kept: list[float] = []
+    part = 1.0
+    while True:
+        left, right = _neighbours(encoded, classes, words, count)
+        mine = np.zeros((words, count))
+        mine[np.arange(words), classes[:words]] = 1
+        into, out = left.T @ mine, mine.T @ right  # history to class, class to next class
+        information = _information(into)
+        if best is None or information > best[0] + LEAST_GAIN:
+            enter = np.log((into + 0.5) / (into.sum(axis=0) + 0.5 * len(into)))
+            leave = np.log((out + 0.5) / (out.sum(axis=1, keepdims=True) + 0.5 * out.shape[1]))
+            scores = left @ enter + right @ leave.T
+            to = scores.argmax(axis=1)
+            gains = scores.max(axis=1) - scores[np.arange(words), classes[:words]]
+            best = (information, classes, to, gains)
+            kept.append(information)
+            weights = np.vstack((enter, leave.T))
+            part = 1.0
+        else:
+            part /= 2
+        movers = np.flatnonzero(best[3] > 0)
+        if part < SMALLEST_PART or not len(movers):
+            return best[1], weights, kept
+        movers = movers[np.argsort(-best[3][movers], kind="stable")][: max(1, math.ceil(part * len(movers)))]
+        classes = best[1].copy()
+        classes[movers] = best[2][movers]
+
+
+def _beside(encoded: DataFrame, classes: np.ndarray, words: int, count: int) -> DataFrame:
+    """id (-1 for rare words), word, cell and n: how often the words beyond the exchanged ones have
+    neighbours of a class, summed within tasks."""
+    before = count + 2
+    width = before + count + 1
+    frequent = len(classes) - 1
 
     def rows(parts: list[tuple[np.ndarray, np.ndarray]], rare: list[bytes]) -> pa.RecordBatch:
         ids, first = (np.concatenate(column) for column in zip(*parts, strict=True))
         coded = pa.array(rare, pa.binary()).dictionary_encode()
         names = pa.concat_arrays([pa.array([b""], pa.binary()), coded.dictionary])
+        own, history = _histories(ids, first, classes, count)
         here = ids.astype(np.int64)
-        here[ids == RARE] = frequent + 2 + coded.indices.to_numpy()
-        before = np.concatenate(([start], here[:-1]))
-        before[first] = start
-        if rare_only:
-            both = (here > rare_id) & (before > rare_id)
-            other, word = (_named(found[both], names, frequent)[1] for found in (before, here))
-            return pa.record_batch([other, word], names=["other", "word"])
-        of_here, of_before = here >= words, (before >= words) & (before != start)
-        found = np.concatenate((here[of_here], before[of_before]))
-        sides = np.concatenate((np.zeros(of_here.sum(), np.int64), np.ones(of_before.sum(), np.int64)))
-        near = np.concatenate((before[of_here], here[of_before]))
-        keys = (np.minimum(near, rare_id) * 2 + sides).astype("<i4")
-        order = np.argsort(found, kind="stable")
-        found, keys, sides = found[order], keys[order], sides[order]
-        begins = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1]))) if len(found) else np.zeros(0, np.int64)
-        ends = np.append(begins, len(found))
-        buffers = [None, pa.py_buffer((ends * 4).astype("<i4")), pa.py_buffer(keys)]
-        blobs = pa.Array.from_buffers(pa.binary(), len(begins), buffers)
-        n = np.diff(np.concatenate(([0], np.cumsum(1 - sides)))[ends])
-        return pa.record_batch([*_named(found[begins], names, frequent), blobs, pa.array(n)], names=["id", "word", "keys", "n"])
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here[ids == RARE] = frequent + coded.indices.to_numpy()
+        sought = here >= words
+        follows = sought[:-1] & ~first[1:]
+        keys = (here[sought] * width + history[sought], here[:-1][follows] * width + before + own[1:][follows])
+        found, n = np.unique(np.concatenate(keys), return_counts=True)
+        word, cell = np.divmod(found, width)
+        named = names.take(pa.array(np.maximum(word - frequent + 1, 0)))
+        number = pa.array(np.where(word < frequent, word, RARE).astype(np.int32))
+        return pa.record_batch([number, named, pa.array(cell.astype(np.int32)), pa.array(n)], names=["id", "word", "cell", "n"])
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, rare, held = [], [], 0
         for batch in batches:
             parts.append(_stream(batch))
@@ -266,184 +303,31 @@ def _pairs(encoded: DataFrame, frequent: int, words: int, rare_only: bool) -> Da
         if held:
             yield rows(parts, rare)
 
-    schema = "other binary, word binary" if rare_only else "id int, word binary, keys binary, n long"
-    return encoded.select("ids", "rare").mapInArrow(pairs, schema)
-
-
-def _by_class(near: DataFrame, columns: Broadcast, width: int) -> DataFrame:
-    """``cells``, the counts of every word's neighbours by class, rare ones without a class."""
-    names = near.columns
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                np.bincount(columns.value[np.frombuffer(keys, "<i4")], minlength=width).astype("<i4").tobytes()
-                for keys in batch["keys"].to_pylist()
-            ]
-            yield pa.record_batch([*(batch[c] for c in names), pa.array(found, pa.binary())], names=[*names, "cells"])
-
-    return near.mapInArrow(cells, T.StructType([*near.schema.fields, T.StructField("cells", T.BinaryType())]))
-
+    return encoded.select("ids", "rare").mapInArrow(cells, "id int, word binary, cell int, n long")
 
-def _beside_rare(rare: DataFrame, frequent: int, before: int, none: int, low: int, high: int) -> DataFrame:
-    """id, cell, n: how often frequent words with ids from ``low`` to below ``high`` have rare
-    neighbours of a class; read off the neighbours of the rare words."""
 
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def summed(parts: list[np.ndarray]) -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(parts or [np.zeros(0, np.int64)]), return_counts=True)
-            ids, cell = np.divmod(found, 2 * before)
-            return pa.record_batch([pa.array(ids.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(n)], names=["id", "cell", "n"])
-
-        parts, held = [], 0
-        for batch in batches:
-            blobs = batch["keys"].to_pylist()
-            keys = np.frombuffer(b"".join(blobs), "<i4").astype(np.int64)
-            own = np.repeat(batch["class"].to_numpy(), [len(b) // 4 for b in blobs])
-            ids = keys >> 1
-            fits = (ids >= low) & (ids < high) & (own < none)
-            # A frequent word before the rare one has it after itself, and the other way round.
-            parts.append((ids * 2 * before + np.where(keys & 1, 0, before) + own)[fits])
-            held += len(parts[-1])
-            if held >= FLUSH_TOKENS:
-                yield summed(parts)
-                parts, held = [], 0
-        yield summed(parts)
-
-    found = rare.select("keys", "class").mapInArrow(cells, "id int, cell int, n long")
-    return found.groupBy("id", "cell").agg(F.sum("n").alias("n"))
-
-
-def _with_rare(counts: np.ndarray, row: np.ndarray, cell: np.ndarray, n: np.ndarray, before: int) -> None:
-    """Moves counts of rare neighbours from those without a class to the class they have."""
-    np.add.at(counts, (row, cell), n)
-    np.add.at(counts, (row, np.where(cell < before, before - 2, counts.shape[1] - 1)), -n)
-
-
-def _counted(batch: pa.RecordBatch, classes: np.ndarray, before: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """A row of counts by class for every word, and the classes that words have now."""
-    counts = np.frombuffer(b"".join(batch["cells"].to_pylist()), "<i4").reshape(-1, width).astype(float)
-    more = [(i, part["cell"], part["n"]) for i, parts in enumerate(batch["more"].to_pylist()) for part in parts]
-    if more:
-        _with_rare(counts, *np.array(more, np.int64).T, before)
-    ids = batch["id"].to_numpy()
-    return counts, np.where(ids >= 0, classes[ids], batch["class"].to_numpy())
-
-
-def cluster(encoded: DataFrame, frequent: int, count: int, words: int, rounds: int) -> tuple[np.ndarray, DataFrame | None]:
-    """Classes of the frequent words, with ``count`` for RARE at the end and for words without a
-    class, and word and class of the rare words that occur more than once, if any word is beyond ``words``."""
+def cluster(encoded: DataFrame, frequent: int, count: int, words: int) -> tuple[np.ndarray, DataFrame | None]:
+    """Classes of the frequent words, with ``count`` for RARE at the end, and word and class of the
+    rare words that occur more than once."""
     words = min(words, frequent)
     classes = np.full(frequent + 1, count, np.int64)
     classes[:words] = np.arange(words) % count
     if not words:
         return classes, None
-    spark = encoded.sparkSession
-    before, after = count + 2, count + 1
-    width = before + after
-    made: list[str] = []
-
-    def kept(rows: DataFrame, label: str) -> DataFrame:
-        made.append(folder(spark, label))
-        rows.write.option("compression", "zstd").parquet(made[-1])
-        return spark.read.schema(rows.schema).parquet(made[-1])
-
-    near = _pairs(encoded, frequent, words, False).groupBy("id", "word")
-    near = near.agg(F.collect_list("keys").alias("keys"), F.sum("n").alias("n")).where("n > 1").select(
-        "id", "word", F.aggregate("keys", F.lit(b""), lambda all, part: F.concat(all, part)).alias("keys")
+    classes, weights, _ = exchange(encoded, count, words, classes)
+    # Whole numbers, so that sums do not depend on the order of their parts.
+    whole = np.rint(weights * WEIGHT).astype(int)
+    cell = F.col("cell")
+    sums = [F.sum(F.col("n") * F.get(F.array(*map(F.lit, whole[:, k].tolist())), cell)) for k in range(count)]
+    beside = _beside(encoded, classes, words, count).repartition("id", "word")
+    scored = beside.groupBy("id", "word").agg(
+        F.array(*sums).alias("scores"), F.sum(F.when(cell < count + 2, F.col("n")).otherwise(0)).alias("seen")
     )
-    near = kept(near, "brown-near")
-    others = not near.isEmpty()
-    if others:
-        start = near.where("id < 0").withColumn("class", F.lit(count))
-        rare_pairs = _pairs(encoded, frequent, words, True).groupBy("other", "word").agg(F.count(F.lit(1)).alias("n"))
-        rare_pairs = kept(rare_pairs, "brown-rare-pairs")
-        near, rare = near.where("id >= 0").withColumn("class", F.lit(None).cast("int")), start
-    for number in range(rounds):
-        left, right = _neighbours(encoded, classes, words, count)
-        if others:
-            columns = np.empty(2 * (frequent + 2), np.int16)
-            columns[0::2] = [*classes[:-1], count + 1, count]
-            columns[1::2] = [*(before + classes), before + count]
-            parts = near.unionByName(rare)
-            parts = _by_class(parts, spark.sparkContext.broadcast(columns), width)
-            if number:
-                table = _beside_rare(rare, frequent, before, count, 0, words).toArrow()
-                whole = np.hstack((left, right))
-                _with_rare(whole, *(table[name].to_numpy() for name in ("id", "cell", "n")), before)
-                left, right = whole[:, :before], whole[:, before:]
-                beside = _beside_rare(rare, frequent, before, count, words, frequent).withColumn("word", F.lit(b""))
-                placed = rare.where(F.col("class") < count).select("word", "class")
-                met = [
-                    rare_pairs.join(placed.withColumnRenamed("word", one), one).select(
-                        F.lit(-1).alias("id"), F.col(two).alias("word"), (F.col("class") + at).alias("cell"), "n"
-                    )
-                    for one, two, at in (("other", "word", 0), ("word", "other", before))
-                ]
-                found = beside.unionByName(met[0]).unionByName(met[1])
-                found = found.select("id", "word", F.struct("cell", "n").alias("part"))
-                parts = parts.unionByName(found, allowMissingColumns=True).groupBy("id", "word").agg(
-                    F.max("keys").alias("keys"), F.max("class").alias("class"), F.max("cells").alias("cells"), F.collect_list("part").alias("more")
-                )
-                # Words that occur once have neighbours here, and no class.
-                parts = parts.where("cells IS NOT NULL")
-            else:
-                parts = parts.withColumn("more", F.expr("cast(array() AS array<struct<cell:int,n:bigint>>)"))
-            keys = F.when(F.col("id") < 0, F.col("keys")).alias("keys")
-            own = F.coalesce("class", F.lit(count)).alias("class")
-            counts = kept(parts.select("id", "word", keys, own, "cells", "more"), "brown-counts")
-            now = spark.sparkContext.broadcast(classes)
-
-            def sums(batches: Iterator[pa.RecordBatch], now: Broadcast = now) -> Iterator[pa.RecordBatch]:
-                total = np.zeros((count + 1, width))
-                for batch in batches:
-                    found, own = _counted(batch, now.value, before, width)
-                    np.add.at(total, own, found)
-                yield pa.record_batch([pa.array(np.arange(total.size)), pa.array(total.ravel().astype(np.int64))], names=["cell", "n"])
-
-            sought = counts.select("id", "class", "cells", "more").mapInArrow(sums, "cell long, n long")
-            total = _matrix(sought, (count + 1) * width).reshape(count + 1, width)
-        mine = np.zeros((words, count))
-        mine[np.arange(words), classes[:words]] = 1
-        into, out = left.T @ mine, mine.T @ right  # history to class, class to next class
-        if others:
-            into, out = into + total[:count, :before].T, out + total[:count, before:]
-        enter = np.log((into + 0.5) / (into.sum(axis=0) + 0.5 * len(into)))
-        leave = np.log((out + 0.5) / (out.sum(axis=1, keepdims=True) + 0.5 * out.shape[1]))
-        moved = classes.copy()
-        moved[:words] = (left @ enter + right @ leave.T).argmax(axis=1)
-        still = True
-        if others:
-
-            def best(
-                batches: Iterator[pa.RecordBatch], now: Broadcast = now, enter: np.ndarray = enter, leave: np.ndarray = leave
-            ) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    found, own = _counted(batch, now.value, before, width)
-                    to = (found[:, :before] @ enter + found[:, before:] @ leave.T).argmax(axis=1)
-                    columns = [batch["id"], batch["word"], batch["keys"], pa.array(to.astype(np.int32)), pa.array(to != own)]
-                    yield pa.record_batch(columns, names=["id", "word", "keys", "class", "moved"])
-
-            chosen = kept(counts.mapInArrow(best, "id int, word binary, keys binary, class int, moved boolean"), "brown-classes")
-            table = chosen.where("id >= 0").select("id", "class").toArrow()
-            moved[table["id"].to_numpy()] = table["class"].to_numpy()
-            rare = chosen.where("id < 0").select("id", "word", "keys", "class")
-            still = chosen.where("id < 0 AND moved").isEmpty()
-            # The counts are done with, and the classes of the round before.
-            for path in [made[-2], *(made[2:-2])]:
-                delete_folder(spark, path)
-            made[2:] = made[-1:]
-        if still and np.array_equal(moved, classes):
-            break
-        classes = moved
-    for path in made[:2]:
-        delete_folder(spark, path)
-    return classes, rare.select("word", "class") if others else None
-
-
-def exchange(encoded: DataFrame, frequent: int, count: int, words: int, rounds: int) -> np.ndarray:
-    """Classes of the frequent words."""
-    return cluster(encoded, frequent, count, words, rounds)[0]
+    best = (F.array_position("scores", F.array_max("scores")) - 1).cast("int").alias("class")
+    chosen = written(scored.where("id >= 0 OR seen > 1").select("id", "word", best), "brown-classes")
+    table = chosen.where("id >= 0").select("id", "class").toArrow()
+    classes[table["id"].to_numpy()] = table["class"].to_numpy()
+    return classes, chosen.where("id < 0").select("word", "class")
 
 
 def _known(batch: pa.RecordBatch) -> dict[bytes, int]:
@@ -467,13 +351,13 @@ def with_known(encoded: DataFrame, classes: Classes) -> DataFrame:
             )
 
     found = encoded.select("row", "rare").mapInArrow(words, "row long, word binary")
-    found = found.join(classes.rare.where(F.col("class") < classes.count), "word")
+    found = found.join(classes.rare, "word")
     known = found.groupBy("row").agg(F.collect_list(F.struct("word", "class")).alias("known"))
     return encoded.join(known, "row", "left")
 
 
 def classify(frequent: list[tuple[bytes, int]], exchanged: np.ndarray, count: int) -> Classes:
-    """Classes for all words, from those of the exchanged ones."""
+    """Classes for all words, from those of the words that have one."""
     votes: dict[bytes, np.ndarray] = {}
     clustered = [(word, n, c) for (word, n), c in zip(frequent, exchanged, strict=False) if c < count]
     for word, n, c in clustered:
@@ -507,16 +391,16 @@ def _matrix(rows: DataFrame, size: int) -> np.ndarray:
     return total
 
 
-def train(encoded: DataFrame, vocabulary: DataFrame, frequent: list[tuple[bytes, int]], count: int) -> Model:
-    """The model of the training texts in ``encoded``."""
+def train(
+    encoded: DataFrame, vocabulary: DataFrame, frequent: list[tuple[bytes, int]], classes: Classes
+) -> Model:
+    """The model of the training texts in ``encoded``, with the classes of their rare words."""
+    count = classes.count
     stats = vocabulary.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
     ).first()
     total, known, once, twice = stats
     discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
-    exchanged, rare = cluster(encoded, len(frequent), count, EXCHANGED, ROUNDS)
-    classes = classify(frequent, exchanged, count)
-    classes.rare = rare
 
     def transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((count + 1) * count, np.int64)
@@ -538,13 +422,19 @@ def train(encoded: DataFrame, vocabulary: DataFrame, frequent: list[tuple[bytes,
         yield pa.record_batch([pa.array(np.arange(count)), pa.array(seen)], names=["cell", "n"])
 
     cells = "cell long, n long"
-    pairs = _matrix(with_known(encoded, classes).select("ids", "rare", "known").mapInArrow(transitions, cells), (count + 1) * count)
+    pairs = _matrix(encoded.select("ids", "rare", "known").mapInArrow(transitions, cells), (count + 1) * count)
     pairs = pairs.reshape(count + 1, count)
     words = np.bincount(classes.of_frequent[:-1], minlength=count).astype(float)
     if known > len(frequent):
-        # Words that occur once are frequent all or none; without frequent words there was no exchange.
-        ending = vocabulary.where("n = 1" if frequent else "true").select("word", F.lit(count).alias("class"))
-        words += _matrix((ending if rare is None else ending.unionByName(rare)).mapInArrow(types, cells), count)
+        # Of the words that occur once, the short ones are frequent all or none; without frequent
+        # words there was no exchange.
+        once_frequent = bool(frequent) and frequent[-1][1] == 1
+        by_ending = F.col("n") == 1 if frequent else F.lit(True)
+        if once_frequent:
+            by_ending &= F.octet_length("word") > LONGEST
+        ending = vocabulary.where(by_ending).select("word", F.lit(count).alias("class"))
+        named = ending if classes.rare is None else ending.unionByName(classes.rare)
+        words += _matrix(named.mapInArrow(types, cells), count)
     size = pairs.sum(axis=0)
     overall = (size + 1) / (size.sum() + count)
     chance = (pairs + SMOOTHING * overall) / (pairs.sum(axis=1, keepdims=True) + SMOOTHING)
@@ -619,10 +509,21 @@ def class_bigram_scores(docs: DataFrame, held_out: Column, count: int = CLASSES)
     path = folder(spark, "brown-encoded")
     coded.write.option("compression", "zstd").parquet(path)
     encoded = spark.read.schema(coded.schema).parquet(path)
-    model = train(encoded.where("NOT held_out"), vocabulary, frequent, count)
+    exchanged, rare = cluster(encoded.where("NOT held_out"), len(frequent), count, EXCHANGED)
+    classes = classify(frequent, exchanged, count)
+    classes.rare = rare
+    if rare is not None:
+        named = with_known(encoded, classes)
+        again = folder(spark, "brown-named")
+        named.write.option("compression", "zstd").parquet(again)
+        encoded = spark.read.schema(named.schema).parquet(again)
+        delete_folder(spark, path)
+    else:
+        encoded = with_known(encoded, classes)
+    model = train(encoded.where("NOT held_out"), vocabulary, frequent, classes)
     total, known, discount = model.tokens, model.vocabulary, model.discount
 
-    scored = written(_scored(with_known(encoded, model.classes), spark.sparkContext.broadcast(model)), "brown-scored")
+    scored = written(_scored(encoded, spark.sparkContext.broadcast(model)), "brown-scored")
     whole = scored.where("word IS NULL").select(
         "row", F.col("n").alias("n_tokens"), "n_known", F.col("x").alias("score"), F.col("y").alias("base_score")
     )

@@ -69,8 +69,10 @@ def test_scores_are_the_models_and_its_chances_add_up_to_one(spark, sizes, reque
     frequent = sorted(counts, key=lambda w: (-counts[w], w))[: len(model.counts)]
     place = {w: i for i, w in enumerate(frequent)}
 
+    rare = {bytes(r["word"]): r["class"] for r in model.classes.rare.collect()}
+
     def kind(word):
-        return model.classes.of_frequent[place[word]] if word in place else model.classes.of_word(word)
+        return model.classes.of_frequent[place[word]] if word in place else rare.get(word, model.classes.of_word(word))
 
     def chance(word, history):
         if word not in counts:
@@ -96,7 +98,7 @@ def test_exchange_separates_words_that_keep_apart(spark):
     frequent = brown_lm._frequent(vocabulary, 100)
     words = spark.sparkContext.broadcast([w for w, _ in frequent])
     encoded = brown_lm.written(brown_lm.encode(docs, F.lit(False), words), "test-encoded")
-    classes = brown_lm.exchange(encoded, len(frequent), 3, 100, 8)
+    classes, _ = brown_lm.cluster(encoded, len(frequent), 3, 100)
     of = {w: c for (w, _), c in zip(frequent, classes, strict=False)}
     ing = {c for w, c in of.items() if w.endswith(b"ing")}
     heit = {c for w, c in of.items() if w.endswith(b"heit")}
@@ -130,7 +132,7 @@ def test_words_beyond_the_most_frequent_are_exchanged_too(spark):
     frequent = brown_lm._frequent(vocabulary, 18)
     words = spark.sparkContext.broadcast([w for w, _ in frequent])
     encoded = brown_lm.written(brown_lm.encode(docs, F.lit(False), words), "test-encoded")
-    classes, rare = brown_lm.cluster(encoded, len(frequent), 3, 9, 6)
+    classes, rare = brown_lm.cluster(encoded, len(frequent), 3, 9)
     of = {w: int(c) for (w, _), c in zip(frequent, classes, strict=False)}
     others = {bytes(r["word"]): r["class"] for r in rare.collect()}
     assert len(of) > 9 and len(others) > 4 and b"once" not in others
@@ -138,3 +140,27 @@ def test_words_beyond_the_most_frequent_are_exchanged_too(spark):
     assert len(of) == 25 and 3 not in of.values()
     first, second = ({c for w, c in of.items() if w.startswith(kind)} for kind in (b"a", b"b"))
     assert not first & second
+
+
+def test_the_exchange_never_loses_likelihood_and_stops_by_itself(spark, texts):
+    docs = documents(spark, *texts.items())
+    vocabulary = brown_lm.written(brown_lm.count_words(docs.select("text")), "test-vocabulary")
+    frequent = brown_lm._frequent(vocabulary, 300)
+    words = spark.sparkContext.broadcast([w for w, _ in frequent])
+    encoded = brown_lm.written(brown_lm.encode(docs, F.lit(False), words), "test-encoded")
+    start = np.append(np.arange(len(frequent)) % 8, 8)
+    classes, _, kept = brown_lm.exchange(encoded, 8, len(frequent), start)
+    assert len(kept) >= 3 and all(b > a for a, b in zip(kept, kept[1:]))
+    left, _ = brown_lm._neighbours(encoded, classes, len(frequent), 8)
+    mine = np.eye(8)[classes[:-1]]
+    assert brown_lm._information(left.T @ mine) == pytest.approx(kept[-1])
+
+
+def test_long_words_are_never_at_hand(spark):
+    long = "y" * 200
+    texts = [(i, f"a b {long} a {long}z{i}") for i in range(30)]
+    docs = documents(spark, *texts)
+    counts = brown_lm.count_words(docs.select("text"))
+    assert {w for w, _ in brown_lm._frequent(counts, 100)} == {b"a", b"b", b"\n"}
+    rows = brown_lm.class_bigram_scores(docs, F.col("doc_id") % 5 == 0, 2).collect()
+    assert [r.n_known for r in rows if r.doc_id % 5 == 0] == [5] * 6 and all(r.n_tokens == 6 for r in rows)
