@@ -5,8 +5,8 @@
    round, every word's neighbours are counted by class in tables of fixed size, and the words that
    gain by it move to the class that makes their neighbours likeliest. The likelihood of the class
    bigrams is taken from the next counts: if it fell, the moves are taken back and only the half of
-   them that gained most is made, then a quarter, and so on; so it never falls. The exchange ends
-   when no part of the moves gains ``LEAST_GAIN`` a token.
+   them that gained most is made, then a quarter; so it never falls. The exchange has converged
+   when a round gains less than ``LEAST_GAIN`` a token, or no part of its moves gains anything.
    Every other word that occurs more than once then moves once, from no class to the one that makes
    its neighbours likeliest. Its neighbours are counted by class within tasks, at most two cells a
    class and word, and summed by word in Spark; what reaches the driver are the classes of the
@@ -51,8 +51,8 @@ CLASSES = 32
 EXCHANGED = 1 << 14
 BROADCAST = 1 << 18
 LONGEST = 64  # bytes of a word that may be at hand in every task
-LEAST_GAIN = 1e-3  # nats a token
-SMALLEST_PART = 1 / 16  # of the moves of a round
+LEAST_GAIN = 5e-3  # nats a token
+SMALLEST_PART = 1 / 4  # of the moves of a round
 WEIGHT = 1 << 20  # steps of a unit in whole logarithms
 SMOOTHING = 20.0  # tokens that class frequencies weigh in a transition
 END = b"\n"  # no word has it
@@ -248,7 +248,8 @@ def exchange(encoded: DataFrame, count: int, words: int, classes: np.ndarray) ->
         mine[np.arange(words), classes[:words]] = 1
         into, out = left.T @ mine, mine.T @ right  # history to class, class to next class
         information = _information(into)
-        if best is None or information > best[0] + LEAST_GAIN:
+        gain = information - best[0] if best else math.inf
+        if gain > 0:
             enter = np.log((into + 0.5) / (into.sum(axis=0) + 0.5 * len(into)))
             leave = np.log((out + 0.5) / (out.sum(axis=1, keepdims=True) + 0.5 * out.shape[1]))
             scores = left @ enter + right @ leave.T
@@ -258,6 +259,8 @@ def exchange(encoded: DataFrame, count: int, words: int, classes: np.ndarray) ->
             kept.append(information)
             weights = np.vstack((enter, leave.T))
             part = 1.0
+            if gain < LEAST_GAIN:
+                return classes, weights, kept
         else:
             part /= 2
         movers = np.flatnonzero(best[3] > 0)
