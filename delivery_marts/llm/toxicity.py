@@ -1,10 +1,11 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
-1. Lexicon. Labelled rows, ``LABELLED`` at most, give, for every word and every word beginning of 3 to 8 letters, how
-   many toxic and clean documents have it. All that are likelier in toxic documents by more than
-   chance explains (log-likelihood ratio above the logarithm of the number of candidates) are kept,
-   each with its strength, the logarithm of how much likelier; but a beginning goes where a longer
-   one has the same counts. The strongest feature of a word is the word's strength.
+1. Lexicon. Labelled rows, ``LABELLED`` at most, give, for every word and every word beginning of
+   3 to 8 letters, how many toxic and clean documents have it. All that are likelier in toxic
+   documents by more than chance explains (log-likelihood ratio above the logarithm of the number
+   of candidates) are kept, each with its strength, the logarithm of how much likelier; but a
+   beginning goes where a longer one has the same counts. The strongest feature of a word is the
+   word's strength.
 2. Votes. Every document gets features and votes (toxic, clean, none) in one pass over its whole
    text. A lexicon voter votes toxic on a text that has one of its features; features are dealt to
    voters by rank, words apart from beginnings. Pattern voters look at the strongest word, at the
