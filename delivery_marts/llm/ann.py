@@ -11,9 +11,11 @@ serve every radius) and only the new ends of each window are counted. The search
 vector at the distance of the k-th best found so far would have reached the threshold with the
 stated confidence, or when the windows cover everything.
 
-Rows are numbered and dealt to blocks of vectors and blocks of queries by a hash of the number, and every block of vectors
-builds its own arrays and answers every block of queries; a block has a fixed number of rows, so
-memory does not grow with the table. The k best of all blocks are the answer.
+Rows are numbered and dealt to blocks of vectors by a hash of the number. A block builds its arrays
+once, and its queries follow it in the same partition, in Arrow batches; a block has a fixed number
+of rows, so memory does not grow with the table. Every vector is shuffled once, every query once per
+block. Only where there are fewer blocks than cores are the queries parted, and the blocks copied to
+at most ``COPIES`` parts; answers do not depend on that. The k best of all blocks are the answer.
 
 Defined results: vectors that are NULL, empty, zero or hold NULL or non-finite components, and
 rows without vec_id, take no part; vectors of another dimension than the query's are no
@@ -25,20 +27,26 @@ fewer candidates than k give all; an empty table gives an empty one. Other colum
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delivery_marts.llm.shared import bucket, written
-from delivery_marts.llm.vectors import matrix, usable_rows
+from delivery_marts.llm.topk import rows_of
+from delivery_marts.llm.vectors import usable_rows
 
 BLOCK_ROWS = 32_768
-BLOCK_QUERIES = 256
+BLOCK_QUERIES = 256  # of a part, about, where a block has several
+COPIES = 8  # of a block, at most
 FOUND = "query_row long, query_id long, vec_id long, score double"
+SCHEMA = pa.schema(
+    [("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]
+)
 
 
 @dataclass(frozen=True)
@@ -134,19 +142,34 @@ class Index:
         return self.ids[found[best]], scores[best]
 
 
-def _answers(group: pd.DataFrame, longest: float, search: Search) -> pd.DataFrame:
-    """Every query of a group against the vectors of the group."""
-    asked = group["is_query"].to_numpy()
-    vectors, queries = group[~asked], group[asked]
-    if not len(vectors) or not len(queries):
-        none = pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
-        return none.astype({"query_row": "int64", "query_id": "int64", "vec_id": "int64"})
-    index = Index(vectors["vec_id"].to_numpy(), matrix(vectors["embedding"]), longest, search)
-    rows = []
-    for row, query_id, query in zip(queries["row"], queries["vec_id"], matrix(queries["embedding"]), strict=True):
-        ids, scores = index.nearest(query_id, query)
-        rows.append(pd.DataFrame({"query_row": row, "query_id": query_id, "vec_id": ids, "score": scores}))
-    return pd.concat(rows)
+def _answers(batches: Iterator[pa.RecordBatch], longest: float, search: Search) -> Iterator[pa.RecordBatch]:
+    """Every query of a part against its block: the block's vectors come first, then the queries."""
+    at, ids, vectors, index = None, [], [], None
+    for batch in batches:
+        keys = np.stack([batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("dim", "place", "is_query")], axis=1)
+        changes = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for start, end in zip([0, *changes], [*changes, len(keys)], strict=True):
+            if start == end:
+                continue
+            dim, place, is_query = keys[start].tolist()
+            if at != (dim, place):
+                at, ids, vectors, index = (dim, place), [], [], None
+            part = batch.slice(start, end - start)
+            numbers, values = part["vec_id"].to_numpy(), rows_of(part["embedding"]).astype(np.float64)
+            if not is_query:
+                ids.append(numbers)
+                vectors.append(values)
+                continue
+            if index is None and ids:
+                index = Index(np.concatenate(ids), np.concatenate(vectors), longest, search)
+                ids, vectors = [], []
+            if index is None:
+                continue
+            found = []
+            for row, query_id, query in zip(part["row"].to_numpy(), numbers, values, strict=True):
+                near, scores = index.nearest(int(query_id), query)
+                found.append((np.full(len(near), row), np.full(len(near), query_id), near, scores))
+            yield pa.record_batch([np.concatenate(c) for c in zip(*found, strict=True)], schema=SCHEMA)
 
 
 def nearest(embeddings: DataFrame, is_query: Column, search: Search | None = None) -> DataFrame:
@@ -158,25 +181,28 @@ def nearest(embeddings: DataFrame, is_query: Column, search: Search | None = Non
     known = rows.agg(
         F.max(norm).alias("longest"), F.count(F.lit(1)).alias("rows"), F.count_if("is_query").alias("queries")
     ).first()
-    blocks = max(1, math.ceil(known["rows"] / BLOCK_ROWS))
-    query_blocks = max(1, math.ceil(known["queries"] / BLOCK_QUERIES))
-
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
-    vectors = rows.select(
-        "row", "vec_id", "embedding", "dim", F.lit(False).alias("is_query"),
-        bucket(blocks, "row").alias("block"), everywhere.alias("query_block"),
-    )
-    queries = rows.where("is_query").select(
-        "row", "vec_id", "embedding", "dim", "is_query",
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        bucket(query_blocks, "row").alias("query_block"),
-    )
     longest = known["longest"] or 1.0
-
-    def answers(group: pd.DataFrame) -> pd.DataFrame:
-        return _answers(group, longest, search)
-
-    found = vectors.unionByName(queries).groupBy("dim", "block", "query_block").applyInPandas(answers, FOUND)
+    blocks = max(1, math.ceil(known["rows"] / BLOCK_ROWS))
+    cores = embeddings.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(COPIES, math.ceil(cores / blocks), math.ceil(known["queries"] / BLOCK_QUERIES)))
+
+    def each(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    vectors = rows.withColumns({"is_query": F.lit(False), "block": bucket(blocks, "row"), "part": each(parts)})
+    queries = rows.where("is_query").withColumns({"part": bucket(parts, "row"), "block": each(blocks)})
+    together = (
+        vectors.unionByName(queries)
+        .withColumn("place", F.col("block") * parts + F.col("part"))
+        .select("dim", "place", "is_query", "row", "vec_id", "embedding")
+        .repartitionById(blocks * parts, "place")
+        .sortWithinPartitions("dim", "place", "is_query")
+    )
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _answers(batches, longest, search)
+
+    found = together.mapInArrow(answers, FOUND)
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= search.k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -84,3 +84,37 @@ def test_every_copy_of_a_query_gets_all_its_neighbours(spark):
     rows = ann.nearest(frame(spark, [points[0], points[0], *points]), F.col("vec_id") == 0).collect()
     assert len(alone) == 20
     assert sorted((r.rank, r.vec_id, r.score) for r in rows) == sorted((n + 1, *near) for n, near in enumerate(alone) for _ in range(3))
+
+
+def test_a_vector_is_shuffled_once_where_blocks_fill_the_cores(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 20)
+    rng = np.random.default_rng(6)
+    vectors = [(i, [float(x) for x in np.float32(p)]) for i, p in enumerate(rng.standard_normal((2000, 8)))]
+    received, asked = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    streamed = ann._answers
+
+    def counting(batches, *rest):
+        def seen():
+            for batch in batches:
+                queries = sum(batch["is_query"].to_pylist())
+                received.add(batch.num_rows - queries)
+                asked.add(queries)
+                yield batch
+
+        return streamed(seen(), *rest)
+
+    monkeypatch.setattr(ann, "_answers", counting)
+    got = answers(ann.nearest(frame(spark, vectors), F.col("vec_id") % 100 == 0).collect())
+    assert len(got) == 20 and all(len(near) == 20 for near in got.values())
+    assert received.value == 2000 and asked.value == 20 * 100
+
+
+def test_parts_of_the_queries_do_not_change_answers(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    vectors = [(i, [float(x) for x in np.float32(p)]) for i, p in enumerate(rng.standard_normal((1200, 16)))]
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 10)
+    results = []
+    for copies in (1, 5):
+        monkeypatch.setattr(ann, "COPIES", copies)
+        results.append(answers(ann.nearest(frame(spark, vectors), F.col("vec_id") % 20 == 0).collect()))
+    assert results[0] == results[1] and len(results[0]) == 60
