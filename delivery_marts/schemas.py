@@ -164,6 +164,9 @@ class TableSpec:
     defaults: dict[str, int] = field(default_factory=dict)
 
 
+# Metadata of a column that a stored table is bucketed by: the number of buckets.
+BUCKETS = "stored_buckets"
+
 LINE_GROUP = ("order_id", "item_id", "item_price", "item_discount", "replaced_by_item_id")
 # Fixed value: in rules on line groups a missing replacement is this id.
 NO_REPLACEMENT = -1

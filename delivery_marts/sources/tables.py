@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delivery_marts.schemas import MARTS, TABLES, computed_schema, storage_schema
+from delivery_marts.schemas import BUCKETS, MARTS, TABLES, computed_schema, storage_schema
 
 PUBLICATION = T.StructType(
     [
@@ -58,7 +58,8 @@ def read_table(
         f"CREATE TABLE IF NOT EXISTS {layout_name(path)} ({columns}) USING parquet "
         f"CLUSTERED BY ({LAYOUT_KEY}) SORTED BY ({LAYOUT_KEY}) INTO {buckets} BUCKETS LOCATION {_quoted(path)}"
     )
-    return spark.table(layout_name(path)).select(*schema.names)
+    laid_out = F.col(LAYOUT_KEY).alias(LAYOUT_KEY, metadata={BUCKETS: buckets})
+    return spark.table(layout_name(path)).select(*[laid_out if n == LAYOUT_KEY else n for n in schema.names])
 
 
 def publications(spark: SparkSession, root: str) -> DataFrame:
