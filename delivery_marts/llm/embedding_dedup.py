@@ -2,11 +2,16 @@
 
 Equal vectors are one node with a number of copies. A node's signs against ``bits`` random
 hyperplanes are its code in a table; nodes with one code in a table are a bucket and compared in
-cells (``cells.py``) by their exact cosine in double precision. Two vectors at cosine c agree in
+cells (``cells.py``). Two vectors at cosine c agree in
 one sign with probability 1 - acos(c) / pi, so the number of tables follows from the number of
 bits and the share of links that may be missed at the threshold itself (links above it are
 missed more rarely); bits grow with the logarithm of the rows, so that buckets stay small.
 
+Vectors are not sent to all these cells. A cell first gets a signature of each node, the signs
+against ``SIGNATURE`` other hyperplanes, and keeps the nodes that have another at a Hamming distance
+that a pair at the threshold exceeds with probability ``MISSED`` / 100. Vectors follow to the cells of
+those nodes only, where every pair is compared by its exact cosine in double precision.
+
 A pair that meets in several tables counts in the first of them only, which the rows' signs
 tell. Every cell returns, per node, how many links it has and one edge into a forest, so a task
 returns no more rows than it was given, whatever the number of links.
@@ -38,6 +43,8 @@ BUCKET_ROWS = 32  # about; sets the number of bits
 MISSED = 1e-4  # share of links at the threshold that no table finds
 BLOCK = 1024  # rows of a bucket in one part
 GROUP_ROWS = 20_000  # rows in a call, about
+SIGNATURE = 256  # bits, a multiple of 64
+CELL_ROWS = 4096  # signatures in a call, about
 
 
 def plan(rows: int, threshold: float) -> tuple[int, int]:
@@ -47,6 +54,16 @@ def plan(rows: int, threshold: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(MISSED) / math.log(1 - agree))
 
 
+def radius(threshold: float) -> int:
+    """Differing bits of two signatures that a pair at the threshold exceeds in one of 100 / MISSED cases."""
+    p = math.acos(threshold) / math.pi
+    beyond, bits = 1.0, -1
+    while beyond > MISSED / 100 and bits < SIGNATURE:
+        bits += 1
+        beyond -= math.comb(SIGNATURE, bits) * p**bits * (1 - p) ** (SIGNATURE - bits)
+    return bits
+
+
 def _signs(vectors: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
     """The code of each vector in each table."""
     planes = np.random.default_rng([seed, vectors.shape[1]]).standard_normal((vectors.shape[1], tables * bits))
@@ -54,13 +71,56 @@ def _signs(vectors: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray
     return ones @ (1 << np.arange(bits, dtype=np.int32))
 
 
+def _signatures(vectors: np.ndarray, seed: int) -> list[bytes]:
+    planes = np.random.default_rng([seed, vectors.shape[1], SIGNATURE]).standard_normal((vectors.shape[1], SIGNATURE))
+    return [row.tobytes() for row in np.packbits(vectors @ planes > 0, axis=1)]
+
+
 def _coded(frames: Iterator[pd.DataFrame], bits: int, tables: int, seed: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        codes = np.zeros((len(frame), tables), np.int32)
+        codes, signatures = np.zeros((len(frame), tables), np.int32), np.empty(len(frame), object)
         dims = frame["dim"].to_numpy()
         for dim in np.unique(dims):
-            codes[dims == dim] = _signs(matrix(frame["embedding"][dims == dim]), bits, tables, seed)
-        yield frame.assign(codes=list(codes))
+            vectors = matrix(frame["embedding"][dims == dim])
+            codes[dims == dim] = _signs(vectors, bits, tables, seed)
+            signatures[dims == dim] = _signatures(vectors, seed)
+        yield frame.assign(codes=list(codes), signature=signatures)
+
+
+def _whole_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows that come cell by cell, in pieces that end where a cell does."""
+    held, rows = [], 0
+    for frame in frames:
+        held.append(frame)
+        rows += len(frame)
+        if rows < CELL_ROWS:
+            continue
+        frame = pd.concat(held)
+        open_cell = (frame["cell"] == frame["cell"].iloc[-1]).to_numpy()
+        held, rows = [frame[open_cell]], int(open_cell.sum())
+        if rows < len(frame):
+            yield frame[~open_cell]
+    if rows:
+        yield pd.concat(held)
+
+
+def _with_company(frames: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    """Rows whose signature another of their cell is at most ``most`` bits from."""
+    for frame in _whole_cells(frames):
+        words = np.frombuffer(b"".join(frame["signature"]), np.uint64).reshape(len(frame), -1)
+        cells, side = frame["cell"].to_numpy(), frame["side"].to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
+        kept = np.zeros(len(frame), bool)
+        for begin, end in zip(starts, [*starts[1:], len(frame)], strict=True):
+            apart = np.zeros((end - begin, end - begin), np.uint16)
+            for word in words[begin:end].T:
+                apart += np.bitwise_count(word[:, None] ^ word)
+            near = apart <= most
+            if side[begin]:
+                near &= side[begin:end, None] != side[begin:end]
+            np.fill_diagonal(near, False)
+            kept[begin:end] = near.any(axis=1)
+        yield frame.loc[kept, ["node", "tab", "cell", "side"]]
 
 
 def _compared(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
@@ -110,20 +170,26 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, seed: int =
     kind = dict(nodes.dtypes)["embedding"]
     coded = nodes.select("embedding", "dim", "node", "copies").mapInPandas(
         lambda frames: _coded(frames, bits, tables, seed),
-        f"embedding {kind}, dim int, node long, copies long, codes array<int>",
+        f"embedding {kind}, dim int, node long, copies long, codes array<int>, signature binary",
     )
     coded = written(coded, "embedding-codes")
-    # Cells are found on ids and codes alone; vectors are shuffled once, to where they are compared.
-    entries = coded.select("dim", "node", F.posexplode("codes").alias("tab", "code"))
+    entries = coded.select("dim", "node", "signature", F.posexplode("codes").alias("tab", "code"))
     celled = with_cells(entries, ["dim", "tab", "code"], ["node"], BLOCK).drop("dim", "code")
-    celled = written(celled, "embedding-cells")
-    groups = max(1, math.ceil(celled.count() / GROUP_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    most = radius(threshold)
+
+    def with_company(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _with_company(frames, most)
+
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    together = celled.repartition(partitions, "cell").sortWithinPartitions("cell")
+    celled = written(together.mapInPandas(with_company, "node long, tab int, cell long, side int"), "embedding-cells")
+    groups = max(1, math.ceil(celled.count() / GROUP_ROWS), partitions)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         return _compared(group, threshold)
 
     compared = written(
-        celled.join(coded.drop("dim"), "node")
+        celled.join(coded.drop("dim", "signature"), "node")
         .withColumn("_group", F.pmod(F.xxhash64("cell"), F.lit(groups)))
         .groupBy("_group")
         .applyInPandas(compare, "a long, links long, b long"),

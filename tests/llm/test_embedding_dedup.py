@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 
 from delivery_marts.llm import embedding_dedup
 from tests.llm.test_ann import frame
@@ -71,3 +72,30 @@ def test_tables_follow_rows_and_threshold():
         agree = (1 - math.acos(0.95) / math.pi) ** bits
         assert (1 - agree) ** tables <= embedding_dedup.MISSED
     assert embedding_dedup.plan(10**9, 0.95)[0] > embedding_dedup.plan(10**4, 0.95)[0]
+
+
+def test_signatures_keep_rows_with_a_near_one_and_leave_the_others(monkeypatch):
+    """Cells cut over many frames; every pair at the threshold keeps both its rows."""
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 50)
+    rng = np.random.default_rng(12)
+    rows, near = [], set()
+    for cell in range(30):
+        side = 0 if cell % 3 else 1
+        for n in range(int(rng.integers(2, 40))):
+            a = rng.standard_normal(64)
+            a /= np.linalg.norm(a)
+            rows.append((len(rows), 5, cell, side, a))
+            if n % 4 == 0:
+                b = rng.standard_normal(64)
+                b -= (b @ a) * a
+                b = 0.95 * a + math.sqrt(1 - 0.95**2) * b / np.linalg.norm(b)
+                near |= {len(rows) - 1, len(rows)} if side == 0 or n % 8 else set()
+                rows.append((len(rows), 5, cell, side and (2 if n % 8 else 1), b))
+    signatures = embedding_dedup._signatures(np.stack([r[4] for r in rows]), 11)
+    table = pd.DataFrame([r[:4] for r in rows], columns=["node", "tab", "cell", "side"]).assign(signature=signatures)
+    frames = [table[i : i + 7] for i in range(0, len(table), 7)]
+    most = embedding_dedup.radius(0.95)
+    kept = pd.concat(embedding_dedup._with_company(iter(frames), most))
+    assert set(kept["node"]) == near and 0 < len(near) < len(rows)
+    assert 0.101 * embedding_dedup.SIGNATURE < most < 0.25 * embedding_dedup.SIGNATURE
+    assert list(embedding_dedup._with_company(iter([]), most)) == []
