@@ -126,7 +126,7 @@ def load(
         journal = _unfinished(spark, root, state) if resume else None
         done = journal.finished() if journal else {}
         with sized(spark, feed_bytes(files), limits):
-            feed = read_feed(spark, feed_path, files)
+            feed = read_feed(spark, feed_path, files, f"{folder}/footers")
             bounds = {} if TABLES.keys() <= done.keys() else feed_key_bounds(feed)
             if journal:
                 buckets = journal.begun()["buckets"]

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from delivery_marts.functions import nan_to_null
 from delivery_marts.operators.ordering import FILE, MOST_FILES, ROW
 from delivery_marts.schemas import RAW_FEED
-from delivery_marts.session import configure, listing, scratch_path
+from delivery_marts.session import configure, delete_folder, listing, scratch_path
 from delivery_marts.sinks.conform import typed
 
 FOOTER_THREADS = 16
@@ -132,26 +132,31 @@ def _spark_kinds(spark: SparkSession, files: list[str]) -> list[str]:
         return list(pool.map(kinds, files))
 
 
-def _groups(spark: SparkSession, path: str) -> dict[str, list[str]]:
+def _read_footers(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """Footers of the matching files as (path, file_path, kinds), read in one distributed pass and
+    kept in ``target``, a row per file."""
+    schema = "path string, file_path string, kinds string"
+    listed = spark.read.format("binaryFile").load(path).select("path", "_metadata.file_path")
+    listed.repartition(F.xxhash64("path")).mapInPandas(_kinds, schema).write.parquet(target)
+    return spark.read.schema(schema).parquet(target)
+
+
+def _groups(spark: SparkSession, path: str, target: str) -> dict[str, list[str]]:
     """Files by physical schema; one file is enough where all are alike.
 
-    Footers are read in one distributed pass, and what comes to the driver is a row per
-    distinct schema. Only if there are several, the paths follow, which Spark's reader wants
-    as a list (and holds itself, for any scan).
+    What comes to the driver is a row per distinct schema. Only if there are several, the paths
+    follow, which Spark's reader wants as a list (and holds itself, for any scan). Files whose store
+    only Spark opens, and no others, are asked for with Spark's own reader.
     """
-    listed = spark.read.format("binaryFile").load(path).select("path", "_metadata.file_path")
-    footers = listed.repartition(F.xxhash64("path")).mapInPandas(
-        _kinds, "path string, file_path string, kinds string"
-    )
     with listing(spark):
-        known_kinds = footers.groupBy("kinds").agg(F.min("path").alias("path")).collect()
-        if any(row.kinds is None for row in known_kinds):
-            paths = [row.path for row in listed.toLocalIterator()]
-            pairs = list(zip(_spark_kinds(spark, paths), paths, strict=True))
-        elif len(known_kinds) > 1:
+        footers = _read_footers(spark, path, target)
+        known = footers.groupBy("kinds").agg(F.min("path").alias("path")).collect()
+        pairs = [(row.kinds, row.path) for row in known]
+        if len(known) > 1 or any(kinds is None for kinds, _ in pairs):
             pairs = [(row.kinds, row.path) for row in footers.select("kinds", "path").toLocalIterator()]
-        else:
-            pairs = [(row.kinds, row.path) for row in known_kinds]
+            unread = [file for kinds, file in pairs if kinds is None]
+            pairs = [pair for pair in pairs if pair[0] is not None]
+            pairs += zip(_spark_kinds(spark, unread), unread, strict=True)
     for kinds, file in pairs:
         if lacking := [name for name, kind in json.loads(kinds).items() if kind is None]:
             raise ValueError(f"{file} lacks {', '.join(lacking)}")
@@ -161,14 +166,14 @@ def _groups(spark: SparkSession, path: str) -> dict[str, list[str]]:
     return groups
 
 
-def _scans(spark: SparkSession, path: str) -> list[DataFrame]:
+def _scans(spark: SparkSession, path: str, target: str) -> list[DataFrame]:
     """The matching files as few scans, each of files with the same physical schema.
 
     Writers that hold integers as floats once a NULL turns up give a column different
     types in different files, which one Spark scan cannot read. A file that lacks one of the
     feed's columns raises: read with the others it would silently give NULLs.
     """
-    groups = _groups(spark, path)
+    groups = _groups(spark, path, target)
     scans = []
     for files in groups.values():
         schema = spark.read.parquet(_literal(files[0])).schema
@@ -177,15 +182,24 @@ def _scans(spark: SparkSession, path: str) -> list[DataFrame]:
     return scans
 
 
-def read_feed(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
+def read_feed(
+    spark: SparkSession, path: str, files: DataFrame | None = None, folder: str | None = None
+) -> DataFrame:
     """The feed's 25 columns plus ``file_no`` and ``row_no``; ``files`` as ``list_feed`` gives it.
 
-    Raises if nothing matches ``path`` or any file lacks one of the columns. Scans stay
+    What the files' footers say is kept in ``folder``, else, until the scans are planned, in the
+    shared scratch folder. Raises if nothing matches ``path`` or any file lacks one of the columns. Scans stay
     pruned: only the columns a plan uses are read.
     """
     configure(spark)
     numbers = _file_numbers(list_feed(spark, path) if files is None else files)
-    feed = reduce(DataFrame.unionByName, [_declared(scan) for scan in _scans(spark, path)])
+    target = folder or scratch_path(spark, "feed-footers")
+    try:
+        scans = _scans(spark, path, target)
+    finally:
+        if not folder:
+            delete_folder(spark, target)
+    feed = reduce(DataFrame.unionByName, [_declared(scan) for scan in scans])
     # A file that came in after the listing has no number; dropping it silently or
     # leaving it unordered would both be wrong.
     listed = F.coalesce(FILE, F.raise_error(F.lit("file not listed")))

@@ -116,6 +116,28 @@ def test_jobs_do_not_grow_with_the_files(spark, tmp_path):
     assert counts[1] <= counts[0] + spark.sparkContext.defaultParallelism + 4
 
 
+def test_footers_are_read_once_and_only_unread_files_are_asked_of_spark(spark, tmp_path, monkeypatch):
+    for i in range(6):
+        write_file(tmp_path, f"{i}.parquet", {"order_id": i, "driver_id": np.nan if i % 2 else 1})
+    read, asked = spark.sparkContext.accumulator(0), []
+    kinds, spark_kinds = raw_feed._kinds, raw_feed._spark_kinds
+
+    def counting(batches, unread=()):
+        for batch in kinds(batches):
+            read.add(len(batch))
+            closed = batch["path"].str.contains("|".join(unread) or "$^")
+            yield batch.assign(kinds=batch["kinds"].where(~closed, None))
+
+    monkeypatch.setattr(raw_feed, "_kinds", counting)
+    monkeypatch.setattr(raw_feed, "_spark_kinds", lambda s, files: asked.extend(files) or spark_kinds(s, files))
+    assert read_feed(spark, f"{tmp_path}/*.parquet").count() == 6
+    assert read.value == 6 and not asked
+    monkeypatch.setattr(raw_feed, "_kinds", lambda batches: counting(batches, ("/2.parquet", "/3.parquet")))
+    got = values(read_feed(spark, f"{tmp_path}/*.parquet"), "order_id", "driver_id")
+    assert got == [(i, None if i % 2 else 1) for i in range(6)]
+    assert sorted(file[-9:] for file in asked) == ["2.parquet", "3.parquet"] and read.value == 12
+
+
 def test_stores_that_only_spark_opens_are_read_all_the_same(spark, tmp_path, monkeypatch):
     write_file(tmp_path, "a.parquet", {"driver_id": 5})
     write_file(tmp_path, "b.parquet", {"driver_id": np.nan})
