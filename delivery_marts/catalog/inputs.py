@@ -6,31 +6,69 @@ faults put into whole tables by plain expressions, the same here and in the SQL.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delivery_marts.operators.assignments import assignment_intervals
-from delivery_marts.operators.headers import file_order_ends
-from delivery_marts.operators.lines import drop_unkeyed_lines
+from delivery_marts.operators.headers import HEADER_COLUMNS, file_order_ends
+from delivery_marts.operators.lines import QUANTITIES, REQUIRED, drop_unkeyed_lines
 from delivery_marts.operators.constraints import RowRules
-from delivery_marts.plans.normalize import feed_key_bounds, keyed, normalize
+from delivery_marts.plans.normalize import ADD_KEYS, feed_key_bounds, keyed, normalize
 from delivery_marts.plans.pipeline import layout_buckets
-from delivery_marts.schemas import ASSIGNMENT_ORDER, LINE_GROUP, NO_REPLACEMENT, TABLES
+from delivery_marts.schemas import ASSIGNMENT_ORDER, LINE_GROUP, NO_REPLACEMENT, RAW_FEED, TABLES
 from delivery_marts.functions import unfill_replaced_id
 from delivery_marts.session import configure, scratch_path
-from delivery_marts.sinks.tables import write_table
+from delivery_marts.sinks.tables import write_all, write_table
 from delivery_marts.sources.tables import read_table
-from delivery_marts.sources.driver_tables import read_feed
+from delivery_marts.sources.driver_tables import read_feed, store_feed
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_feed(configure(spark), sf_dir)
 
 
+# What each table takes of the feed.
+FEED_COLUMNS = {
+    "users": ["user_id", "user_phone"],
+    "stores": ["store_id", "store_address"],
+    "drivers": ["driver_id", "driver_phone"],
+    "items": ["item_id", "item_title", "item_category"],
+    "orders": ["order_id", *HEADER_COLUMNS],
+    "order_items": [*REQUIRED, "item_replaced_id", *QUANTITIES],
+    "delivery_assignments": ["order_id", "driver_id", "delivery_started_at", "delivered_at", "canceled_at"],
+}
+
+
+def stored_feed(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """The feed written once, with what the named tables (default: all) take of it.
+
+    For queries that read it several times: the feed is a join of whole tables.
+    """
+    needed = {column for name in names or TABLES for column in FEED_COLUMNS[name]}
+    columns = [name for name in RAW_FEED.names if name in needed]
+    return store_feed(configure(spark), sf_dir, scratch_path(spark, "feed"), columns)
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return normalize(feed(spark, sf_dir))
 
 
+def kept_tables(spark: SparkSession, normalised: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Normalised tables written once and read back as they are, still without generated keys, for
+    queries that test them against each other."""
+    out = {}
+
+    def keep(name: str) -> None:
+        path = scratch_path(spark, f"kept-{name}")
+        write_table(normalised[name], path)
+        out[name] = spark.read.schema(normalised[name].schema).parquet(path)
+
+    write_all({name: partial(keep, name) for name in normalised})
+    return {name: out[name] for name in normalised}
+
+
 def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A normalised table written to the shared folder and read back as a published one is."""
     path = scratch_path(spark, name)
@@ -40,10 +78,10 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def laid_out(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     """Tables stored as a load stores them, in buckets by order, and read back so."""
-    source = feed(spark, sf_dir)
+    source = stored_feed(spark, sf_dir, *names, *ADD_KEYS)
     bounds = feed_key_bounds(source)
     buckets = layout_buckets(spark, bounds)
-    out, normalised = {}, normalize(source)
+    out, normalised = {}, normalize(source, *names)
     for name in names:
         path = scratch_path(spark, f"laid-out-{name}")
         write_table(keyed(name, normalised[name], bounds.get(name)), path, buckets)

@@ -24,7 +24,7 @@ from delivery_marts.operators.joins import left_join_many
 from delivery_marts.operators.lines import drop_unkeyed_lines, order_lines_by_file
 from delivery_marts.operators.ordering import known
 from delivery_marts.plans.marts import item_cells, items_mart, order_money, orders_mart
-from delivery_marts.plans.normalize import feed_key_bounds, keyed, normalize
+from delivery_marts.plans.normalize import NORMALISED, feed_key_bounds, keyed, normalize
 from delivery_marts.schemas import ITEMS_MART, MARTS, ORDERS_MART, RAW_FEED, TABLES
 from delivery_marts.sinks.conform import conform
 from delivery_marts.sinks.tables import row_counts

@@ -20,11 +20,13 @@ FILE, ROW = "file_no", "row_no"
 # its sign: a feed with more files is refused when it is listed.
 ROW_BITS = 40
 MOST_FILES = (1 << (63 - ROW_BITS)) - 1
+# Rows without a file come before all others, as they do where ordinals are structs.
+NO_FILE = -(1 << (63 - ROW_BITS))
 
 
 def _rank(feed: DataFrame, file_no: Column) -> Column:
     if isinstance(feed.schema[ROW].dataType, T.LongType):
-        return F.shiftleft(file_no.cast("bigint"), ROW_BITS) + F.col(ROW)
+        return F.shiftleft(F.coalesce(file_no.cast("bigint"), F.lit(NO_FILE)), ROW_BITS) + F.col(ROW)
     return F.struct(file_no.alias(FILE), F.col(ROW).alias(ROW))
 
 
@@ -41,7 +43,7 @@ def latest_file(feed: DataFrame) -> Column:
 def file_of(feed: DataFrame, rank: Column) -> Column:
     """The file number inside an ``earliest`` rank of this feed."""
     if isinstance(feed.schema[ROW].dataType, T.LongType):
-        return F.shiftright(rank, ROW_BITS)
+        return F.nullif(F.shiftright(rank, ROW_BITS), F.lit(NO_FILE))
     return rank[FILE]
 
 

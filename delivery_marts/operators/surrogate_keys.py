@@ -53,23 +53,37 @@ class KeyBounds:
     codes: tuple[tuple[int, ...], ...] = ()
 
     def range_of(self, df: DataFrame) -> Column:
-        """The range of each row: how many bounds are not beyond its key, by halving."""
+        """The range of each row: how many bounds are not beyond its key, by halving.
+
+        The first column decides, but for rows that share its value with a bound; only those
+        compare whole keys, which takes several times as long.
+        """
         if not self.codes:
             return F.lit(0)
         # One constant, however many bounds: Spark folds the text when it plans.
         flat = F.split(F.lit(",".join(str(c) for code in self.codes for c in code)), ",").cast("array<bigint>")
+        firsts = F.split(F.lit(",".join(str(code[0]) for code in self.codes)), ",").cast("array<bigint>")
         width, count = len(self.keys), len(self.codes)
         steps = [1 << bit for bit in reversed(range(count.bit_length()))]
 
+        def by_first(key: Column) -> Column:
+            def step(at: Column, by: Column) -> Column:
+                return F.when((at + by <= count) & (F.get(firsts, at + by - 1) <= key), at + by).otherwise(at)
+
+            def decided(at: Column) -> Column:
+                return F.when((at == 0) | (F.get(firsts, at - 1) < key), at)
+
+            return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step, decided)
+
         def narrowed(key: Column) -> Column:
             def step(at: Column, by: Column) -> Column:
                 bound = F.slice(flat, (at + by - 1) * width + 1, F.lit(width))
                 return F.when((at + by <= count) & (bound <= key), at + by).otherwise(at)
 
-            # Never NULL, which Spark does not see; else a filter would ask that of every row.
-            return F.coalesce(F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step), F.lit(0))
+            return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
 
-        return narrowed(_codes(df, self.keys))
+        # Never NULL, which Spark does not see; else a filter would ask that of every row.
+        return F.coalesce(by_first(_code(df, self.keys[0])), narrowed(_codes(df, self.keys)), F.lit(0))
 
     def ranges_of_hottest(self) -> int:
         """Ranges that begin at one and the same value of the first key: few, unless that value

@@ -6,12 +6,13 @@ with; :class:`Dialect` holds the two things the engines spell differently.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delivery_marts.operators.ordering import FILE, ROW
+from delivery_marts.operators.ordering import FILE, ROW, ROW_BITS
 from delivery_marts.schemas import RAW_FEED
 
 TABLES_READ = ("lineitem", "orders", "customer", "nation", "region")
@@ -26,7 +27,7 @@ class Dialect:
 SPARK = Dialect(timestamp="TIMESTAMP_NTZ", row="struct")
 DUCKDB = Dialect(timestamp="TIMESTAMP", row="row")
 
-FEED_TEMPLATE = """
+COLUMNS_TEMPLATE = """
 SELECT
   CAST(o_orderkey AS INT) AS order_id,
   CAST(o_custkey AS INT) AS user_id,
@@ -64,8 +65,10 @@ SELECT
   CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS INT) % 5
     WHEN l_returnflag = 'A' THEN 0 END AS item_canceled_quantity,
   l_linenumber % 3 AS file_no,
-  {row}(l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice,
-    l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) AS row_no
+"""
+ROW_ORDER = """l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice,
+    l_quantity, l_discount, l_tax, l_returnflag, l_linestatus"""
+FROM_TEMPLATE = """
 FROM {tables[lineitem]}
 JOIN {tables[orders]} ON l_orderkey = o_orderkey
 JOIN {tables[customer]} ON o_custkey = c_custkey
@@ -88,11 +91,62 @@ class _Times(dict):
 
 
 def feed_sql(dialect: Dialect, tables: dict[str, str]) -> str:
-    return FEED_TEMPLATE.format_map({"t": _Times(dialect), "row": dialect.row, "tables": tables})
+    template = f"{COLUMNS_TEMPLATE}  {{row}}({ROW_ORDER}) AS row_no{FROM_TEMPLATE}"
+    return template.format_map({"t": _Times(dialect), "row": dialect.row, "tables": tables})
+
+
+def _frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES_READ}
 
 
 def read_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mapped feed: raw columns in contract order, then the two ordinals."""
-    frames = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES_READ}
     sql = feed_sql(SPARK, {name: f"{{{name}}}" for name in TABLES_READ})
-    return spark.sql(sql, **frames).select(*RAW_FEED.names, F.col(FILE).cast("bigint"), ROW)
+    return spark.sql(sql, **_frames(spark, sf_dir)).select(*RAW_FEED.names, F.col(FILE).cast("bigint"), ROW)
+
+
+# Low bits of a row's ordinal count rows of one sorted range, the others ranges; together they fit
+# the bits that an ordinal has beside the file number.
+RANGE_BITS = 28
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Lines with the place of their ``ROW_ORDER`` as a bigint, sorted in ranges of that order.
+
+    The places rise with the order but are not dense. Lines equal in all those columns are the same
+    line, so which of them comes first decides nothing.
+    """
+    order = [name.strip() for name in ROW_ORDER.split(",")]
+    place = F.monotonically_increasing_id()
+    inside = place.bitwiseAND(F.lit((1 << 33) - 1))
+    packed = F.shiftleft(F.shiftright(place, 33), RANGE_BITS) + inside
+    fits = (inside < 1 << RANGE_BITS) & (F.shiftright(place, 33) < 1 << (ROW_BITS - RANGE_BITS))
+    checked = F.when(fits, packed).otherwise(F.raise_error(F.lit("more lines than ordinals have bits for")))
+    return lines.select(*order).orderBy(*order).withColumn("l_row", checked.cast("bigint"))
+
+
+def store_feed(spark: SparkSession, sf_dir: str, path: str, columns: Sequence[str] = RAW_FEED.names) -> DataFrame:
+    """The rows of ``read_feed``, written once and read back, for plans that read them often.
+
+    Rows are numbered inside their files as parquet readers number them, by a bigint, in the order
+    of ``read_feed``. Orders meet their customers before their lines, so lines are shuffled by order
+    only, however large the other tables are.
+    """
+    frames = _frames(spark, sf_dir)
+    lines = _numbered(frames["lineitem"])
+    placed = spark.sql(
+        """SELECT o.*, n.n_regionkey FROM {orders} o JOIN {customer} ON o_custkey = c_custkey
+        JOIN {nation} n ON c_nationkey = n_nationkey""",
+        **frames,
+    )
+    sql = COLUMNS_TEMPLATE + """  l_row AS row_no
+FROM {lines} JOIN {placed} ON l_orderkey = o_orderkey
+JOIN {region} u ON n_regionkey = u.r_regionkey
+JOIN {region} s ON o_orderkey % 5 = s.r_regionkey"""
+    names = ("lines", "placed", "region")
+    tables = {"lines": lines, "placed": placed, "region": frames["region"]}
+    texts = {"t": _Times(SPARK), **{name: f"{{{name}}}" for name in names}}
+    feed = spark.sql(sql.format_map(texts), **tables)
+    feed = feed.select(*columns, F.col(FILE).cast("bigint"), ROW)
+    feed.write.mode("overwrite").parquet(path)
+    return spark.read.schema(feed.schema).parquet(path)
