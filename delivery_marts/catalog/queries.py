@@ -330,7 +330,8 @@ def unique_group_violations(spark, sf_dir):
 
 @query
 def constraint_counts(spark, sf_dir):
-    return constraints.violation_counts(inputs.tables(spark, sf_dir), TABLES)
+    t = inputs.kept_tables(spark, normalize(inputs.stored_feed(spark, sf_dir)))
+    return constraints.violation_counts(t, TABLES)
 
 
 @query
