@@ -277,13 +277,15 @@ def not_null_violations(spark, sf_dir):
 
 @query
 def pk_violations(spark, sf_dir):
-    t = inputs.tables(spark, sf_dir)
+    source = inputs.stored_feed(spark, sf_dir)
+    kept = ("orders", "order_items", "delivery_assignments", "items")
+    t = inputs.kept_tables(spark, normalize(source, *kept))
     specs = {**TABLES, **MARTS}
     generated = {
         name: inputs.paired_keys(keyed(name, t[name]), TABLES[name].primary_key[0])
         for name in ("order_items", "delivery_assignments")
     }
-    frames = {**inputs.candidates(inputs.feed(spark, sf_dir)), **generated, **_marts(t)}
+    frames = {**inputs.candidates(source), **generated, **_marts(t)}
     return constraints.union(
         [constraints.primary_key_violations(df, specs[name]) for name, df in frames.items()]
     )
