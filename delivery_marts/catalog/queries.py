@@ -339,8 +339,10 @@ def constraint_counts(spark, sf_dir):
 @query
 def observed_rule_counts(spark, sf_dir):
     """On the lines with shifted numbers and on tables with lengthened texts."""
-    t = inputs.tables(spark, sf_dir)
-    lines = {"order_items": inputs.shifted_lines(keyed("order_items", t["order_items"]))}
+    source = inputs.stored_feed(spark, sf_dir)
+    t = normalize(source)
+    bounds = feed_key_bounds(source, "order_items")["order_items"]
+    lines = {"order_items": inputs.shifted_lines(keyed("order_items", t["order_items"], bounds))}
     return inputs.observed_counts(spark, {**lines, **inputs.lengthened(t)})
 
 
