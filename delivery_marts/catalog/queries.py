@@ -428,4 +428,4 @@ QUERIES.update({name: _phones(name) for name in quality.PHONES})
 
 @query
 def quality_report(spark, sf_dir):
-    return quality.quality_report(inputs.tables(spark, sf_dir))
+    return quality.quality_report(inputs.kept_tables(spark, normalize(inputs.stored_feed(spark, sf_dir))))
