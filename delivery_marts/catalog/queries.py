@@ -111,8 +111,8 @@ QUERIES.update(
 
 def _keyed(name: str) -> Query:
     def run(spark, sf_dir):
-        source = inputs.feed(spark, sf_dir)
-        return keyed(name, normalize(source)[name], feed_key_bounds(source)[name])
+        source = inputs.stored_feed(spark, sf_dir, name)
+        return keyed(name, NORMALISED[name](source), feed_key_bounds(source, name)[name])
 
     return run
 
