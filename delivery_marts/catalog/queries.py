@@ -136,7 +136,7 @@ QUERIES.update(
 
 @query
 def q_row_counts(spark, sf_dir):
-    return row_counts(inputs.tables(spark, sf_dir))
+    return row_counts(normalize(inputs.stored_feed(spark, sf_dir)))
 
 
 # Marts. Everything follows lazily from the given tables; the jobs join tables read back from
