@@ -37,6 +37,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -121,14 +122,14 @@ def encode(docs: DataFrame, held_out: Column, words: Broadcast) -> DataFrame:
     """Texts as ids of frequent words (32-bit, RARE for others) and the others joined by spaces."""
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(words)
+        place = _index(words).get
         for batch in batches:
             ids, rest = [], []
-            for text in batch["text"]:
-                found = tokens(text.as_py())
-                codes = [index.get(word, RARE) for word in found]
-                ids.append(np.array(codes, "<i4").tobytes())
-                rest.append(b" ".join([w for w, code in zip(found, codes, strict=True) if code == RARE]))
+            for text in batch["text"].to_pylist():
+                found = tokens(text)
+                codes = np.fromiter(map(place, found, repeat(RARE)), "<i4", len(found))
+                ids.append(codes.tobytes())
+                rest.append(b" ".join(compress(found, (codes == RARE).tolist())))
             yield pa.record_batch(
                 [batch["doc_id"], batch["held_out"], pa.array(ids, pa.binary()), pa.array(rest, pa.binary())],
                 names=["doc_id", "held_out", "ids", "rare"],
@@ -463,7 +464,7 @@ def _scored(encoded: DataFrame, model: Broadcast) -> DataFrame:
         emit = np.append(np.log10(m.counts - m.discount), 0.0)
         base = np.append(np.log10((m.counts + 1) / (m.tokens + m.vocabulary + 1)), 0.0)
         for batch in batches:
-            rows: list[tuple] = []
+            columns: list[list] = [[] for _ in range(6)]
             classes = _known(batch)
             for row, blob, words in zip(
                 batch["row"].to_pylist(), batch["ids"].to_pylist(), batch["rare"].to_pylist(), strict=True
@@ -475,7 +476,9 @@ def _scored(encoded: DataFrame, model: Broadcast) -> DataFrame:
                 history = np.concatenate(([m.classes.count], own[:-1]))
                 chance = m.transitions[history, own] - m.sizes[own]
                 score = float((chance + emit[ids])[~rare].sum())
-                rows.append((row, None, len(ids), int((~rare).sum()), score, float(base[ids].sum())))
+                whole = (row, None, len(ids), int((~rare).sum()), score, float(base[ids].sum()))
+                for column, value in zip(columns, whole, strict=True):
+                    column.append(value)
                 parts: dict[bytes, list] = {}
                 for word, known, unknown in zip(
                     others, chance[rare].tolist(), m.unknown[history[rare]].tolist(), strict=True
@@ -484,8 +487,11 @@ def _scored(encoded: DataFrame, model: Broadcast) -> DataFrame:
                     part[0] += 1
                     part[1] += known
                     part[2] += unknown
-                rows += [(row, word, n, 0, known, unknown) for word, (n, known, unknown) in parts.items()]
-            columns = list(zip(*rows, strict=True)) or [()] * 6
+                if parts:
+                    found = ([row] * len(parts), parts, *zip(*parts.values(), strict=True))
+                    for column, more in zip((*columns[:3], *columns[4:]), found, strict=True):
+                        column.extend(more)
+                    columns[3].extend([0] * len(parts))
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             yield pa.record_batch(
                 [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
