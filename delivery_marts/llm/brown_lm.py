@@ -17,8 +17,9 @@
    In a class, a word seen n times has (n - d) of the class's N tokens; the d taken from each of its
    words goes to one unknown word, which stands for all words not seen in training. So the
    chances of the V known words and the unknown one add up to 1 after every class.
-4. Texts are scored: the ``BROADCAST`` most frequent words have their counts at hand in every task,
-   so hot words are never shuffled; the rest are joined with the counts by word.
+4. Texts are scored: the ``BROADCAST`` most frequent words have their classes and counts at hand in
+   every task, so hot words are never shuffled; those of the rest are joined by word, once, and kept
+   beside the text, which is then counted and scored without another join.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, and one end after each text. The history of
 a text's first token is a start of its own.
@@ -33,14 +34,13 @@ is among them, in bytes; no word is left out of counts, classes or scores.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +61,8 @@ MARKS = b".,;:!?|\"')("
 ENDINGS = (3, 2, 1)
 FLUSH_WORDS = 1 << 18  # distinct words a counting task holds
 FLUSH_TOKENS = 1 << 21  # tokens an exchange task holds
+GATHERED = 1 << 23  # bytes of texts that are looked up at once
+CELL = 16  # bits of a cell's number
 COUNT_STEPS = 16  # steps per doubling in the histogram of counts
 
 RARE = -1
@@ -70,20 +72,54 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows(counts: Counter) -> pa.RecordBatch:
-        return pa.record_batch(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
-        )
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """What ``tokens`` gives for texts, one after another and without the ends, and how many of each text."""
+    # The ASCII functions work on bytes, and split at \x20 and \x09-\x0D.
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = parts.flatten().cast(pa.binary())
+    there = pc.greater(pc.binary_length(words), 0)
+    counts = np.bincount(pc.list_parent_indices(parts).filter(there).to_numpy(), minlength=len(parts))
+    return words.filter(there), counts
+
 
-    counts: Counter = Counter()
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of up to ``GATHERED`` bytes, or as they came if they are larger."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        for text in batch["text"]:
-            counts.update(tokens(text.as_py()))
-        if len(counts) > FLUSH_WORDS:
-            yield rows(counts)
-            counts = Counter()
-    yield rows(counts)
+        if held and size + batch.nbytes > GATHERED:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summed(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+        coded = pa.concat_arrays([words for words, _ in parts]).dictionary_encode()
+        n = np.bincount(coded.indices.to_numpy(), np.concatenate([n for _, n in parts]), len(coded.dictionary))
+        return coded.dictionary, n.astype(np.int64)
+
+    def rows(parts: list[tuple[pa.Array, np.ndarray]]) -> pa.RecordBatch:
+        words, n = summed(parts) if len(parts) > 1 else parts[0]
+        return pa.record_batch([words, pa.array(n)], names=["word", "n"])
+
+    parts: list[tuple[pa.Array, np.ndarray]] = []
+    texts = 0
+    for batch in _gathered(batches):
+        texts += len(batch)
+        found = _words(batch["text"])[0].value_counts()
+        parts.append((found.field("values"), found.field("counts").to_numpy()))
+        if sum(len(words) for words, _ in parts) > FLUSH_WORDS:
+            parts = [summed(parts)]
+            if len(parts[0][0]) > FLUSH_WORDS:
+                yield rows(parts)
+                parts = []
+    if texts:
+        parts.append((pa.array([END], pa.binary()), np.array([texts])))
+        yield rows(parts)
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -114,25 +150,34 @@ def _frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
 
 
 @lru_cache(maxsize=2)
-def _index(words: Broadcast) -> dict[bytes, int]:
-    return {word: i for i, word in enumerate(words.value)}
+def _index(words: Broadcast) -> pa.Array:
+    return pa.array(words.value, pa.binary())
 
 
 def encode(docs: DataFrame, held_out: Column, words: Broadcast) -> DataFrame:
     """Texts as ids of frequent words (32-bit, RARE for others) and the others joined by spaces."""
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = _index(words).get
-        for batch in batches:
-            ids, rest = [], []
-            for text in batch["text"].to_pylist():
-                found = tokens(text)
-                codes = np.fromiter(map(place, found, repeat(RARE)), "<i4", len(found))
-                ids.append(codes.tobytes())
-                rest.append(b" ".join(compress(found, (codes == RARE).tolist())))
+        frequent = _index(words)
+        end = pc.fill_null(pc.index_in(pa.array([END], pa.binary()), frequent), RARE)[0].as_py()
+        for batch in _gathered(batches):
+            found, lengths = _words(batch["text"])
+            codes = pc.index_in(found, frequent)
+            bounds = np.concatenate(([0], np.cumsum(lengths + 1)))
+            place = np.full(bounds[-1], len(found))  # in found, or of the end after it
+            inside = np.ones(len(place), bool)
+            inside[bounds[1:] - 1] = False
+            place[inside] = np.arange(len(found))
+            ids = np.full(len(place), end, "<i4")
+            ids[inside] = pc.fill_null(codes, RARE).to_numpy()
+            rare = ids == RARE
+            others = pa.concat_arrays([found, pa.array([END], pa.binary())]).take(pa.array(place[rare]))
+            left = np.concatenate(([0], np.cumsum(rare)))[bounds]
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(left, pa.int32()), others), b" ")
+            offsets = pa.array(4 * bounds, pa.int32())  # fails where they don't fit
+            blobs = pa.BinaryArray.from_buffers(pa.binary(), len(batch), [None, offsets.buffers()[1], pa.py_buffer(ids)])
             yield pa.record_batch(
-                [batch["doc_id"], batch["held_out"], pa.array(ids, pa.binary()), pa.array(rest, pa.binary())],
-                names=["doc_id", "held_out", "ids", "rare"],
+                [batch["doc_id"], batch["held_out"], blobs, joined], names=["doc_id", "held_out", "ids", "rare"]
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out.alias("held_out"), "text")
@@ -147,7 +192,7 @@ class Classes:
     of_frequent: np.ndarray
     of_ending: dict[bytes, int] = field(default_factory=dict)
     cache: dict[bytes, int] = field(default_factory=dict)
-    rare: DataFrame | None = None  # word and class of all other words that occur more than once; stays on the driver
+    rare: DataFrame | None = None  # word, class and n of all other words that occur more than once; stays on the driver
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"rare": None, "cache": {}}
@@ -163,28 +208,40 @@ class Classes:
             self.cache[word] = found
         return found
 
-    def of_text(self, ids: np.ndarray, rare: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-        """Classes of ids; of rare words those that are known, or else by their endings."""
-        classes = self.of_frequent[ids]
-        if rare:
-            classes[ids == RARE] = [known[word] if word in known else self.of_word(word) for word in rare]
-        return classes
+    def of_words(self, words: pa.Array) -> np.ndarray:
+        """What ``of_word`` gives for every word."""
+        bare = pc.ascii_rtrim(words.view(pa.string()), MARKS.decode()).cast(pa.binary())
+        bare = pc.if_else(pc.greater(pc.binary_length(bare), 0), bare, words)
+        coded = pc.binary_slice(bare, -max(ENDINGS)).dictionary_encode()
+        found = [self.of_word(ending) for ending in coded.dictionary.to_pylist()]
+        return np.array(found, np.int64)[coded.indices.to_numpy()]
 
 
 def _stream(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a batch's texts one after another, and where texts begin."""
-    blobs = batch["ids"].to_pylist()
-    ids = np.frombuffer(b"".join(blobs), "<i4")
-    lengths = np.array([len(b) // 4 for b in blobs])
+    blobs = batch["ids"]
+    if not len(blobs):
+        return np.zeros(0, "<i4"), np.zeros(0, bool)
+    _, offsets, data = blobs.buffers()
+    bounds = np.frombuffer(offsets, "<i4")[blobs.offset : blobs.offset + len(blobs) + 1]
+    ids = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]].view("<i4")
     first = np.zeros(len(ids), bool)
-    first[np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(blobs) else []] = True
+    first[(bounds[:-1] - bounds[0]) // 4] = True
     return ids, first
 
 
+def _rare(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """Rare words of a batch's texts one after another, and the text of each."""
+    parts = pc.split_pattern(pc.fill_null(batch["rare"], b""), b" ")
+    words = parts.flatten()
+    there = pc.greater(pc.binary_length(words), 0)
+    return words.filter(there), pc.list_parent_indices(parts).filter(there).to_numpy()
+
+
 def _histories(ids: np.ndarray, first: np.ndarray, classes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """Class of every token, RARE being the last entry of ``classes``, and of its history."""
     own = classes[ids]
-    history = np.concatenate(([0], own[:-1]))
+    history = np.roll(own, 1)
     history[first] = count + 1
     return own, history
 
@@ -196,6 +253,7 @@ def _neighbours(encoded: DataFrame, classes: np.ndarray, words: int, count: int)
     """
     before, after = count + 2, count + 1
     width = before + after
+    classes = classes.astype(np.int32)  # as are the cells, of which there are few
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, waiting, held = np.zeros(words * width, np.int64), [], 0
@@ -204,7 +262,7 @@ def _neighbours(encoded: DataFrame, classes: np.ndarray, words: int, count: int)
             if not len(ids):
                 continue
             own, history = _histories(ids, first, classes, count)
-            known = (ids >= 0) & (ids < words)
+            known = ids.view("<u4") < words  # RARE is the largest
             waiting.append(ids[known] * width + history[known])
             follows = known[:-1] & ~first[1:]
             waiting.append(ids[:-1][follows] * width + before + own[1:][follows])
@@ -273,15 +331,16 @@ def exchange(encoded: DataFrame, count: int, words: int, classes: np.ndarray) ->
 
 
 def _beside(encoded: DataFrame, classes: np.ndarray, words: int, count: int) -> DataFrame:
-    """id (-1 for rare words), word, cell and n: how often the words beyond the exchanged ones have
-    neighbours of a class, summed within tasks."""
+    """id (-1 for rare words), word and cells: how often the words beyond the exchanged ones have
+    neighbours of a class, summed within tasks to a row a word. A cell has its number in the last
+    ``CELL`` bits and how often it was seen in the others."""
     before = count + 2
     width = before + count + 1
     frequent = len(classes) - 1
 
-    def rows(parts: list[tuple[np.ndarray, np.ndarray]], rare: list[bytes]) -> pa.RecordBatch:
+    def rows(parts: list[tuple[np.ndarray, np.ndarray]], rare: list[pa.Array]) -> pa.RecordBatch:
         ids, first = (np.concatenate(column) for column in zip(*parts, strict=True))
-        coded = pa.array(rare, pa.binary()).dictionary_encode()
+        coded = pa.concat_arrays(rare).dictionary_encode()
         names = pa.concat_arrays([pa.array([b""], pa.binary()), coded.dictionary])
         own, history = _histories(ids, first, classes, count)
         here = ids.astype(np.int64)
@@ -291,15 +350,18 @@ def _beside(encoded: DataFrame, classes: np.ndarray, words: int, count: int) ->
         keys = (here[sought] * width + history[sought], here[:-1][follows] * width + before + own[1:][follows])
         found, n = np.unique(np.concatenate(keys), return_counts=True)
         word, cell = np.divmod(found, width)
+        begins = np.flatnonzero(np.diff(word, prepend=-1))
+        word = word[begins]
+        cells = pa.ListArray.from_arrays(pa.array(np.append(begins, len(cell)), pa.int32()), pa.array(n << CELL | cell))
         named = names.take(pa.array(np.maximum(word - frequent + 1, 0)))
         number = pa.array(np.where(word < frequent, word, RARE).astype(np.int32))
-        return pa.record_batch([number, named, pa.array(cell.astype(np.int32)), pa.array(n)], names=["id", "word", "cell", "n"])
+        return pa.record_batch([number, named, cells], names=["id", "word", "cells"])
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, rare, held = [], [], 0
         for batch in batches:
             parts.append(_stream(batch))
-            rare += [word for words in batch["rare"].to_pylist() if words for word in words.split(b" ")]
+            rare.append(_rare(batch)[0])
             held += len(parts[-1][0])
             if held >= FLUSH_TOKENS:
                 yield rows(parts, rare)
@@ -307,11 +369,11 @@ def _beside(encoded: DataFrame, classes: np.ndarray, words: int, count: int) ->
         if held:
             yield rows(parts, rare)
 
-    return encoded.select("ids", "rare").mapInArrow(cells, "id int, word binary, cell int, n long")
+    return encoded.select("ids", "rare").mapInArrow(cells, "id int, word binary, cells array<long>")
 
 
 def cluster(encoded: DataFrame, frequent: int, count: int, words: int) -> tuple[np.ndarray, DataFrame | None]:
-    """Classes of the frequent words, with ``count`` for RARE at the end, and word and class of the
+    """Classes of the frequent words, with ``count`` for RARE at the end, and word, class and n of the
     rare words that occur more than once."""
     words = min(words, frequent)
     classes = np.full(frequent + 1, count, np.int64)
@@ -324,40 +386,64 @@ def cluster(encoded: DataFrame, frequent: int, count: int, words: int) -> tuple[
     cell = F.col("cell")
     sums = [F.sum(F.col("n") * F.get(F.array(*map(F.lit, whole[:, k].tolist())), cell)) for k in range(count)]
     beside = _beside(encoded, classes, words, count).repartition("id", "word")
-    scored = beside.groupBy("id", "word").agg(
+    number = cell.bitwiseAND((1 << CELL) - 1).cast("int")
+    each = beside.select("id", "word", F.explode("cells").alias("cell"))
+    each = each.select("id", "word", number.alias("cell"), F.shiftright("cell", CELL).alias("n"))
+    scored = each.groupBy("id", "word").agg(
         F.array(*sums).alias("scores"), F.sum(F.when(cell < count + 2, F.col("n")).otherwise(0)).alias("seen")
     )
     best = (F.array_position("scores", F.array_max("scores")) - 1).cast("int").alias("class")
-    chosen = written(scored.where("id >= 0 OR seen > 1").select("id", "word", best), "brown-classes")
+    chosen = written(scored.where("id >= 0 OR seen > 1").select("id", "word", best, "seen"), "brown-classes")
     table = chosen.where("id >= 0").select("id", "class").toArrow()
     classes[table["id"].to_numpy()] = table["class"].to_numpy()
-    return classes, chosen.where("id < 0").select("word", "class")
+    return classes, chosen.where("id < 0").select("word", "class", F.col("seen").alias("n"))
 
 
-def _known(batch: pa.RecordBatch) -> dict[bytes, int]:
-    return {part["word"]: part["class"] for parts in batch["known"].to_pylist() if parts for part in parts}
+def by_ending(vocabulary: DataFrame, frequent: list[tuple[bytes, int]], rare: DataFrame | None) -> DataFrame:
+    """word and n of the words that are neither frequent nor in ``rare``, the classes of the others."""
+    if rare is None:  # there was no exchange, for want of frequent words
+        return vocabulary.select("word", "n")
+    once = F.col("n") == 1
+    if frequent[-1][1] == 1:  # of the words that occur once, the short ones are frequent all or none
+        once &= F.octet_length("word") > LONGEST
+    return vocabulary.where(once).select("word", "n")
 
 
-def with_known(encoded: DataFrame, classes: Classes) -> DataFrame:
-    """``known``: word and class of the rare words in a text that were in the exchange."""
-    if classes.rare is None:
-        return encoded.withColumn("known", F.lit(None).cast("array<struct<word:binary,class:int>>"))
+def with_known(encoded: DataFrame, known: DataFrame) -> DataFrame:
+    """``known``: word, class and n of the rare words in a text that occur in training."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                (row, word)
-                for row, rare in zip(batch["row"].to_pylist(), batch["rare"].to_pylist(), strict=True)
-                for word in set(rare.split(b" ") if rare else ())
-            ]
+            found, text = _rare(batch)
+            coded = found.dictionary_encode()
+            size = max(1, len(coded.dictionary))
+            text, word = np.divmod(np.unique(text.astype(np.int64) * size + coded.indices.to_numpy()), size)
             yield pa.record_batch(
-                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())], names=["row", "word"]
+                [batch["row"].take(pa.array(text)), coded.dictionary.take(pa.array(word))], names=["row", "word"]
             )
 
-    found = encoded.select("row", "rare").mapInArrow(words, "row long, word binary")
-    found = found.join(classes.rare, "word")
-    known = found.groupBy("row").agg(F.collect_list(F.struct("word", "class")).alias("known"))
-    return encoded.join(known, "row", "left")
+    found = encoded.select("row", "rare").mapInArrow(words, "row long, word binary").join(known, "word")
+    gathered = found.groupBy("row").agg(F.collect_list(F.struct("word", "class", "n")).alias("known"))
+    return encoded.join(gathered, "row", "left")
+
+
+def _classed(batch: pa.RecordBatch, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of a batch's texts one after another, where texts begin, the class of every token, and
+    how often the rare ones occur in training."""
+    ids, first = _stream(batch)
+    own = classes.of_frequent[ids]
+    words, _ = _rare(batch)
+    if not len(words):
+        return ids, first, own, np.zeros(0, np.int64)
+    coded = words.dictionary_encode()
+    known = batch["known"].flatten()
+    word, of, n = known.flatten()
+    place = pc.index_in(coded.dictionary, word)
+    of, n = pc.fill_null(of.take(place), RARE).to_numpy().astype(np.int64), pc.fill_null(n.take(place), 0).to_numpy()
+    rest = of == RARE
+    of[rest] = classes.of_words(coded.dictionary.filter(pa.array(rest)))
+    own[ids == RARE] = of[coded.indices.to_numpy()]
+    return ids, first, own, n[coded.indices.to_numpy()]
 
 
 def classify(frequent: list[tuple[bytes, int]], exchanged: np.ndarray, count: int) -> Classes:
@@ -409,11 +495,8 @@ def train(
     def transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((count + 1) * count, np.int64)
         for batch in batches:
-            ids, first = _stream(batch)
-            if not len(ids):
-                continue
-            own = classes.of_text(ids, b" ".join([r for r in batch["rare"].to_pylist() if r]).split(b" ") if (ids == RARE).any() else [], _known(batch))
-            history = np.concatenate(([0], own[:-1]))
+            _, first, own, _ = _classed(batch, classes)
+            history = np.roll(own, 1)
             history[first] = count
             seen += np.bincount(history * count + own, minlength=len(seen))
         yield pa.record_batch([pa.array(np.arange(len(seen))), pa.array(seen)], names=["cell", "n"])
@@ -421,8 +504,9 @@ def train(
     def types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(count, np.int64)
         for batch in batches:
-            for word, own in zip(batch["word"].to_pylist(), batch["class"].to_pylist(), strict=True):
-                seen[own if own < count else classes.of_word(word)] += 1
+            own = batch["class"].to_numpy()
+            seen += np.bincount(own[own < count], minlength=count)
+            seen += np.bincount(classes.of_words(batch["word"].filter(pa.array(own == count))), minlength=count)
         yield pa.record_batch([pa.array(np.arange(count)), pa.array(seen)], names=["cell", "n"])
 
     cells = "cell long, n long"
@@ -430,14 +514,9 @@ def train(
     pairs = pairs.reshape(count + 1, count)
     words = np.bincount(classes.of_frequent[:-1], minlength=count).astype(float)
     if known > len(frequent):
-        # Of the words that occur once, the short ones are frequent all or none; without frequent
-        # words there was no exchange.
-        once_frequent = bool(frequent) and frequent[-1][1] == 1
-        by_ending = F.col("n") == 1 if frequent else F.lit(True)
-        if once_frequent:
-            by_ending &= F.octet_length("word") > LONGEST
-        ending = vocabulary.where(by_ending).select("word", F.lit(count).alias("class"))
-        named = ending if classes.rare is None else ending.unionByName(classes.rare)
+        named = by_ending(vocabulary, frequent, classes.rare).select("word", F.lit(count).alias("class"))
+        if classes.rare is not None:
+            named = named.unionByName(classes.rare.select("word", "class"))
         words += _matrix(named.mapInArrow(types, cells), count)
     size = pairs.sum(axis=0)
     overall = (size + 1) / (size.sum() + count)
@@ -457,49 +536,34 @@ def train(
 
 
 def _scored(encoded: DataFrame, model: Broadcast) -> DataFrame:
-    """Per text a row of sums over frequent words, and per text and rare word what depends on its count."""
+    """doc_id, held_out, n_tokens, n_known, base_score and score of every text."""
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        emit = np.append(np.log10(m.counts - m.discount), 0.0)
-        base = np.append(np.log10((m.counts + 1) / (m.tokens + m.vocabulary + 1)), 0.0)
+        counts = np.append(m.counts, 0)
+        chances = m.transitions - m.sizes
         for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
-            classes = _known(batch)
-            for row, blob, words in zip(
-                batch["row"].to_pylist(), batch["ids"].to_pylist(), batch["rare"].to_pylist(), strict=True
-            ):
-                ids = np.frombuffer(blob, "<i4")
-                rare = ids == RARE
-                others = words.split(b" ") if rare.any() else []
-                own = m.classes.of_text(ids, others, classes)
-                history = np.concatenate(([m.classes.count], own[:-1]))
-                chance = m.transitions[history, own] - m.sizes[own]
-                score = float((chance + emit[ids])[~rare].sum())
-                whole = (row, None, len(ids), int((~rare).sum()), score, float(base[ids].sum()))
-                for column, value in zip(columns, whole, strict=True):
-                    column.append(value)
-                parts: dict[bytes, list] = {}
-                for word, known, unknown in zip(
-                    others, chance[rare].tolist(), m.unknown[history[rare]].tolist(), strict=True
-                ):
-                    part = parts.setdefault(word, [0, 0.0, 0.0])
-                    part[0] += 1
-                    part[1] += known
-                    part[2] += unknown
-                if parts:
-                    found = ([row] * len(parts), parts, *zip(*parts.values(), strict=True))
-                    for column, more in zip((*columns[:3], *columns[4:]), found, strict=True):
-                        column.extend(more)
-                    columns[3].extend([0] * len(parts))
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            if not len(batch):
+                continue
+            ids, first, own, seen = _classed(batch, m.classes)
+            n = counts[ids]
+            n[ids == RARE] = seen
+            history = np.roll(own, 1)
+            history[first] = m.classes.count
+            known = n > 0
+            chance = m.unknown[history]
+            chance[known] = chances[history[known], own[known]] + np.log10(n[known] - m.discount)
+            base = np.log10((n + 1) / (m.tokens + m.vocabulary + 1))
+            begins = np.flatnonzero(first)
+            sums = (np.add.reduceat(x, begins) for x in (known.astype(np.int64), base, chance))
+            found = (np.diff(begins, append=len(ids)), *sums)
             yield pa.record_batch(
-                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
-                names=["row", "word", "n", "n_known", "x", "y"],
+                [batch["doc_id"], batch["held_out"], *map(pa.array, found)],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    return encoded.select("row", "ids", "rare", "known").mapInArrow(
-        scores, "row long, word binary, n long, n_known long, x double, y double"
+    return encoded.select("doc_id", "held_out", "ids", "rare", "known").mapInArrow(
+        scores, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
 
 
@@ -521,41 +585,14 @@ def class_bigram_scores(docs: DataFrame, held_out: Column, count: int = CLASSES)
     exchanged, rare = cluster(encoded.where("NOT held_out"), len(frequent), count, EXCHANGED)
     classes = classify(frequent, exchanged, count)
     classes.rare = rare
-    if rare is not None:
-        named = with_known(encoded, classes)
-        again = folder(spark, "brown-named")
-        named.write.option("compression", "zstd").parquet(again)
-        encoded = spark.read.schema(named.schema).parquet(again)
-        delete_folder(spark, path)
-    else:
-        encoded = with_known(encoded, classes)
+    once = by_ending(vocabulary, frequent, rare).select("word", F.lit(None).cast("int").alias("class"), "n")
+    named = with_known(encoded, once if rare is None else once.unionByName(rare))
+    again = folder(spark, "brown-named")
+    named.write.option("compression", "zstd").parquet(again)
+    encoded = spark.read.schema(named.schema).parquet(again)
+    delete_folder(spark, path)
     model = train(encoded.where("NOT held_out"), vocabulary, frequent, classes)
-    total, known, discount = model.tokens, model.vocabulary, model.discount
-
-    scored = written(_scored(encoded, spark.sparkContext.broadcast(model)), "brown-scored")
-    whole = scored.where("word IS NULL").select(
-        "row", F.col("n").alias("n_tokens"), "n_known", F.col("x").alias("score"), F.col("y").alias("base_score")
-    )
-    counts = vocabulary.select("word", F.col("n").alias("seen"))
-    joined = scored.where("word IS NOT NULL").drop("n_known").join(counts, "word", "left")
-    seen = F.col("seen").isNotNull()
-    rest = joined.groupBy("row").agg(
-        F.sum(F.when(seen, F.col("n")).otherwise(0)).alias("more_known"),
-        F.sum(F.when(seen, F.col("x") + F.col("n") * F.log10(F.col("seen") - discount)).otherwise(F.col("y"))).alias("more_score"),
-        F.sum(F.col("n") * F.log10((F.coalesce("seen", F.lit(0)) + 1) / F.lit(float(total + known + 1)))).alias("more_base"),
-    )
-    zero = F.lit(0)
-    return (
-        encoded.select("row", "doc_id", "held_out")
-        .join(whole, "row")
-        .join(rest, "row", "left")
-        .select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            (F.col("n_known") + F.coalesce("more_known", zero)).alias("n_known"),
-            F.lit(total).cast("bigint").alias("train_tokens"),
-            (F.col("base_score") + F.coalesce("more_base", zero)).alias("base_score"),
-            (F.col("score") + F.coalesce("more_score", zero)).alias("score"),
-        )
+    total = F.lit(model.tokens).cast("bigint").alias("train_tokens")
+    return _scored(encoded, spark.sparkContext.broadcast(model)).select(
+        "doc_id", "held_out", "n_tokens", "n_known", total, "base_score", "score"
     )

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +165,53 @@ def test_long_words_are_never_at_hand(spark):
     assert {w for w, _ in brown_lm._frequent(counts, 100)} == {b"a", b"b", b"\n"}
     rows = brown_lm.class_bigram_scores(docs, F.col("doc_id") % 5 == 0, 2).collect()
     assert [r.n_known for r in rows if r.doc_id % 5 == 0] == [5] * 6 and all(r.n_tokens == 6 for r in rows)
+
+
+def test_words_of_a_batch_are_those_of_its_texts():
+    texts = [" a  B\x0bÄc\t", "", None, "x\x85y\xa0Z\x1cq\u3000 ", "\n \r\x0c", "end"]
+    found, counts = brown_lm._words(pa.array(texts, pa.string()))
+    each = [brown_lm.tokens(text)[:-1] for text in texts]
+    assert found.to_pylist() == [w for words in each for w in words]
+    assert counts.tolist() == [*map(len, each)]
+    sliced, counts = brown_lm._words(pa.array(texts, pa.string())[3:])
+    assert sliced.to_pylist() == [w for words in each[3:] for w in words] and counts.tolist() == [1, 0, 1]
+
+
+def test_classes_by_ending_in_one_go():
+    endings = {b"ing": 1, b"ng": 2, b"g": 3, b"t": 2, b"!": 3, "ß".encode(): 1}
+    words = [w.encode() for w in ("sing", "sing!?", "Wang", "g", "t", "!!", "x", "", "Spaß.", "ing")]
+    classes = brown_lm.Classes(4, np.zeros(1, np.int64), endings)
+    assert classes.of_words(pa.array(words, pa.binary())).tolist() == [classes.of_word(w) for w in words]
+
+
+def test_neighbours_are_a_row_a_word_and_texts_are_scored_without_a_join(spark, texts):
+    docs = documents(spark, *texts.items())
+    vocabulary = brown_lm.written(brown_lm.count_words(docs.select("text")), "test-vocabulary")
+    frequent = brown_lm._frequent(vocabulary, 300)
+    words = spark.sparkContext.broadcast([w for w, _ in frequent])
+    encoded = brown_lm.written(brown_lm.encode(docs, F.lit(False), words), "test-encoded").coalesce(1)
+    classes = np.append(np.arange(len(frequent)) % 4, 4)
+    beside = brown_lm._beside(encoded, classes, 100, 4)
+    assert beside.count() == vocabulary.count() - 100
+    cell = F.col("cell")
+    cells = beside.select(F.explode("cells").alias("cell"))
+    cells = cells.select(cell.bitwiseAND(0xFFFF).alias("cell"), F.shiftright("cell", 16).alias("n"))
+    exchanged = sum(n for _, n in frequent[:100])
+    assert cells.where("cell < 6").agg(F.sum("n")).first()[0] == vocabulary.agg(F.sum("n")).first()[0] - exchanged
+    scored = brown_lm.class_bigram_scores(docs, F.col("doc_id") % 5 == 0, 4)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_rare_words_keep_their_counts_in_every_text(spark, small):
+    """Words that occur once, twice or not in training, long ones and repeated ones, most of them rare."""
+    long = "y" * 200
+    texts = [*two_languages(60), (300, f"once {long} {long} twice once2"), (301, f"twice {long}\ttwice"), (302, "never once never once")]
+    docs = documents(spark, *texts, *texts[:7])
+    rows = brown_lm.class_bigram_scores(docs, F.col("doc_id") == 302, 4).collect()
+    want = plain_base([*texts, *texts[:7]], lambda d: d == 302)
+    assert len(rows) == len(texts) + 7
+    for r in rows:
+        assert (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:3]
+        assert r.base_score == pytest.approx(want[r.doc_id][3], rel=1e-9)
+        assert np.isfinite(r.score) and r.score < 0
