@@ -34,7 +34,7 @@ is among them, in bytes; no word is left out of counts, classes or scores.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -127,7 +127,23 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
+@dataclass(frozen=True, eq=False)
+class Frequent(Sequence):
+    """Words and counts as columns, as the driver holds many; one by one they are pairs."""
+
+    words: pa.Array
+    counts: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def __getitem__(self, place: int | slice) -> Frequent | tuple[bytes, int]:
+        if isinstance(place, slice):
+            return Frequent(self.words[place], self.counts[place])
+        return self.words[place].as_py(), int(self.counts[place])
+
+
+def _frequent(vocabulary: DataFrame, most: int) -> Frequent:
     """The most frequent words and counts, at most ``most``, by falling count; none of more than
     ``LONGEST`` bytes.
 
@@ -144,9 +160,25 @@ def _frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
             break
         lowest = row["step"]
     if lowest is None:
-        return []
-    rows = vocabulary.where(step >= lowest).collect()
-    return sorted(((bytes(r.word), r.n) for r in rows), key=lambda pair: (-pair[1], pair[0]))
+        return Frequent(pa.array([], pa.binary()), np.zeros(0, np.int64))
+    found = vocabulary.where(step >= lowest).select("word", "n").toArrow()
+    found = found.sort_by([("n", "descending"), ("word", "ascending")]).combine_chunks()
+    return Frequent(found["word"].chunk(0), found["n"].to_numpy())
+
+
+def _blobs(numbers: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of numbers, cut at ``bounds``."""
+    offsets = pa.array(numbers.itemsize * bounds, pa.int32())  # fails where they don't fit
+    buffers = [None, offsets.buffers()[1], pa.py_buffer(numbers)]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, buffers)
+
+
+def _numbers(blobs: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_blobs`` was given, the bounds beginning with 0; of at least one blob."""
+    _, offsets, data = blobs.buffers()
+    bounds = np.frombuffer(offsets, "<i4")[blobs.offset : blobs.offset + len(blobs) + 1]
+    numbers = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]].view(kind)
+    return numbers, (bounds - bounds[0]) // numbers.itemsize
 
 
 @lru_cache(maxsize=2)
@@ -174,16 +206,21 @@ def encode(docs: DataFrame, held_out: Column, words: Broadcast) -> DataFrame:
             others = pa.concat_arrays([found, pa.array([END], pa.binary())]).take(pa.array(place[rare]))
             left = np.concatenate(([0], np.cumsum(rare)))[bounds]
             joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(left, pa.int32()), others), b" ")
-            offsets = pa.array(4 * bounds, pa.int32())  # fails where they don't fit
-            blobs = pa.BinaryArray.from_buffers(pa.binary(), len(batch), [None, offsets.buffers()[1], pa.py_buffer(ids)])
             yield pa.record_batch(
-                [batch["doc_id"], batch["held_out"], blobs, joined], names=["doc_id", "held_out", "ids", "rare"]
+                [batch["doc_id"], batch["held_out"], _blobs(ids, bounds), joined],
+                names=["doc_id", "held_out", "ids", "rare"],
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out.alias("held_out"), "text")
     return rows.mapInArrow(coded, "doc_id long, held_out boolean, ids binary, rare binary")
 
 
+def _bare(words: pa.Array) -> pa.Array:
+    """Words without the marks at their end; those of marks alone as they are."""
+    bare = pc.ascii_rtrim(words.view(pa.string()), MARKS.decode()).cast(pa.binary())
+    return pc.if_else(pc.greater(pc.binary_length(bare), 0), bare, words)
+
+
 @dataclass
 class Classes:
     """The class of every word: a table for frequent words, endings for the others."""
@@ -210,9 +247,7 @@ class Classes:
 
     def of_words(self, words: pa.Array) -> np.ndarray:
         """What ``of_word`` gives for every word."""
-        bare = pc.ascii_rtrim(words.view(pa.string()), MARKS.decode()).cast(pa.binary())
-        bare = pc.if_else(pc.greater(pc.binary_length(bare), 0), bare, words)
-        coded = pc.binary_slice(bare, -max(ENDINGS)).dictionary_encode()
+        coded = pc.binary_slice(_bare(words), -max(ENDINGS)).dictionary_encode()
         found = [self.of_word(ending) for ending in coded.dictionary.to_pylist()]
         return np.array(found, np.int64)[coded.indices.to_numpy()]
 
@@ -222,11 +257,9 @@ def _stream(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     blobs = batch["ids"]
     if not len(blobs):
         return np.zeros(0, "<i4"), np.zeros(0, bool)
-    _, offsets, data = blobs.buffers()
-    bounds = np.frombuffer(offsets, "<i4")[blobs.offset : blobs.offset + len(blobs) + 1]
-    ids = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]].view("<i4")
+    ids, bounds = _numbers(blobs, "<i4")
     first = np.zeros(len(ids), bool)
-    first[(bounds[:-1] - bounds[0]) // 4] = True
+    first[bounds[:-1]] = True
     return ids, first
 
 
@@ -249,11 +282,25 @@ def _histories(ids: np.ndarray, first: np.ndarray, classes: np.ndarray, count: i
 def _neighbours(encoded: DataFrame, classes: np.ndarray, words: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     """How often each exchanged word follows each history, and precedes each class.
 
-    Histories are the classes, then words without a class, then the start of a text.
+    Histories are the classes, then words without a class, then the start of a text. No word beyond
+    the exchanged ones has a class.
     """
     before, after = count + 2, count + 1
     width = before + after
-    classes = classes.astype(np.int32)  # as are the cells, of which there are few
+    kind = "id int, cells binary"
+    classes = np.append(classes[:words], count).astype(np.int32)  # as are the cells, of which there are few
+
+    def rows(total: np.ndarray) -> pa.RecordBatch:
+        total = total.reshape(words, width)
+        seen = np.flatnonzero(total.any(axis=1))
+        cells = _blobs(total[seen], width * np.arange(len(seen) + 1))
+        return pa.record_batch([pa.array(seen, pa.int32()), cells], names=["id", "cells"])
+
+    def add(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        if len(batch):
+            cells = _numbers(batch["cells"], "<i8")[0].reshape(len(batch), width)
+            for word, own in zip(batch["id"].to_pylist(), cells, strict=True):
+                total[word] += own
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, waiting, held = np.zeros(words * width, np.int64), [], 0
@@ -261,8 +308,9 @@ def _neighbours(encoded: DataFrame, classes: np.ndarray, words: int, count: int)
             ids, first = _stream(batch)
             if not len(ids):
                 continue
+            ids = np.minimum(ids.view("<u4"), np.uint32(words)).view("<i4")  # RARE is the largest
             own, history = _histories(ids, first, classes, count)
-            known = ids.view("<u4") < words  # RARE is the largest
+            known = ids < words
             waiting.append(ids[known] * width + history[known])
             follows = known[:-1] & ~first[1:]
             waiting.append(ids[:-1][follows] * width + before + own[1:][follows])
@@ -272,16 +320,18 @@ def _neighbours(encoded: DataFrame, classes: np.ndarray, words: int, count: int)
                 waiting, held = [], 0
         if waiting:
             total += np.bincount(np.concatenate(waiting), minlength=len(total))
-        rows = pa.FixedSizeListArray.from_arrays(pa.array(total), width).cast(pa.list_(pa.int64()))
-        seen = pa.array(np.flatnonzero(total.reshape(words, width).any(axis=1)))
-        yield pa.record_batch([seen.cast(pa.int32()), rows.take(seen)], names=["id", "cells"])
+        yield rows(total)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((words, width), np.int64)
+        for batch in batches:
+            add(total, batch)
+        yield rows(total)
 
-    found = encoded.select("ids").mapInArrow(cells, "id int, cells array<long>")
-    # A row a word and task, and as many words as the exchange has.
-    table = found.groupBy("id").agg(*(F.sum(F.get("cells", F.lit(i))).alias(f"c{i}") for i in range(width))).toArrow()
+    found = encoded.select("ids").mapInArrow(cells, kind).repartition("id").mapInArrow(summed, kind)
     total = np.zeros((words, width))
-    for i in range(width):
-        total[table["id"].to_numpy(), i] = table[f"c{i}"].to_numpy()
+    for batch in found.toArrow().to_batches():  # as many rows as the exchange has words
+        add(total, batch)
     return total[:, :before], total[:, before:]
 
 
@@ -399,7 +449,7 @@ def cluster(encoded: DataFrame, frequent: int, count: int, words: int) -> tuple[
     return classes, chosen.where("id < 0").select("word", "class", F.col("seen").alias("n"))
 
 
-def by_ending(vocabulary: DataFrame, frequent: list[tuple[bytes, int]], rare: DataFrame | None) -> DataFrame:
+def by_ending(vocabulary: DataFrame, frequent: Frequent, rare: DataFrame | None) -> DataFrame:
     """word and n of the words that are neither frequent nor in ``rare``, the classes of the others."""
     if rare is None:  # there was no exchange, for want of frequent words
         return vocabulary.select("word", "n")
@@ -446,17 +496,23 @@ def _classed(batch: pa.RecordBatch, classes: Classes) -> tuple[np.ndarray, np.nd
     return ids, first, own, n[coded.indices.to_numpy()]
 
 
-def classify(frequent: list[tuple[bytes, int]], exchanged: np.ndarray, count: int) -> Classes:
+def classify(frequent: Frequent, exchanged: np.ndarray, count: int) -> Classes:
     """Classes for all words, from those of the words that have one."""
-    votes: dict[bytes, np.ndarray] = {}
-    clustered = [(word, n, c) for (word, n), c in zip(frequent, exchanged, strict=False) if c < count]
-    for word, n, c in clustered:
-        bare = word.rstrip(MARKS) or word
-        for length in ENDINGS:
-            votes.setdefault(bare[-length:], np.zeros(count))[c] += math.sqrt(n)
-    classes = Classes(count, np.zeros(0, np.int64), {ending: int(v.argmax()) for ending, v in votes.items()})
-    known = [int(c) if c < count else classes.of_word(word) for (word, _), c in zip(frequent, exchanged, strict=False)]
-    classes.of_frequent = np.array([*known, 0], np.int64)
+    own = exchanged[: len(frequent)]
+    clustered = own < count
+    bare = _bare(frequent.words.filter(pa.array(clustered)))
+    endings = pa.concat_arrays([pc.binary_slice(bare, -length) for length in ENDINGS]).dictionary_encode()
+    # A word's endings one after another, so that votes are summed in the order of the words.
+    ending = endings.indices.to_numpy().astype(np.int64).reshape(len(ENDINGS), -1).T
+    cells, vote = np.unique(ending * count + own[clustered, None], return_inverse=True)
+    votes = np.bincount(vote.ravel(), np.repeat(np.sqrt(frequent.counts[clustered]), len(ENDINGS)), len(cells))
+    ending, kind = np.divmod(cells, count)
+    order = np.lexsort((kind, -votes, ending))
+    best = order[np.flatnonzero(np.diff(ending[order], prepend=-1))]
+    classes = Classes(count, np.zeros(0, np.int32), dict(zip(endings.dictionary.to_pylist(), kind[best].tolist(), strict=True)))
+    known = np.append(own, 0).astype(np.int32)
+    known[:-1][~clustered] = classes.of_words(frequent.words.filter(pa.array(~clustered)))
+    classes.of_frequent = known
     classes.cache = {}
     return classes
 
@@ -482,7 +538,7 @@ def _matrix(rows: DataFrame, size: int) -> np.ndarray:
 
 
 def train(
-    encoded: DataFrame, vocabulary: DataFrame, frequent: list[tuple[bytes, int]], classes: Classes
+    encoded: DataFrame, vocabulary: DataFrame, frequent: Frequent, classes: Classes
 ) -> Model:
     """The model of the training texts in ``encoded``, with the classes of their rare words."""
     count = classes.count
@@ -525,7 +581,7 @@ def train(
     spare = np.where(size > 0, discount * words / np.maximum(size, 1), 1.0)
     return Model(
         classes,
-        np.array([n for _, n in frequent], np.int64),
+        frequent.counts,
         total,
         known,
         discount,
@@ -576,7 +632,7 @@ def class_bigram_scores(docs: DataFrame, held_out: Column, count: int = CLASSES)
     held_out = F.coalesce(held_out, F.lit(False))
     vocabulary = written(count_words(docs.where(~held_out).select("text")), "brown-vocabulary")
     frequent = _frequent(vocabulary, BROADCAST)
-    words = spark.sparkContext.broadcast([word for word, _ in frequent])
+    words = spark.sparkContext.broadcast(frequent.words)
 
     coded = encode(docs, held_out, words).withColumn("row", F.monotonically_increasing_id())
     path = folder(spark, "brown-encoded")

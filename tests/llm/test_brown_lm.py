@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -215,3 +216,42 @@ def test_rare_words_keep_their_counts_in_every_text(spark, small):
         assert (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:3]
         assert r.base_score == pytest.approx(want[r.doc_id][3], rel=1e-9)
         assert np.isfinite(r.score) and r.score < 0
+
+
+def test_the_driver_holds_frequent_words_as_columns_and_counts_as_one(spark, texts, monkeypatch):
+    n = 40_000
+    words = spark.range(n).select(F.concat(F.lit("word"), "id").cast("binary").alias("word"), F.lit(7).cast("long").alias("n"))
+    brown_lm._frequent(words.limit(9), n)  # what is loaded once
+    tracemalloc.start()
+    frequent = brown_lm._frequent(words, n)
+    classes = brown_lm.classify(frequent, np.append(np.arange(n) % 4, 4), 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(frequent) == len(classes.of_frequent) - 1 == n
+    assert peak < 250 * n, peak
+
+    docs = documents(spark, *texts.items())
+    frequent = brown_lm._frequent(brown_lm.written(brown_lm.count_words(docs.select("text")), "test-vocabulary"), 300)
+    at_hand = spark.sparkContext.broadcast([w for w, _ in frequent])
+    encoded = brown_lm.written(brown_lm.encode(docs, F.lit(False), at_hand), "test-encoded")
+    frames, to_arrow = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: frames.append(df) or to_arrow(df))
+    brown_lm.exchange(encoded, 32, 200, np.append(np.arange(len(frequent)) % 32, 32))
+    assert frames and all(df.columns == ["id", "cells"] for df in frames)
+
+
+def test_votes_for_endings_are_summed_word_by_word():
+    rng = random.Random(5)
+    found = {bytes(rng.choices(b"abcde.,", k=rng.randint(1, 5))): rng.randint(1, 10**6) for _ in range(500)}
+    pairs = sorted(found.items(), key=lambda pair: (-pair[1], pair[0]))
+    exchanged = np.array([rng.randint(0, 4) for _ in pairs] + [4])
+    votes = {}
+    for (word, n), c in zip(pairs, exchanged, strict=False):
+        bare = word.rstrip(brown_lm.MARKS) or word
+        for length in brown_lm.ENDINGS if c < 4 else ():
+            votes.setdefault(bare[-length:], np.zeros(4))[c] += math.sqrt(n)
+    words, counts = zip(*pairs, strict=True)
+    classes = brown_lm.classify(brown_lm.Frequent(pa.array(words, pa.binary()), np.array(counts)), exchanged, 4)
+    assert classes.of_ending == {ending: v.argmax() for ending, v in votes.items()}
+    want = [c if c < 4 else classes.of_word(word) for word, c in zip(words, exchanged, strict=False)]
+    assert classes.of_frequent.tolist() == [*want, 0]
